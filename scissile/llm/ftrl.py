@@ -21,7 +21,7 @@ from .sampling import labelled
 from .winnow import word_hashes
 
 MAX_ROWS, BITS, CHUNK_BYTES = 12_000, 20, 1 << 19
-ALPHA, BETA, L1, L2, EPOCHS = 0.3, 1.0, 2.0, 1.0, 3
+ALPHA, BETA, L1, L2, EPOCHS = 1.0, 1.0, 3.0, 0.0, 8
 
 
 def features(data: np.ndarray, off: np.ndarray, bits: int = BITS):
