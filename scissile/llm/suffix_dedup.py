@@ -44,7 +44,9 @@ from .storage import get_file, put_file, ship, staged, workdir
 
 SPAN, GRAM = 50, 20
 CHUNK_BYTES = 4 << 20
-BUCKET_BYTES = 4 << 20
+BUCKET_BYTES = 8 << 20
+#: Parts of a bucket, by ranges of marks, that its task sorts one after another.
+PARTS = 32
 DOC_BUCKET_BYTES = 8 << 20
 MAX_RUN = 4096
 #: A difference cover modulo 13 (every difference modulo 13 occurs between two of its members).
@@ -59,7 +61,7 @@ BLOCK = 1 << 20
 #: A random number for each byte.
 BYTES = mix(np.arange(1, 257, dtype=U) * U(0xA24BAED4963EE407))
 #: Bytes hashed at a time, so that the arrays stay in the processor's cache.
-HASH_BYTES = 1 << 18
+HASH_BYTES = 1 << 16
 
 
 def _grow(a: np.ndarray, shift: int) -> np.ndarray:
@@ -131,7 +133,8 @@ def _cut_runs(data, off, span, gram):
     content = mix(window(start) * U(0xA24BAED4963EE407) + window(start + count - 1)) + count.astype(U)
     for i in np.flatnonzero(count > span + 1).tolist():
         content[i] = xxhash.xxh3_64_intdigest(data[start[i] : start[i] + count[i] + span - 1].tobytes())
-    return start, count, marks[start], content, np.searchsorted(off, start, "right") - 1
+    # Minima crowd near zero; mixed again they spread over the buckets.
+    return start, count, mix(marks[start] + U(1)), content, np.searchsorted(off, start, "right") - 1
 
 
 def bucket_of(mark: np.ndarray, buckets: int) -> np.ndarray:
@@ -357,7 +360,7 @@ def repeated_windows(doc: np.ndarray, count: np.ndarray, text: np.ndarray, off:
 
 def _pack(*arrays: np.ndarray) -> bytes:
     head = np.array([len(arrays), *(x.nbytes for x in arrays)], np.int64).tobytes()
-    return zstandard.ZstdCompressor(level=3).compress(head + b"".join(x.tobytes() for x in arrays))
+    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(x.tobytes() for x in arrays))
 
 
 def _unpack(blob: bytes, *kinds) -> list[np.ndarray]:
@@ -453,13 +456,14 @@ def _send_runs(span, gram, buckets, doc_buckets, folder):
             yield from _flag_rows(doc[later], tag[later], where[later], count[later], doc_buckets, RUNS, -1)
             order = np.argsort(mark, kind="stable")
             order = order[~later[order]]
-            cut = np.searchsorted(bucket_of(mark[order], buckets), np.arange(buckets + 1))
+            cut = np.searchsorted(bucket_of(mark[order], buckets * PARTS), np.arange(buckets * PARTS + 1))
             rows = []
-            for b, (i, j) in enumerate(zip(cut, cut[1:])):
-                if j > i:
-                    o = order[i:j]
+            for b in range(buckets):
+                own = cut[b * PARTS : (b + 1) * PARTS + 1]
+                if own[-1] > own[0]:
+                    o = order[own[0] : own[-1]]
                     text = chunk.data[ranges(start[o], count[o] + span - 1)]
-                    rows.append((b, _pack(doc[o], tag[o], where[o], count[o].astype(np.uint16), content[o], text)))
+                    rows.append((b, _pack(np.diff(own).astype(np.uint32), doc[o], tag[o], where[o], count[o].astype(np.uint16), content[o], text)))
             yield from _rows(RUNS, rows).to_batches()
 
     return send
@@ -484,14 +488,22 @@ def _sort_runs(span, doc_buckets):
         blobs = table.column("runs").to_pylist()
         if bucket < 0:
             return _rows(FLAGS, [(-1 - bucket, x) for x in blobs])
-        parts = [_unpack(x, np.int64, np.uint32, np.int64, np.uint16, U, np.uint8) for x in blobs]
-        del blobs
-        doc, tag, where, count, content, text = (np.concatenate(x) for x in zip(*parts))
-        count = count.astype(np.int64)
-        off = np.append(0, np.cumsum(count + span - 1))
-        run, first, many = repeated_windows(doc, count, text, off, content, span)
-        out = list(_flag_rows(doc[run], tag[run], where[run] + first, many, doc_buckets, FLAGS))
-        return pa.Table.from_batches(out) if out else _rows(FLAGS, [])
+        blobs = [_unpack(x, np.uint32, np.int64, np.uint32, np.int64, np.uint16, U, np.uint8) for x in blobs]
+        # Where each part's runs and bytes begin in each blob.
+        edges = [np.append(0, np.cumsum(x[0].astype(np.int64))) for x in blobs]
+        bytes_to = [np.append(0, np.cumsum(x[4].astype(np.int64) + span - 1)) for x in blobs]
+        out = []
+        for k in range(PARTS):
+            cuts = [(x, e[k], e[k + 1], t) for x, e, t in zip(blobs, edges, bytes_to) if e[k + 1] > e[k]]
+            if not cuts:
+                continue
+            doc, tag, where, count, content = (np.concatenate([x[c][i:j] for x, i, j, _ in cuts]) for c in range(1, 6))
+            text = np.concatenate([x[6][t[i] : t[j]] for x, i, j, t in cuts])
+            count = count.astype(np.int64)
+            run, first, many = repeated_windows(doc, count, text, np.append(0, np.cumsum(count + span - 1)), content, span)
+            out.append((doc[run], tag[run], where[run] + first, many))
+        rows = list(_flag_rows(*(np.concatenate(x) for x in zip(*out)), doc_buckets, FLAGS)) if out else []
+        return pa.Table.from_batches(rows) if rows else _rows(FLAGS, [])
 
     return sort
 
@@ -538,7 +550,7 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataF
     docs = docs.drop("kept", "n_removed", "n_spans").withColumn("doc_id", F.col("doc_id").cast("long"))
     texts = docs.select("doc_id", "text")
     total = texts.agg(F.sum(F.octet_length("text"))).head()[0] or 0
-    buckets = max(16, -(-total // BUCKET_BYTES))
+    buckets = max(64, -(-total // BUCKET_BYTES))
     doc_buckets = next(n for n in range(max(17, total // DOC_BUCKET_BYTES), 1 << 31) if all(n % d for d in range(2, int(n**0.5) + 1)))
     folder = workdir(spark, "masks")
     marks = texts.mapInArrow(_send_marks(span, gram, buckets), MARKS)
