@@ -180,9 +180,9 @@ def fit(docs: DataFrame, max_rows: int = MAX_ROWS, modulus: int = 5, held_out: i
     return Model(rows.orderBy(F.xxhash64("doc_id"), "doc_id", "lang", "text").select("text", "lang").toArrow())
 
 
-def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """docs with lang_pred and lang_score; columns of docs by these names are replaced."""
-    docs = ship(docs).drop("lang_pred", "lang_score")
+def identify(docs: DataFrame, model: Model, names: tuple[str, str] = ("lang_pred", "lang_score")) -> DataFrame:
+    """docs with the predicted language and its score in columns `names`; columns of docs by these names are replaced."""
+    docs = ship(docs).drop(*names)
     column = docs.columns.index("text")
     shared = docs.sparkSession.sparkContext.broadcast(model)  # some 100 kB, whatever the corpus
 
@@ -191,12 +191,12 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             texts = batch.column(column)
             letters = np.array([bool(t and LETTER.search(t)) for t in texts.to_pylist()], bool)
-            names, score = ["und"] * len(letters), np.zeros(len(letters))
+            found, score = ["und"] * len(letters), np.zeros(len(letters))
             if own.net is not None and letters.any():
                 data, off = utf8(texts)
                 which, p = own.predict(data, off)
-                names = [own.names[k] if ok else "und" for k, ok in zip(which, letters)]
+                found = [own.names[k] if ok else "und" for k, ok in zip(which, letters)]
                 score = np.where(letters, p, 0.0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(score, pa.float64())], names=[*batch.schema.names, "lang_pred", "lang_score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string()), pa.array(score, pa.float64())], names=[*batch.schema.names, *names])
 
-    return docs.mapInArrow(run, docs.select("*").schema.add("lang_pred", "string").add("lang_score", "double"))
+    return docs.mapInArrow(run, docs.select("*").schema.add(names[0], "string").add(names[1], "double"))

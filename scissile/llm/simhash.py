@@ -223,5 +223,29 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, distance: int = DISTANC
     return fps.join(by_fp, "fp").select("doc_id", "fp", "component_id")
 
 
+def keep_first(docs: DataFrame, width: int = WIDTH, distance: int = DISTANCE) -> DataFrame:
+    """docs with one document of each group: that of the smallest doc_id, and of equal rows one.
+
+    Groups in which no row has a doc_id keep a row for each fingerprint.
+    """
+    near = staged(near_duplicates(docs, width, distance), "near")
+    winners = near.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n"))
+    key = docs["doc_id"].cast("long")
+    once = docs.join(winners.where("n = 1").select(F.col("doc_id").alias("__id")), key == F.col("__id"), "left_semi")
+    again = docs.join(winners.where("n > 1").select(F.col("doc_id").alias("__id")), key == F.col("__id"), "left_semi").dropDuplicates(["doc_id", "text"])
+    nameless = docs.where("doc_id IS NULL").dropDuplicates(["text"])
+    alone = near.where("component_id IS NULL").select(F.col("fp").alias("__own")).distinct()
+    column = nameless.columns.index("text")
+
+    def mark(batches):
+        for batch in batches:
+            data, off = utf8(batch.column(column))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fingerprint_all(data.tobytes(), off, width).view(np.int64))], names=[*batch.schema.names, "__fp"])
+
+    marked = nameless.mapInArrow(mark, nameless.select("*").schema.add("__fp", "long"))
+    rest = marked.join(alone, F.col("__fp") == F.col("__own"), "left_semi").dropDuplicates(["__fp"]).select(*docs.columns)
+    return once.unionByName(again).unionByName(rest)
+
+
 def hex_of(fp):
     return F.lower(F.lpad(F.hex(fp), 16, "0"))

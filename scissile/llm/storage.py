@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import io
 import os
-import tempfile
 import uuid
 import zipfile
 from pathlib import Path
@@ -74,12 +74,12 @@ def ship(df: DataFrame) -> DataFrame:
     root, context = Path(__file__).resolve().parents[2], df.sparkSession.sparkContext
     found = {os.path.realpath(x) for x in os.environ.get("PYTHONPATH", "").split(os.pathsep) if x}
     if str(root) not in found and context.applicationId not in _shipped:
-        package = Path(__file__).resolve().parents[1]
-        # Spark's file server sends the driver's copy to every worker.
-        archive = os.path.join(tempfile.mkdtemp(), f"{package.name}.zip")
-        with zipfile.ZipFile(archive, "w") as out:
+        package, held = Path(__file__).resolve().parents[1], io.BytesIO()
+        with zipfile.ZipFile(held, "w") as out:
             for path in sorted(package.rglob("*.py")):
                 out.write(path, path.relative_to(root))
+        archive = f"{workdir(df.sparkSession, 'code')}/{package.name}.zip"
+        put_file(archive, [held.getvalue()])
         context.addPyFile(archive)
         _shipped.add(context.applicationId)
     return df

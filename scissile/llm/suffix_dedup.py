@@ -521,7 +521,7 @@ def cut_text(text: bytes, starts: np.ndarray, counts: np.ndarray, span: int) ->
     return b"".join(text[i:j] for i, j in zip(edges[::2], edges[1::2])), int((end - begin).sum()), len(begin)
 
 
-def _apply(span, text_column):
+def _apply(span, text_column, names):
     def cut(docs: pa.Table, flags: pa.Table) -> pa.Table:
         parts = [_unpack(x, np.int64, np.uint32, np.int64, np.uint32) for x in flags.column("flags").to_pylist()]
         doc, tag, where, count = (np.concatenate(x) for x in zip(*parts)) if parts else [np.zeros(0, np.int64)] * 4
@@ -539,15 +539,17 @@ def _apply(span, text_column):
             left, r, s = cut_text(text, where[mine], count[mine], span)
             kept.append(left), removed.append(r), spans.append(s)
         out = docs.select([x for x in docs.column_names if x != "__doc_bucket"])
-        return out.append_column("kept", pa.array(kept, pa.binary())).append_column("n_removed", pa.array(removed, pa.int64())).append_column("n_spans", pa.array(spans, pa.int64()))
+        for name, column in zip(names, (pa.array(kept, pa.binary()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()))):
+            out = out.append_column(name, column)
+        return out
 
     return cut
 
 
-def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
-    """docs with kept (binary), n_removed and n_spans; columns of docs by these names are replaced."""
+def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, names: tuple[str, str, str] = ("kept", "n_removed", "n_spans")) -> DataFrame:
+    """docs with what is left (binary), bytes removed and removed runs in columns `names`; columns of docs by these names are replaced."""
     spark = ship(docs).sparkSession
-    docs = docs.drop("kept", "n_removed", "n_spans").withColumn("doc_id", F.col("doc_id").cast("long"))
+    docs = docs.drop(*names).withColumn("doc_id", F.col("doc_id").cast("long"))
     texts = docs.select("doc_id", "text")
     total = texts.agg(F.sum(F.octet_length("text"))).head()[0] or 0
     buckets = max(64, -(-total // BUCKET_BYTES))
@@ -558,7 +560,7 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataF
     staged(masks.groupBy("chunk").applyInArrow(_write_masks(folder), "chunk string"), "mask-list")
     runs = texts.mapInArrow(_send_runs(span, gram, buckets, doc_buckets, folder), RUNS)
     flags = staged(runs.groupBy("bucket").applyInArrow(_sort_runs(span, doc_buckets), FLAGS), "flags")
-    schema = docs.select("*").schema.add("kept", "binary").add("n_removed", "long").add("n_spans", "long")
+    schema = docs.select("*").schema.add(names[0], "binary").add(names[1], "long").add(names[2], "long")
     left = docs.withColumn("__doc_bucket", F.coalesce(F.pmod("doc_id", F.lit(doc_buckets)), F.pmod(F.xxhash64("text"), F.lit(doc_buckets))).cast("int"))
-    return left.groupBy("__doc_bucket").cogroup(flags.groupBy("doc_bucket")).applyInArrow(_apply(span, "text"), schema)
+    return left.groupBy("__doc_bucket").cogroup(flags.groupBy("doc_bucket")).applyInArrow(_apply(span, "text", names), schema)
 
