@@ -66,3 +66,26 @@ def clipped(cigar, end: str = "start"):
 
 def five_prime(start, end, strand):
     return F.when(strand == "-", end).otherwise(start)
+
+
+def scoring_matrix(kind: str = "symmetric") -> dict[tuple[str, str], float]:
+    """Scores of IUPAC code pairs.
+
+    Codes without a common base score 0; a single base or N against a code that shares a base scores 1, and so do equal
+    codes.  Other pairs score 0 (binary), shared bases over the larger code's (symmetric) or over the first code's
+    (asymmetric), to two decimals.
+    """
+    out = {}
+    for a, x in IUPAC.items():
+        for b, y in IUPAC.items():
+            shared = len(set(x) & set(y))
+            if not shared:
+                score = 0.0
+            elif a == b or {len(x), len(y)} & {1, 4}:
+                score = 1.0
+            elif kind == "binary":
+                score = 0.0
+            else:
+                score = round(shared / (max(len(x), len(y)) if kind == "symmetric" else len(x)), 2)
+            out[a, b] = score
+    return out

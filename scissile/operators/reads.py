@@ -8,11 +8,12 @@ from __future__ import annotations
 
 import re
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.sequences import IUPAC, match_offsets, mismatches_at
+from ..functions.sequences import IUPAC, match_offsets, mismatches_at, scoring_matrix
 
 NAME_PATTERN = r"[\w\:\-\+]+"
 
@@ -201,51 +202,53 @@ def sequence_stats(reads: DataFrame, by: list[str] = ()) -> DataFrame:
     return reads.groupBy(*by).agg(F.count("*").alias("reads"), F.sum(F.length("seq")).alias("bases"), F.round(F.avg(F.length("seq")), 1).alias("mean_length"))
 
 
-#: Scores of a match, of a pair of ambiguous codes that share a base, and of a mismatch.
-MATCH, MISMATCH, GAP_OPEN, GAP_EXTEND = 1.0, -1.0, 10.0, 4.0
+def alignment_filter(reads: DataFrame, refs: list[str], percent: float = 95.0, kind: str = "local", identity: str = "local", min_align: int = 20, gap_open: float = 10, gap_extend: float = 4, negative: bool = False) -> DataFrame:
+    """Reads that align to a reference with `percent` identity, by an Arrow batch function over distinct sequences.
 
-
-def alignment_filter(reads: DataFrame, refs: list[str], percent: float = 95.0, mode: str = "local", min_align: int = 20, negative: bool = False) -> DataFrame:
-    """Reads that align to a reference with percent identity (affine gaps; local or global), by an Arrow batch function over distinct sequences.
-
-    Identity is matches over the aligned width (local, of min_align columns at least) or over the longer string (global).
+    Identity is the score over the read's length (global) or over its aligned width, of min_align bases at least (local).
     """
-    import pandas as pd
-
     @F.pandas_udf("double")
-    def identity(seqs: pd.Series) -> pd.Series:
-        return pd.Series([max((align_identity(s, r, mode, min_align) for r in refs), default=0.0) if s else 0.0 for s in seqs])
+    def best(seqs: pd.Series) -> pd.Series:
+        return pd.Series([max((align_identity(s, r, kind, identity, min_align, gap_open, gap_extend) for r in refs), default=0.0) if s else 0.0 for s in seqs])
 
-    good = reads.select("seq").distinct().withColumn("__id", identity("seq")).where(F.col("__id") < percent if negative else F.col("__id") >= percent).select("seq")
+    good = reads.select("seq").distinct().withColumn("__id", best("seq")).where(F.col("__id") < percent if negative else F.col("__id") >= percent).select("seq")
     return reads.join(good, "seq", "left_semi")
 
 
-def align_identity(a: str, b: str, mode: str = "local", min_align: int = 20) -> float:
-    """Percent identity of the best alignment (three-state dynamic programme, ambiguity codes match if they share a base)."""
-    local, low = mode == "local", float("-inf")
-    rows, cols = len(a) + 1, len(b) + 1
-    # Each state holds (score, matches, columns).
-    start = (0.0, 0, 0)
-    worse = (low, 0, 0)
-    gap = lambda n: (-(GAP_OPEN + GAP_EXTEND * n), 0, n)
-    m = [start] + [start if local else worse] * (cols - 1)
-    x = [worse] * cols
-    y = [worse] + [worse if local else gap(j) for j in range(1, cols)]
-    best = start
-    for i in range(1, rows):
-        m2, x2, y2 = [start if local else worse], [worse if local else gap(i)], [worse]
-        for j in range(1, cols):
-            same = bool(set(IUPAC.get(a[i - 1], "")) & set(IUPAC.get(b[j - 1], "")))
-            s, k, n = max(m[j - 1], x[j - 1], y[j - 1])
-            here = (s + (MATCH if same else MISMATCH), k + same, n + 1)
-            m2.append(max(here, start) if local else here)
-            opened, extended = max(m[j], y[j]), x[j]
-            x2.append(max((opened[0] - GAP_OPEN - GAP_EXTEND, opened[1], opened[2] + 1), (extended[0] - GAP_EXTEND, extended[1], extended[2] + 1)))
-            opened, extended = max(m2[j - 1], x2[j - 1]), y2[j - 1]
-            y2.append(max((opened[0] - GAP_OPEN - GAP_EXTEND, opened[1], opened[2] + 1), (extended[0] - GAP_EXTEND, extended[1], extended[2] + 1)))
-            best = max(best, m2[j]) if local else best
+_SCORES = scoring_matrix("asymmetric")
+
+
+def align_identity(read: str, ref: str, kind: str = "local", identity: str = "local", min_align: int = 20, gap_open: float = 10, gap_extend: float = 4) -> float:
+    """Percent identity of the best alignment with affine gaps.
+
+    kind: global, local, overlap (free ends on both), global-local (the whole read in a part of the reference) or
+    local-global.  Each state of the dynamic programme holds (score, minus the read's first aligned base).
+    """
+    if not read or not ref:
+        return 0.0
+    free_read, free_ref = kind in ("local", "overlap", "local-global"), kind in ("local", "overlap", "global-local")
+    never = (float("-inf"), 0)
+    gap = lambda n: -(gap_open + gap_extend * n)
+    plus = lambda state, x: (state[0] + x, state[1])
+    m = [(0.0, 0)] + [(0.0, 0) if free_ref else never] * len(ref)
+    x = [never] * (len(ref) + 1)
+    y = [never] + [never if free_ref else (gap(j), 0) for j in range(1, len(ref) + 1)]
+    ends = []  # (score, width)
+    for i, a in enumerate(read, 1):
+        m2 = [(0.0, -i) if free_read else never]
+        x2 = [never if free_read else (gap(i), 0)]
+        y2 = [never]
+        for j, b in enumerate(ref, 1):
+            here = plus(max(m[j - 1], x[j - 1], y[j - 1]), _SCORES.get((a, b), 0.0))
+            m2.append(max(here, (0.0, 1 - i)) if kind == "local" else here)
+            x2.append(max(plus(max(m[j], y[j]), gap(1)), plus(x[j], -gap_extend)))
+            y2.append(max(plus(max(m2[j - 1], x2[j - 1]), gap(1)), plus(y2[j - 1], -gap_extend)))
+            last_read, last_ref = i == len(read), j == len(ref)
+            if kind == "local" or (last_read and last_ref) or (last_read and free_ref) or (last_ref and free_read):
+                score, first = max(m2[j], x2[j], y2[j])
+                ends.append((score, i + first))
         m, x, y = m2, x2, y2
-    if not local:
-        best = max(m[-1], x[-1], y[-1])
-        return 100.0 * best[1] / max(len(a), len(b), 1)
-    return 100.0 * best[1] / best[2] if best[2] >= min_align else 0.0
+    score, width = max(ends)
+    if identity == "global":
+        return 100.0 * max(score, 0.0) / len(read)
+    return 100.0 * score / width if width >= min_align else 0.0

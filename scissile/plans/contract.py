@@ -444,6 +444,43 @@ def umi_attach(spark, d):
     return alignments.attach_umis(frag(spark, d).withColumn("ID", F.col("l_partkey")), umis).select("l_orderkey", "l_linenumber", "umitag")
 
 
+@query("k AS (SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS q FROM orders WHERE o_orderkey % 2 = 0 INTERSECT SELECT DISTINCT CAST(c_custkey AS VARCHAR) FROM customer) SELECT q AS \"readNames\", q AS \"seqID\" FROM k")
+def default_keys(spark, d):
+    return alignments.default_keys(t(spark, d, "orders").where("o_orderkey % 2 = 0").selectExpr("CAST(o_custkey AS STRING) AS qName"), t(spark, d, "customer").selectExpr("CAST(c_custkey AS STRING) AS qName"))
+
+
+@query(f"{PSL} SELECT id, ln FROM psl WHERE CAST(id AS VARCHAR) IN (SELECT CAST(o_orderkey AS VARCHAR) FROM orders WHERE o_orderstatus = 'F')")
+def known_hits(spark, d):
+    keys = t(spark, d, "orders").where("o_orderstatus = 'F'").selectExpr("CAST(o_orderkey AS STRING) AS anchor_key")
+    return alignments.known_hits(psl(spark, d), keys, "anchor_key").select("id", "ln")
+
+
+_SAMPAIR = f"""{FRAG}, al AS (SELECT l_orderkey % 300 AS id, l_linenumber % 2 AS side, seqnames, strand, CASE WHEN strand = '-' THEN e ELSE s END AS p FROM frag WHERE l_orderkey % 4 < 2),
+  pr AS (SELECT DISTINCT a.id, a.seqnames, a.strand, least(a.p, b.p) AS s, greatest(a.p, b.p) AS e FROM al a JOIN al b ON a.id = b.id AND a.seqnames = b.seqnames AND a.strand <> b.strand AND a.side = 1 AND b.side = 0 WHERE (CASE WHEN a.strand = '+' THEN b.p - a.p ELSE a.p - b.p END) + 1 BETWEEN 30 AND 2500)"""
+
+
+def sam_pairs(spark, d):
+    own = frag(spark, d).where("l_orderkey % 4 < 2").select((F.col("l_orderkey") % 300).alias("qname"), F.when(F.col("l_linenumber") % 2 == 1, "anchor").otherwise("adrift").alias("end"), F.col("seqnames").alias("rname"), "strand", F.col("start").alias("pos"), (F.col("end") - F.col("start") + 1).alias("span"))
+    return alignments.pair_sam(own)
+
+
+@query(f"{_SAMPAIR} SELECT id, seqnames, strand, s AS range_start, e AS range_end FROM pr")
+def sam_pair_expansion(spark, d):
+    return sam_pairs(spark, d).select(F.col("ID").alias("id"), "seqnames", "strand", F.col("start").alias("range_start"), F.col("end").alias("range_end"))
+
+
+@query(f"{_SAMPAIR} SELECT id, s AS range_start, e AS range_end, seqnames, strand, CASE WHEN count(*) OVER (PARTITION BY id) = 1 THEN 'unique' ELSE 'multihit' END AS class FROM pr")
+def sam_unique_multihit(spark, d):
+    return alignments.split_hits(sam_pairs(spark, d)).select(F.col("ID").alias("id"), F.col("start").alias("range_start"), F.col("end").alias("range_end"), "seqnames", "strand", "class")
+
+
+@query(f"{HITS}, n AS (SELECT *, count(*) OVER (PARTITION BY ak, bk) AS n FROM loci) SELECT seqnames, s AS range_start, e AS range_end, e - s + 1 AS width, strand, ak || ':' || bk AS read_pair, ak AS sample FROM n WHERE n = 1")
+def unique_sites(spark, d):
+    keys, a, b = hits(spark, d)
+    out = alignments.unique_reads(keys.withColumn("read", F.col("read_pair")), alignments.couple(keys, a, b, 30, 500))
+    return out.select("seqnames", F.col("start").alias("range_start"), F.col("end").alias("range_end"), "width", "strand", "read_pair", F.col("sampleName").alias("sample"))
+
+
 # ---- targets -------------------------------------------------------------------------------------
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,19 +22,68 @@ KEYS = T.StructType([T.StructField("readNames", T.StringType()), T.StructField("
 STATS = T.StructType([T.StructField("sampleName", T.StringType()), T.StructField("metric", T.StringType()), T.StructField("count", T.DoubleType())])
 
 
+FASTQ_OUT = "name string, seq string, qual string, file string, at long, lines array<string>"
+
+
+def _records(batches):
+    """Records of four lines from a task's lines, file split by file split; lines of a record that crosses a split's edge come as they are.
+
+    A record begins where a line with @ is followed, two lines on, by one with +, and sequence and quality are of one
+    length; a quality line that begins with @ fails that test.
+    """
+    here, held, synced, done, loose = None, [], True, [], []
+
+    def begins(x):
+        return x[0].startswith("@") and x[2].startswith("+") and len(x[1]) == len(x[3])
+
+    def out():
+        nonlocal done, loose
+        n, m = len(done), len(loose)
+        cols = [[r[i] for r in done] + [None] * m for i in range(3)] + [[None] * n + [r[i] for r in loose] for i in range(3)]
+        kinds = [pa.string()] * 4 + [pa.int64(), pa.list_(pa.string())]
+        batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["name", "seq", "qual", "file", "at", "lines"])
+        done, loose = [], []
+        return batch
+
+    def close():
+        nonlocal held
+        if held and here is not None:
+            loose.append((here[0], 2 * here[1] + (1 if synced else 0), held))
+        held = []
+
+    for batch in batches:
+        for value, file, at in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            if here != (file, at):
+                close()
+                here, synced, head = (file, at), at == 0, []
+            held.append(value.removesuffix("\r"))
+            if not synced and len(held) >= 4 and begins(held[-4:]):
+                head, held, synced = held[:-4], held[-4:], True
+                if head:
+                    loose.append((file, 2 * at, head))
+            if synced and len(held) == 4:
+                done.append((held[0][1:], held[1], held[3]))
+                held = []
+        yield out()
+    close()
+    yield out()
+
+
 def fastq(spark: SparkSession, path) -> DataFrame:
-    """(read_id, description, seq, qual): a record starts where a line with @ is followed, two lines on, by one with +.
+    """(read_id, description, seq, qual) of plain or gzip files.
 
-    The file is split before each @ that begins a line; a piece that isn't a record is the tail of the one before it
-    (a quality line may begin with @), which the line count of four tells apart.
+    Plain files are split like any text; the few lines of records that cross a split's edge are put together again, a file
+    at a time.
     """
-    text = spark.read.option("wholetext", True).text(path)
-    lines = F.split(F.regexp_replace("value", "\r", ""), "\n")
-    n = F.floor(F.size(F.filter(lines, lambda x: x != "")) / 4).cast("int")
-    at = F.explode(F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>")))
-    rows = text.select(lines.alias("__l"), n.alias("__n")).select("__l", at.alias("__i"))
-    line = lambda k: F.get("__l", F.col("__i") * 4 + k)
-    return _named(rows.select(F.substring(line(0), F.lit(2), F.length(line(0))).alias("__name"), line(1).alias("seq"), line(3).alias("qual")))
+    lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    parts = lines.mapInArrow(_records, FASTQ_OUT)
+    whole = parts.where("lines IS NULL").select(F.col("name").alias("__name"), "seq", "qual")
+    crossing = parts.where("lines IS NOT NULL").groupBy("file").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("at", "lines"))), lambda x: x["lines"])).alias("l"))
+    n = F.floor(F.size("l") / 4).cast("int")
+    each = crossing.select("l", F.explode(F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))).alias("i"))
+    line = lambda k: F.get("l", F.col("i") * 4 + k)
+    rest = each.select(F.substring(line(0), F.lit(2), F.length(line(0))).alias("__name"), line(1).alias("seq"), line(3).alias("qual"))
+    return _named(whole.unionByName(rest))
 
 
 def _named(rows: DataFrame) -> DataFrame:

@@ -16,6 +16,22 @@ def test_fastq_round_trip(spark, tmp_path):
     assert sorted(r["seq"] for r in readers.fastq(spark, str(tmp_path / "out")).collect()) == ["ACGT", "GG"]
 
 
+def test_fastq_records_cross_splits(spark, tmp_path):
+    import random
+
+    rng, rows = random.Random(2), []
+    for i in range(400):
+        n = rng.randint(0, 30)
+        rows.append((f"r{i}", "".join(rng.choice("ACGT") for _ in range(n)), "".join(rng.choice("@+BI") for _ in range(n))))
+    (tmp_path / "r.fastq").write_text("".join(f"@{a}\n{b}\n+\n{c}\n" for a, b, c in rows))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "997")
+    try:
+        got = readers.fastq(spark, str(tmp_path / "r.fastq")).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted((r["read_id"], r["seq"], r["qual"]) for r in got) == sorted(rows)
+
+
 def test_fasta(spark, tmp_path):
     (tmp_path / "g.fa").write_text(">chr1 x\nACGT\nacgt\n>chr2\nTT\n")
     assert sorted(tuple(r) for r in readers.contigs(spark, str(tmp_path / "g.fa")).collect()) == [("chr1", "ACGTACGT", 8), ("chr2", "TT", 2)]

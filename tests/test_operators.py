@@ -153,9 +153,19 @@ def test_overread_partial_tail(spark):
 
 
 def test_alignment_identity():
-    assert rd.align_identity("ACGTACGTACGTACGTACGTA", "TTACGTACGTACGTACGTACGTATT") == 100.0
-    assert rd.align_identity("ACGT", "ACGA", "global") == 75.0
-    assert rd.align_identity("ACGT", "ACGT", "local", 20) == 0.0
+    read = "ACGTACGTACGTACGTACGTA"
+    assert rd.align_identity(read, "TT" + read + "TT") == 100.0
+    assert rd.align_identity(read, "TT" + read + "TT", "global-local", "global") == 100.0
+    assert rd.align_identity("ACGT", "ACGA", "global", "global") == 75.0
+    assert rd.align_identity("ACGT", "ACGT", "local", "local", 20) == 0.0
+    assert rd.align_identity(read, read[:10] + read[11:], "global", "global") == pytest.approx(100 * (20 - 14) / 21)
+    assert rd.align_identity("GGG" + read, read + "CC", "overlap", "local") == 100.0
+
+
+def test_scoring_matrices():
+    sym, asym, binary = (sq.scoring_matrix(k) for k in ("symmetric", "asymmetric", "binary"))
+    assert sym["S", "B"] == asym["B", "S"] == 0.67 and asym["S", "B"] == 1 and binary["S", "B"] == 0 and binary["A", "R"] == 1
+    assert all(m["N", c] == m[c, "N"] == m[c, c] == 1 for m in (sym, asym, binary) for c in sq.IUPAC) and sym["A", "T"] == 0
 
 
 def test_alignment_filter(spark):
