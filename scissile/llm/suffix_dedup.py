@@ -48,6 +48,8 @@ BUCKET_BYTES = 8 << 20
 #: Parts of a bucket, by ranges of marks, that its task sorts one after another.
 PARTS = 32
 DOC_BUCKET_BYTES = 8 << 20
+#: Bytes of runs that a task gathers before it sends them, so that rows to the buckets are few and long.
+HELD_BYTES = 16 << 20
 MAX_RUN = 4096
 #: A difference cover modulo 13 (every difference modulo 13 occurs between two of its members).
 PERIOD, COVER = 13, (0, 1, 3, 9)
@@ -428,43 +430,57 @@ def _write_masks(folder):
     return write
 
 
+def _kept_runs(chunk, span, gram, buckets, folder):
+    """The runs of a chunk that its mask doesn't rule out: doc, tag, place in the document, windows, mark, content, text."""
+    start, count, mark, content, row = cut_runs(chunk.data, chunk.off, span, gram)
+    blob = get_file(f"{folder}/{chunk.name}") if len(start) else None
+    if blob is not None:
+        own = np.unique(mark)
+        cut = np.searchsorted(bucket_of(own, buckets), np.arange(buckets + 1))
+        twice = np.zeros(len(own), bool)
+        which, sizes, bits = _unpack(blob, np.int64, np.int64, np.uint8)
+        ends = np.cumsum(sizes)
+        for b, a, z in zip(which, ends - sizes, ends):
+            i, j = cut[b], cut[b + 1]
+            twice[i:j] = np.unpackbits(bits[a:z], count=j - i)
+        keep = twice[np.searchsorted(own, mark)]
+        start, count, mark, content, row = start[keep], count[keep], mark[keep], content[keep], row[keep]
+    where = chunk.lead[row] + start - chunk.off[row]
+    return chunk.ids[row], chunk.tags[row], where, count, mark, content, chunk.data[ranges(start, count + span - 1)]
+
+
 def _send_runs(span, gram, buckets, doc_buckets, folder):
+    def close(held):
+        doc, tag, where, count, mark, content, text = (np.concatenate(x) for x in zip(*held))
+        off = np.cumsum(count + span - 1) - (count + span - 1)
+        # Of equal runs held here only the smallest document's are sent.
+        _, kind = _dense(content)
+        owner = np.full(int(kind.max(initial=-1)) + 1, np.iinfo(np.int64).max)
+        np.minimum.at(owner, kind, doc)
+        later = doc > owner[kind]
+        yield from _flag_rows(doc[later], tag[later], where[later], count[later], doc_buckets, RUNS, -1)
+        order = np.argsort(mark, kind="stable")
+        order = order[~later[order]]
+        cut = np.searchsorted(bucket_of(mark[order], buckets * PARTS), np.arange(buckets * PARTS + 1))
+        rows = []
+        for b in range(buckets):
+            own = cut[b * PARTS : (b + 1) * PARTS + 1]
+            if own[-1] > own[0]:
+                o = order[own[0] : own[-1]]
+                part = text[ranges(off[o], count[o] + span - 1)]
+                rows.append((b, _pack(np.diff(own).astype(np.uint32), doc[o], tag[o], where[o], count[o].astype(np.uint16), content[o], part)))
+        yield from _rows(RUNS, rows).to_batches()
+
     def send(batches):
+        held, size = [], 0
         for chunk in chunks(batches, span):
-            start, count, mark, content, row = cut_runs(chunk.data, chunk.off, span, gram)
-            if not len(start):
-                continue
-            blob = get_file(f"{folder}/{chunk.name}")
-            if blob is not None:
-                own = np.unique(mark)
-                cut = np.searchsorted(bucket_of(own, buckets), np.arange(buckets + 1))
-                twice = np.zeros(len(own), bool)
-                which, sizes, bits = _unpack(blob, np.int64, np.int64, np.uint8)
-                ends = np.cumsum(sizes)
-                for b, a, z in zip(which, ends - sizes, ends):
-                    i, j = cut[b], cut[b + 1]
-                    twice[i:j] = np.unpackbits(bits[a:z], count=j - i)
-                keep = twice[np.searchsorted(own, mark)]
-                start, count, mark, content, row = start[keep], count[keep], mark[keep], content[keep], row[keep]
-            doc, tag = chunk.ids[row], chunk.tags[row]
-            # Of equal runs in this chunk only the smallest document's are sent.
-            _, kind = _dense(content)
-            owner = np.full(int(kind.max(initial=-1)) + 1, np.iinfo(np.int64).max)
-            np.minimum.at(owner, kind, doc)
-            later = doc > owner[kind]
-            where = chunk.lead[row] + start - chunk.off[row]
-            yield from _flag_rows(doc[later], tag[later], where[later], count[later], doc_buckets, RUNS, -1)
-            order = np.argsort(mark, kind="stable")
-            order = order[~later[order]]
-            cut = np.searchsorted(bucket_of(mark[order], buckets * PARTS), np.arange(buckets * PARTS + 1))
-            rows = []
-            for b in range(buckets):
-                own = cut[b * PARTS : (b + 1) * PARTS + 1]
-                if own[-1] > own[0]:
-                    o = order[own[0] : own[-1]]
-                    text = chunk.data[ranges(start[o], count[o] + span - 1)]
-                    rows.append((b, _pack(np.diff(own).astype(np.uint32), doc[o], tag[o], where[o], count[o].astype(np.uint16), content[o], text)))
-            yield from _rows(RUNS, rows).to_batches()
+            held.append(_kept_runs(chunk, span, gram, buckets, folder))
+            size += len(held[-1][-1])
+            if size >= HELD_BYTES:
+                yield from close(held)
+                held, size = [], 0
+        if held:
+            yield from close(held)
 
     return send
 
