@@ -35,6 +35,7 @@ from .arrays import U, min_labels, ranges, utf8
 from .storage import ship, staged
 
 SEED, WIDTH, DISTANCE = 42, 4, 4
+SALTS = 32
 
 
 def fingerprint_all(data: bytes, off: np.ndarray, width: int = WIDTH) -> np.ndarray:
@@ -187,7 +188,7 @@ def links(distinct: DataFrame, n: int, distance: int = DISTANCE) -> DataFrame:
     return dealt.mapInArrow(match, "a long, b long")
 
 
-def components(edges: DataFrame, tag: str = "components", smallest=None) -> DataFrame:
+def components(edges: DataFrame, tag: str = "components") -> DataFrame:
     """(node, root) of every node of the links (a, b); nodes are longs, the root is the smallest.
 
     Each round takes the smallest root among a node's neighbours and then its root's root; rounds end when nothing changes.
@@ -216,10 +217,12 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, distance: int = DISTANC
     fps = staged(fingerprints(docs, width), "fingerprints")
     distinct = staged(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
     roots = components(links(distinct, distinct.count(), distance), "near")
-    rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    rooted = staged(rooted, "rooted")
-    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_fp = rooted.join(smallest, "root").select("fp", "component_id")
+    linked = staged(roots.join(distinct, roots["node"] == distinct["fp"]).select("node", "root", "least"), "linked")
+    smallest = linked.groupBy("root").agg(F.min("least").alias("smallest"))
+    # A large component's nodes are dealt over SALTS tasks, to each of which its one row is shown.
+    shown = smallest.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    named = linked.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")).join(shown, ["root", "salt"]).select("node", "smallest")
+    by_fp = distinct.join(named, distinct["fp"] == named["node"], "left").select("fp", F.coalesce("smallest", "least").alias("component_id"))
     return fps.join(by_fp, "fp").select("doc_id", "fp", "component_id")
 
 
