@@ -88,6 +88,18 @@ ORACLES = {
             CASE WHEN keeper > page_id OR (keeper IS NOT NULL AND page_id IS NULL) THEN 'revisit' ELSE 'response' END AS record_type,
             CASE WHEN keeper > page_id OR (keeper IS NOT NULL AND page_id IS NULL) THEN keeper END AS refers_to
         FROM k""",
+    "op2_suffix_dedup": """
+        WITH d AS (SELECT doc_id, upper(hex(encode(coalesce(text, '')))) AS h FROM documents),
+        w AS (SELECT doc_id, p, substr(h, 2 * p + 1, 100) AS s FROM (SELECT doc_id, h, unnest(range(length(h) // 2 - 49)) AS p FROM d WHERE length(h) >= 100)),
+        f AS (SELECT doc_id, p FROM (SELECT w.doc_id, p, m FROM w JOIN (SELECT s, min(doc_id) AS m FROM w GROUP BY s HAVING count(*) > 1) USING (s)) WHERE m < doc_id),
+        g AS (SELECT doc_id, p, p > lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 50 AS gap FROM f),
+        r AS (SELECT doc_id, p, sum(CASE WHEN gap OR gap IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM g),
+        runs AS (SELECT doc_id, run, min(p) AS a, max(p) + 50 AS z FROM r GROUP BY doc_id, run),
+        cuts AS (SELECT doc_id, count(*) AS n_spans, sum(z - a) AS n_removed FROM runs GROUP BY doc_id),
+        parts AS (SELECT doc_id, run, lag(z, 1, 0) OVER (PARTITION BY doc_id ORDER BY run) AS b, a AS e FROM runs UNION ALL SELECT doc_id, 1000000000, max(z), 1000000000 FROM runs GROUP BY doc_id),
+        kept AS (SELECT parts.doc_id, string_agg(substr(h, 2 * b + 1, 2 * (least(e, length(h) // 2) - b)), '' ORDER BY run) AS k FROM parts JOIN d USING (doc_id) GROUP BY parts.doc_id)
+        SELECT d.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(k, h))) AS kept_sha256
+        FROM d LEFT JOIN cuts USING (doc_id) LEFT JOIN kept USING (doc_id)""",
     "op4_winnow": r"""
         WITH dw AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
         iw AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE item_id IS NOT NULL),
