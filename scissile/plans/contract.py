@@ -484,7 +484,7 @@ def unique_sites(spark, d):
 # ---- targets -------------------------------------------------------------------------------------
 
 
-@query(f"{READ} SELECT id AS read_id, o AS offset_at, m AS mismatch FROM (SELECT id, o, {mis_sql('seq', 'ACGTNRC', 'o')} AS m FROM (SELECT id, seq, unnest(range(1, 27)) AS o FROM reads)) WHERE m <= 1")
+@query(f"{READ} SELECT id AS read_id, CAST(o AS INTEGER) AS offset_at, m AS mismatch FROM (SELECT id, o, {mis_sql('seq', 'ACGTNRC', 'o')} AS m FROM (SELECT id, seq, unnest(range(1, 27)) AS o FROM reads)) WHERE m <= 1")
 def iupac_match(spark, d):
     own = reads(spark, d).withColumn("m", F.explode(sq.match_offsets(F.col("seq"), "ACGTNRC", 1)))
     return own.select("read_id", F.col("m.offset").alias("offset_at"), F.col("m.mismatch").alias("mismatch"))
