@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
 
 import numpy as np
@@ -104,3 +105,56 @@ def min_labels(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
         keep = label[a] != label[b]
         a, b = a[keep], b[keep]
     return label
+
+
+#: Bytes of a batch that an operator handles at a time, whatever size Spark's batches have.
+PIECE_BYTES = 2 << 20
+
+
+def give_back() -> None:
+    """Returns freed memory to the system: workers live on between tasks and would keep their peak."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def in_pieces(run):
+    """A mapInArrow function that sees batches of some PIECE_BYTES and gives its memory back when it ends."""
+
+    def wrapped(batches):
+        def pieces():
+            for batch in batches:
+                step = max(1, batch.num_rows * PIECE_BYTES // max(1, batch.nbytes))
+                for i in range(0, batch.num_rows, step):
+                    yield batch.slice(i, step)
+
+        yield from run(pieces())
+        give_back()
+
+    return wrapped
+
+
+def once(run):
+    """A function of a group's table that gives its memory back when it ends."""
+
+    def wrapped(table):
+        try:
+            return run(table)
+        finally:
+            give_back()
+
+    return wrapped
+
+
+def once_of_two(run):
+    """The same for the tables of a cogroup."""
+
+    def wrapped(left, right):
+        try:
+            return run(left, right)
+        finally:
+            give_back()
+
+    return wrapped

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from .arrays import in_pieces
 from .storage import ship
 
 UNIT, FILL, RATE = 576, 255, 8000
@@ -122,7 +123,7 @@ def encode(docs: DataFrame) -> DataFrame:
             media = pa.array([to_wav(pad(t)) for t in texts], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(t) for t in texts], pa.int64()), media], names=["doc_id", "n_bytes", "media"])
 
-    return ship(docs).select("doc_id", "text").mapInArrow(run, docs.select("doc_id").schema.add("n_bytes", "long").add("media", "binary"))
+    return ship(docs).select("doc_id", "text").mapInArrow(in_pieces(run), docs.select("doc_id").schema.add("n_bytes", "long").add("media", "binary"))
 
 
 TENSOR = pa.struct([("start_s", pa.float64()), ("end_s", pa.float64()), ("values", pa.binary())])
@@ -152,7 +153,7 @@ def features(media: DataFrame) -> DataFrame:
             kinds = [pa.int64(), pa.string(), pa.int64(), pa.list_(TENSOR), pa.list_(SPAN)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(c, k) for c, k in zip(cols, kinds))], names=schema.names)
 
-    return media.mapInArrow(run, schema)
+    return media.mapInArrow(in_pieces(run), schema)
 
 
 def feature_digest(tensors, spans):

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import LOWER, ranges, utf8
+from .arrays import LOWER, in_pieces, ranges, utf8
 from .sampling import residue
 from .storage import ship
 
@@ -199,4 +199,4 @@ def identify(docs: DataFrame, model: Model, names: tuple[str, str] = ("lang_pred
                 score = np.where(letters, p, 0.0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string()), pa.array(score, pa.float64())], names=[*batch.schema.names, *names])
 
-    return docs.mapInArrow(run, docs.select("*").schema.add(names[0], "string").add(names[1], "double"))
+    return docs.mapInArrow(in_pieces(run), docs.select("*").schema.add(names[0], "string").add(names[1], "double"))

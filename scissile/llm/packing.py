@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .arrays import in_pieces
 from .storage import ship, staged
 
 CAPACITY = 2048
@@ -85,7 +86,7 @@ def cut_pieces(docs: DataFrame, json_path: str, ranks_path: str | None = None, c
                 kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=[x.split()[0] for x in PIECES.split(", ")])
 
-    return ship(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, PIECES)
+    return ship(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(in_pieces(cut), PIECES)
 
 
 class OpenBins:

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import U, min_labels, ranges, utf8
+from .arrays import U, in_pieces, min_labels, ranges, utf8
 from .storage import ship, staged
 
 SEED, WIDTH, DISTANCE = 42, 4, 4
@@ -79,7 +79,7 @@ def fingerprints(docs: DataFrame, width: int = WIDTH) -> DataFrame:
             fp = fingerprint_all(data.tobytes(), off, width)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
 
-    return ship(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
+    return ship(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(in_pieces(run), "doc_id long, fp long")
 
 
 def segment_plan(n: int, distance: int = DISTANCE) -> list[tuple[int, int, int]]:
@@ -245,7 +245,7 @@ def keep_first(docs: DataFrame, width: int = WIDTH, distance: int = DISTANCE) ->
             data, off = utf8(batch.column(column))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fingerprint_all(data.tobytes(), off, width).view(np.int64))], names=[*batch.schema.names, "__fp"])
 
-    marked = nameless.mapInArrow(mark, nameless.select("*").schema.add("__fp", "long"))
+    marked = nameless.mapInArrow(in_pieces(mark), nameless.select("*").schema.add("__fp", "long"))
     rest = marked.join(alone, F.col("__fp") == F.col("__own"), "left_semi").dropDuplicates(["__fp"]).select(*docs.columns)
     return once.unionByName(again).unionByName(rest)
 

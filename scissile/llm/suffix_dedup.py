@@ -39,7 +39,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import U, mix, ranges, row_chunks, utf8
+from .arrays import U, in_pieces, mix, once, once_of_two, ranges, row_chunks, utf8
 from .storage import get_file, put_file, ship, staged, workdir
 
 SPAN, GRAM = 50, 20
@@ -51,6 +51,7 @@ DOC_BUCKET_BYTES = 8 << 20
 #: Bytes of runs that a task gathers before it sends them, so that rows to the buckets are few and long.
 HELD_BYTES = 16 << 20
 MAX_RUN = 4096
+MAX_TASKS = 10_000
 #: A difference cover modulo 13 (every difference modulo 13 occurs between two of its members).
 PERIOD, COVER = 13, (0, 1, 3, 9)
 #: Windows sorted at a time.
@@ -571,12 +572,15 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, names: t
     buckets = max(64, -(-total // BUCKET_BYTES))
     doc_buckets = next(n for n in range(max(17, total // DOC_BUCKET_BYTES), 1 << 31) if all(n % d for d in range(2, int(n**0.5) + 1)))
     folder = workdir(spark, "masks")
-    marks = texts.mapInArrow(_send_marks(span, gram, buckets), MARKS)
-    masks = marks.groupBy("bucket").applyInArrow(_count_marks, MASKS)
+    marks = texts.mapInArrow(in_pieces(_send_marks(span, gram, buckets)), MARKS)
+    # A task for every bucket, up to a few thousand, so that what a task reads doesn't grow with the corpus.
+    tasks, doc_tasks = min(buckets, MAX_TASKS), min(doc_buckets, MAX_TASKS)
+    masks = marks.repartition(tasks, "bucket").groupBy("bucket").applyInArrow(once(_count_marks), MASKS)
     staged(masks.groupBy("chunk").applyInArrow(_write_masks(folder), "chunk string"), "mask-list")
-    runs = texts.mapInArrow(_send_runs(span, gram, buckets, doc_buckets, folder), RUNS)
-    flags = staged(runs.groupBy("bucket").applyInArrow(_sort_runs(span, doc_buckets), FLAGS), "flags")
+    runs = texts.mapInArrow(in_pieces(_send_runs(span, gram, buckets, doc_buckets, folder)), RUNS)
+    flags = staged(runs.repartition(tasks, "bucket").groupBy("bucket").applyInArrow(once(_sort_runs(span, doc_buckets)), FLAGS), "flags")
     schema = docs.select("*").schema.add(names[0], "binary").add(names[1], "long").add(names[2], "long")
     left = docs.withColumn("__doc_bucket", F.coalesce(F.pmod("doc_id", F.lit(doc_buckets)), F.pmod(F.xxhash64("text"), F.lit(doc_buckets))).cast("int"))
-    return left.groupBy("__doc_bucket").cogroup(flags.groupBy("doc_bucket")).applyInArrow(_apply(span, "text", names), schema)
+    left, flags = left.repartition(doc_tasks, "__doc_bucket"), flags.repartition(doc_tasks, "doc_bucket")
+    return left.groupBy("__doc_bucket").cogroup(flags.groupBy("doc_bucket")).applyInArrow(once_of_two(_apply(span, "text", names)), schema)
 

@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .arrays import in_pieces
 from .storage import delete, filesystem, get_file, put_file, ship, staged, workdir
 
 MIN_REVISIT_BYTES = 1000
@@ -89,7 +90,7 @@ def write_archives(records: DataFrame, folder: str, shard_bytes: int = SHARD_BYT
         if pack is not None:
             yield close()
 
-    return records.mapInArrow(write, "uri string, records long")
+    return records.mapInArrow(in_pieces(write), "uri string, records long")
 
 
 def inflate(uri: str, step: int = 1 << 20):

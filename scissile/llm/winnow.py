@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
-from .arrays import LOWER, U, mix, ranges, row_chunks, span_hashes, utf8, words
+from .arrays import LOWER, U, in_pieces, mix, ranges, row_chunks, span_hashes, utf8, words
 from .storage import ship
 
 WINDOW, GRAM = 13, 5
@@ -211,7 +211,7 @@ def _search(docs: DataFrame, index) -> DataFrame:
                 found += [{"n_words": w, "n_hit": h, "item_ids": sorted(names.get(r, ())), "spans": spans.get(r, [])} for r, (w, h) in enumerate(zip(n_words.tolist(), n_hit.tolist()))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, kind)], names=[*batch.schema.names, "__bench"])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(in_pieces(run), schema)
 
 
 def is_contaminated(bench):

@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import utf8
+from .arrays import in_pieces, utf8
 from .sampling import class_counts, labelled
 from .storage import ship
 
@@ -143,4 +143,4 @@ def score_column(docs: DataFrame, model, name: str = "score") -> DataFrame:
             data, off = utf8(batch.column(column))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own.scores(data.tobytes(), off), pa.float64())], names=[*batch.schema.names, name])
 
-    return docs.mapInArrow(run, docs.select("*").schema.add(name, "double"))
+    return docs.mapInArrow(in_pieces(run), docs.select("*").schema.add(name, "double"))
