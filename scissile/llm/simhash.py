@@ -35,7 +35,7 @@ from .arrays import U, in_pieces, min_labels, ranges, utf8
 from .storage import ship, staged
 
 SEED, WIDTH, DISTANCE = 42, 4, 4
-SALTS = 32
+SALTS, HOT = 32, 10_000
 
 
 def fingerprint_all(data: bytes, off: np.ndarray, width: int = WIDTH) -> np.ndarray:
@@ -215,15 +215,22 @@ def components(edges: DataFrame, tag: str = "components") -> DataFrame:
 def near_duplicates(docs: DataFrame, width: int = WIDTH, distance: int = DISTANCE) -> DataFrame:
     """(doc_id, fp, component_id) of every row of docs."""
     fps = staged(fingerprints(docs, width), "fingerprints")
-    distinct = staged(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
-    roots = components(links(distinct, distinct.count(), distance), "near")
+    distinct = staged(fps.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "distinct-fingerprints")
+    sizes = distinct.agg(F.count("*").alias("fps"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows")).head()
+    roots = components(links(distinct, sizes["fps"], distance), "near")
     linked = staged(roots.join(distinct, roots["node"] == distinct["fp"]).select("node", "root", "least"), "linked")
     smallest = linked.groupBy("root").agg(F.min("least").alias("smallest"))
     # A large component's nodes are dealt over SALTS tasks, to each of which its one row is shown.
     shown = smallest.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     named = linked.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")).join(shown, ["root", "salt"]).select("node", "smallest")
     by_fp = distinct.join(named, distinct["fp"] == named["node"], "left").select("fp", F.coalesce("smallest", "least").alias("component_id"))
-    return fps.join(by_fp, "fp").select("doc_id", "fp", "component_id")
+    by_fp = staged(by_fp, "fingerprint-components")
+    # Fingerprints with more than 1 / HOT of all rows, of which there are HOT at most, meet their rows by broadcast.
+    hot = distinct.where(F.col("n") * HOT > sizes["rows"]).where(F.col("n") > 1).select("fp")
+    hot = by_fp.join(F.broadcast(hot), "fp", "left_semi").withColumn("hot", F.lit(True))
+    marked = fps.join(F.broadcast(hot), "fp", "left")
+    rest = marked.where("hot IS NULL").select("doc_id", "fp").join(by_fp, "fp")
+    return marked.where("hot").select("doc_id", "fp", "component_id").unionByName(rest.select("doc_id", "fp", "component_id"))
 
 
 def keep_first(docs: DataFrame, width: int = WIDTH, distance: int = DISTANCE) -> DataFrame:
