@@ -124,8 +124,9 @@ def nearest_ranges(points: DataFrame, ranges: DataFrame, pos: str) -> DataFrame:
     kinds = points.select("seqnames", "pos", F.lit(1).alias("kind"), none.cast("string").alias("symbol"))
     both = kinds.unionByName(lasts.withColumn("kind", F.lit(0))).unionByName(firsts.withColumn("kind", F.lit(2)))
     w = W.partitionBy("seqnames").orderBy("pos", "kind")
+    back = W.partitionBy("seqnames").orderBy(F.desc("pos"), F.desc("kind"))  # a running frame; one to the end would be quadratic
     end, start = F.when(F.col("kind") == 0, F.struct("pos", "symbol")), F.when(F.col("kind") == 2, F.struct("pos", "symbol"))
-    seen = both.withColumn("__b", F.last(end, True).over(w.rowsBetween(W.unboundedPreceding, -1))).withColumn("__a", F.first(start, True).over(w.rowsBetween(1, W.unboundedFollowing))).where("kind = 1")
+    seen = both.withColumn("__b", F.last(end, True).over(w.rowsBetween(W.unboundedPreceding, -1))).withColumn("__a", F.last(start, True).over(back.rowsBetween(W.unboundedPreceding, -1))).where("kind = 1")
     before, after = F.col("pos") - F.col("__b.pos"), F.col("__a.pos") - F.col("pos")
     near = F.when(after.isNull() | (before <= after), F.col("__b.symbol")).otherwise(F.col("__a.symbol"))
     return seen.join(held, ["seqnames", "pos"], "left").select("seqnames", "pos", F.coalesce("__held", near).alias("symbol"), F.col("__held").isNotNull().alias("inside"))

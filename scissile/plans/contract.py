@@ -375,28 +375,28 @@ def loci_pairs(spark, d):
     return alignments.loci_pairs(pts.where("l_linenumber % 2 = 1"), pts.where("l_linenumber % 2 = 0"), 30, 100).select("seqnames", "strand", "anchor_pos", "adrift_pos")
 
 
-HITS = f"""{FRAG}, a AS (SELECT DISTINCT CAST(l_partkey % 500 AS VARCHAR) AS ak, seqnames, strand, CASE WHEN strand = '-' THEN e ELSE s END AS p FROM frag WHERE l_linenumber % 2 = 1), b AS (SELECT DISTINCT CAST(l_partkey % 400 AS VARCHAR) AS bk, seqnames, strand, CASE WHEN strand = '-' THEN e ELSE s END AS q FROM frag WHERE l_linenumber % 2 = 0),
-  keys AS (SELECT DISTINCT CAST(o_custkey % 500 AS VARCHAR) AS ak, CAST(o_orderkey % 400 AS VARCHAR) AS bk FROM orders),
-  loci AS (SELECT DISTINCT keys.ak, keys.bk, a.seqnames, a.strand, least(p, q) AS s, greatest(p, q) AS e FROM keys JOIN a ON keys.ak = a.ak JOIN b ON keys.bk = b.bk AND a.seqnames = b.seqnames AND a.strand <> b.strand WHERE (CASE WHEN a.strand = '+' THEN q - p ELSE p - q END) BETWEEN 29 AND 501)"""
+HITS = f"""{FRAG}, a AS (SELECT DISTINCT CAST(l_partkey AS VARCHAR) AS ak, seqnames, strand, CASE WHEN strand = '-' THEN e ELSE s END AS p FROM frag WHERE l_linenumber % 2 = 1), b AS (SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS bk, seqnames, strand, CASE WHEN strand = '-' THEN e ELSE s END AS q FROM frag WHERE l_linenumber % 2 = 0),
+  keys AS (SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS ak, CAST(o_orderkey AS VARCHAR) AS bk FROM orders),
+  loci AS (SELECT DISTINCT keys.ak, keys.bk, a.seqnames, a.strand, least(p, q) AS s, greatest(p, q) AS e FROM keys JOIN a ON keys.ak = a.ak JOIN b ON keys.bk = b.bk AND a.seqnames = b.seqnames AND a.strand <> b.strand WHERE (CASE WHEN a.strand = '+' THEN q - p ELSE p - q END) BETWEEN 29 AND 2501)"""
 
 
 def hits(spark, d):
     f = frag(spark, d)
-    a = f.where("l_linenumber % 2 = 1").withColumn("qName", (F.col("l_partkey") % 500).cast("string"))
-    b = f.where("l_linenumber % 2 = 0").withColumn("qName", (F.col("l_partkey") % 400).cast("string"))
-    keys = t(spark, d, "orders").selectExpr("CAST(o_custkey % 500 AS STRING) AS anchor_key", "CAST(o_orderkey % 400 AS STRING) AS adrift_key").distinct().withColumn("read_pair", F.concat_ws(":", "anchor_key", "adrift_key"))
+    a = f.where("l_linenumber % 2 = 1").withColumn("qName", F.col("l_partkey").cast("string"))
+    b = f.where("l_linenumber % 2 = 0").withColumn("qName", F.col("l_orderkey").cast("string"))
+    keys = t(spark, d, "orders").selectExpr("CAST(o_custkey AS STRING) AS anchor_key", "CAST(o_orderkey AS STRING) AS adrift_key").distinct().withColumn("read_pair", F.concat_ws(":", "anchor_key", "adrift_key"))
     return keys, a, b
 
 
 @query(f"{HITS} SELECT ak || ':' || bk AS read_pair, seqnames, strand, s AS range_start, e AS range_end, CAST(count(*) OVER (PARTITION BY ak, bk) AS BIGINT) AS n_loci FROM loci")
 def couple_reads(spark, d):
-    return alignments.couple(*hits(spark, d), 30, 500).select("read_pair", "seqnames", "strand", F.col("start").alias("range_start"), F.col("end").alias("range_end"), "n_loci")
+    return alignments.couple(*hits(spark, d), 30, 2500).select("read_pair", "seqnames", "strand", F.col("start").alias("range_start"), F.col("end").alias("range_end"), "n_loci")
 
 
 @query(f"{HITS}, n AS (SELECT ak, bk, count(*) AS n FROM loci GROUP BY ALL) SELECT keys.ak || ':' || keys.bk AS read_pair, CASE WHEN n = 1 THEN 'unique' WHEN n > 1 THEN 'multihit' WHEN keys.ak IN (SELECT ak FROM a) AND keys.bk IN (SELECT bk FROM b) THEN 'chimera' ELSE 'failed' END AS class FROM keys LEFT JOIN n ON keys.ak = n.ak AND keys.bk = n.bk")
 def classify_uniq_multi_chimera(spark, d):
     keys, a, b = hits(spark, d)
-    return alignments.classify_pairs(keys, alignments.couple(keys, a, b, 30, 500), a, b)
+    return alignments.classify_pairs(keys, alignments.couple(keys, a, b, 30, 2500), a, b)
 
 
 @query("k AS (SELECT l_orderkey AS r, 'A-' || min(l_partkey) AS a, 'B-' || min(l_suppkey) AS b FROM lineitem WHERE l_linenumber < 4 GROUP BY ALL) SELECT r AS read, a AS anchor_key, b AS adrift_key, a || ':' || b AS read_pair FROM k")
@@ -477,7 +477,7 @@ def sam_unique_multihit(spark, d):
 @query(f"{HITS}, n AS (SELECT *, count(*) OVER (PARTITION BY ak, bk) AS n FROM loci) SELECT seqnames, s AS range_start, e AS range_end, e - s + 1 AS width, strand, ak || ':' || bk AS read_pair, ak AS sample FROM n WHERE n = 1")
 def unique_sites(spark, d):
     keys, a, b = hits(spark, d)
-    out = alignments.unique_reads(keys.withColumn("read", F.col("read_pair")), alignments.couple(keys, a, b, 30, 500))
+    out = alignments.unique_reads(keys.withColumn("read", F.col("read_pair")), alignments.couple(keys, a, b, 30, 2500))
     return out.select("seqnames", F.col("start").alias("range_start"), F.col("end").alias("range_end"), "width", "strand", "read_pair", F.col("sampleName").alias("sample"))
 
 
