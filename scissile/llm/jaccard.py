@@ -1,0 +1,203 @@
+"""Near copies by exact Jaccard similarity of five-word shingles.
+
+Words are what lies between ASCII white space, A-Z lowered; a text's shingles are
+the set of WIDTH words in a row (fewer words: the whole sequence), held as 64-bit
+hashes.  Two texts are linked if their sets' Jaccard similarity is LEAST or more;
+groups are what links connect.
+
+Texts of equal sets collapse first.  Candidates share one of BANDS keys, each of
+BAND minima of the hashed shingles (MinHash): two texts of similarity s share none
+with probability (1 - s^BAND)^BANDS, 6e-5 at 0.8 and less above.  No key is
+capped.  Candidates that keys connect come together in a task, each text's set
+once, and are compared exactly: every text that is reached leaves those still to
+be compared, so a dense group costs a comparison or so a member.
+
+Defined results: texts without a word are copies of each other; a null doc_id,
+repeated rows and empty tables are treated as in simhash.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from . import simhash
+from .arrays import BASE, LOWER, MIX_B, U, in_pieces, mix, ranges, span_hashes, utf8, words
+from .storage import ship, staged
+
+WIDTH, LEAST = 5, (4, 5)
+BAND, BANDS = 6, 32
+INSIDE = np.ones(256, bool)
+INSIDE[list(b" \t\n\r\v\f")] = False
+#: Shingle hashes that are compared at a time.
+AT_ONCE = 1 << 20
+
+
+def _constants(n: int, seed: int) -> np.ndarray:
+    return mix(np.arange(1, n + 1, dtype=U) * U(BASE) + U(seed))
+
+
+FACTORS = _constants(WIDTH, 1) | U(1)
+FLIPS, SCALES = _constants(BAND * BANDS, 2), _constants(BAND * BANDS, 3) | U(1)
+
+
+def shingle_sets(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, counts): each text's distinct shingles in rising order, and how many they are."""
+    n = len(off) - 1
+    low = LOWER[data]
+    start, end, row = words(low, off, INSIDE)
+    many = np.bincount(row, minlength=n)
+    first = np.cumsum(many) - many
+    own = span_hashes(low, start, end) if len(start) else np.zeros(0, U)
+    rows, hashes = [], []
+    for length in range(1, WIDTH + 1):
+        some = np.flatnonzero(many == length if length < WIDTH else many >= WIDTH)
+        count = many[some] - length + 1
+        at = ranges(first[some], count)
+        total = np.full(len(at), length, U)
+        for j in range(length):
+            total += own[at + j] * FACTORS[j]
+        rows.append(np.repeat(some, count)), hashes.append(mix(total))
+    rows, hashes = np.concatenate(rows), np.concatenate(hashes)
+    order = np.lexsort((hashes, rows))
+    rows, hashes = rows[order], hashes[order]
+    new = np.ones(len(rows), bool)
+    new[1:] = (rows[1:] != rows[:-1]) | (hashes[1:] != hashes[:-1])
+    return hashes[new], np.bincount(rows[new], minlength=n)
+
+
+def set_prints(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """A hash of each set; zero for empty ones."""
+    out = np.zeros(len(counts), U)
+    some = np.flatnonzero(counts)
+    if len(some):
+        out[some] = mix(np.add.reduceat(mix(hashes ^ U(MIX_B)), (np.cumsum(counts) - counts)[some]) + counts[some].astype(U))
+    return out
+
+
+def prints(data: np.ndarray, off: np.ndarray) -> np.ndarray:
+    return set_prints(*shingle_sets(data, off))
+
+
+def band_keys(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """A row of BANDS keys for each set that is not empty."""
+    some = np.flatnonzero(counts)
+    start = (np.cumsum(counts) - counts)[some]
+    out = np.zeros((len(some), BANDS), U)
+    for k in range(BANDS if len(some) else 0):
+        key = np.full(len(some), k, U)
+        for i in range(k * BAND, (k + 1) * BAND):
+            key = mix(key * U(BASE) + np.minimum.reduceat((hashes ^ FLIPS[i]) * SCALES[i], start))
+        out[:, k] = key
+    return out
+
+
+def fingerprints(docs: DataFrame) -> DataFrame:
+    """(doc_id, fp, bands): fp stands for the set of shingles, bands are its keys' bytes."""
+
+    def run(batches):
+        for batch in batches:
+            data, off = utf8(batch.column(1))
+            hashes, counts = shingle_sets(data, off)
+            keys = iter(band_keys(hashes, counts))
+            bands = [next(keys).tobytes() if c else None for c in counts.tolist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(set_prints(hashes, counts).view(np.int64)), pa.array(bands, pa.binary())], names=["doc_id", "fp", "bands"])
+
+    return ship(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(in_pieces(run), "doc_id long, fp long, bands binary")
+
+
+def connect(nodes: np.ndarray, hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node, root) of the sets that exact similarity links to others."""
+    start = np.cumsum(counts) - counts
+    root = np.arange(len(nodes))
+    left = np.ones(len(nodes), bool)
+    up, down = LEAST
+    for i in range(len(nodes)):
+        if not left[i]:
+            continue
+        left[i], queue = False, [i]
+        while queue:
+            x = queue.pop()
+            own = hashes[start[x] : start[x] + counts[x]]
+            pool = np.flatnonzero(left)
+            pool = pool[down * np.minimum(counts[pool], counts[x]) >= up * np.maximum(counts[pool], counts[x])]
+            step = max(1, AT_ONCE // max(1, int(counts[x])))
+            for k in range(0, len(pool), step):
+                part = pool[k : k + step]
+                seen = hashes[ranges(start[part], counts[part])]
+                equal = own[np.minimum(np.searchsorted(own, seen), len(own) - 1)] == seen
+                both = np.add.reduceat(equal.astype(np.int64), np.cumsum(counts[part]) - counts[part])
+                hit = part[down * both >= up * (counts[x] + counts[part] - both)]
+                left[hit], root[hit] = False, i
+                queue += hit.tolist()
+    linked = np.bincount(root, minlength=len(nodes))[root] > 1
+    return nodes[linked], nodes[root[linked]]
+
+
+def links(docs: DataFrame, distinct: DataFrame) -> DataFrame:
+    """(node, root) of each distinct fingerprint whose text is similar to another's."""
+
+    def deal(batches):
+        for batch in batches:
+            keys = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.repeat(np.array(batch.column(0)), BANDS))], names=["key", "node"])
+
+    entries = staged(distinct.where("bands IS NOT NULL").select("fp", "bands").mapInArrow(in_pieces(deal), "key long, node long"), "bands")
+    shared = entries.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a < z").select("key", "a")
+    groups = simhash.components(entries.join(shared, "key").select("a", F.col("node").alias("b")), "candidates")
+    named = staged(groups.join(distinct, groups["node"] == distinct["fp"]).select("node", F.col("root").alias("near"), "least"), "candidate-texts")
+
+    def gather(batches):
+        """Sets of the texts that have the fingerprint `node`; a null node is any."""
+        for batch in batches:
+            hashes, counts = shingle_sets(*utf8(batch.column(2)))
+            own, ends = set_prints(hashes, counts).view(np.int64), np.cumsum(counts)
+            want = batch.column(1).to_pylist()
+            keep = [i for i, w in enumerate(want) if w is None or w == own[i]]
+            sets = [hashes[ends[i] - counts[i] : ends[i]].tobytes() for i in keep]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keep, pa.int64())), pa.array(own[keep]), pa.array(sets, pa.binary())], names=["near", "node", "set"])
+
+    kind = "near long, node long, set binary"
+    rows = docs.select(F.col("doc_id").cast("long").alias("__id"), "text")
+    with_id = rows.join(named, rows["__id"] == named["least"]).select("near", "node", "text").mapInArrow(in_pieces(gather), kind)
+    bare = rows.where("__id IS NULL").select("text").dropDuplicates(["text"]).select(F.lit(None).cast("long").alias("near"), F.lit(None).cast("long").alias("node"), "text")
+    bare = bare.mapInArrow(in_pieces(gather), kind).drop("near").join(named.where("least IS NULL").select("node", "near"), "node").select("near", "node", "set")
+
+    def compare(batches):
+        held, now = {}, None
+
+        def close():
+            if len(held) < 2:
+                return None
+            counts = np.array([len(s) // 8 for s in held.values()], np.int64)
+            node, root = connect(np.array(list(held), np.int64), np.frombuffer(b"".join(held.values()), U), counts)
+            return pa.RecordBatch.from_arrays([pa.array(node), pa.array(root)], names=["node", "root"]) if len(node) else None
+
+        for batch in batches:
+            for near, node, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                if near != now:
+                    out = close()
+                    if out is not None:
+                        yield out
+                    held, now = {}, near
+                held[node] = own
+        out = close()
+        if out is not None:
+            yield out
+
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    dealt = with_id.unionByName(bare).repartition(parts, "near").sortWithinPartitions("near")
+    return staged(dealt.mapInArrow(compare, "node long, root long"), "similar")
+
+
+def near_copies(docs: DataFrame) -> DataFrame:
+    """(doc_id, fp, component_id) of every row of docs."""
+    fps = staged(fingerprints(docs), "shingle-sets")
+    return simhash.name_groups(fps, lambda distinct, n: links(docs, distinct), F.first("bands", ignorenulls=True).alias("bands"))
+
+
+def keep_first(docs: DataFrame) -> DataFrame:
+    """docs with one document of each group, chosen as simhash.keep_first does."""
+    return simhash.keep_named(docs, near_copies(docs), prints)

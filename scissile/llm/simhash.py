@@ -215,9 +215,14 @@ def components(edges: DataFrame, tag: str = "components") -> DataFrame:
 def near_duplicates(docs: DataFrame, width: int = WIDTH, distance: int = DISTANCE) -> DataFrame:
     """(doc_id, fp, component_id) of every row of docs."""
     fps = staged(fingerprints(docs, width), "fingerprints")
-    distinct = staged(fps.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "distinct-fingerprints")
+    return name_groups(fps, lambda distinct, n: components(links(distinct, n, distance), "near"))
+
+
+def name_groups(fps: DataFrame, roots_of, *extra) -> DataFrame:
+    """(doc_id, fp, component_id) of every row of fps; roots_of gives (node, root) of linked ones of its distinct fingerprints, `extra` are more columns it sees."""
+    distinct = staged(fps.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"), *extra), "distinct-fingerprints")
     sizes = distinct.agg(F.count("*").alias("fps"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows")).head()
-    roots = components(links(distinct, sizes["fps"], distance), "near")
+    roots = roots_of(distinct, sizes["fps"])
     linked = staged(roots.join(distinct, roots["node"] == distinct["fp"]).select("node", "root", "least"), "linked")
     smallest = linked.groupBy("root").agg(F.min("least").alias("smallest"))
     # A large component's nodes are dealt over SALTS tasks, to each of which its one row is shown.
@@ -238,7 +243,12 @@ def keep_first(docs: DataFrame, width: int = WIDTH, distance: int = DISTANCE) ->
 
     Groups in which no row has a doc_id keep a row for each fingerprint.
     """
-    near = staged(near_duplicates(docs, width, distance), "near")
+    return keep_named(docs, near_duplicates(docs, width, distance), lambda data, off: fingerprint_all(data.tobytes(), off, width))
+
+
+def keep_named(docs: DataFrame, named: DataFrame, prints) -> DataFrame:
+    """docs with one document of each group of `named`, (doc_id, fp, component_id); prints gives the fp of texts."""
+    near = staged(named, "near")
     winners = near.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n"))
     key = docs["doc_id"].cast("long")
     once = docs.join(winners.where("n = 1").select(F.col("doc_id").alias("__id")), key == F.col("__id"), "left_semi")
@@ -250,7 +260,7 @@ def keep_first(docs: DataFrame, width: int = WIDTH, distance: int = DISTANCE) ->
     def mark(batches):
         for batch in batches:
             data, off = utf8(batch.column(column))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fingerprint_all(data.tobytes(), off, width).view(np.int64))], names=[*batch.schema.names, "__fp"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(prints(data, off).view(np.int64))], names=[*batch.schema.names, "__fp"])
 
     marked = nameless.mapInArrow(in_pieces(mark), nameless.select("*").schema.add("__fp", "long"))
     rest = marked.join(alone, F.col("__fp") == F.col("__own"), "left_semi").dropDuplicates(["__fp"]).select(*docs.columns)

@@ -87,3 +87,40 @@ def test_long_repeated_passage_goes(spark, folder):
     docs = spark.createDataFrame([(1, "first " + LONG * 4), (2, "second " + LONG * 4 + " end")], "doc_id long, text string")
     got = {r["doc_id"]: r["text"] for r in corpus_pipeline.repeated_passages(spark, docs, folder).collect()}
     assert got[1] == "first " + LONG * 4 and len(got[2]) < 20
+
+
+def shingles(text):
+    w = (text or "").split()
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def test_near_copies_of_similarity_0_8_go(spark, folder):
+    import random
+
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    alike = lambda a, b: len(shingles(a) & shingles(b)) / len(shingles(a) | shingles(b))
+    rows, expected, dropped = [], [], 0
+    for i in range(60):
+        own = [word() for _ in range(rng.choice([40, 150, 1000]))]
+        rows.append((10 * i, " ".join(own)))
+        expected.append(10 * i)
+        changed = list(own)
+        while alike(" ".join(own), " ".join(changed)) > (0.95, 0.9, 0.86)[i % 3]:
+            before, changed[rng.randrange(len(own))] = list(changed), word()
+        changed = " ".join(changed if alike(" ".join(own), " ".join(changed)) >= 0.8 else before)
+        assert 0.8 <= alike(rows[-1][1], changed)
+        rows.append((10 * i + 1, changed))
+        dropped += 1
+        # Half of it is new: no copy, though some keys may be shared.
+        rows.append((10 * i + 2, " ".join(own[: len(own) // 2] + [word() for _ in range(len(own) // 2)])))
+        expected.append(10 * i + 2)
+    chain = [word() for _ in range(200)]
+    for k in range(6):  # each is like the next only
+        rows.append((1000 + k, " ".join(chain[15 * k : 15 * k + 150])))
+    expected.append(1000)
+    rows += [(None, rows[0][1] + " more"), (None, "alone " * 3), (None, "alone " * 3), (7000, " ".join(["same"] * 30)), (7001, " ".join(["same"] * 40))]
+    expected += [7000, None]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = [r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, folder).collect()]
+    assert sorted(got, key=str) == sorted(expected, key=str)
