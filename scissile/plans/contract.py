@@ -180,8 +180,17 @@ def random_sites(spark, d):
 
 @query("RECURSIVE kv AS (SELECT DISTINCT l_orderkey AS k, l_partkey AS v FROM lineitem WHERE l_orderkey % 50 = 0), hub AS (SELECT kv.k AS x, m.k AS y FROM kv JOIN (SELECT v, min(k) AS k FROM kv GROUP BY v) m USING (v)), und AS (SELECT x, y FROM hub UNION SELECT y, x FROM hub), reach(k, r) AS (SELECT x, x FROM und UNION SELECT und.y, reach.r FROM reach JOIN und ON reach.k = und.x) SELECT k, min(r) AS cluster FROM reach GROUP BY k")
 def cluster_kv(spark, d):
-    kv = t(spark, d, "lineitem").where("l_orderkey % 50 = 0").selectExpr("l_orderkey AS k", "l_partkey AS v")
-    return graphs.cluster_keys(kv, "k", "v")
+    return graphs.cluster_keys(keys_of_parts(spark, d).where("k % 50 = 0"), "k", "v")
+
+
+@query()
+def cluster_kv_whole(spark, d):
+    """cluster_kv of every key."""
+    return graphs.cluster_keys(keys_of_parts(spark, d), "k", "v")
+
+
+def keys_of_parts(spark, d) -> DataFrame:
+    return t(spark, d, "lineitem").selectExpr("l_orderkey AS k", "l_partkey AS v")
 
 
 @query()
