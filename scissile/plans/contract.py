@@ -429,7 +429,17 @@ MULTI = f"{FRAG}, hit AS (SELECT DISTINCT CAST(l_partkey AS VARCHAR) AS rp, seqn
   wd AS (SELECT rp, CAST(round_even(median(e - s + 1), 0) AS BIGINT) AS width FROM hit GROUP BY rp)
   SELECT rp AS read_pair, cluster, seqnames, strand, pos, s AS range_start, e AS range_end, width FROM own JOIN cl USING (rp) JOIN wd USING (rp)""")
 def multihit_clusters(spark, d):
-    own = frag(spark, d).where("l_orderkey % 400 < 8").select(F.col("l_partkey").cast("string").alias("read_pair"), "seqnames", "strand", "start", "end").distinct()
+    return clustered(frag(spark, d).where("l_orderkey % 400 < 8"))
+
+
+@query()
+def multihit_clusters_whole(spark, d):
+    """multihit_clusters of every fragment."""
+    return clustered(frag(spark, d))
+
+
+def clustered(fragments: DataFrame) -> DataFrame:
+    own = fragments.select(F.col("l_partkey").cast("string").alias("read_pair"), "seqnames", "strand", "start", "end").distinct()
     return alignments.multihit_clusters(own)["alignments"].select("read_pair", "cluster", "seqnames", "strand", "pos", F.col("start").alias("range_start"), F.col("end").alias("range_end"), "width")
 
 

@@ -2,6 +2,7 @@
 
 import random
 from collections import defaultdict
+from statistics import median
 
 import pytest
 
@@ -47,3 +48,28 @@ def test_clusters_of_every_key(spark, folder):
         least.setdefault(named["k", k], k)
     got = [tuple(r) for r in contract.queries()["cluster_kv_whole"](spark, folder).select("k", "cluster").collect()]
     assert sorted(got) == sorted({(k, least[named["k", k]]) for k, *_ in LINES})
+
+
+def fragments():
+    """(orderkey, linenumber, partkey, chromosome, strand, start, end, 5' end, sample) of LINES."""
+    out = []
+    for k, n, v, sup, q, status, flag in LINES:
+        s, plus = 5 * k + n, status == "O"
+        out.append((k, n, v, f"chr{sup % 5}", "+" if plus else "-", s, s + int(q), s if plus else s + int(q), f"{flag}-{n}"))
+    return out
+
+
+def test_multihit_clusters_of_every_fragment(spark, folder):
+    hits = {(str(v), c, strand, s, e, p) for _, _, v, c, strand, s, e, p, _ in fragments()}
+    points, locus, last = sorted({(c, strand, p) for _, c, strand, _, _, p in hits}), {}, None
+    for x in points:  # points within 5 of the one before share its locus
+        locus[x] = locus[last] if last and last[:2] == x[:2] and x[2] - last[2] <= 5 else x
+        last = x
+    named = components((("pair", v), locus[c, strand, p]) for v, c, strand, _, _, p in hits)
+    least, widths = {}, defaultdict(list)
+    for v, _, _, s, e, _ in sorted(hits):
+        least.setdefault(named["pair", v], v)
+        widths[v].append(e - s + 1)
+    want = {(v, least[named["pair", v]], c, strand, p, s, e, round(median(widths[v]))) for v, c, strand, s, e, p in hits}
+    got = [tuple(r) for r in contract.queries()["multihit_clusters_whole"](spark, folder).collect()]
+    assert len(got) == len(want) and set(got) == want
