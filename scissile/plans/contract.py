@@ -465,7 +465,17 @@ def umi_attach(spark, d):
 
 @query("k AS (SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS q FROM orders WHERE o_orderkey % 2 = 0 INTERSECT SELECT DISTINCT CAST(c_custkey AS VARCHAR) FROM customer) SELECT q AS \"readNames\", q AS \"seqID\" FROM k")
 def default_keys(spark, d):
-    return alignments.default_keys(t(spark, d, "orders").where("o_orderkey % 2 = 0").selectExpr("CAST(o_custkey AS STRING) AS qName"), t(spark, d, "customer").selectExpr("CAST(c_custkey AS STRING) AS qName"))
+    return shared_names(t(spark, d, "orders").where("o_orderkey % 2 = 0"), t(spark, d, "customer"))
+
+
+@query()
+def default_keys_whole(spark, d):
+    """default_keys of all orders."""
+    return shared_names(t(spark, d, "orders"), t(spark, d, "customer"))
+
+
+def shared_names(orders: DataFrame, customers: DataFrame) -> DataFrame:
+    return alignments.default_keys(orders.selectExpr("CAST(o_custkey AS STRING) AS qName"), customers.selectExpr("CAST(c_custkey AS STRING) AS qName"))
 
 
 @query(f"{PSL} SELECT id, ln FROM psl WHERE CAST(id AS VARCHAR) IN (SELECT CAST(o_orderkey AS VARCHAR) FROM orders WHERE o_orderstatus = 'F')")
@@ -478,19 +488,39 @@ _SAMPAIR = f"""{FRAG}, al AS (SELECT l_orderkey % 300 AS id, l_linenumber % 2 AS
   pr AS (SELECT DISTINCT a.id, a.seqnames, a.strand, least(a.p, b.p) AS s, greatest(a.p, b.p) AS e FROM al a JOIN al b ON a.id = b.id AND a.seqnames = b.seqnames AND a.strand <> b.strand AND a.side = 1 AND b.side = 0 WHERE (CASE WHEN a.strand = '+' THEN b.p - a.p ELSE a.p - b.p END) + 1 BETWEEN 30 AND 2500)"""
 
 
-def sam_pairs(spark, d):
-    own = frag(spark, d).where("l_orderkey % 4 < 2").select((F.col("l_orderkey") % 300).alias("qname"), F.when(F.col("l_linenumber") % 2 == 1, "anchor").otherwise("adrift").alias("end"), F.col("seqnames").alias("rname"), "strand", F.col("start").alias("pos"), (F.col("end") - F.col("start") + 1).alias("span"))
+def sam_pairs(fragments: DataFrame) -> DataFrame:
+    own = fragments.select((F.col("l_orderkey") % 300).alias("qname"), F.when(F.col("l_linenumber") % 2 == 1, "anchor").otherwise("adrift").alias("end"), F.col("seqnames").alias("rname"), "strand", F.col("start").alias("pos"), (F.col("end") - F.col("start") + 1).alias("span"))
     return alignments.pair_sam(own)
 
 
 @query(f"{_SAMPAIR} SELECT id, seqnames, strand, s AS range_start, e AS range_end FROM pr")
 def sam_pair_expansion(spark, d):
-    return sam_pairs(spark, d).select(F.col("ID").alias("id"), "seqnames", "strand", F.col("start").alias("range_start"), F.col("end").alias("range_end"))
+    return expanded(frag(spark, d).where("l_orderkey % 4 < 2"))
+
+
+@query()
+def sam_pair_expansion_whole(spark, d):
+    """sam_pair_expansion of every fragment."""
+    return expanded(frag(spark, d))
+
+
+def expanded(fragments: DataFrame) -> DataFrame:
+    return sam_pairs(fragments).select(F.col("ID").alias("id"), "seqnames", "strand", F.col("start").alias("range_start"), F.col("end").alias("range_end"))
 
 
 @query(f"{_SAMPAIR} SELECT id, s AS range_start, e AS range_end, seqnames, strand, CASE WHEN count(*) OVER (PARTITION BY id) = 1 THEN 'unique' ELSE 'multihit' END AS class FROM pr")
 def sam_unique_multihit(spark, d):
-    return alignments.split_hits(sam_pairs(spark, d)).select(F.col("ID").alias("id"), F.col("start").alias("range_start"), F.col("end").alias("range_end"), "seqnames", "strand", "class")
+    return split(frag(spark, d).where("l_orderkey % 4 < 2"))
+
+
+@query()
+def sam_unique_multihit_whole(spark, d):
+    """sam_unique_multihit of every fragment."""
+    return split(frag(spark, d))
+
+
+def split(fragments: DataFrame) -> DataFrame:
+    return alignments.split_hits(sam_pairs(fragments)).select(F.col("ID").alias("id"), F.col("start").alias("range_start"), F.col("end").alias("range_end"), "seqnames", "strand", "class")
 
 
 @query(f"{HITS}, n AS (SELECT *, count(*) OVER (PARTITION BY ak, bk) AS n FROM loci) SELECT seqnames, s AS range_start, e AS range_end, e - s + 1 AS width, strand, ak || ':' || bk AS read_pair, ak AS sample FROM n WHERE n = 1")
@@ -539,8 +569,19 @@ def edit_site(spark, d):
 @query(f"{READ}, con AS (SELECT 'chr' || (id % 5) AS seqnames, string_agg(seq, '' ORDER BY id) AS dna FROM reads WHERE id % 100 < 5 GROUP BY ALL), pt AS (SELECT DISTINCT 'chr' || (id % 5) AS seqnames, id % 700 + 1 AS pos, CASE WHEN cust % 2 = 0 THEN '+' ELSE '-' END AS strand FROM reads), w AS (SELECT pt.*, CASE WHEN strand = '-' THEN pos - 8 ELSE pos - 20 END AS lo, dna FROM pt JOIN con USING (seqnames)), c AS (SELECT *, substr(dna, CAST(greatest(lo, 1) AS BIGINT), CAST(lo + 29 - greatest(lo, 1) AS BIGINT)) AS x FROM w WHERE greatest(lo, 1) <= length(dna)) SELECT seqnames, pos, strand, CASE WHEN strand = '-' THEN reverse(translate(x, 'ACGT', 'TGCA')) ELSE x END AS site_seq FROM c")
 def site_sequences(spark, d):
     r = reads(spark, d)
+    return flanks(r, r.where("read_id % 100 < 5"))
+
+
+@query()
+def site_sequences_whole(spark, d):
+    """site_sequences on contigs of all reads."""
+    r = reads(spark, d)
+    return flanks(r, r)
+
+
+def flanks(r: DataFrame, parts: DataFrame) -> DataFrame:
     seq = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("read_id", "seq"))), lambda x: x["seq"]), "")
-    con = r.where("read_id % 100 < 5").groupBy(F.concat(F.lit("chr"), F.col("read_id") % 5).alias("seqnames")).agg(seq.alias("seq"))
+    con = parts.groupBy(F.concat(F.lit("chr"), F.col("read_id") % 5).alias("seqnames")).agg(seq.alias("seq"))
     pts = r.select(F.concat(F.lit("chr"), F.col("read_id") % 5).alias("seqnames"), (F.col("read_id") % 700 + 1).alias("pos"), F.when(F.col("cust") % 2 == 0, "+").otherwise("-").alias("strand"))
     return tg.site_sequences(pts, con, 20, 8, chunk=256)
 
@@ -684,7 +725,18 @@ def eval_stats(spark, d):
 @query(f"{FRAG}, st AS (SELECT samplename, 'm' || (l_partkey % 3) AS metric, count(*) AS n FROM frag WHERE l_orderkey % 200 = 0 GROUP BY ALL), g AS (SELECT DISTINCT samplename, unnest(['m0', 'm1', 'm2', 'm3']) AS metric FROM frag) SELECT g.samplename AS sample, g.metric, CAST(coalesce(n, 0) AS BIGINT) AS count FROM g LEFT JOIN st USING (samplename, metric)")
 def eval_stats_complete(spark, d):
     f = frag(spark, d)
-    stats = f.where("l_orderkey % 200 = 0").groupBy("sampleName", F.concat(F.lit("m"), F.col("l_partkey") % 3).alias("metric")).agg(F.count("*").alias("count"))
+    return completed(f, f.where("l_orderkey % 200 = 0"))
+
+
+@query()
+def eval_stats_complete_whole(spark, d):
+    """eval_stats_complete with the counts of every fragment."""
+    f = frag(spark, d)
+    return completed(f, f)
+
+
+def completed(f: DataFrame, counted: DataFrame) -> DataFrame:
+    stats = counted.groupBy("sampleName", F.concat(F.lit("m"), F.col("l_partkey") % 3).alias("metric")).agg(F.count("*").alias("count"))
     return ev.complete_stats(stats, f, ["m0", "m1", "m2", "m3"]).withColumnRenamed("sampleName", "sample")
 
 

@@ -1,7 +1,8 @@
 """Registered queries over whole tables against brute force on a small folder."""
 
+import hashlib
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 from statistics import median
 
 import pytest
@@ -15,6 +16,7 @@ def make_lines():
 
 
 LINES = make_lines()
+ORDERS = [(k, k * 7 % 61 + 1) for k in range(1, 301)]
 
 
 @pytest.fixture(scope="module")
@@ -22,6 +24,8 @@ def folder(spark, tmp_path_factory):
     d = str(tmp_path_factory.mktemp("lines"))
     kind = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_linestatus string, l_returnflag string"
     spark.createDataFrame(LINES, kind).repartition(3).write.parquet(f"{d}/lineitem.parquet")
+    spark.createDataFrame(ORDERS, "o_orderkey long, o_custkey long").repartition(3).write.parquet(f"{d}/orders.parquet")
+    spark.createDataFrame([(c,) for c in range(1, 40)], "c_custkey long").write.parquet(f"{d}/customer.parquet")
     return d
 
 
@@ -73,3 +77,45 @@ def test_multihit_clusters_of_every_fragment(spark, folder):
     want = {(v, least[named["pair", v]], c, strand, p, s, e, round(median(widths[v]))) for v, c, strand, s, e, p in hits}
     got = [tuple(r) for r in contract.queries()["multihit_clusters_whole"](spark, folder).collect()]
     assert len(got) == len(want) and set(got) == want
+
+
+def test_sam_pairs_of_every_fragment(spark, folder):
+    by, want = defaultdict(list), set()
+    for k, n, _, c, strand, _, _, p, _ in fragments():
+        by[k % 300, c].append((n % 2, strand, p))
+    for (k, c), ends in by.items():
+        for side, strand, p in ends:
+            for other, facing, q in ends:
+                if side == 1 and other == 0 and strand != facing and 30 <= (q - p if strand == "+" else p - q) + 1 <= 2500:
+                    want.add((k, c, strand, min(p, q), max(p, q)))
+    got = [tuple(r) for r in contract.queries()["sam_pair_expansion_whole"](spark, folder).collect()]
+    assert want and len(got) == len(want) and set(got) == want
+    n = Counter(x[0] for x in want)
+    split = [tuple(r) for r in contract.queries()["sam_unique_multihit_whole"](spark, folder).collect()]
+    assert sorted(split) == sorted((k, s, e, c, strand, "unique" if n[k] == 1 else "multihit") for k, c, strand, s, e in want)
+
+
+def test_statistics_of_every_fragment(spark, folder):
+    n = Counter((f[-1], f"m{f[2] % 3}") for f in fragments())
+    want = {(sample, m, n[sample, m]) for sample in {f[-1] for f in fragments()} for m in ("m0", "m1", "m2", "m3")}
+    assert {tuple(r) for r in contract.queries()["eval_stats_complete_whole"](spark, folder).select("sample", "metric", "count").collect()} == want
+
+
+def test_default_keys_of_all_orders(spark, folder):
+    got = sorted(tuple(r) for r in contract.queries()["default_keys_whole"](spark, folder).collect())
+    assert got == sorted({(str(c), str(c)) for _, c in ORDERS if c < 40})
+
+
+def test_site_sequences_on_whole_contigs(spark, folder):
+    bases, turned = str.maketrans("0123456789abcdef", "ACGTACGTACGTACGT"), str.maketrans("ACGT", "TGCA")
+    contig = defaultdict(str)
+    for k, _ in ORDERS:
+        contig[f"chr{k % 5}"] += hashlib.md5(str(k).encode()).hexdigest().translate(bases)
+    want = set()
+    for k, cust in ORDERS:
+        name, pos, minus = f"chr{k % 5}", k % 700 + 1, cust % 2 == 1
+        low = pos - (8 if minus else 20)
+        piece = contig[name][max(low, 1) - 1 : low + 28]
+        want.add((name, pos, "-" if minus else "+", piece[::-1].translate(turned) if minus else piece))
+    got = [tuple(r) for r in contract.queries()["site_sequences_whole"](spark, folder).select("seqnames", "pos", "strand", "site_seq").collect()]
+    assert len(got) == len(want) and set(got) == want
