@@ -54,26 +54,38 @@ def load_evaluation(spark: SparkSession, folder: str, names: list[str]) -> dict[
     return {n: spark.read.parquet(f"{folder}/{n}.parquet") for n in names}
 
 
-def text_table(df: DataFrame, title: str, limit: int = 200) -> str:
-    """A summary table as aligned text; at most `limit` rows, as reports are read by people."""
-    rows = df.limit(limit).collect()
+SHOWN = 200
+
+
+def _head(df: DataFrame, limit: int) -> tuple[list, str]:
+    """At most `limit` rows, and how many are left out; rows of longer tables are in order."""
+    rows = df.limit(limit + 1).collect()
+    if len(rows) <= limit:
+        return rows, ""
+    keys = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("array", "map", "struct", "variant")]
+    return df.orderBy(*keys).limit(limit).collect(), f"{df.count() - limit} more rows are left out here"
+
+
+def text_table(df: DataFrame, title: str, limit: int = SHOWN) -> str:
+    """A summary table as aligned text; at most `limit` rows, as reports are read by people, and how many more there are."""
+    rows, more = _head(df, limit)
     cells = [df.columns, *[["NA" if v is None else f"{v:.4g}" if isinstance(v, float) else str(v) for v in r] for r in rows]]
     width = [max(len(r[i]) for r in cells) for i in range(len(df.columns))]
     lines = ["  ".join(c.ljust(w) for c, w in zip(r, width)).rstrip() for r in cells]
-    return "\n".join([title, "-" * max(len(title), 3), *lines, ""])
+    return "\n".join([title, "-" * max(len(title), 3), *lines, *([more] if more else []), ""])
 
 
-def html_table(df: DataFrame, title: str, limit: int = 200) -> str:
+def html_table(df: DataFrame, title: str, limit: int = SHOWN) -> str:
     import html
 
-    rows = df.limit(limit).collect()
+    rows, more = _head(df, limit)
     cell = lambda v, tag="td": f"<{tag}>{html.escape('NA' if v is None else str(v))}</{tag}>"
     head = "".join(cell(c, "th") for c in df.columns)
-    return f"<h2>{html.escape(title)}</h2><table><tr>{head}</tr>" + "".join("<tr>" + "".join(map(cell, r)) + "</tr>" for r in rows) + "</table>"
+    return f"<h2>{html.escape(title)}</h2><table><tr>{head}</tr>" + "".join("<tr>" + "".join(map(cell, r)) + "</tr>" for r in rows) + "</table>" + (f"<p>{more}</p>" if more else "")
 
 
 def report(frames: dict[str, DataFrame], path: str, kind: str = "txt") -> None:
-    """The tables as one text or HTML file on the driver; they are summaries of a few rows each."""
+    """The tables as one text or HTML file on the driver; each says how many of its rows the report leaves out."""
     body = "\n".join((html_table if kind == "html" else text_table)(df, name) for name, df in frames.items())
     os.makedirs(os.path.dirname(os.path.abspath(path)), exist_ok=True)
     with open(path, "w") as f:

@@ -60,6 +60,16 @@ def test_tables_and_report(spark, tmp_path):
     assert "<td>NA</td>" in (tmp_path / "r.html").read_text()
 
 
+def test_report_tells_of_rows_left_out(spark, tmp_path):
+    df = spark.range(0, 450).selectExpr("449 - id AS locus", "array(id) AS own").repartition(4)
+    for kind in ("txt", "html"):
+        writers.report({"sites": df, "few": df.limit(200)}, str(tmp_path / "r"), kind)
+        text = (tmp_path / "r").read_text()
+        assert text.count("250 more rows are left out here") == 1
+    shown = writers.text_table(df, "sites").splitlines()[3:203]
+    assert [int(x.split()[0]) for x in shown] == list(range(200))
+
+
 def test_list_samples(spark, tmp_path, capsys):
     (tmp_path / "s.csv").write_text("sampleName,barcode1\nA-1,ACGT\nA-2,GGTT\nB-1,TTTT\n")
     assert cli.main(["list_samples", str(tmp_path / "s.csv")]) == 0
