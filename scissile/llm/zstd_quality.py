@@ -1,14 +1,16 @@
 """A quality classifier by compression.
 
 One zstandard dictionary is built from good labelled texts and one from bad.  A
-text is compressed in pieces of `piece` bytes with either; the normalised
-difference of the sizes (whole text and worst piece) and the compressed share of
-the text are calibrated by logistic regression on labelled texts that the
-dictionaries haven't seen.  A fit reads at most `max_rows` labelled rows.
+text is compressed in pieces of `piece` bytes with either; the difference of the
+summed sizes, over the text's length, is calibrated by logistic regression on
+labelled texts that the dictionaries haven't seen.  A fit reads at most
+`max_rows` labelled rows, of each text the stretches that sampling.STRETCHES and
+STRETCH allow.
 
 Defined results: null and empty texts score as the prior share of good labels;
-without labels of both kinds every text scores 0.5; repeated rows are kept; an
-empty table gives an empty table.
+texts of any length are compressed whole, piece by piece; without labels of both
+kinds every text scores 0.5; repeated rows are kept; a column named like the
+score is replaced, all others stay; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from .arrays import in_pieces, utf8
 from .sampling import class_counts, labelled
 from .storage import ship
 
-MAX_ROWS, PIECE, DICT_BYTES, LEVEL = 6000, 2048, 64 << 10, 1
+MAX_ROWS, PIECE, DICT_BYTES, LEVEL = 6000, 1024, 112 << 10, 3
 
 
 class Sizes:
@@ -36,33 +38,22 @@ class Sizes:
             d.precompute_compress(level=LEVEL)
             self.packers.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False))
 
-    def features(self, data: bytes, off: np.ndarray) -> np.ndarray:
-        """A row of features a text; zeros for empty ones."""
+    def differences(self, data: bytes, off: np.ndarray) -> np.ndarray:
+        """Of each text: bytes that it takes more with the bad dictionary than with the good one, over its own; 0 for empty ones."""
         good, bad = (p.compress for p in self.packers)
-        lens = np.diff(off)
-        pieces = -(-lens // self.piece)
-        sizes = np.zeros((int(pieces.sum()), 3))
-        k = 0
-        for a, b in zip(off[:-1].tolist(), off[1:].tolist()):
+        out = np.zeros(len(off) - 1)
+        for k, (a, b) in enumerate(zip(off[:-1].tolist(), off[1:].tolist())):
+            more = 0
             for i in range(a, b, self.piece):
                 part = data[i : min(i + self.piece, b)]
-                sizes[k] = len(good(part)), len(bad(part)), len(part)
-                k += 1
-        out = np.zeros((len(lens), 5))
-        some = np.flatnonzero(pieces)
-        if len(some):
-            first = (np.cumsum(pieces) - pieces)[some]
-            g, b, n = np.add.reduceat(sizes, first, axis=0).T
-            own = (sizes[:, 1] - sizes[:, 0]) / (sizes[:, 0] + sizes[:, 1])
-            share = (sizes[:, 0] + sizes[:, 1]) / (2 * sizes[:, 2])
-            out[some] = np.stack([(b - g) / (b + g), np.minimum.reduceat(own, first), np.log((g + b) / (2 * n)), np.log(np.minimum.reduceat(share, first)), np.log(n) / 10], axis=1)
+                more += len(bad(part)) - len(good(part))
+            if b > a:
+                out[k] = more / (b - a)
         return out
 
 
-def _design(x: np.ndarray, centre, spread) -> np.ndarray:
-    z = np.clip((x - centre) / spread, -6, 6)
-    cross = [z[:, i] * z[:, j] for i in range(z.shape[1]) for j in range(i, z.shape[1])]
-    return np.stack([np.ones(len(z)), *z.T, *cross], axis=1)
+def _design(x: np.ndarray, centre: float, spread: float) -> np.ndarray:
+    return np.stack([np.ones(len(x)), (x - centre) / spread], axis=1)
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0, steps: int = 25) -> np.ndarray:
@@ -93,7 +84,7 @@ class Model:
             return
 
         def dictionary(k):
-            parts = [t[i : i + 512] for t, own, fold in zip(texts, y, folds) if own == k and fold == 0 for i in range(0, min(len(t), 1 << 14), 512)]
+            parts = [t[i : i + 512] for t, own, fold in zip(texts, y, folds) if own == k and fold == 0 for i in range(0, len(t), 512)]
             raw = b"".join(parts)
             try:
                 return zstandard.train_dictionary(min(dict_bytes, max(1024, len(raw) // 8)), parts).as_bytes()
@@ -106,11 +97,11 @@ class Model:
         self.piece, self.good, self.bad = piece, good, bad
         mine = np.flatnonzero(folds == 1)
         off = np.append(0, np.cumsum([len(texts[i]) for i in mine]))
-        x = Sizes(good, bad, piece).features(b"".join(texts[i] for i in mine), off)
+        x = Sizes(good, bad, piece).differences(b"".join(texts[i] for i in mine), off)
         # The sample holds both labels alike; weights restore their shares.
         share = np.bincount(y[mine], minlength=2) / len(mine)
         weight = np.where(y[mine] == 1, self.prior / share[1], (1 - self.prior) / share[0])
-        self.centre, self.spread = x.mean(0), x.std(0) + 1e-9
+        self.centre, self.spread = float(x.mean()), float(x.std()) + 1e-9
         self.weights = fit_logistic(_design(x, self.centre, self.spread), y[mine].astype(float), weight)
 
     def scores(self, data: bytes, off: np.ndarray) -> np.ndarray:
@@ -119,7 +110,7 @@ class Model:
         if self.good and some.any():
             if not hasattr(self, "_sizes"):
                 self._sizes = Sizes(self.good, self.bad, self.piece)
-            x = self._sizes.features(data, off)
+            x = self._sizes.differences(data, off)
             out[some] = (1 / (1 + np.exp(-np.clip(_design(x, self.centre, self.spread) @ self.weights, -30, 30))))[some]
         return out
 
@@ -128,7 +119,8 @@ class Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
-    return Model(labelled(docs, labels, "quality", max_rows), class_counts(docs, labels, "quality"))
+    counts = class_counts(labels, "quality")
+    return Model(labelled(docs, labels, "quality", counts, max_rows), counts)
 
 
 def score_column(docs: DataFrame, model, name: str = "score") -> DataFrame:
