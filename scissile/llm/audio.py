@@ -9,7 +9,9 @@ to Arrow as a fixed-shape tensor column.  Each text is computed by itself, so eq
 texts have equal features whatever stands beside them.
 
 Defined results: null text is empty, which is one unit of padding; texts of any
-length are whole; repeated rows are kept; an empty table gives an empty table.
+length are whole; repeated rows are kept; other columns of documents are left out,
+those of a media table stay unless they are named like a result; an empty table
+gives an empty table.
 """
 
 from __future__ import annotations
@@ -132,7 +134,8 @@ ADDED = "payload_bytes long, payload_sha256 string, tail_crc32 long, tensors arr
 
 
 def features(media: DataFrame) -> DataFrame:
-    """A media column's rows with what was read from each file: the payload's digests, feature tensors and loud segments."""
+    """A media column's rows with what was read from each file: the payload's digests, feature tensors and loud segments; columns by these names are replaced."""
+    media = media.drop(*(f.name for f in StructType.fromDDL(ADDED).fields))
     at = media.columns.index("media")
     schema = StructType([*media.schema.fields, *StructType.fromDDL(ADDED).fields])
 

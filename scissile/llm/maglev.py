@@ -8,7 +8,9 @@ shard comes or goes.  The table has a fixed number of rows, whatever the data,
 and is broadcast.
 
 Defined results: a null key hashes as the string "null"; equal keys share a
-shard; repeated rows are kept; an empty table gives an empty table.
+shard; keys of any length are hashed whole; repeated rows are kept; columns named
+slot or shard are replaced, after one of them has served as the key if it is the
+key; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -61,7 +63,8 @@ def place(df: DataFrame, key: str, shards: list[str], slots: int = SLOTS) -> Dat
     """df with slot (long) and shard (string); columns of df by these names are replaced."""
     table = [(i, shards[k]) for i, k in enumerate(fill_table(shards, slots).tolist())]
     lookup = df.sparkSession.createDataFrame(table, "slot long, shard string")
-    return df.drop("slot", "shard").withColumn("slot", slot_of(F.col(key), slots)).join(F.broadcast(lookup), "slot")
+    others = [F.col(f"`{c}`") for c in df.columns if c.lower() not in ("slot", "shard")]
+    return df.select(*others, slot_of(F.col(f"`{key}`"), slots).alias("slot")).join(F.broadcast(lookup), "slot")
 
 
 def write_shards(placed: DataFrame, uri: str) -> None:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import os
+import tempfile
 import uuid
 import zipfile
 from pathlib import Path
@@ -12,10 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session; one of our own only where that is unset."""
+    """spark.checkpoint.dir of the session; one of our own only where that is unset and driver and executors are one process, as in tests."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = "file:///tmp/checkpoints/scissile"
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        root = f"file://{tempfile.gettempdir()}/checkpoints/scissile"
         os.makedirs(root.removeprefix("file://"), exist_ok=True)
     return root if "://" in root or root.startswith("file:") else f"file://{os.path.abspath(root)}"
 
@@ -37,6 +40,14 @@ def staged(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(uri)
 
 
+def fresh_name(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have."""
+    taken, name = {c.lower() for c in df.columns}, f"__{name}"
+    while name in taken:
+        name += "_"
+    return name
+
+
 def filesystem(uri: str):
     """(filesystem, path) of a URI for Python workers: local mounts, and the stores that Arrow speaks."""
     from pyarrow.fs import FileSystem

@@ -27,7 +27,9 @@ the same result.
 
 Defined results: null text is empty; a null doc_id neither removes nor loses
 anything; rows that share a doc_id don't remove each other's text; texts shorter
-than `span` stay; an empty table gives an empty table.  All columns are kept.
+than `span` stay, longer ones are cut whole, in overlapping parts; columns named
+like the results are replaced, all others are kept; an empty table gives an empty
+table.
 """
 
 from __future__ import annotations
@@ -40,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import U, in_pieces, mix, once, once_of_two, ranges, row_chunks, utf8
-from .storage import get_file, put_file, ship, staged, workdir
+from .storage import fresh_name, get_file, put_file, ship, staged, workdir
 
 SPAN, GRAM = 50, 20
 CHUNK_BYTES = 4 << 20
@@ -145,6 +147,12 @@ def bucket_of(mark: np.ndarray, buckets: int) -> np.ndarray:
     return ((mark >> U(32)) * U(buckets)) >> U(32)
 
 
+def present(bucket: np.ndarray):
+    """(bucket, begin, end) of each bucket that occurs in ascending ones."""
+    start = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, np.int64)
+    return zip(bucket[start].tolist(), start.tolist(), [*start[1:].tolist(), len(bucket)])
+
+
 def text_tag(data: bytes) -> int:
     """Tells rows of one doc_id apart."""
     return xxhash.xxh32_intdigest(data)
@@ -392,11 +400,10 @@ def _send_marks(span, gram, buckets):
     def send(batches):
         for chunk in chunks(batches, span):
             _, _, mark, _, row = cut_runs(chunk.data, chunk.off, span, gram)
-            own, first, n = np.unique(mark, return_index=True, return_counts=True)
+            own, n = np.unique(mark, return_counts=True)
             many = (n > 1).astype(np.uint8)
-            cut = np.searchsorted(bucket_of(own, buckets), np.arange(buckets + 1))
             low = own.astype(np.uint32)
-            rows = [(b, chunk.name, low[i:j].tobytes() + np.packbits(many[i:j]).tobytes()) for b, (i, j) in enumerate(zip(cut, cut[1:])) if j > i]
+            rows = [(b, chunk.name, low[i:j].tobytes() + np.packbits(many[i:j]).tobytes()) for b, i, j in present(bucket_of(own, buckets))]
             yield from _rows(MARKS, rows).to_batches()
 
     return send
@@ -437,12 +444,11 @@ def _kept_runs(chunk, span, gram, buckets, folder):
     blob = get_file(f"{folder}/{chunk.name}") if len(start) else None
     if blob is not None:
         own = np.unique(mark)
-        cut = np.searchsorted(bucket_of(own, buckets), np.arange(buckets + 1))
         twice = np.zeros(len(own), bool)
         which, sizes, bits = _unpack(blob, np.int64, np.int64, np.uint8)
         ends = np.cumsum(sizes)
-        for b, a, z in zip(which, ends - sizes, ends):
-            i, j = cut[b], cut[b + 1]
+        at = bucket_of(own, buckets)
+        for i, j, a, z in zip(np.searchsorted(at, which.astype(U)), np.searchsorted(at, which.astype(U), "right"), ends - sizes, ends):
             twice[i:j] = np.unpackbits(bits[a:z], count=j - i)
         keep = twice[np.searchsorted(own, mark)]
         start, count, mark, content, row = start[keep], count[keep], mark[keep], content[keep], row[keep]
@@ -462,14 +468,12 @@ def _send_runs(span, gram, buckets, doc_buckets, folder):
         yield from _flag_rows(doc[later], tag[later], where[later], count[later], doc_buckets, RUNS, -1)
         order = np.argsort(mark, kind="stable")
         order = order[~later[order]]
-        cut = np.searchsorted(bucket_of(mark[order], buckets * PARTS), np.arange(buckets * PARTS + 1))
+        at = bucket_of(mark[order], buckets * PARTS).astype(np.int64)
         rows = []
-        for b in range(buckets):
-            own = cut[b * PARTS : (b + 1) * PARTS + 1]
-            if own[-1] > own[0]:
-                o = order[own[0] : own[-1]]
-                part = text[ranges(off[o], count[o] + span - 1)]
-                rows.append((b, _pack(np.diff(own).astype(np.uint32), doc[o], tag[o], where[o], count[o].astype(np.uint16), content[o], part)))
+        for b, i, j in present(at // PARTS):
+            o = order[i:j]
+            part = text[ranges(off[o], count[o] + span - 1)]
+            rows.append((b, _pack(np.bincount(at[i:j] - b * PARTS, minlength=PARTS).astype(np.uint32), doc[o], tag[o], where[o], count[o].astype(np.uint16), content[o], part)))
         yield from _rows(RUNS, rows).to_batches()
 
     def send(batches):
@@ -538,7 +542,7 @@ def cut_text(text: bytes, starts: np.ndarray, counts: np.ndarray, span: int) ->
     return b"".join(text[i:j] for i, j in zip(edges[::2], edges[1::2])), int((end - begin).sum()), len(begin)
 
 
-def _apply(span, text_column, names):
+def _apply(span, text_column, names, bucket):
     def cut(docs: pa.Table, flags: pa.Table) -> pa.Table:
         parts = [_unpack(x, np.int64, np.uint32, np.int64, np.uint32) for x in flags.column("flags").to_pylist()]
         doc, tag, where, count = (np.concatenate(x) for x in zip(*parts)) if parts else [np.zeros(0, np.int64)] * 4
@@ -555,7 +559,7 @@ def _apply(span, text_column, names):
                 mine = a + np.flatnonzero(tag[a:b] == text_tag(text))
             left, r, s = cut_text(text, where[mine], count[mine], span)
             kept.append(left), removed.append(r), spans.append(s)
-        out = docs.select([x for x in docs.column_names if x != "__doc_bucket"])
+        out = docs.select([x for x in docs.column_names if x != bucket])
         for name, column in zip(names, (pa.array(kept, pa.binary()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()))):
             out = out.append_column(name, column)
         return out
@@ -580,7 +584,8 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, names: t
     runs = texts.mapInArrow(in_pieces(_send_runs(span, gram, buckets, doc_buckets, folder)), RUNS)
     flags = staged(runs.repartition(tasks, "bucket").groupBy("bucket").applyInArrow(once(_sort_runs(span, doc_buckets)), FLAGS), "flags")
     schema = docs.select("*").schema.add(names[0], "binary").add(names[1], "long").add(names[2], "long")
-    left = docs.withColumn("__doc_bucket", F.coalesce(F.pmod("doc_id", F.lit(doc_buckets)), F.pmod(F.xxhash64("text"), F.lit(doc_buckets))).cast("int"))
-    left, flags = left.repartition(doc_tasks, "__doc_bucket"), flags.repartition(doc_tasks, "doc_bucket")
-    return left.groupBy("__doc_bucket").cogroup(flags.groupBy("doc_bucket")).applyInArrow(once_of_two(_apply(span, "text", names)), schema)
+    bucket = fresh_name(docs, "doc_bucket")
+    left = docs.withColumn(bucket, F.coalesce(F.pmod("doc_id", F.lit(doc_buckets)), F.pmod(F.xxhash64("text"), F.lit(doc_buckets))).cast("int"))
+    left, flags = left.repartition(doc_tasks, bucket), flags.repartition(doc_tasks, "doc_bucket")
+    return left.groupBy(bucket).cogroup(flags.groupBy("doc_bucket")).applyInArrow(once_of_two(_apply(span, "text", names, bucket)), schema)
 

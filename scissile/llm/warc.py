@@ -9,8 +9,9 @@ retried or duplicated task changes nothing.
 
 Defined results: null html is an empty payload; a null url leaves the target out;
 a null page_id is older than any other; rows that share the largest page_id of a
-payload are all responses; an empty table gives an empty table.  The payload of
-a revisit isn't stored again: its length and digest stand in the record.
+payload are all responses; payloads of any length are whole; other columns are
+left out, whatever their names; an empty table gives an empty table.  The payload
+of a revisit isn't stored again: its length and digest stand in the record.
 """
 
 from __future__ import annotations
@@ -31,23 +32,28 @@ from .storage import delete, filesystem, get_file, put_file, ship, staged, workd
 
 MIN_REVISIT_BYTES = 1000
 SHARD_BYTES = 32 << 20
+#: Tasks that a digest's copies are dealt over.
+SALTS = 16
 END = b"\r\n\r\n"
 
 
 def mark_revisits(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
     """(page_id, url, payload, digest, refers_to): of equal payloads of min_bytes or more, all but the largest page_id refer to that one.
 
-    The keepers are found on digests alone, pre-aggregated before the shuffle; only digests that occur
-    twice reach the join, whose hot keys adaptive execution splits.
+    Shorter payloads take no part in the join.  The keepers are found on digests alone, pre-aggregated
+    before the shuffle; those of digests that occur twice are shown to SALTS tasks each, over which the
+    payloads of one digest are dealt.
     """
     payload = F.coalesce(F.col("html").cast("binary"), F.lit(b""))
-    base = pages.select("page_id", "url", payload.alias("payload"))
-    base = base.withColumn("digest", F.sha1("payload"))
-    long_ones = pages.select("page_id", payload.alias("payload")).where(F.octet_length("payload") >= min_bytes)
-    keepers = long_ones.groupBy(F.sha1("payload").alias("digest")).agg(F.max("page_id").alias("keeper"), F.count("*").alias("copies")).where("copies > 1").select("digest", "keeper")
+    base = pages.select("page_id", "url", payload.alias("payload")).withColumn("digest", F.sha1("payload"))
+    is_long = F.octet_length("payload") >= min_bytes
+    keepers = base.where(is_long).groupBy("digest").agg(F.max("page_id").alias("keeper"), F.count("*").alias("copies")).where("copies > 1").select("digest", "keeper")
+    keepers = keepers.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = base.where(is_long).withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int"))
     older = F.col("page_id").isNull() | (F.col("page_id") < F.col("keeper"))
-    refers = F.when(F.col("keeper").isNotNull() & older & (F.octet_length("payload") >= min_bytes), F.col("keeper"))
-    return base.join(keepers, "digest", "left").select("page_id", "url", "payload", "digest", refers.alias("refers_to"))
+    refers = F.when(F.col("keeper").isNotNull() & older, F.col("keeper"))
+    marked = dealt.join(keepers, ["digest", "salt"], "left").select("page_id", "url", "payload", "digest", refers.alias("refers_to"))
+    return marked.unionByName(base.where(~is_long).withColumn("refers_to", F.lit(None).cast(marked.schema["refers_to"].dataType)))
 
 
 def _record(page_id, url, payload: bytes, digest: str, refers_to) -> bytes:

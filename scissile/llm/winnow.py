@@ -9,12 +9,15 @@ words or more are hits.  Items of fewer words are one window: their first gram i
 looked up at every place instead.
 
 The items' index is broadcast in blocks of at most `block_bytes` of benchmark
-text; a larger benchmark takes several passes over the documents, whose hits are
-united.
-
-Defined results: null and wordless texts have no words; items without words or
-with a null item_id are left out; rows of one item_id are one item; repeated
-documents are kept; an empty benchmark hits nothing.
+text; a larger benchmark takes several passes over the documents, one block after
+another, whose hits are staged and united.  Documents are known by doc_id and the
+128-bit MD5 of the text there.
+
+Defined results: null and wordless texts have no words; texts of any length are
+searched whole; items without words or with a null item_id are left out; rows of
+one item_id are one item; repeated documents are kept; a column named
+like the result is replaced, all others stay; an empty benchmark hits nothing; an empty table gives
+an empty table.
 """
 
 from __future__ import annotations
@@ -28,11 +31,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
 from .arrays import LOWER, U, in_pieces, mix, ranges, row_chunks, span_hashes, utf8, words
-from .storage import ship
+from .storage import fresh_name, ship, staged
 
 WINDOW, GRAM = 13, 5
 BLOCK_BYTES = 16 << 20
 CHUNK_BYTES = 1 << 19
+#: Equal grams that are followed up at a time.
+MATCHES = 1 << 19
 
 #: The word characters of the decontamination rule, as bytes of UTF-8 after lowering.
 WORD = np.zeros(256, bool)
@@ -91,18 +96,17 @@ class Index:
         """(words a row, hit words a row, [(row, item)] as two arrays, (row, first word, words) of the hit spans)."""
         hashes, woff = word_hashes(data, off)
         grams = gram_hashes(hashes, self.gram)
-        places, matches = [], []
+        n_words = np.diff(woff)
+        hit = np.zeros(len(hashes) + 1, np.int64)
+        rows, items = [], []
+        tables = []
         if len(self.long[0]):
             at = winnowed(grams, woff, self.gram, self.window)
-            _look_up(grams[at], at, self.long, places, matches)
+            tables.append((grams[at], at, self.long))
         for n, table in self.short.items():
             g = grams if n == self.gram else gram_hashes(hashes, n)
-            _look_up(g, np.arange(len(g)), table, places, matches)
-        n_words = np.diff(woff)
-        hit = np.zeros(len(hashes) + 1, np.int64)
-        rows, items = [], []
-        if places:
-            place, match = np.concatenate(places), np.concatenate(matches)
+            tables.append((g, np.arange(len(g)), table))
+        for place, match in (x for t in tables for x in _look_up(*t)):
             item = self.item[match]
             row = np.searchsorted(woff, place, "right") - 1
             # A diagonal: where the item's first word would stand in the text.
@@ -133,7 +137,8 @@ class Index:
         begin, end = begin[good], end[good]
         np.add.at(hit, at[begin], 1)
         np.add.at(hit, at[end - 1] + 1, -1)
-        rows.append(row[of[begin]]), items.append(item[of[begin]])
+        found = np.unique(np.stack([row[of[begin]], item[of[begin]]]), axis=1)
+        rows.append(found[0]), items.append(found[1])
 
 
 def _table(grams: np.ndarray, place: np.ndarray):
@@ -144,38 +149,47 @@ def _table(grams: np.ndarray, place: np.ndarray):
     return grams[order], place[order], seen
 
 
-def _look_up(grams, at, table, places, matches):
+def _look_up(grams, at, table):
+    """(places, places in the items) of equal grams, at most MATCHES at a time but for a single place."""
     keys, place, seen = table
     maybe = np.flatnonzero(seen[(grams & U((1 << 20) - 1)).astype(np.int64)])
     g = grams[maybe]
-    a, b = np.searchsorted(keys, g, "left"), np.searchsorted(keys, g, "right")
-    n = b - a
-    places.append(np.repeat(at[maybe], n)), matches.append(place[ranges(a[n > 0], n[n > 0])])
+    a, n = np.searchsorted(keys, g, "left"), np.searchsorted(keys, g, "right")
+    n -= a
+    maybe, a, n = maybe[n > 0], a[n > 0], n[n > 0]
+    for i, j in row_chunks(np.append(0, np.cumsum(n)), MATCHES):
+        yield np.repeat(at[maybe[i:j]], n[i:j]), place[ranges(a[i:j], n[i:j])]
 
 
 SPANS = "array<struct<start:long,length:long>>"
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, gram: int = GRAM, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """docs with __bench: struct(n_words, n_hit, item_ids sorted as strings, spans of hit words)."""
+def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, gram: int = GRAM, block_bytes: int = BLOCK_BYTES, name: str = "__bench") -> DataFrame:
+    """docs with a column `name`: struct(n_words, n_hit, item_ids sorted as strings, spans of hit words)."""
     spark = ship(docs).sparkSession
     items = benchmark.where("item_id is not null").select(F.col("item_id").cast("string").alias("item_id"), F.coalesce("text", F.lit("")).alias("text")).distinct()
     total = items.agg(F.sum(F.octet_length("text") + 32)).head()[0] or 0
     blocks = max(1, -(-total // block_bytes))
 
+    docs = docs.drop(name)
+
     def block(k: int):
         part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
         table = part.orderBy("item_id", "text").toArrow()  # one block, of block_bytes or so
         return spark.sparkContext.broadcast(Index(table.column("item_id").to_pylist(), table.column("text").combine_chunks(), window, gram))
 
     if blocks == 1:
-        return _search(docs, block(0))
-    docs = docs.withColumn("__row", F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.coalesce("text", F.lit(""))))
-    keyed = docs.select("__row", "text").dropDuplicates(["__row"])
-    parts = [_search(keyed, block(k)).select("__row", "__bench") for k in range(blocks)]
-    united = parts[0]
-    for part in parts[1:]:
-        united = united.unionByName(part)
+        return _search(docs, block(0), name)
+    key = fresh_name(docs, "row")
+    docs = docs.withColumn(key, F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(":"), F.md5(F.coalesce("text", F.lit("")).cast("binary"))))
+    keyed = docs.select(F.col(key).alias("__row"), "text").dropDuplicates(["__row"])
+    united = None
+    for k in range(blocks):  # one block's index is held at a time, and of all but the first only hits are kept
+        index = block(k)
+        part = _search(keyed, index).select("__row", "__bench")
+        part = staged(part.where("__bench.n_hit > 0") if k else part, "benchmark-hits")
+        index.destroy()
+        united = part if united is None else united.unionByName(part)
 
     def unite(spans):
         return F.aggregate(F.sort_array(F.flatten(spans)), F.array().cast(SPANS), lambda done, x: F.when((F.size(done) > 0) & (F.element_at(done, -1).start + F.element_at(done, -1).length >= x.start), F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(F.struct(F.element_at(done, -1).start.alias("start"), (F.greatest(F.element_at(done, -1).start + F.element_at(done, -1).length, x.start + x.length) - F.element_at(done, -1).start).alias("length"))))).otherwise(F.concat(done, F.array(x))))
@@ -183,11 +197,11 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     united = united.groupBy("__row").agg(F.max("__bench.n_words").alias("n_words"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("__bench.item_ids")))).alias("item_ids"), unite(F.collect_list("__bench.spans")).alias("spans"))
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x.length)
     bench = united.select("__row", F.struct("n_words", n_hit.alias("n_hit"), "item_ids", "spans").alias("__bench"))
-    return docs.join(bench, "__row").drop("__row")
+    return docs.join(bench.withColumnsRenamed({"__row": key, "__bench": name}), key).drop(key)
 
 
-def _search(docs: DataFrame, index) -> DataFrame:
-    schema = docs.select("*").schema.add("__bench", DataType.fromDDL(f"struct<n_words:long,n_hit:long,item_ids:array<string>,spans:{SPANS}>"))
+def _search(docs: DataFrame, index, name: str = "__bench") -> DataFrame:
+    schema = docs.select("*").schema.add(name, DataType.fromDDL(f"struct<n_words:long,n_hit:long,item_ids:array<string>,spans:{SPANS}>"))
     column = docs.columns.index("text")
     kind = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("item_ids", pa.list_(pa.string())), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())])))])
 
@@ -209,7 +223,7 @@ def _search(docs: DataFrame, index) -> DataFrame:
                         spans.setdefault(r, []).append({"start": a - int(woff[r]), "length": stop - a})
                         a = stop
                 found += [{"n_words": w, "n_hit": h, "item_ids": sorted(names.get(r, ())), "spans": spans.get(r, [])} for r, (w, h) in enumerate(zip(n_words.tolist(), n_hit.tolist()))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, kind)], names=[*batch.schema.names, "__bench"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, kind)], names=[*batch.schema.names, name])
 
     return docs.mapInArrow(in_pieces(run), schema)
 
