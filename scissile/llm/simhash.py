@@ -8,16 +8,20 @@ Equal fingerprints collapse first.  Distinct ones are entered in a table for eac
 segment of the fingerprint, and looked up there with every value in a small
 Hamming ball around their own: with distance r over m segments, two fingerprints
 within r differ by at most floor(r / m) bits in one of the first r mod m + 1
-segments, or by less in one of the rest.  Complete distances verify each match.
-Segments are as many as keep a table's expected matches near one a value,
-64 / log2(fingerprints), as is usual for this index.  A task reduces its links to
-a spanning forest before sending them, so a dense group costs no more links than
-members; components follow from min-label rounds with pointer jumping over tables
-in the shared folder.
+segments, or by less in one of the rest.  A ball of radius 2 is met half way: both
+sides go through their balls of radius 1, so that a segment costs bits + 1 rows
+and not their square.  Complete distances verify each match.  Segments are as
+many as keep a table's expected matches near one a value, 64 / log2(fingerprints),
+as is usual for this index: 20, 45 and 66 rows a fingerprint for 4, 3 and 2.
+A task reduces its links to a spanning forest before sending them, so a dense
+group costs no more links than members; components follow from min-label rounds
+with pointer jumping over tables in the shared folder, whose joins deal a large
+group's rows over SALTS.
 
 Defined results: null and empty texts have fingerprint zero and link like any
-other; a null doc_id gets a fingerprint and its component but is never the
-smallest; repeated rows are kept; an empty table gives an empty table.
+other; texts of any length are read whole; a null doc_id gets a fingerprint and
+its component but is never the smallest; repeated rows are kept; other columns
+are left out, whatever their names; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -32,10 +36,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import U, in_pieces, min_labels, ranges, utf8
-from .storage import ship, staged
+from .storage import fresh_name, ship, staged
 
 SEED, WIDTH, DISTANCE = 42, 4, 4
-SALTS, HOT = 32, 10_000
+SALTS, HOT = 16, 10_000
+#: Pairs that are compared at a time.
+AT_ONCE = 1 << 20
 
 
 def fingerprint_all(data: bytes, off: np.ndarray, width: int = WIDTH) -> np.ndarray:
@@ -96,15 +102,21 @@ def ball(bits: int, radius: int) -> np.ndarray:
     return np.array([sum(1 << i for i in c) for r in range(radius + 1) for c in itertools.combinations(range(bits), r)], U)
 
 
-def match_groups(key: np.ndarray, probe: np.ndarray, fp: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links (fp, root) that span what the table matches connect: entries (probe False) against all rows of their key.
+def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Differing bits of fingerprints, a number or a row of numbers each."""
+    d = np.bitwise_count(a ^ b)
+    return d if d.ndim == 1 else d.sum(1, dtype=np.int64)
 
-    Rows are sorted by key, entries first.
+
+def match_groups(key: np.ndarray, entry: np.ndarray, fp: np.ndarray, distance: int, node: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Links (node, root) that span what the table matches connect: entries against all rows of their key.
+
+    Rows are sorted by key, entries first; nodes are the fingerprints, unless given.
     """
-    node, at = np.unique(fp, return_inverse=True)
+    node, at = np.unique(fp if node is None else node, return_inverse=True)
     start = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
     size = np.diff(np.append(start, len(key)))
-    entries = np.add.reduceat((~probe).astype(np.int64), start)
+    entries = np.add.reduceat(entry.astype(np.int64), start)
     a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     small = (entries <= 64) & (entries > 0) & (size > 1)
     for t in range(int(entries[small].max(initial=0))):
@@ -113,8 +125,10 @@ def match_groups(key: np.ndarray, probe: np.ndarray, fp: np.ndarray, distance: i
             break
         many = size[g] - t - 1
         left, right = np.repeat(start[g] + t, many), ranges(start[g] + t + 1, many)
-        near = np.bitwise_count(fp[left] ^ fp[right]) <= distance
-        a.append(at[left[near]]), b.append(at[right[near]])
+        for i in range(0, len(left), AT_ONCE):
+            x, y = left[i : i + AT_ONCE], right[i : i + AT_ONCE]
+            near = distances(fp[x], fp[y]) <= distance
+            a.append(at[x[near]]), b.append(at[y[near]])
     for s, n, e in zip(start[entries > 64], size[entries > 64], entries[entries > 64]):
         # A crowded value: every row that is reached leaves the rows still to be compared.
         own, table = fp[s : s + n], np.arange(e)
@@ -129,7 +143,7 @@ def match_groups(key: np.ndarray, probe: np.ndarray, fp: np.ndarray, distance: i
                 pool = np.flatnonzero(left) if x < e else table[left[:e]]
                 if not len(pool):
                     continue
-                hit = pool[np.bitwise_count(own[pool] ^ own[x]) <= distance]
+                hit = pool[distances(own[pool], own[x]) <= distance]
                 left[hit] = False
                 queue += hit.tolist()
                 a.append(np.full(len(hit), at[s + x])), b.append(at[s + hit])
@@ -141,18 +155,21 @@ def match_groups(key: np.ndarray, probe: np.ndarray, fp: np.ndarray, distance: i
 
 def links(distinct: DataFrame, n: int, distance: int = DISTANCE) -> DataFrame:
     """(a, b): links within `distance` that connect just what all links would connect."""
-    plan = segment_plan(n, distance)
-    shapes = [(i, first, (1 << bits) - 1, ball(bits, radius)) for i, (first, bits, radius) in enumerate(plan)]
+    # (segment, first bit, mask, differences, how many of them are entries)
+    shapes = []
+    for i, (first, bits, radius) in enumerate(segment_plan(n, distance)):
+        flips = ball(bits, 1 if radius == 2 else radius)
+        shapes.append((i, first, (1 << bits) - 1, flips, len(flips) if radius == 2 else 1))
 
     def enter(batches):
         for batch in batches:
             fp = np.array(batch.column(0)).view(U)
-            for i, first, mask, flips in shapes:
+            for i, first, mask, flips, told in shapes:
                 value = (fp >> U(first)) & U(mask)
                 for k in range(0, len(flips), 64):
                     part = flips[k : k + 64]
                     key = (value[:, None] ^ part[None, :]).ravel()
-                    probe = np.tile(np.arange(k, k + len(part)) > 0, len(fp))
+                    probe = np.tile(np.arange(k, k + len(part)) >= told, len(fp))
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), i, np.int8)), pa.array(key.view(np.int64)), pa.array(probe), pa.array(np.repeat(fp, len(part)).view(np.int64))], names=["segment", "value", "probe", "fp"])
 
     def match(batches):
@@ -165,7 +182,7 @@ def links(distinct: DataFrame, n: int, distance: int = DISTANCE) -> DataFrame:
             new = np.append(True, (segment[1:] != segment[:-1]) | (value[1:] != value[:-1]))
             end = len(new) if final else int(np.flatnonzero(new)[-1])
             if end:
-                x, y = match_groups(np.cumsum(new[:end]), np.array(table.column("probe").slice(0, end)), np.array(table.column("fp").slice(0, end)).view(U), distance)
+                x, y = match_groups(np.cumsum(new[:end]), ~np.array(table.column("probe").slice(0, end)), np.array(table.column("fp").slice(0, end)).view(U), distance)
                 return table.slice(end), pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)), pa.array(y.view(np.int64))], names=["a", "b"])
             return table, None
 
@@ -188,6 +205,13 @@ def links(distinct: DataFrame, n: int, distance: int = DISTANCE) -> DataFrame:
     return dealt.mapInArrow(match, "a long, b long")
 
 
+def spread_join(big: DataFrame, small: DataFrame, on: str, by: str, how: str = "inner") -> DataFrame:
+    """big joined with small, which has a row a value of `on`; big's rows of one value are dealt over SALTS by column `by`."""
+    shown = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = big.withColumn("__salt", F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int"))
+    return dealt.join(shown, [on, "__salt"], how).drop("__salt")
+
+
 def components(edges: DataFrame, tag: str = "components") -> DataFrame:
     """(node, root) of every node of the links (a, b); nodes are longs, the root is the smallest.
 
@@ -198,14 +222,15 @@ def components(edges: DataFrame, tag: str = "components") -> DataFrame:
     label = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low")).select("node", F.least("node", "low").alias("root"))
     label = staged(label, tag)
     while True:
-        told = both.join(label.select(F.col("node").alias("b"), F.col("root").alias("seen")), "b")
+        told = spread_join(both, label.select(F.col("node").alias("b"), F.col("root").alias("seen")), "b", "a")
         best = told.groupBy(F.col("a").alias("node")).agg(F.min("seen").alias("seen"))
         hooked = label.join(best, "node", "left").select("node", "root", F.least("root", F.coalesce("seen", "root")).alias("hook"))
         # A root that learns of a smaller one takes its whole tree along.
-        moved = hooked.groupBy(F.col("root").alias("old")).agg(F.min("hook").alias("lead")).where("lead < old")
-        hooked = hooked.join(moved, hooked["root"] == moved["old"], "left").select("node", "root", F.least("hook", F.coalesce("lead", "hook")).alias("hook"))
-        up = label.select(F.col("node").alias("hook"), F.col("root").alias("top"))
-        after = staged(hooked.join(up, "hook", "left").select("node", F.least("hook", F.coalesce("top", "hook")).alias("root"), (F.least("hook", F.coalesce("top", "hook")) != F.col("root")).alias("changed")), tag)
+        moved = hooked.groupBy("root").agg(F.min("hook").alias("lead")).where("lead < root")
+        hooked = spread_join(hooked, moved, "root", "node", "left").select("node", "root", F.least("hook", F.coalesce("lead", "hook")).alias("hook"))
+        up = hooked.select("hook").distinct().join(label.select(F.col("node").alias("hook"), F.col("root").alias("top")), "hook")
+        low = F.least("hook", F.coalesce("top", "hook"))
+        after = staged(spread_join(hooked, up, "hook", "node", "left").select("node", low.alias("root"), (low != F.col("root")).alias("changed")), tag)
         changed = after.where("changed").limit(1).count()
         label = after.select("node", "root")
         if not changed:
@@ -225,9 +250,7 @@ def name_groups(fps: DataFrame, roots_of, *extra) -> DataFrame:
     roots = roots_of(distinct, sizes["fps"])
     linked = staged(roots.join(distinct, roots["node"] == distinct["fp"]).select("node", "root", "least"), "linked")
     smallest = linked.groupBy("root").agg(F.min("least").alias("smallest"))
-    # A large component's nodes are dealt over SALTS tasks, to each of which its one row is shown.
-    shown = smallest.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    named = linked.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")).join(shown, ["root", "salt"]).select("node", "smallest")
+    named = spread_join(linked, smallest, "root", "node").select("node", "smallest")
     by_fp = distinct.join(named, distinct["fp"] == named["node"], "left").select("fp", F.coalesce("smallest", "least").alias("component_id"))
     by_fp = staged(by_fp, "fingerprint-components")
     # Fingerprints with more than 1 / HOT of all rows, of which there are HOT at most, meet their rows by broadcast.
@@ -249,21 +272,22 @@ def keep_first(docs: DataFrame, width: int = WIDTH, distance: int = DISTANCE) ->
 def keep_named(docs: DataFrame, named: DataFrame, prints) -> DataFrame:
     """docs with one document of each group of `named`, (doc_id, fp, component_id); prints gives the fp of texts."""
     near = staged(named, "near")
-    winners = near.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n"))
-    key = docs["doc_id"].cast("long")
-    once = docs.join(winners.where("n = 1").select(F.col("doc_id").alias("__id")), key == F.col("__id"), "left_semi")
-    again = docs.join(winners.where("n > 1").select(F.col("doc_id").alias("__id")), key == F.col("__id"), "left_semi").dropDuplicates(["doc_id", "text"])
+    own, fp, other = (fresh_name(docs, x) for x in ("id", "fp", "own"))
+    winners = near.where("doc_id = component_id").groupBy(F.col("doc_id").alias(own)).agg(F.count("*").alias("n"))
+    mine = docs["doc_id"].cast("long") == F.col(own)
+    once = docs.join(winners.where("n = 1").select(own), mine, "left_semi")
+    again = docs.join(winners.where("n > 1").select(own), mine, "left_semi").dropDuplicates(["doc_id", "text"])
     nameless = docs.where("doc_id IS NULL").dropDuplicates(["text"])
-    alone = near.where("component_id IS NULL").select(F.col("fp").alias("__own")).distinct()
+    alone = near.where("component_id IS NULL").select(F.col("fp").alias(other)).distinct()
     column = nameless.columns.index("text")
 
     def mark(batches):
         for batch in batches:
             data, off = utf8(batch.column(column))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(prints(data, off).view(np.int64))], names=[*batch.schema.names, "__fp"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(prints(data, off).view(np.int64))], names=[*batch.schema.names, fp])
 
-    marked = nameless.mapInArrow(in_pieces(mark), nameless.select("*").schema.add("__fp", "long"))
-    rest = marked.join(alone, F.col("__fp") == F.col("__own"), "left_semi").dropDuplicates(["__fp"]).select(*docs.columns)
+    marked = nameless.mapInArrow(in_pieces(mark), nameless.select("*").schema.add(fp, "long"))
+    rest = marked.join(alone, F.col(fp) == F.col(other), "left_semi").dropDuplicates([fp]).select(*docs.columns)
     return once.unionByName(again).unionByName(rest)
 
 
