@@ -136,6 +136,13 @@ def test_difference_cover():
     assert {(a - b) % suffix_dedup.PERIOD for a in suffix_dedup.COVER for b in suffix_dedup.COVER} == set(range(suffix_dedup.PERIOD))
 
 
+@pytest.mark.parametrize("name", ["__doc_bucket", "bucket", "doc_bucket", "flags"])
+def test_repeats_with_clashing_columns(spark, name):
+    got = suffix_dedup.remove_repeats(docs(spark, name)).collect()
+    assert sorted(((r["doc_id"], r["n_removed"]) for r in got), key=str) == sorted(((d, n) for d, n, *_ in brute_repeats([(r[0], r[1]) for r in DOCS], 50)), key=str)
+    assert {r[name] for r in got} == {"clash", None}
+
+
 # ---- 3 SimHash -----------------------------------------------------------------------------------
 
 
@@ -179,6 +186,22 @@ def test_fingerprints_and_components(spark):
     assert simhash.near_duplicates(empty(spark)).count() == 0
 
 
+@pytest.mark.parametrize("n", [10, 1 << 16, 1 << 20, 1 << 30])
+def test_links_reach_every_close_pair(spark, n):
+    """Whatever the number of segments, links connect what brute force connects."""
+    rng = np.random.default_rng(7)
+    fps = [int(x) for x in rng.integers(0, 1 << 63, 30)]
+    for f in fps[:30]:
+        for _ in range(4):
+            fps.append(f ^ sum(1 << int(k) for k in rng.choice(64, rng.integers(1, 5), replace=False)))
+    fps = sorted(set(fps))
+    signed = [f - (1 << 64) if f >> 63 else f for f in fps]
+    edges = simhash.links(spark.createDataFrame([(x,) for x in signed], "fp long").repartition(3), n).collect()
+    at = {x: i for i, x in enumerate(signed)}
+    got = min_labels(np.array([at[r["a"]] for r in edges]), np.array([at[r["b"]] for r in edges]), len(fps))
+    assert got.tolist() == brute_components(fps)
+
+
 @pytest.mark.parametrize("n", [10, 1 << 16, 1 << 30])
 def test_every_close_pair_shares_a_table_value(n):
     rng = np.random.default_rng(1)
@@ -194,7 +217,7 @@ def test_every_close_pair_shares_a_table_value(n):
 def test_crowded_value_keeps_its_links():
     rng = np.random.default_rng(2)
     fp = np.unique(np.array([sum(1 << int(k) for k in rng.choice(30, 3, replace=False)) for _ in range(200)], np.uint64))
-    a, b = simhash.match_groups(np.zeros(len(fp), np.int64), np.zeros(len(fp), bool), fp, 4)
+    a, b = simhash.match_groups(np.zeros(len(fp), np.int64), np.ones(len(fp), bool), fp, 4)
     want = brute_components([int(x) for x in fp])
     at = {int(x): i for i, x in enumerate(fp)}
     got = min_labels(np.array([at[int(x)] for x in a]), np.array([at[int(x)] for x in b]), len(fp))
@@ -240,6 +263,25 @@ def test_contamination_matches_brute_force(spark, block):
     assert winnow.find_contamination(empty(spark), spark.createDataFrame(ITEMS, "item_id long, text string"), block_bytes=block).count() == 0
 
 
+@pytest.mark.parametrize("name", ["__bench", "__row", "n_hit"])
+@pytest.mark.parametrize("block", [1 << 24, 100])
+def test_contamination_with_clashing_columns(spark, name, block):
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    got = winnow.find_contamination(docs(spark, name), items, block_bytes=block, name="found").collect()
+    assert len(got) == len(DOCS) and {r[name] for r in got} == {"clash", None}
+    assert all(r["found"]["n_hit"] == brute_hits(r["text"], ITEMS)[1] for r in got)
+    assert winnow.find_contamination(docs(spark, name), items, block_bytes=block).select("__bench.n_hit").count() == len(DOCS)
+
+
+def test_common_grams_are_followed_in_slices(monkeypatch):
+    monkeypatch.setattr(winnow, "MATCHES", 50)
+    item, text = "the " * 60 + "cat " + "the " * 60, "the " * 200 + "cat " + "the " * 200
+    index = winnow.Index(["x", "y"], pa.array([item, "the the the"]))
+    raw = np.frombuffer(text.encode(), np.uint8)
+    n, hit, pairs, _ = index.search(raw, np.array([0, len(raw)]))
+    assert (n[0], hit[0], pairs[1].tolist()) == (*brute_hits(text, [("x", item), ("y", "the the the")])[:2], [0, 1])
+
+
 def test_empty_benchmark(spark):
     got = winnow.find_contamination(docs(spark), spark.createDataFrame([], "item_id long, text string")).collect()
     assert len(got) == len(DOCS) and all(r["__bench"]["n_hit"] == 0 for r in got)
@@ -306,13 +348,16 @@ def test_language(spark):
     assert np.mean([r["lang_pred"] == r["lang"] for r in got]) > 0.95
     odd = {(r["text"] or "")[:3]: r["lang_pred"] for r in byte_cnn.identify(docs(spark), model).collect()}
     assert odd[""] == odd[" \n\t"] == odd["\x00\x00\x00"] == "und" and odd["日本語"] != "und"
+    letters = [(1, "½ ² Ⅷ ①"), (2, "½ x"), (3, "١٢٣"), (4, "ª"), (5, "_ 12")]
+    told = {r["doc_id"]: r["lang_pred"] != "und" for r in byte_cnn.identify(spark.createDataFrame(letters, "doc_id long, text string"), model).collect()}
+    assert told == {d: any(map(str.isalpha, t)) for d, t in letters} and not told[1]
     none = byte_cnn.fit(own.withColumn("lang", F.lit(None).cast("string")))
     assert {r["lang_pred"] for r in byte_cnn.identify(docs(spark), none).collect()} == {"und"}
     assert byte_cnn.identify(empty(spark), model).count() == 0
 
 
 def test_network_tables_agree_with_the_network():
-    net = byte_cnn.Net(3)
+    net = byte_cnn.Net(64, 3)
     model = byte_cnn.Model.__new__(byte_cnn.Model)
     model.names, model.net = ["a", "b", "c"], net
     x = np.random.default_rng(0).integers(0, 64, (5, byte_cnn.LENGTH)).astype(np.uint8)
@@ -320,7 +365,7 @@ def test_network_tables_agree_with_the_network():
 
 
 def test_network_gradients():
-    net = byte_cnn.Net(2)
+    net = byte_cnn.Net(64, 2)
     net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
     rng = np.random.default_rng(0)
     x, y = rng.integers(0, 64, (3, 20)), np.array([0, 1, 1])
@@ -338,6 +383,89 @@ def test_network_gradients():
             assert abs((up - down) / 2e-6 - g[name].reshape(-1)[i]) < 1e-4, name
 
 
+def plain_quality(model, text):
+    """The score from its parts, piece by piece in plain Python."""
+    import math
+
+    import zstandard
+
+    raw = (text or "").encode()
+    if not raw:
+        return model.prior
+    packers = [zstandard.ZstdCompressor(level=zstd_quality.LEVEL, dict_data=zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_FULLDICT), write_content_size=False, write_checksum=False, write_dict_id=False) for d in (model.good, model.bad)]
+    good, bad = (sum(len(p.compress(raw[i : i + zstd_quality.PIECE])) for i in range(0, len(raw), zstd_quality.PIECE)) for p in packers)
+    x = ((bad - good) / len(raw) - model.centre) / model.spread
+    return 1 / (1 + math.exp(-max(-30, min(30, model.weights[0] + model.weights[1] * x))))
+
+
+def plain_toxicity(model, text):
+    """The score from the model's list of weights, a feature at a time."""
+    import math
+
+    w = [span_hashes(np.frombuffer(x, np.uint8), np.array([0]), np.array([len(x)]))[0] for x in re.findall(rb"[0-9a-z\x80-\xff]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (text or "").encode()))]
+    weight = dict(zip(model.index.tolist(), model.weight.tolist()))
+    one = lambda h: int(ftrl.mix(np.array([h], np.uint64))[0] >> np.uint64(64 - model.bits))
+    found = {one(h) for h in w}
+    with np.errstate(over="ignore"):
+        for gap, salt in ((1, 0x9FB21C651E98DF25), (2, 0xD1342543DE82EF95)):
+            found |= {one(np.uint64(a) * np.uint64(salt) + np.uint64(b)) for a, b in zip(w, w[gap:])}
+    return 1 / (1 + math.exp(-max(-30, min(30, model.bias + sum(weight.get(k, 0.0) for k in found)))))
+
+
+def plain_language(model, text):
+    """The network a window at a time, without tables."""
+    raw = np.frombuffer((text or "").encode().lower(), np.uint8)
+    total, weight = 0, 0
+    for i in range(0, max(1, len(raw)), byte_cnn.LENGTH):
+        part = raw[i : i + byte_cnn.LENGTH]
+        x = np.full((1, byte_cnn.LENGTH), byte_cnn.FILLER)
+        x[0, : len(part)] = model.kind[part]
+        own = ((part >= 97) & (part < 123) | (part >= 128)).sum() + 1e-3
+        total, weight = total + own * model.net.forward(x)[0][0].astype(float), weight + own
+    e = np.exp(total / weight - (total / weight).max())
+    return model.names[int(e.argmax())], float(e.max() / e.sum())
+
+
+def test_scores_equal_plain_ones(spark):
+    own, labels = labelled_tables(spark)
+    rows = DOCS + [(300, "the river, the stone.  IDIOT walked slowly FREE### " * 90, None, None, 1, None)]
+    mixed = docs(spark, "score", rows)
+    for model, plain in ((zstd_quality.fit(own, labels), plain_quality), (ftrl.fit(own, labels), plain_toxicity)):
+        got = zstd_quality.score_column(mixed, model).collect()
+        assert len(got) == len(rows)
+        for r in got:
+            assert abs(r["score"] - plain(model, r["text"])) < 1e-9, (plain, r["doc_id"])
+    model = byte_cnn.fit(own.where("lang IN ('xx', 'yy')"), max_rows=200)
+    for r in byte_cnn.identify(mixed, model).collect():
+        name, p = plain_language(model, r["text"])
+        letters = any(map(str.isalpha, r["text"] or ""))
+        assert r["lang_pred"] == (name if letters else "und") and abs(r["lang_score"] - (p if letters else 0)) < 1e-4
+
+
+def test_toxicity_scores_do_not_depend_on_the_mix(spark):
+    """Twice the clean rows move scores little: both fits weight the labels alike."""
+    own, labels = labelled_tables(spark, 1200)
+    own, labels = own.where("lang = 'yy' AND doc_id > 15"), labels.where("doc_id % 2 = 0")
+    rare = labels.where("toxic = 0 OR doc_id % 3 = 0")
+    a, b = ftrl.fit(own, labels), ftrl.fit(own, rare)
+    judge = [(f"river stone {w} morning walked under trees", w) for w in ("idiot", "moron", "scum", "bright", "slowly")]
+    raw = [t.encode() for t, _ in judge]
+    off = np.append(0, np.cumsum([len(x) for x in raw]))
+    for model in (a, b):
+        assert (model.scores(b"".join(raw), off) >= 0.7).tolist() == [True] * 3 + [False] * 2
+
+
+def test_long_texts_are_sampled_all_over(spark):
+    from scissile.llm.sampling import STRETCH, STRETCHES, stretches
+
+    text = "".join(chr(0x4E00 + i // 1000) for i in range(400_000))
+    short = "é" * (STRETCH * STRETCHES)
+    got = [r[0] for r in spark.createDataFrame([(text,), (short,), (None,), ("",)], "text string").select(stretches(F.col("text"))).collect()]
+    assert got[1:] == [short, None, ""] and len(got[0]) == STRETCH * STRETCHES + STRETCHES - 1
+    places = [ord(p[0]) - 0x4E00 for p in got[0].split(" ")]
+    assert [p * 8 // 400 for p in places] == list(range(8))
+
+
 # ---- 8 shards ------------------------------------------------------------------------------------
 
 
@@ -375,6 +503,10 @@ def test_placement(spark):
         slot = int(hashlib.md5(key.encode()).hexdigest()[:15], 16) % maglev.SLOTS
         assert (r["slot"], r["shard"]) == (slot, "xy"[table[slot]])
     assert maglev.place(empty(spark), "doc_id", ["x"]).count() == 0
+    clash = spark.createDataFrame([("a", 1), (None, 2)], "slot string, `x.y` int")
+    assert {(r["x.y"], r["slot"]) for r in maglev.place(clash, "slot", ["x"]).collect()} == {(i, int(hashlib.md5(k.encode()).hexdigest()[:15], 16) % maglev.SLOTS) for i, k in ((1, "a"), (2, "null"))}
+    for name in ("Slot", "shard"):
+        assert maglev.place(docs(spark, name), name, ["x"]).count() == len(DOCS)
 
 
 # ---- 9 audio -------------------------------------------------------------------------------------
@@ -391,6 +523,9 @@ def test_media(spark):
         assert audio.from_wav(r["media"]) == (8000, payload) and struct.unpack_from("<I", r["media"], 4)[0] + 8 == len(r["media"])
         assert seen.setdefault(raw, r["feature"]) == r["feature"]
     assert queries_audio(empty(spark)).count() == 0
+    for name in ("tensors", "segments", "payload_bytes", "media_bytes"):
+        media = audio.encode(docs(spark)).withColumn(name, F.lit("clash"))
+        assert audio.features(media).select("payload_bytes", "tensors", "segments").count() == len(DOCS)
     table = audio.tensor_table(pa.table({"tensors": pa.array([r["tensors"] for r in out], pa.list_(audio.TENSOR))}))
     assert table["values"].type.shape == [audio.FRAMES, audio.MELS] and table.num_rows == sum(len(r["tensors"]) for r in out)
 
@@ -400,6 +535,44 @@ def queries_audio(df):
     return out.withColumn("feature", audio.feature_digest(F.col("tensors"), F.col("segments")))
 
 
+def plain_features(payload):
+    """Frames' log-mel energies by direct sums over the definition, without strides or transforms."""
+    x = (np.frombuffer(payload, np.uint8).astype(float) - 128) / 128
+    y = np.zeros(len(x) // audio.DOWN * audio.UP)
+    for j in range(len(y)):
+        q, phase = divmod(j, audio.UP)
+        for t in range(audio.TAPS):
+            i = q * audio.DOWN + t - (audio.TAPS // 2 - 1)
+            if 0 <= i < len(x):
+                y[j] += x[i] * audio.PHASES[t, phase]
+    spin = np.exp(-2j * np.pi * np.outer(np.arange(audio.FRAME), np.arange(audio.FRAME // 2 + 1)) / audio.FRAME)
+    frames = [y[k : k + audio.FRAME] for k in range(0, len(y) - audio.FRAME + 1, audio.HOP)]
+    mel = [np.log(np.abs((f * audio.HANN) @ spin) ** 2 @ audio.BANK + 1e-6) for f in frames]
+    loud = [10 * np.log10((f * f).mean() + 1e-9) for f in frames]
+    on, spans, middle = False, [], np.median(loud)
+    for i, v in enumerate([*loud, -1e9]):
+        if not on and v > middle + audio.ENTER_DB:
+            on, begin = True, i
+        elif on and v < middle + audio.LEAVE_DB:
+            on = False
+            spans.append((begin, i))
+    return np.array(mel), spans
+
+
+def test_features_by_definition(spark):
+    rng = np.random.default_rng(3)
+    texts = ["short", LONG * 12, "".join(chr(int(c)) for c in rng.integers(32, 126, 900)) + "  " * 900 + "ZZZZ" * 300]
+    rows = audio.features(audio.encode(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))).collect()
+    for r in rows:
+        mel, spans = plain_features(audio.pad(texts[r["doc_id"]].encode()))
+        got = np.concatenate([np.frombuffer(t["values"], np.float16).reshape(audio.FRAMES, audio.MELS) for t in r["tensors"]])
+        np.testing.assert_allclose(got[: len(mel)], mel, atol=0.03)
+        assert not got[len(mel) :].any()
+        second = audio.HOP / audio.OUT_RATE
+        assert [(round(s["start_s"] / second), round((s["end_s"] - audio.FRAME / audio.OUT_RATE) / second) + 1) for s in r["segments"]] == spans
+        assert [round(t["start_s"] / second) for t in r["tensors"]] == list(range(0, len(mel), audio.FRAMES))
+
+
 def test_resampler_keeps_a_tone():
     t = np.arange(5760)
     tone = (128 + 100 * np.sin(2 * np.pi * 440 * t / audio.RATE)).astype(np.uint8)
@@ -456,11 +629,12 @@ def test_pieces(spark):
 
     paths = queries.tokenizer_paths()
     own = Tokenizer.from_file(paths[0])
-    own.encode_special_tokens = True
     got = defaultdict(list)
-    for r in packing.pack(docs(spark, "piece"), *paths).collect():
+    rows = [*DOCS, (90, "a <|endoftext|> b", None, None, 1, None), (91, "<|endoftext|>é日本<|endoftext|>", None, None, 1, None), (92, "<|endoftext", None, None, 1, None)]
+    for r in packing.pack(docs(spark, "piece", rows), *paths).collect():
         got[r["doc_id"]].append(r)
-    for d, t, *_ in DOCS:
+    assert got[90][0]["length"] == 5
+    for d, t, *_ in rows:
         if d is None or d == 5:
             continue
         ids = np.array(own.encode(t or "", add_special_tokens=False).ids + [0], "<u4")
@@ -478,6 +652,20 @@ def test_both_tokenizers_agree(text):
     assert list(fast([text])[0]) == list(own([text])[0])
 
 
+@pytest.mark.parametrize("sf", ["sf0.01"])
+def test_both_tokenizers_agree_on_whole_documents(sf):
+    import os
+
+    import pyarrow.parquet as pq
+
+    path = f"/root/testdata/{sf}/documents.parquet"
+    if not os.path.exists(path):
+        pytest.skip("no documents here")
+    texts = [t or "" for t in pq.read_table(path, columns=["text"]).column(0).to_pylist()]
+    fast, own = _encoders()
+    assert [list(x) for x in fast(texts)] == [list(x) for x in own(texts)]
+
+
 def _encoders(cache=[]):
     if not cache:
         a, b = queries.tokenizer_paths()

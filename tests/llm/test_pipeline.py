@@ -26,10 +26,10 @@ def make_docs():
     rows += [(60, prose("aa", 50) + " " + passage + " " + prose("aa", 50), "aa"), (61, prose("aa", 40) + " " + passage, "aa")]
     rows += [(62, rows[3][1], "bb"), (63, rows[3][1], "bb"), (64, prose("aa", 20) + " " + BENCH, "aa"), (65, "12345 !!! 67890", None), (66, None, None), (67, "", "aa")]
     rows += [(None, prose("bb", 80), "bb"), (5, rows[5][1], "bb")]
-    return [(d, t, g, "s", 0 if t is None else len(t), "kept", d) for d, t, g in rows]
+    return [(d, t, g, "s", 0 if t is None else len(t), "kept", d, "l", "f", "i", "r") for d, t, g in rows]
 
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept string, fp long"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, __kept string, __bench long, __lang string, __fp string, __id string, __row string"
 
 
 @pytest.fixture(scope="module")
@@ -44,7 +44,7 @@ def test_stages_match_brute_force(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     model = byte_cnn.fit(docs)
     scored = byte_cnn.identify(docs, model).collect()
-    kept = [(r["doc_id"], r["text"]) for r in scored if r["lang_pred"] != "und" and r["lang_score"] >= corpus_pipeline.MIN_LANGUAGE_SCORE]
+    kept = [(r["doc_id"], r["text"]) for r in scored if r["lang_pred"] != "und" and r["lang_score"] >= corpus_pipeline.least_score(len(model.names))]
     assert {65, 66, 67}.isdisjoint(d for d, _ in kept) and {0, 1, 2, 60, 64} <= {d for d, _ in kept}
     own = docs
     key = lambda x: (str(x[0]), x[1] or "")
@@ -124,3 +124,64 @@ def test_near_copies_of_similarity_0_8_go(spark, folder):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     got = [r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, folder).collect()]
     assert sorted(got, key=str) == sorted(expected, key=str)
+
+
+def test_large_families_are_compared_in_blocks(spark, monkeypatch):
+    """Families over the limit give the groups that one task gives."""
+    import random
+
+    from scissile.llm import near_copies
+
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    rows = []
+    for f in range(3):
+        own = [word() for _ in range(150)]
+        for k in range(40):
+            changed = list(own)
+            for _ in range(rng.choice([0, 1, 2, 3, 4, 6])):
+                changed[rng.randrange(150)] = word()
+            rows.append((1000 * f + k, " ".join(changed)))
+    texts = dict(rows)
+    ids = sorted(texts)
+    parent = {i: i for i in ids}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in ids:
+        for j in ids:
+            if j < i and i // 1000 == j // 1000 and len(shingles(texts[i]) & shingles(texts[j])) >= 0.8 * len(shingles(texts[i]) | shingles(texts[j])):
+                a, b = find(i), find(j)
+                parent[max(a, b)] = min(a, b)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = {i: find(i) for i in ids}
+    assert {r["doc_id"]: r["component_id"] for r in near_copies.near_copies(docs).collect()} == want
+    monkeypatch.setattr(near_copies, "FAMILY_BYTES", 20_000)
+    monkeypatch.setattr(near_copies, "BLOCK_BYTES", 3_000)
+    assert {r["doc_id"]: r["component_id"] for r in near_copies.near_copies(docs).collect()} == want
+
+
+def test_crowds_are_held_by_their_first_member():
+    import numpy as np
+
+    from scissile.llm import near_copies
+
+    rng = np.random.default_rng(5)
+    centre = rng.integers(0, 1 << 63, 4).astype(np.uint64)
+    bits = np.repeat(centre[None, :], 300, axis=0)
+    for i in range(300):
+        for k in rng.choice(256, 12, replace=False):
+            bits[i, k >> 6] ^= np.uint64(1) << np.uint64(k & 63)
+    node = np.arange(10, 310, dtype=np.uint64)
+    plan, high = near_copies.segment_plan(1000)
+    value = near_copies.values(bits, plan[0])
+    low = len(plan[0]) - high
+    group = int(np.bincount((value >> np.uint64(low)).astype(np.int64)).argmax())
+    near = (value >> np.uint64(low)) == np.uint64(group)
+    a, b, keep = near_copies.meet(value[near], low, group, bits[near], node[near])
+    left = set(node[near][keep].tolist())
+    assert len(a) > 100 and set(b.tolist()) <= left and len(left) < near.sum() - 60
+    assert left | set(a.tolist()) == set(node[near].tolist())
