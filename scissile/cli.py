@@ -1,8 +1,12 @@
 """Command line: python -m scissile.cli COMMAND ...
 
 list_samples SHEET [--support CSV]     specimens and their replicates
-eval READS SPECIMENS CONTIGS GENES -c CONFIG.json -o FOLDER
-report FOLDER [-o FILE] [--html]       the summary tables of an evaluation
+run CONFIG.json -o FOLDER              raw reads to trimmed sequences by sample, and with alignments to reads for eval
+eval READS SPECIMENS CONTIGS GENES -c CONFIG.json... -o FOLDER [-s SUPPORT]
+                                       one run, or several as comma lists with a configuration each
+report FOLDER [-o FILE] [--html]       the main tables of an evaluation
+summary FOLDER [-o FILE] [--power-filter PCT] [--mesl-filter PCT] [--csv FOLDER] [--html]
+genome CONTIGS FILE                    a genome as .2bit or .fasta
 setup FOLDER / clean FOLDER [--remove] a run's folder tree
 """
 
@@ -15,11 +19,14 @@ import shutil
 import sys
 
 from pyspark.sql import SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .operators import evaluation as ev
-from .plans.evaluate import Config, evaluate
-from .sources import readers, writers
+from .operators import alignments, evaluation as ev
+from .plans.evaluate import Config, assimilate, evaluate, reconcile
+from .plans.run import RunConfig, process_reads, write_run
+from .plans.summary import NEEDED, summary_tables
+from .sources import binary, readers, writers
 
 FOLDERS = ["input_data", "logs", "process_data", "output", "reports"]
 SUMMARIES = ["combos", "specimen_totals", "on_target", "off_target", "inclusion", "pileup_summary", "matched_summary", "off_target_sequences"]
@@ -44,8 +51,23 @@ def parser() -> argparse.ArgumentParser:
     x = sub.add_parser("eval")
     for name in ("reads", "specimens", "contigs", "genes"):
         x.add_argument(name)
-    x.add_argument("-c", "--config", required=True)
+    x.add_argument("-c", "--config", required=True, nargs="+")
+    x.add_argument("-s", "--support")
+    x.add_argument("--override", action="store_true", help="evaluate runs of different versions together")
     x.add_argument("-o", "--output", required=True)
+    x = sub.add_parser("run")
+    x.add_argument("config")
+    x.add_argument("-o", "--output", required=True)
+    x = sub.add_parser("genome")
+    x.add_argument("contigs")
+    x.add_argument("file")
+    x = sub.add_parser("summary")
+    x.add_argument("folder")
+    x.add_argument("-o", "--output", default="summary.txt")
+    x.add_argument("--power-filter", type=float, default=0.0)
+    x.add_argument("--mesl-filter", type=float, default=0.0)
+    x.add_argument("--csv", help="a folder for the whole tables")
+    x.add_argument("--html", action="store_true")
     x = sub.add_parser("report")
     x.add_argument("folder")
     x.add_argument("-o", "--output", default="report.txt")
@@ -53,6 +75,40 @@ def parser() -> argparse.ArgumentParser:
     return p
 
 
+def in_order(sheet):
+    """A sheet with `ord`, its own or the place of each line; a sheet is a few rows, numbered on the driver."""
+    if "ord" in sheet.columns:
+        return sheet.withColumn("ord", F.col("ord").cast("int"))
+    rows = [tuple(r) for r in sheet.coalesce(1).collect()]
+    return sheet.sparkSession.createDataFrame([(*r, i) for i, r in enumerate(rows)], f"{', '.join(f'`{c}` string' for c in sheet.columns)}, ord int")
+
+
+def genome(spark, path: str):
+    return binary.twobit(spark, path) if path.endswith(".2bit") else readers.contigs(spark, path)
+
+
+def run(path: str, folder: str) -> None:
+    """The read-handling stages, then, where the configuration names alignments of their output, the reads for an evaluation.
+
+    Paths are relative to the configuration's folder.
+    """
+    spark = session()
+    with open(path) as f:
+        raw = json.load(f)
+    at = lambda name: os.path.join(os.path.dirname(os.path.abspath(path)), raw[name])
+    if "R1" in raw:
+        fastq = {n: readers.fastq(spark, at(n)) for n in ("R1", "R2", "I1", "I2") if n in raw}
+        sheet = readers.sample_sheet(spark, at("samples"))
+        tables = process_reads(fastq["R1"], fastq["R2"], fastq["I1"], fastq.get("I2"), sheet, RunConfig.of(raw))
+        write_run(tables, folder)
+    if "anchor_psl" in raw:
+        own = lambda end: readers.keys(spark, at(f"{end}_keys")) if f"{end}_keys" in raw else readers.keys(spark, f"{folder}/{ {'anchor': 'r2', 'adrift': 'r1'}[end]}_keys.csv")
+        keys = alignments.join_keys(own("anchor"), own("adrift"))
+        umis = spark.read.parquet(f"{folder}/reads.parquet").select(F.col("read_id").alias("ID"), "umitag") if raw.get("umis") else None
+        out = assimilate(readers.psl(spark, at("anchor_psl")), readers.psl(spark, at("adrift_psl")), keys, Config.of(raw), umis)
+        writers.tables(out, folder)
+
+
 def main(argv: list[str] | None = None) -> int:
     a = parser().parse_args(argv)
     if a.command == "setup":
@@ -66,15 +122,32 @@ def main(argv: list[str] | None = None) -> int:
         spark = session()
         support = readers.sample_sheet(spark, a.support) if a.support else None
         print(writers.text_table(ev.sample_list(readers.sample_sheet(spark, a.sheet), support=support), "samples"))
+    elif a.command == "run":
+        run(a.config, a.output)
+    elif a.command == "genome":
+        binary.write_genome(genome(session(), a.contigs), a.file)
     elif a.command == "eval":
         spark = session()
-        with open(a.config) as f:
-            config = Config.of(json.load(f))
-        specimens = readers.sample_sheet(spark, a.specimens)
-        specimens = specimens.withColumn("ord", F.col("ord").cast("int")) if "ord" in specimens.columns else specimens.withColumn("ord", F.monotonically_increasing_id())
+        raw = []
+        for path in a.config:
+            with open(path) as f:
+                raw.append(json.load(f))
+        reads, sheets = a.reads.split(","), a.specimens.split(",")
+        if not len(reads) == len(sheets) == len(raw):
+            raise SystemExit("as many reads and specimens as configurations are needed")
+        config = reconcile([Config.of(r) for r in raw])
+        names = [r.get("name") or f"run{i + 1}" for i, r in enumerate(raw)]
+        versions = {n: str(r.get("version", "")) for n, r in zip(names, raw)}
+        every = ev.run_union({n: spark.read.parquet(p) for n, p in zip(names, reads)}, versions, a.override).drop("run_set")
+        specimens = ev.run_union({n: in_order(readers.sample_sheet(spark, p)) for n, p in zip(names, sheets)})
+        specimens = specimens.withColumn("ord", F.row_number().over(W.orderBy("run_set", F.col("ord").cast("int"))))  # a sheet's few rows
+        support = in_order(readers.sample_sheet(spark, a.support)) if a.support else None
         genes = readers.reference_set(spark, a.genes).withColumn("start", F.col("start").cast("long")).withColumn("end", F.col("end").cast("long"))
-        out = evaluate(spark.read.parquet(a.reads), specimens, readers.contigs(spark, a.contigs), genes, config)
-        writers.evaluation(out, a.output, {"tables": sorted(out)})
+        out = evaluate(every, specimens, genome(spark, a.contigs), genes, config, support)
+        writers.evaluation(out, a.output, {"tables": sorted(out), "runs": names})
+    elif a.command == "summary":
+        frames = writers.load_evaluation(session(), a.folder, NEEDED)
+        writers.report(summary_tables(frames, a.power_filter, a.mesl_filter), a.output, "html" if a.html else "txt", a.csv)
     elif a.command == "report":
         frames = writers.load_evaluation(session(), a.folder, SUMMARIES)
         writers.report(frames, a.output, "html" if a.html else "txt")

@@ -31,13 +31,81 @@ def mismatches_at(seq, pattern: str, offset):
     return total
 
 
-def match_offsets(seq, pattern: str, max_mismatch: int, first=1, last=None):
-    """Array of (offset, mismatch) where the pattern fits seq with at most max_mismatch mismatches."""
-    last = F.length(seq) - len(pattern) + 1 if last is None else last
-    first = F.lit(first) if isinstance(first, int) else first
-    offsets = F.when(last >= first, F.sequence(first.cast("int"), last.cast("int"))).otherwise(F.array().cast("array<int>"))
-    scored = F.transform(offsets, lambda o: F.struct(o.alias("offset"), mismatches_at(seq, pattern, o).alias("mismatch")))
-    return F.filter(scored, lambda m: m["mismatch"] <= max_mismatch)
+def scanner(patterns: list[str], max_mismatch: int, beyond: int = 0):
+    """A function of an Arrow string array: (rows, patterns, 1-based offsets, mismatches) of the places where a pattern fits.
+
+    Bases become sets of four bits, and a pattern place is one AND over all sequences and offsets; patterns may
+    reach `beyond` bases past either end, which mismatch.  It holds all it needs, so that workers need no package.
+    """
+    bit = {"A": 1, "C": 2, "G": 4, "T": 8}
+    table = bytes(sum(bit[x] for x in IUPAC.get(chr(c), "")) for c in range(256))
+    coded = [[table[ord(c)] for c in p.upper()] for p in patterns]
+    longest = max(map(len, patterns), default=0)
+
+    def scan(column):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        column = pc.fill_null(column.cast(pa.large_binary()), b"")
+        none = np.zeros(0, np.int64)
+        if not len(column):
+            return none, none, none, none
+        _, offsets, data = column.buffers()
+        off = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+        raw = np.frombuffer(table, np.uint8)[np.frombuffer(data, np.uint8)[off[0] : off[-1]]] if data is not None else np.zeros(0, np.uint8)
+        off = off - off[0]
+        size = np.diff(off)
+        found = [[none] * 4]
+        i = 0
+        while i < len(size):
+            j, width = i + 1, int(size[i])
+            while j < len(size) and (j + 1 - i) * (max(width, int(size[j])) + longest) <= 1 << 21:
+                width = max(width, int(size[j]))
+                j += 1
+            n = size[i:j]
+            grid = np.zeros((j - i, width + 2 * beyond + longest), np.uint8)
+            inside = np.arange(width)[None, :] < n[:, None]
+            grid[:, beyond : beyond + width][inside] = raw[off[i] : off[j]]
+            for k, pattern in enumerate(coded):
+                offsets_ = width + 2 * beyond - len(pattern) + 1
+                if offsets_ <= 0:
+                    continue
+                wrong = np.zeros((j - i, offsets_), np.int16)
+                for at, code in enumerate(pattern):
+                    wrong += (grid[:, at : at + offsets_] & code) == 0
+                fits = (wrong <= max_mismatch) & (np.arange(offsets_)[None, :] <= (n + 2 * beyond - len(pattern))[:, None])
+                row, place = np.nonzero(fits)
+                found.append([row + i, np.full(len(row), k), place + 1 - beyond, wrong[row, place].astype(np.int64)])
+            i = j
+        row, which, place, wrong = (np.concatenate(x) for x in zip(*found))
+        order = np.argsort(row, kind="stable")
+        return row[order], which[order], place[order], wrong[order]
+
+    return scan
+
+
+def pattern_places(seq, patterns: list[str], max_mismatch: int, beyond: int = 0):
+    """Array of (pattern, offset, mismatch): where the patterns, by their place in the list, fit seq; by pattern, then offset."""
+    scan = scanner(patterns, max_mismatch, beyond)
+
+    @F.arrow_udf("array<struct<pattern:int,offset:int,mismatch:int>>")
+    def places(column):
+        import numpy as np
+        import pyarrow as pa
+
+        row, which, place, wrong = scan(column)
+        ends = np.searchsorted(row, np.arange(len(column) + 1)).astype(np.int32)
+        values = pa.StructArray.from_arrays([pa.array(x.astype(np.int32)) for x in (which, place, wrong)], names=["pattern", "offset", "mismatch"])
+        return pa.ListArray.from_arrays(pa.array(ends), values)
+
+    return places(seq)
+
+
+def match_offsets(seq, pattern: str, max_mismatch: int):
+    """Array of (offset, mismatch) where the pattern fits seq with at most max_mismatch mismatches; null for null."""
+    found = F.transform(pattern_places(seq, [pattern], max_mismatch), lambda m: F.struct(m["offset"].alias("offset"), m["mismatch"].alias("mismatch")))
+    return F.when(seq.isNotNull(), found)
 
 
 def divergence(seq, ref: str, match: str = ".", fill: str = "right"):

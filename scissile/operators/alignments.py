@@ -73,13 +73,17 @@ def loci_pairs(anchor: DataFrame, adrift: DataFrame, min_length: int = 30, max_l
 def couple(keys: DataFrame, anchor: DataFrame, adrift: DataFrame, min_length: int = 30, max_length: int = 2500) -> DataFrame:
     """(read_pair, seqnames, strand, start, end, n_loci): template ranges consistent with each read pair, and how many it has.
 
-    keys: read_pair, anchor_key, adrift_key; hits: qName and ranges.  Equi-joins by key on distinct points; no
-    range join is needed, as a read pair names its own hits.
+    keys: read_pair, anchor_key, adrift_key; hits: qName and ranges.  Equi-joins by key and by buckets as wide as a
+    template on distinct points: a repeat's hits meet their neighbours, not all hits of the pair.
     """
     point = lambda hits, name: hits.select(F.col("qName").alias(name), "seqnames", "strand", five_prime(F.col("start"), F.col("end"), F.col("strand")).alias("pos")).distinct()
     a, b = point(anchor, "anchor_key"), point(adrift, "adrift_key")
     flipped = b.select("adrift_key", "seqnames", F.when(F.col("strand") == "+", "-").otherwise("+").alias("strand"), F.col("pos").alias("adrift_pos"))
-    got = keys.select("read_pair", "anchor_key", "adrift_key").distinct().join(a.withColumnRenamed("pos", "anchor_pos"), "anchor_key").join(flipped, ["adrift_key", "seqnames", "strand"])
+    # The adrift point lies in its anchor's bucket or in the next one downstream.
+    bucket = F.floor(F.col("adrift_pos") / (max_length + 1))
+    flipped = flipped.withColumn("__bucket", F.explode(F.array(bucket, F.when(F.col("strand") == "+", bucket - 1).otherwise(bucket + 1))))
+    a = a.withColumnRenamed("pos", "anchor_pos").withColumn("__bucket", F.floor(F.col("anchor_pos") / (max_length + 1)))
+    got = keys.select("read_pair", "anchor_key", "adrift_key").distinct().join(a, "anchor_key").join(flipped, ["adrift_key", "seqnames", "strand", "__bucket"])
     apart = F.when(F.col("strand") == "+", F.col("adrift_pos") - F.col("anchor_pos")).otherwise(F.col("anchor_pos") - F.col("adrift_pos"))
     got = got.where((apart >= 1) & (apart - 1 <= max_length) & (apart + 1 >= min_length))
     got = got.withColumn("start", F.least("anchor_pos", "adrift_pos")).withColumn("end", F.greatest("anchor_pos", "adrift_pos"))

@@ -123,22 +123,28 @@ def joined_set(column, sep: str = ";"):
     return F.array_join(F.array_sort(F.collect_set(column)), sep)
 
 
+def _totals() -> list:
+    """What every summary adds up; alignments count by their contribution, so that a recovered multihit is a part of one."""
+    return [F.sum("count").alias("count"), F.sum("umitag").alias("umitag"), F.sum("contrib").alias("algns"), F.sum("abund").alias("abund")]
+
+
 def matched_summary(matched: DataFrame) -> DataFrame:
-    name = F.regexp_replace("target_match", r":\((sense|antisense)\)$", "")
+    """A row a specimen, edit site and aligned sequence of a target; target_match loses its direction, orient holds the strands."""
+    name = F.regexp_replace("target_match", r":\(\w+\)$", "")
     keys = ["alt_specimen", "edit_site", "aligned_sequence", "target_match", "target_mismatch"]
-    return matched.withColumn("target_match", name).groupBy(*keys).agg(joined_set("on_off_target").alias("on_off_target"), joined_set("paired_algn").alias("paired_algn"), F.sum("count").alias("count"), F.sum("umitag").alias("umitag"), F.sum("abund").alias("abund"), F.count("*").alias("algns"))
+    return matched.withColumn("target_match", name).groupBy(*keys).agg(joined_set("on_off_target").alias("on_off_target"), joined_set("paired_algn").alias("paired_algn"), *_totals(), joined_set("strand").alias("orient"))
 
 
 def pileup_summary(piled: DataFrame) -> DataFrame:
-    return piled.groupBy("alt_specimen", "clus_ori").agg(joined_set("on_off_target").alias("on_off_target"), F.sum("abund").alias("abund"), F.count("*").alias("algns"))
+    return piled.groupBy("alt_specimen", "clus_ori").agg(joined_set("on_off_target").alias("on_off_target"), joined_set("paired_algn").alias("paired_algn"), *_totals())
 
 
 def paired_regions(paired: DataFrame) -> DataFrame:
     """Span, middle and width of each pair: the outermost 5' points of either strand."""
     pos = F.when(F.col("strand") == "+", F.min("start")).otherwise(F.max("end"))
-    sides = paired.groupBy("alt_specimen", "paired_algn", "seqnames", "strand").agg(pos.alias("__p"), F.sum("abund").alias("__a"), F.count("*").alias("__n"))
-    out = sides.groupBy("alt_specimen", "paired_algn", "seqnames").agg(F.min("__p").alias("start"), F.max("__p").alias("end"), F.sum("__a").alias("abund"), F.sum("__n").alias("algns"))
-    return out.withColumn("mid", F.floor((F.col("start") + F.col("end")) / 2)).withColumn("width", F.col("end") - F.col("start"))
+    sides = paired.groupBy("alt_specimen", "paired_algn", "seqnames", "strand").agg(pos.alias("__p"), F.sum("contrib").alias("contrib"), *(F.sum(c).alias(c) for c in ("count", "umitag", "abund")))
+    out = sides.groupBy("alt_specimen", "paired_algn", "seqnames").agg(F.min("__p").alias("start"), F.max("__p").alias("end"), *_totals())
+    return out.withColumn("mid", F.col("start") + (F.col("end") - F.col("start")) / 2).withColumn("width", F.col("end") - F.col("start"))
 
 
 def paired_on_target(regions: DataFrame, on_targets: DataFrame, up: int = 100, down: int = 30) -> DataFrame:
@@ -162,9 +168,9 @@ def criteria_stats(flagged: DataFrame) -> DataFrame:
 
 
 def specimen_totals(algnmts: DataFrame) -> DataFrame:
-    """Reads, UMIs and alignments of each specimen, through its first alt_specimen alone."""
+    """Reads, UMIs and alignments (by contribution) of each specimen, through its first alt_specimen alone."""
     first = algnmts.groupBy("specimen").agg(F.min("alt_specimen").alias("alt_specimen"))
-    return algnmts.join(F.broadcast(first), ["specimen", "alt_specimen"]).groupBy("specimen").agg(F.sum("count").alias("reads"), F.sum("umitag").alias("umitags"), F.count("*").alias("algns"))
+    return algnmts.join(F.broadcast(first), ["specimen", "alt_specimen"]).groupBy("specimen").agg(F.sum("count").alias("reads"), F.sum("umitag").alias("umitags"), F.sum("contrib").alias("algns"))
 
 
 def on_target_percent(df: DataFrame, by: list[str], name: str = "pct") -> DataFrame:
@@ -173,18 +179,31 @@ def on_target_percent(df: DataFrame, by: list[str], name: str = "pct") -> DataFr
 
 
 def off_target_counts(df: DataFrame, by: list[str], name: str = "n_off") -> DataFrame:
-    return df.groupBy(*by).agg(F.count_distinct(F.when(F.col("on_off_target") != "On-target", F.col("clus_ori"))).alias(name))
+    """Pile-ups with off-target alignments, in groups that have any."""
+    return df.where("on_off_target = 'Off-target'").groupBy(*by).agg(F.count_distinct("clus_ori").alias(name))
+
 
+def off_target_rows(df: DataFrame, by: list[str], name: str = "n_off") -> DataFrame:
+    """Off-target rows of a summary, in groups that have any."""
+    return df.where("on_off_target = 'Off-target'").groupBy(*by).agg(F.count("*").alias(name))
 
-def efficiency_pivot(df: DataFrame, targets: list[str]) -> DataFrame:
-    """alt_specimen x target: percent of abundance at each target, 0 where there is none."""
-    wide = df.groupBy("alt_specimen").pivot("target", targets).agg(F.sum("abund"))
-    total = sum((F.coalesce(F.col(f"`{t}`"), F.lit(0)) for t in targets), F.lit(0))
-    return wide.select("alt_specimen", *[(100.0 * F.coalesce(F.col(f"`{t}`"), F.lit(0)) / total).alias(t) for t in targets])
+
+def efficiency_pivot(matched: DataFrame, targets: list[str]) -> DataFrame:
+    """alt_specimen x target: the on-target percentage of the abundance that matches the target; null without any."""
+    on = F.sum(F.when(F.col("on_off_target") == "On-target", F.col("abund")).otherwise(0))
+    return matched.groupBy("alt_specimen").pivot("target_match", targets).agg(100.0 * on / F.sum("abund"))
 
 
 def efficiency_range(pct_min, pct_max):
-    return F.when(F.bround(pct_min, 1) == F.bround(pct_max, 1), F.format_string("%.1f%%", pct_min)).otherwise(F.format_string("%.1f%% - %.1f%%", pct_min, pct_max))
+    """Both ends to a decimal, or one if they are alike; null without any."""
+    low, high = F.bround(pct_min, 1), F.bround(pct_max, 1)
+    return F.when(low == high, F.format_string("%.1f%%", high)).when(low.isNotNull() & high.isNotNull(), F.format_string("%.1f - %.1f%%", low, high))
+
+
+def efficiency_ranges(wide: DataFrame, targets: list[str]) -> DataFrame:
+    """(alt_specimen, efficiency): the range over the targets of an efficiency pivot."""
+    every = F.array_compact(F.array(*(F.col(f"`{t}`") for t in targets))) if targets else F.array().cast("array<double>")
+    return wide.select("alt_specimen", efficiency_range(F.array_min(every), F.array_max(every)).alias("efficiency"))
 
 
 def joined_summaries(first: DataFrame, *others: DataFrame, on: str = "specimen", how: str = "left") -> DataFrame:
@@ -196,15 +215,15 @@ def joined_summaries(first: DataFrame, *others: DataFrame, on: str = "specimen",
 # ---- distances ----------------------------------------------------------------------------------
 
 
-def edit_distance(pos, edit_pos, strand):
-    """Signed distance from the cut, positive downstream of it."""
-    return F.when(strand == "-", edit_pos - pos).otherwise(pos - edit_pos)
+def edit_distance(start, end, edit_pos, strand):
+    """From the cut to an alignment's own 5' point, along the genome."""
+    return F.when(strand == "+", start - edit_pos).otherwise(end - edit_pos)
 
 
-def distance_histogram(df: DataFrame, by: list[str], reach: int = 100) -> DataFrame:
-    """Abundance at each distance within reach, and its log10, negative on the - strand."""
-    own = df.where(F.abs("dist") <= reach).groupBy(*by, "strand", "dist").agg(F.sum("abund").alias("count"))
-    return own.withColumn("log_count", F.log10("count") * F.when(F.col("strand") == "-", -1).otherwise(1))
+def distance_histogram(df: DataFrame, by: list[str]) -> DataFrame:
+    """Abundance at each distance and strand, and its log10, negative on the - strand."""
+    own = df.groupBy(*by, "strand", "dist").agg(F.sum("abund").alias("count"))
+    return own.withColumn("log_count", F.log10("count") * F.when(F.col("strand") == "+", 1).otherwise(-1))
 
 
 def density_grid(df: DataFrame, by: list[str], value: str = "dist", bandwidth: float = 1.0, low: float = 0.0, high: float = 100.0, points: int = 512, at_least: int = 10) -> DataFrame:
@@ -229,9 +248,9 @@ def tail_probability(values: DataFrame, grid: DataFrame, by: list[str], value: s
     return values.join(F.broadcast(table), [*by, value], "left").withColumn("es_prob", 1 - F.col("__m")).drop("__m")
 
 
-def inclusion(df: DataFrame, by: list[str], up: int, down: int) -> DataFrame:
-    """Percent of abundance from `up` before the cut to `down` after it."""
-    return df.groupBy(*by).agg((100.0 * F.sum(F.when(F.col("dist").between(-up, down), F.col("abund")).otherwise(0)) / F.sum("abund")).alias("pct_incl"))
+def inclusion(df: DataFrame, by: list[str], up: int) -> DataFrame:
+    """Percent of abundance at most `up` from the cut, on either side of it."""
+    return df.groupBy(*by).agg((100.0 * F.sum(F.when(F.abs("dist") <= up, F.col("abund")).otherwise(0)) / F.sum("abund")).alias("pct_incl"))
 
 
 def max_likelihood(df: DataFrame, grid: DataFrame, by: list[str] = ("annotation",), keys: list[str] = ("edit_site", "gene_id")) -> DataFrame:
@@ -240,11 +259,12 @@ def max_likelihood(df: DataFrame, grid: DataFrame, by: list[str] = ("annotation"
     return scored.groupBy(*by, *keys).agg((100 * F.greatest(F.lit(0.0), F.max(F.coalesce("es_prob", F.lit(0.0))))).alias("MESL"))
 
 
-def off_target_sequences(matched: DataFrame, mesl: DataFrame) -> DataFrame:
-    """Off-target sequences by annotation with their likelihood: most abundant first, then likeliest, then fewest mismatches."""
-    own = matched.where("on_off_target = 'Off-target'").join(mesl, ["annotation", "edit_site"], "left")
-    out = own.groupBy("annotation", "target_match", "edit_site", "gene_id", "aligned_sequence").agg(F.min("target_mismatch").alias("mismatch"), F.sum("abund").alias("abund"), F.max("MESL").alias("MESL"))
-    return out.orderBy("annotation", F.desc("abund"), F.desc("MESL"), "mismatch", "edit_site")
+def off_target_sequences(matched: DataFrame, mesl: DataFrame, by: tuple[str, ...] = ("annotation",)) -> DataFrame:
+    """Sequences of a matched summary by condition, on target (`On`) and off (`Off`), with their likelihood: most abundant first, then likeliest, then fewest mismatches."""
+    own = matched.join(mesl, ["annotation", "edit_site", "gene_id"], "left").withColumn("target", F.regexp_extract("on_off_target", r"\w+", 0))
+    keys = [F.col("target_match").alias("target_seq"), F.col("edit_site"), F.col("aligned_sequence"), F.col("target_mismatch").alias("mismatch"), F.col("target"), F.col("gene_id")]
+    out = own.groupBy(*by, *keys).agg(F.sum("abund").alias("abund"), F.max("MESL").alias("MESL"))
+    return out.orderBy(F.desc("abund"), F.desc("MESL"), "mismatch", *by, "target_seq", "edit_site")
 
 
 def top_per_condition(df: DataFrame, by: list[str], order: list, n: int = 10) -> DataFrame:
@@ -269,6 +289,20 @@ def enrichment_counts(genes: DataFrame, onco: DataFrame, special: DataFrame, by:
     return own.groupBy(*by).agg(F.count("*").alias("total"), F.count("__o").alias("onco"), F.count("__s").alias("special"))
 
 
+def gene_counts(summary: DataFrame, by: list[str], each_row: bool = False) -> DataFrame:
+    """(by, total, onco, special): distinct genes of a summary by the marks in gene_id; in all, its rows if each_row."""
+    gene = F.regexp_replace("gene_id", r"\*", "")
+    marked = lambda sign: F.count_distinct(F.when(F.contains(gene, F.lit(sign)), gene))
+    return summary.groupBy(*by).agg((F.count("*") if each_row else F.count_distinct(gene)).alias("total"), marked("~").alias("onco"), marked("!").alias("special"))
+
+
+def reference_counts(genes: DataFrame, onco: list[str], special: list[str]) -> DataFrame:
+    """The same of a gene list: its symbols, and how many of the onco and special ones it has."""
+    own = genes.select("symbol").distinct()
+    count = lambda names: F.count_if(F.col("symbol").isin(list(names))) if names else F.lit(0).cast("long")
+    return own.agg(F.count("*").alias("total"), count(onco).alias("onco"), count(special).alias("special"))
+
+
 def fisher_two_sided(a: int, b: int, c: int, d: int) -> float:
     """P of tables as unlikely as (a b / c d) or more, margins fixed."""
     row, col, total = a + b, a + c, a + b + c + d

@@ -2,25 +2,11 @@
 
 from __future__ import annotations
 
-import os
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import intervals
-
-
-def staged(df: DataFrame) -> DataFrame:
-    """df written in the folder that all executors share and read back."""
-    spark = df.sparkSession
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = "file:///tmp/checkpoints/scissile-ops"
-        os.makedirs(root.removeprefix("file://"), exist_ok=True)
-    uri = f"{root.rstrip('/')}/graph-{uuid.uuid4().hex}"
-    df.write.parquet(uri)
-    return spark.read.schema(df.schema).parquet(uri)
+from .staging import staged
 
 
 def connected_components(links: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.sequences import five_prime
+from .staging import ranked
 
 BLOCK = 1 << 20
 
@@ -62,7 +63,7 @@ def pileup_clusters(df: DataFrame, grouping: list[str] = (), maxgap: int = 0) ->
 
 def cluster_ids(clustered: DataFrame) -> DataFrame:
     """(clus_ori, clus_id): dense ranks of the cluster origins."""
-    return clustered.select("clus_ori").distinct().withColumn("clus_id", F.dense_rank().over(W.orderBy("clus_ori")))
+    return ranked(clustered.select("clus_ori").distinct(), ["clus_ori"], "clus_id")
 
 
 def paired_points(df: DataFrame, grouping: list[str] = (), maxgap: int = 200, maxovlp: int = 10, block: int = BLOCK) -> DataFrame:
@@ -111,10 +112,11 @@ def containing(points: DataFrame, ranges: DataFrame, pos: str, width: int = 100_
     return one.join(other, [*keys, "__bucket"]).where((F.col(pos) >= F.col("start")) & (F.col(pos) <= F.col("end"))).drop("__bucket")
 
 
-def nearest_ranges(points: DataFrame, ranges: DataFrame, pos: str) -> DataFrame:
+def nearest_ranges(points: DataFrame, ranges: DataFrame, pos: str, block: int = BLOCK) -> DataFrame:
     """(seqnames, pos, symbol, inside) of distinct points: the first symbol among the ranges that hold the point, else that of the nearest range, ties to the one before it.
 
-    Ends before and starts after are found by one ordered pass over the union of points and range ends, in place of a range join.
+    Ends before and starts after are found by one ordered pass over the union of points and range ends, in place of a range
+    join; it runs within blocks, and the nearest end or start beyond a block comes from a row a block.
     """
     points = points.select("seqnames", F.col(pos).alias("pos")).distinct()
     held = containing(points, ranges.select("seqnames", "start", "end", "symbol"), "pos").groupBy("seqnames", "pos").agg(F.min("symbol").alias("__held"))
@@ -122,11 +124,15 @@ def nearest_ranges(points: DataFrame, ranges: DataFrame, pos: str) -> DataFrame:
     lasts = ranges.groupBy("seqnames", F.col("end").alias("pos")).agg(F.min("symbol").alias("symbol"))
     firsts = ranges.groupBy("seqnames", F.col("start").alias("pos")).agg(F.min("symbol").alias("symbol"))
     kinds = points.select("seqnames", "pos", F.lit(1).alias("kind"), none.cast("string").alias("symbol"))
-    both = kinds.unionByName(lasts.withColumn("kind", F.lit(0))).unionByName(firsts.withColumn("kind", F.lit(2)))
-    w = W.partitionBy("seqnames").orderBy("pos", "kind")
-    back = W.partitionBy("seqnames").orderBy(F.desc("pos"), F.desc("kind"))  # a running frame; one to the end would be quadratic
+    both = kinds.unionByName(lasts.withColumn("kind", F.lit(0))).unionByName(firsts.withColumn("kind", F.lit(2))).withColumn("__block", F.floor(F.col("pos") / block))
     end, start = F.when(F.col("kind") == 0, F.struct("pos", "symbol")), F.when(F.col("kind") == 2, F.struct("pos", "symbol"))
+    edges = both.groupBy("seqnames", "__block").agg(F.max(end).alias("__e"), F.min(start).alias("__s"))
+    along = W.partitionBy("seqnames").orderBy("__block")  # a row a block
+    edges = edges.select("seqnames", "__block", F.last("__e", True).over(along.rowsBetween(W.unboundedPreceding, -1)).alias("__eb"), F.first("__s", True).over(along.rowsBetween(1, W.unboundedFollowing)).alias("__sa"))
+    w = W.partitionBy("seqnames", "__block").orderBy("pos", "kind")
+    back = W.partitionBy("seqnames", "__block").orderBy(F.desc("pos"), F.desc("kind"))  # a running frame; one to the end would be quadratic
     seen = both.withColumn("__b", F.last(end, True).over(w.rowsBetween(W.unboundedPreceding, -1))).withColumn("__a", F.last(start, True).over(back.rowsBetween(W.unboundedPreceding, -1))).where("kind = 1")
+    seen = seen.join(edges, ["seqnames", "__block"]).withColumn("__b", F.coalesce("__b", "__eb")).withColumn("__a", F.coalesce("__a", "__sa"))
     before, after = F.col("pos") - F.col("__b.pos"), F.col("__a.pos") - F.col("pos")
     near = F.when(after.isNull() | (before <= after), F.col("__b.symbol")).otherwise(F.col("__a.symbol"))
     return seen.join(held, ["seqnames", "pos"], "left").select("seqnames", "pos", F.coalesce("__held", near).alias("symbol"), F.col("__held").isNotNull().alias("inside"))
@@ -170,15 +176,38 @@ def coverage(df: DataFrame, resolution: int) -> DataFrame:
     return out.select("seqnames", "start", F.least(F.col("start") + resolution - 1, "__to").alias("end"), F.coalesce("plus", F.lit(0)).alias("plus"), F.coalesce("minus", F.lit(0)).alias("minus"))
 
 
-def random_sites(contigs: DataFrame, n: int, seed: int = 1, drop_alt: bool = True) -> DataFrame:
-    """n distinct positions, contigs in proportion to length, strands alike; the draws are Spark's, not another generator's."""
-    own = contigs.where(~F.contains("seqnames", F.lit("_"))) if drop_alt else contigs
+MAIN_CONTIGS = r"chr[0-9XY]+$"
+
+
+def random_sites(contigs: DataFrame, n: int, seed: int = 1, drop_alt: bool = True, names: list[str] | None = None) -> DataFrame:
+    """n distinct sites (seqnames, start, strand), contigs in proportion to length, strands alike.
+
+    Contigs are those of `names`, or the numbered and sex chromosomes, or all without drop_alt.  Draw i is the first 48
+    bits of the MD5 of `seed:i` modulo the positions, of which the first n distinct ones are taken; for more than half of
+    the positions, every position is drawn at its own number and the n least are taken.  Both are the same on any cluster.
+    """
+    if names is not None:
+        own = contigs.where(F.col("seqnames").isin(list(names)))
+    else:
+        own = contigs.where(F.col("seqnames").rlike(MAIN_CONTIGS)) if drop_alt else contigs
     upto = F.sum("length").over(W.orderBy("seqnames").rowsBetween(W.unboundedPreceding, W.currentRow))
     table = own.withColumn("__hi", upto).withColumn("__lo", F.col("__hi") - F.col("length"))  # a row a contig
     total = table.agg(F.max("__hi")).head()[0] or 0
     if n > total:
         raise ValueError("more sites than positions")
     spark = contigs.sparkSession
-    draws = spark.range(2 * n + 100).select((F.floor(F.rand(seed) * total)).cast("long").alias("__at"), F.when(F.rand(seed + 1) < 0.5, "+").otherwise("-").alias("strand"), F.rand(seed + 2).alias("__order"))
-    placed = draws.dropDuplicates(["__at"]).join(F.broadcast(table), (F.col("__at") >= F.col("__lo")) & (F.col("__at") < F.col("__hi")))
-    return placed.orderBy("__order").limit(n).select("seqnames", (F.col("__at") - F.col("__lo") + 1).alias("start"), "strand")
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col("id").cast("string")).cast("binary"))
+    digits = lambda a, m: F.conv(F.substring(digest, a, m), 16, 10).cast("long")
+    side = F.when(digits(13, 1) % 2 == 0, "+").otherwise("-").alias("strand")
+    if 2 * n > total:
+        placed = spark.range(total).select(F.col("id").alias("__at"), side, digest.alias("__order")).orderBy("__order", "__at").limit(n)
+    else:
+        many = 2 * n + 100
+        while True:
+            draws = spark.range(many).select("id", (digits(1, 12) % F.lit(total)).alias("__at"), side)
+            placed = draws.groupBy("__at").agg(F.min("id").alias("__order"), F.min_by("strand", "id").alias("strand")).orderBy("__order").limit(n)
+            if placed.count() == n:
+                break
+            many *= 2
+    at = placed.join(F.broadcast(table), (F.col("__at") >= F.col("__lo")) & (F.col("__at") < F.col("__hi")))
+    return at.select("seqnames", (F.col("__at") - F.col("__lo") + 1).alias("start"), "strand")

@@ -8,12 +8,12 @@ from __future__ import annotations
 
 import re
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.sequences import IUPAC, match_offsets, mismatches_at, scoring_matrix
+from ..functions.sequences import IUPAC, match_offsets, mismatches_at, pattern_places, scanner, scoring_matrix
+from .staging import ranked
 
 NAME_PATTERN = r"[\w\:\-\+]+"
 
@@ -42,11 +42,12 @@ def classify_barcodes(index_reads: DataFrame, barcodes: list[str], length: int |
     """
     cut = F.substring("seq", 1, length or max(map(len, barcodes)))
     distinct = index_reads.select(cut.alias("__s")).distinct()
-    fits = [F.when(F.size(match_offsets(F.col("__s"), b, max_mismatch)) == 1, F.lit(b)) for b in barcodes]
-    hits = F.array_compact(F.array(*fits))
+    distinct = distinct.withColumn("__m", F.transform(pattern_places(F.col("__s"), barcodes, max_mismatch), lambda m: m["pattern"]))
+    once = F.filter(F.array_distinct("__m"), lambda k: F.size(F.filter("__m", lambda x: x == k)) == 1)
+    hits = F.transform(once, lambda k: F.get(F.array(*map(F.lit, barcodes)), k))
     n = F.length("__s") - F.length(F.replace("__s", F.lit("N"), F.lit("")))
     label = F.when(n > max_n, "degenerate").when(F.size(hits) > 1, "ambiguous").when(F.size(hits) == 0, "unassigned").otherwise(F.get(hits, F.lit(0)))
-    return index_reads.withColumn("__s", cut).join(distinct.withColumn("barcode", label), "__s").drop("__s")
+    return index_reads.withColumn("__s", cut).join(distinct.select("__s", label.alias("barcode")), "__s").drop("__s")
 
 
 def assign_samples(first: DataFrame, second: DataFrame | None, manifest: DataFrame) -> DataFrame:
@@ -73,29 +74,38 @@ def pool_replicates(sample: Column) -> Column:
 
 
 def bins(reads: DataFrame, n_bins: int, level: int, order: str = "read_id") -> DataFrame:
-    """reads with `bin`: filled in order up to `level` while that fits, else n_bins even ones.
-
-    Ranks come from range partitions and their sizes, so that no task holds all reads.
-    """
+    """reads with `bin`: filled in order up to `level` while that fits, else n_bins even ones."""
     total = reads.count()
-    ranged = reads.repartitionByRange(order).withColumn("__part", F.spark_partition_id())
-    ranged = ranged.withColumn("__own", F.row_number().over(W.partitionBy("__part").orderBy(order)))
-    sizes = ranged.groupBy("__part").agg(F.count("*").alias("__n"))
-    before = sizes.withColumn("__before", F.coalesce(F.sum("__n").over(W.orderBy("__part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("__n")
-    rank = F.col("__own") + F.col("__before")
     size = F.lit(float(level) if total <= n_bins * level else total / n_bins)
-    return ranged.join(F.broadcast(before), "__part").withColumn("bin", F.ceil(rank / size).cast("int")).drop("__part", "__own", "__before")
+    return ranked(reads, [order], "__rank").withColumn("bin", F.ceil(F.col("__rank") / size).cast("int")).drop("__rank")
 
 
 def quality_trim(reads: DataFrame, k: int = 5, window: int = 10, threshold: str = "?") -> DataFrame:
     """Cuts the tail from the first base on around which k or more of 2 * round(window / 2) + 1 qualities are at or below the threshold."""
-    half = round(window / 2)
-    qs = F.transform(F.sequence(F.lit(1), F.length("qual")), lambda i: (F.ascii(F.substring("qual", i, F.lit(1))) <= ord(threshold)).cast("int"))
-    bad = lambda i: F.aggregate(F.slice("__low", F.greatest(i - half, F.lit(1)), F.least(i + half, F.length("qual")) - F.greatest(i - half, F.lit(1)) + 1), F.lit(0), lambda n, x: n + x)
-    marked = reads.withColumn("__low", F.when(F.length("qual") > 0, qs).otherwise(F.array().cast("array<int>")))
-    flags = F.when(F.size("__low") > 0, F.transform(F.sequence(F.lit(1), F.size("__low")), lambda i: bad(i) >= k)).otherwise(F.array().cast("array<boolean>"))
-    keep = marked.withColumn("__at", F.array_position(flags, True)).withColumn("__keep", F.when(F.col("__at") > 0, F.col("__at") - 1).otherwise(F.length("seq")).cast("int"))
-    return keep.withColumn("seq", F.substring("seq", F.lit(1), F.col("__keep"))).withColumn("qual", F.substring("qual", F.lit(1), F.col("__keep"))).drop("__low", "__at", "__keep")
+    half, limit = round(window / 2), ord(threshold)
+
+    @F.arrow_udf("int")
+    def first_bad(column):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        out = np.zeros(len(column), np.int32)  # 0: none
+        size = np.array(pc.fill_null(pc.binary_length(column), 0))
+        data = b"".join(x.encode("latin-1", "replace") for x in pc.fill_null(column, "").to_pylist())
+        off = np.append(0, np.cumsum(size))
+        low = np.append(0, np.cumsum(np.frombuffer(data, np.uint8) <= limit))
+        if len(data):
+            row = np.repeat(np.arange(len(size)), size)
+            at = np.arange(len(data))
+            bad = low[np.minimum(at + half + 1, off[row + 1])] - low[np.maximum(at - half, off[row])] >= k
+            rows, first = np.unique(row[bad], return_index=True)
+            out[rows] = at[bad][first] - off[rows] + 1
+        return pa.array(out)
+
+    marked = reads.withColumn("__at", first_bad("qual"))
+    keep = marked.withColumn("__keep", F.when(F.col("__at") > 0, F.col("__at") - 1).otherwise(F.length("seq")).cast("int"))
+    return keep.withColumn("seq", F.substring("seq", F.lit(1), F.col("__keep"))).withColumn("qual", F.substring("qual", F.lit(1), F.col("__keep"))).drop("__at", "__keep")
 
 
 def lead_trim(reads: DataFrame, lead: str, phasing: int = 0, max_mismatch: int = 0, collect: str | None = None) -> DataFrame:
@@ -104,14 +114,14 @@ def lead_trim(reads: DataFrame, lead: str, phasing: int = 0, max_mismatch: int =
     if "qual" in cut.columns:
         cut = cut.withColumn("qual", F.substring("qual", F.lit(phasing + 1), F.length("qual")))
     head = F.substring("seq", 1, len(lead) + 1)
+    fixed, spans = [(0, lead)], []
     if collect:
         fixed = [(m.start(), m[0]) for m in re.finditer("[ACGT]+", lead)]
         spans = [(m.start(), m[0]) for m in re.finditer("[^ACGT]+", lead)]
-        segment = lambda o: F.lit(0) + sum((mismatches_at(head, text, o + at) for at, text in fixed), F.lit(0))
-        scored = F.filter(F.transform(F.array(F.lit(1), F.lit(2)), lambda o: F.struct(o.alias("offset"), segment(o).alias("mismatch"))), lambda m: m["mismatch"] <= max_mismatch)
-    else:
-        scored = match_offsets(head, lead, max_mismatch)
-    found = cut.where(F.length("seq") > len(lead)).withColumn("__m", scored).where(F.size("__m") == 1).withColumn("__o", F.get("__m", F.lit(0))["offset"])
+    # Only two places: two sums of single tests, no array.
+    fits = [sum((mismatches_at(head, text, F.lit(o + at)) for at, text in fixed), F.lit(0)) <= max_mismatch for o in (1, 2)]
+    found = cut.where(F.length("seq") > len(lead)).withColumn("__1", fits[0]).withColumn("__2", fits[1]).where(F.col("__1") != F.col("__2"))
+    found = found.withColumn("__o", F.when(F.col("__1"), 1).otherwise(2)).drop("__1", "__2")
     if collect:
         umi = F.concat(*[F.substring("seq", F.col("__o") + at, F.lit(len(text))) for at, text in spans]) if spans else F.lit("")
         allowed = "".join(f"[{IUPAC[c]}{c}]" for _, text in spans for c in text)
@@ -119,22 +129,38 @@ def lead_trim(reads: DataFrame, lead: str, phasing: int = 0, max_mismatch: int =
     for c in ("seq", "qual"):
         if c in found.columns:
             found = found.withColumn(c, F.substring(c, F.col("__o") + len(lead), F.length(c)))
-    return found.drop("__m", "__o")
+    return found.drop("__o")
 
 
 def overread_trim(reads: DataFrame, tail: str, percent_id: float = 0.95, max_length: int = 20, min_length: int = 3) -> DataFrame:
     """Cuts a read before the first place where the tail's leading bases begin: all of them anywhere, or as many as fit before the read's end (min_length at least)."""
     pattern = tail[:max_length]
-    allowed = lambda n: int(round(n * (1 - percent_id)))  # half to even, as bround
-    starts = [F.array_min(F.transform(match_offsets(F.col("seq"), pattern, allowed(len(pattern))), lambda m: m["offset"]))]
-    for n in range(min_length, len(pattern)):
-        at = F.length("seq") - n + 1
-        starts.append(F.when((at >= 1) & (mismatches_at(F.col("seq"), pattern[:n], at) <= allowed(n)), at))
-    first = F.array_min(F.array(*starts))
-    out = reads.withColumn("__keep", F.coalesce(first - 1, F.length("seq")).cast("int")).withColumn("seq", F.substring("seq", F.lit(1), F.col("__keep")))
+    allowed = [int(round(n * (1 - percent_id))) for n in range(len(pattern) + 1)]  # half to even
+    whole = scanner([pattern], allowed[-1])
+    codes = [scanner([pattern[:n]], allowed[n]) for n in range(min_length, len(pattern))]
+
+    @F.arrow_udf("int")
+    def first_place(column):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        never = np.iinfo(np.int32).max
+        out = np.full(len(column), never, np.int64)
+        row, _, place, _ = whole(column)
+        np.minimum.at(out, row, place)
+        size = np.array(pc.fill_null(pc.binary_length(column), 0))
+        for n, scan in enumerate(codes, min_length):
+            # The read's last n bases against the tail's first n.
+            row = scan(pc.utf8_slice_codeunits(column, -n) if n else column)[0]
+            row = row[size[row] >= n]
+            out[row] = np.minimum(out[row], size[row] - n + 1)
+        return pa.array(np.where(out == never, 0, out), pa.int32())
+
+    out = reads.withColumn("__at", first_place("seq")).withColumn("__keep", F.when(F.col("__at") > 0, F.col("__at") - 1).otherwise(F.length("seq")).cast("int")).withColumn("seq", F.substring("seq", F.lit(1), F.col("__keep")))
     if "qual" in reads.columns:
         out = out.withColumn("qual", F.substring("qual", F.lit(1), F.col("__keep")))
-    return out.drop("__keep")
+    return out.drop("__at", "__keep")
 
 
 def min_length(reads: DataFrame, n: int, lead: str = "", phasing: int = 0) -> DataFrame:
@@ -185,16 +211,9 @@ def substitute(seq: Column, changes: list[str]) -> Column:
 
 
 def consolidate(reads: DataFrame, prefix: str = "seq", by: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(distinct sequences with seq_id, read_id to seq_id): ids are prefix and the sequence's lexicographic rank.
-
-    The rank is taken over distinct sequences by range partitions, not in one window.
-    """
+    """(distinct sequences with seq_id, read_id to seq_id): ids are prefix and the sequence's lexicographic rank."""
     keys = [by] if by else []
-    distinct = reads.select(*keys, "seq").distinct().repartitionByRange(*keys, "seq").withColumn("__part", F.spark_partition_id())
-    distinct = distinct.withColumn("__own", F.row_number().over(W.partitionBy("__part", *keys).orderBy("seq")))
-    sizes = distinct.groupBy(*keys, "__part").agg(F.count("*").alias("__n"))
-    before = sizes.withColumn("__before", F.coalesce(F.sum("__n").over(W.partitionBy(*keys).orderBy("__part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("__n")
-    named = distinct.join(F.broadcast(before), [*keys, "__part"]).select(*keys, "seq", F.concat(F.lit(prefix), (F.col("__own") + F.col("__before")).cast("string")).alias("seq_id"))
+    named = ranked(reads.select(*keys, "seq").distinct(), ["seq"], "__rank", keys).select(*keys, "seq", F.concat(F.lit(prefix), F.col("__rank").cast("string")).alias("seq_id"))
     return named, reads.join(named, [*keys, "seq"]).select(*keys, "read_id", "seq_id")
 
 
@@ -207,48 +226,93 @@ def alignment_filter(reads: DataFrame, refs: list[str], percent: float = 95.0, k
 
     Identity is the score over the read's length (global) or over its aligned width, of min_align bases at least (local).
     """
-    @F.pandas_udf("double")
-    def best(seqs: pd.Series) -> pd.Series:
-        return pd.Series([max((align_identity(s, r, kind, identity, min_align, gap_open, gap_extend) for r in refs), default=0.0) if s else 0.0 for s in seqs])
+    score = identity_scorer(refs, kind, identity, min_align, gap_open, gap_extend)
+
+    @F.arrow_udf("double")
+    def best(column):
+        import pyarrow as pa
+
+        return pa.array(score(column.to_pylist()))
 
     good = reads.select("seq").distinct().withColumn("__id", best("seq")).where(F.col("__id") < percent if negative else F.col("__id") >= percent).select("seq")
     return reads.join(good, "seq", "left_semi")
 
 
-_SCORES = scoring_matrix("asymmetric")
+def align_identity(read: str, ref: str, kind: str = "local", identity: str = "local", min_align: int = 20, gap_open: float = 10, gap_extend: float = 4) -> float:
+    """Percent identity of one read with one reference."""
+    return float(identity_scorer([ref], kind, identity, min_align, gap_open, gap_extend)([read])[0])
 
 
-def align_identity(read: str, ref: str, kind: str = "local", identity: str = "local", min_align: int = 20, gap_open: float = 10, gap_extend: float = 4) -> float:
-    """Percent identity of the best alignment with affine gaps.
+def identity_scorer(refs: list[str], kind: str = "local", identity: str = "local", min_align: int = 20, gap_open: float = 10, gap_extend: float = 4):
+    """A function of a list of reads: the percent identity of each with its best reference, by affine-gap alignment; 0 for empty ones.
 
     kind: global, local, overlap (free ends on both), global-local (the whole read in a part of the reference) or
-    local-global.  Each state of the dynamic programme holds (score, minus the read's first aligned base).
+    local-global.  Reads of one length go through the dynamic programme together, a row of it at a time; the state along
+    the reference's gaps is a running maximum.  A state is one number: the score in hundredths times SPAN, plus the
+    aligned width so far (less the read's place), so that the greater width wins among equal scores.
     """
-    if not read or not ref:
-        return 0.0
     free_read, free_ref = kind in ("local", "overlap", "local-global"), kind in ("local", "overlap", "global-local")
-    never = (float("-inf"), 0)
-    gap = lambda n: -(gap_open + gap_extend * n)
-    plus = lambda state, x: (state[0] + x, state[1])
-    m = [(0.0, 0)] + [(0.0, 0) if free_ref else never] * len(ref)
-    x = [never] * (len(ref) + 1)
-    y = [never] + [never if free_ref else (gap(j), 0) for j in range(1, len(ref) + 1)]
-    ends = []  # (score, width)
-    for i, a in enumerate(read, 1):
-        m2 = [(0.0, -i) if free_read else never]
-        x2 = [never if free_read else (gap(i), 0)]
-        y2 = [never]
-        for j, b in enumerate(ref, 1):
-            here = plus(max(m[j - 1], x[j - 1], y[j - 1]), _SCORES.get((a, b), 0.0))
-            m2.append(max(here, (0.0, 1 - i)) if kind == "local" else here)
-            x2.append(max(plus(max(m[j], y[j]), gap(1)), plus(x[j], -gap_extend)))
-            y2.append(max(plus(max(m2[j - 1], x2[j - 1]), gap(1)), plus(y2[j - 1], -gap_extend)))
-            last_read, last_ref = i == len(read), j == len(ref)
-            if kind == "local" or (last_read and last_ref) or (last_read and free_ref) or (last_ref and free_read):
-                score, first = max(m2[j], x2[j], y2[j])
-                ends.append((score, i + first))
-        m, x, y = m2, x2, y2
-    score, width = max(ends)
-    if identity == "global":
-        return 100.0 * max(score, 0.0) / len(read)
-    return 100.0 * score / width if width >= min_align else 0.0
+    table = scoring_matrix("asymmetric")
+    span, never = 1 << 20, -(1 << 58)
+    first, more = round(100 * (gap_open + gap_extend)) * span, round(100 * gap_extend) * span
+    letters = sorted(IUPAC)
+
+    def block(raw, ref):
+        """Best state of each read (a row of raw, as places in `letters`) with a reference."""
+        import numpy as np
+
+        n, size = raw.shape
+        along = np.arange(len(ref) + 1)[:, None] * more
+        fit = np.array([[round(100 * table.get((a, b), 0.0)) * span for b in ref] for a in letters] + [[0] * len(ref)], np.int64)
+        m = np.full((len(ref) + 1, n), 0 if free_ref else never, np.int64)
+        m[0] = 0
+        x = np.full_like(m, never)
+        y = np.full_like(m, never)
+        if not free_ref:
+            y[1:] = -(first - more) - along[1:]
+        best = np.full(n, never, np.int64)
+        for i in range(1, size + 1):
+            top = np.maximum(m, np.maximum(x, y))
+            m2, x2, y2 = np.empty_like(m), np.maximum(np.maximum(m, y) - first, x - more), np.full_like(m, never)
+            m2[0], x2[0] = (-i if free_read else never), (never if free_read else -(first - more) - i * more)
+            m2[1:] = top[:-1] + fit[raw[:, i - 1]].T
+            if kind == "local":
+                m2[1:] = np.maximum(m2[1:], 1 - i)
+            opened = np.maximum.accumulate(np.maximum(m2, x2) + along, axis=0)
+            y2[1:] = opened[:-1] - along[1:] - (first - more)
+            m, x, y = m2, x2, y2
+            if kind == "local" or i == size or free_read:
+                ends = np.maximum(m, np.maximum(x, y))[1:]
+                if not (kind == "local" or (i == size and free_ref)):
+                    ends = ends[-1:]
+                best = np.maximum(best, ends.max(0) + i)
+        return best
+
+    def score(reads):
+        import numpy as np
+
+        place = np.full(256, len(letters))
+        for k, c in enumerate(letters):
+            place[ord(c)] = k
+        out = np.zeros(len(reads))
+        by_size = {}
+        for i, read in enumerate(reads):
+            if read:
+                by_size.setdefault(len(read), []).append(i)
+        for size, rows in by_size.items():
+            for k in range(0, len(rows), 1024):
+                own = rows[k : k + 1024]
+                raw = place[np.frombuffer("".join(reads[i] for i in own).encode("latin-1", "replace"), np.uint8)].reshape(len(own), size)
+                for ref in refs:
+                    if not ref:
+                        continue
+                    state = block(raw, ref)
+                    points, width = state // span / 100, state % span
+                    if identity == "global":
+                        got = 100 * np.maximum(points, 0) / size
+                    else:
+                        got = np.where(width >= max(min_align, 1), 100 * points / np.maximum(width, 1), 0.0)
+                    out[own] = np.maximum(out[own], got)
+        return out
+
+    return score

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.sequences import match_offsets, mismatches_at, reverse_complement
+from ..functions.sequences import mismatches_at, pattern_places, reverse_complement
 
 NO_MATCH = "No_valid_match"
 
@@ -14,11 +14,22 @@ NO_MATCH = "No_valid_match"
 def site_sequences(sites: DataFrame, contigs: DataFrame, up: int = 100, down: int = 30, chunk: int = 1 << 16) -> DataFrame:
     """Distinct sites (seqnames, pos, strand) with site_seq: `up` bases before the 5' point to `down` after it along the strand, cut at contig ends.
 
-    Contigs (seqnames, seq) are split into overlapping chunks, so that a site joins some kilobases, not a chromosome.
+    Contigs (seqnames, seq) are split into overlapping chunks in one pass over each, so that a site joins some kilobases,
+    not a chromosome.
     """
     reach = up + down + 1
-    cut = F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.length("seq") - 1, F.lit(0)).cast("long"), F.lit(chunk).cast("long")))
-    chunks = contigs.select("seqnames", "seq", cut.alias("__at")).select("seqnames", F.floor(F.col("__at") / chunk).alias("__chunk"), F.col("__at"), F.substring("seq", (F.col("__at") + 1).cast("int"), F.lit(chunk + reach)).alias("__part"))
+
+    def split(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for name, seq in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                for first in range(0, len(seq or ""), 64 * chunk):  # some megabytes a batch
+                    at = list(range(first, min(len(seq), first + 64 * chunk), chunk))
+                    rows = {"seqnames": [name] * len(at), "__chunk": pa.array([x // chunk for x in at], pa.int64()), "__at": pa.array(at, pa.int64()), "__part": [seq[x : x + chunk + reach] for x in at]}
+                    yield pa.RecordBatch.from_pydict(rows)
+
+    chunks = contigs.select("seqnames", "seq").mapInArrow(split, "seqnames string, __chunk long, __at long, __part string")
     own = sites.select("seqnames", "pos", "strand").distinct()
     lo = F.when(F.col("strand") == "-", F.col("pos") - down).otherwise(F.col("pos") - up)
     own = own.withColumn("__lo", F.greatest(lo, F.lit(1))).withColumn("__n", lo + reach - F.col("__lo")).withColumn("__chunk", F.floor((F.col("__lo") - 1) / chunk))
@@ -30,16 +41,14 @@ def site_sequences(sites: DataFrame, contigs: DataFrame, up: int = 100, down: in
 def align_targets(seqs: DataFrame, targets: dict[str, str], tolerance: int = 6, column: str = "site_seq") -> DataFrame:
     """seqs exploded to (target, first, last, mismatch): every place where a target fits with at most `tolerance` mismatches, ends clamped to the sequence.
 
-    Targets are few literals: a site's matches are found in one pass over it, without a join.
+    Targets are few literals: a batch of sites is matched with all of them at once, without a join.
     """
-    size = F.length(column)
-
-    def places(name: str, text: str):
-        found = match_offsets(F.col(column), text, tolerance, first=1 - tolerance, last=size - len(text) + 1 + tolerance)
-        return F.transform(found, lambda m: F.struct(F.lit(name).alias("target"), F.greatest(m["offset"], F.lit(1)).alias("first"), F.least(m["offset"] + len(text) - 1, size).alias("last"), m["mismatch"].alias("mismatch")))
-
-    parts = [places(name, text) for name, text in targets.items()]
-    return seqs.withColumn("__m", F.explode(F.concat(*parts))).select(*seqs.columns, "__m.target", "__m.first", "__m.last", "__m.mismatch")
+    found = pattern_places(F.col(column), list(targets.values()), tolerance, beyond=tolerance)
+    names = F.array(*map(F.lit, targets))
+    size = F.array(*(F.lit(len(x)) for x in targets.values()))
+    hits = seqs.withColumn("__m", F.explode(found))
+    last = F.col("__m.offset") + F.get(size, F.col("__m.pattern")) - 1
+    return hits.select(*seqs.columns, F.get(names, F.col("__m.pattern")).alias("target"), F.greatest("__m.offset", F.lit(1)).alias("first"), F.least(last, F.length(column)).alias("last"), F.col("__m.mismatch").alias("mismatch"))
 
 
 def compare_targets(sites: DataFrame, targets: dict[str, str], profile: dict, up: int = 100, down: int = 30, tolerance: int = 6) -> DataFrame:

@@ -86,6 +86,12 @@ PAIR = f"""{FRAG}, pts AS (SELECT DISTINCT specimen, seqnames, strand, CASE WHEN
   {island_sql('edge', 'specimen, seqnames', 'pairs', 0, 'lo', 'hi')}"""
 
 
+def components_sql(links: str, node: str = "x") -> str:
+    """lab(x, r): the smallest end that each end of the links (x, y) reaches, by rounds of neighbours' minima."""
+    return f"""und AS (SELECT x, y FROM {links} UNION SELECT y, x FROM {links}),
+  lab(x, r) USING KEY (x) AS (SELECT DISTINCT x, x FROM und UNION SELECT l.x, min(u.r) FROM (SELECT und.x, n.r FROM lab n JOIN und ON n.x = und.y) u JOIN recurring.lab l ON l.x = u.x WHERE u.r < l.r GROUP BY l.x)"""
+
+
 # ---- intervals -----------------------------------------------------------------------------------
 
 
@@ -121,20 +127,21 @@ def paired_alignments(spark, d):
 
 
 @query(f"""{PAIR}, own AS (SELECT frag.*, pairs.head FROM frag JOIN pairs ON frag.specimen = pairs.specimen AND frag.seqnames = pairs.seqnames AND frag.strand = pairs.strand AND pairs.p = CASE WHEN frag.strand = '-' THEN e ELSE s END),
-  side AS (SELECT specimen, seqnames, head, strand, CASE WHEN strand = '+' THEN min(s) ELSE max(e) END AS p, count(*) AS n FROM own GROUP BY specimen, seqnames, head, strand)
-  SELECT specimen AS alt_specimen, specimen || '.' || seqnames || '.' || head AS paired_algn, seqnames, min(p) AS region_start, max(p) AS region_end, CAST(floor((min(p) + max(p)) / 2) AS BIGINT) AS mid, max(p) - min(p) AS width, CAST(sum(n) AS BIGINT) AS algns FROM side GROUP BY specimen, seqnames, head""")
+  side AS (SELECT specimen, seqnames, head, strand, CASE WHEN strand = '+' THEN min(s) ELSE max(e) END AS p, sum(l_linenumber) AS n, sum(l_partkey % 3) AS u, sum(CAST(CASE WHEN l_partkey % 4 = 0 THEN 0.5 ELSE 1 END AS DOUBLE)) AS c, count(*) AS a FROM own GROUP BY specimen, seqnames, head, strand)
+  SELECT specimen AS alt_specimen, specimen || '.' || seqnames || '.' || head AS paired_algn, seqnames, min(p) AS region_start, max(p) AS region_end, CAST(min(p) AS DOUBLE) + CAST(max(p) - min(p) AS DOUBLE) / 2 AS mid, max(p) - min(p) AS width, CAST(sum(n) AS BIGINT) AS count, CAST(sum(u) AS BIGINT) AS umitag, sum(c) AS algns, CAST(sum(a) AS BIGINT) AS abund FROM side GROUP BY specimen, seqnames, head""")
 def paired_regions(spark, d):
     own = intervals.identify_pairs(frag(spark, d), ["specimen"], 20, 10).where("paired_algn IS NOT NULL").withColumn("alt_specimen", F.col("specimen")).withColumn("abund", F.lit(1))
-    return ev.paired_regions(own).select("alt_specimen", "paired_algn", "seqnames", F.col("start").alias("region_start"), F.col("end").alias("region_end"), "mid", "width", "algns")
+    own = own.withColumn("count", F.col("l_linenumber")).withColumn("umitag", F.col("l_partkey") % 3).withColumn("contrib", F.when(F.col("l_partkey") % 4 == 0, 0.5).otherwise(1.0))
+    return ev.paired_regions(own).select("alt_specimen", "paired_algn", "seqnames", F.col("start").alias("region_start"), F.col("end").alias("region_end"), "mid", "width", "count", "umitag", "algns", "abund")
 
 
-@query(f"{FRAG}, pt AS (SELECT DISTINCT seqnames, s AS pos FROM frag WHERE l_linenumber = 1), {GENE} SELECT pt.seqnames, pos, symbol, gene.s AS gene_start FROM pt JOIN gene ON pt.seqnames = gene.seqnames AND pos BETWEEN gene.s AND gene.e")
+@query(f"{FRAG}, pt AS (SELECT DISTINCT seqnames, s AS pos FROM frag), {GENE} SELECT pt.seqnames, pos, symbol, gene.s AS gene_start FROM pt JOIN gene ON pt.seqnames = gene.seqnames AND pos BETWEEN gene.s AND gene.e")
 def interval_containment(spark, d):
-    pts = frag(spark, d).where("l_linenumber = 1").select("seqnames", F.col("start").alias("pos")).distinct()
+    pts = frag(spark, d).select("seqnames", F.col("start").alias("pos")).distinct()
     return intervals.containing(pts, genes(spark, d), "pos").select("seqnames", "pos", "symbol", F.col("start").alias("gene_start"))
 
 
-@query(f"""{FRAG}, pt AS (SELECT DISTINCT seqnames, s AS pos FROM frag WHERE l_linenumber = 1), {GENE},
+@query(f"""{FRAG}, pt AS (SELECT DISTINCT seqnames, s AS pos FROM frag), {GENE},
   held AS (SELECT pt.seqnames, pos, min(symbol) AS held FROM pt JOIN gene ON pt.seqnames = gene.seqnames AND pos BETWEEN gene.s AND gene.e GROUP BY ALL),
   lasts AS (SELECT seqnames, e, min(symbol) AS symbol FROM gene GROUP BY ALL), firsts AS (SELECT seqnames, s, min(symbol) AS symbol FROM gene GROUP BY ALL),
   b AS (SELECT pt.seqnames, pos, e, symbol FROM pt ASOF JOIN lasts ON pt.seqnames = lasts.seqnames AND pos >= lasts.e),
@@ -142,7 +149,7 @@ def interval_containment(spark, d):
   near AS (SELECT pt.seqnames, pt.pos, CASE WHEN a.s IS NULL OR pt.pos - b.e <= a.s - pt.pos THEN b.symbol ELSE a.symbol END AS near FROM pt LEFT JOIN b USING (seqnames, pos) LEFT JOIN a USING (seqnames, pos))
   SELECT near.seqnames, near.pos, coalesce(held, near) || CASE WHEN held IS NOT NULL THEN '*' ELSE '' END || CASE WHEN coalesce(held, near) IN ('Brand#11', 'Brand#23') THEN '~' ELSE '' END || CASE WHEN coalesce(held, near) IN ('Brand#23', 'Brand#45') THEN '!' ELSE '' END AS gene_id FROM near LEFT JOIN held USING (seqnames, pos)""")
 def gene_annotate(spark, d):
-    pts = frag(spark, d).where("l_linenumber = 1").select("seqnames", F.col("start").alias("pos"))
+    pts = frag(spark, d).select("seqnames", F.col("start").alias("pos"))
     return intervals.annotate_genes(pts, genes(spark, d), "pos", ["Brand#11", "Brand#23"], ["Brand#23", "Brand#45"]).select("seqnames", "pos", "gene_id")
 
 
@@ -173,19 +180,16 @@ def coverage(spark, d):
     return out.select("seqnames", F.col("start").alias("win_start"), F.col("end").alias("win_end"), "plus", "minus")
 
 
-@query()
+@query(f"""{CONTIG}, ct AS (SELECT seqnames, len, sum(len) OVER (ORDER BY seqnames) - len AS lo, sum(len) OVER (ORDER BY seqnames) AS hi FROM contig), tot AS (SELECT sum(len) AS total FROM contig),
+  draw AS (SELECT i, CAST('0x' || substr(md5('1:' || i), 1, 12) AS BIGINT) % total AS spot, CAST('0x' || substr(md5('1:' || i), 13, 1) AS BIGINT) % 2 AS side FROM (SELECT unnest(range(4000)) AS i), tot),
+  one AS (SELECT min(i) AS i, spot, arg_min(side, i) AS side FROM draw GROUP BY spot ORDER BY min(i) LIMIT 500)
+  SELECT seqnames, CAST(spot - lo + 1 AS BIGINT) AS start, CASE WHEN side = 0 THEN '+' ELSE '-' END AS strand FROM one JOIN ct ON spot >= lo AND spot < hi""")
 def random_sites(spark, d):
     return intervals.random_sites(contigs(spark, d), 500)
 
 
-@query("RECURSIVE kv AS (SELECT DISTINCT l_orderkey AS k, l_partkey AS v FROM lineitem WHERE l_orderkey % 50 = 0), hub AS (SELECT kv.k AS x, m.k AS y FROM kv JOIN (SELECT v, min(k) AS k FROM kv GROUP BY v) m USING (v)), und AS (SELECT x, y FROM hub UNION SELECT y, x FROM hub), reach(k, r) AS (SELECT x, x FROM und UNION SELECT und.y, reach.r FROM reach JOIN und ON reach.k = und.x) SELECT k, min(r) AS cluster FROM reach GROUP BY k")
+@query(f"RECURSIVE kv AS (SELECT DISTINCT l_orderkey AS k, l_partkey AS v FROM lineitem), hub AS (SELECT kv.k AS x, m.k AS y FROM kv JOIN (SELECT v, min(k) AS k FROM kv GROUP BY v) m USING (v)), {components_sql('hub')} SELECT x AS k, r AS cluster FROM lab")
 def cluster_kv(spark, d):
-    return graphs.cluster_keys(keys_of_parts(spark, d).where("k % 50 = 0"), "k", "v")
-
-
-@query()
-def cluster_kv_whole(spark, d):
-    """cluster_kv of every key."""
     return graphs.cluster_keys(keys_of_parts(spark, d), "k", "v")
 
 
@@ -193,7 +197,9 @@ def keys_of_parts(spark, d) -> DataFrame:
     return t(spark, d, "lineitem").selectExpr("l_orderkey AS k", "l_partkey AS v")
 
 
-@query()
+@query(f"""RECURSIVE {CLUSTER}, {PAIR.removeprefix(FRAG + ", ")}, own AS (SELECT clus.l_orderkey, clus.l_linenumber, clus.specimen || '|' || clus_ori || '|' || clus.head AS pile, clus.specimen || '.' || clus.seqnames || '.' || pairs.head AS pair FROM clus LEFT JOIN pairs USING (specimen, seqnames, strand, p)),
+  hub AS (SELECT DISTINCT pile AS x, min(pile) OVER (PARTITION BY coalesce(pair, 'own|' || pile)) AS y FROM own), {components_sql('hub')}
+  SELECT l_orderkey, l_linenumber, r AS locus FROM own JOIN lab ON pile = x""")
 def assign_loci(spark, d):
     return graphs.assign_loci(frag(spark, d).select("seqnames", "start", "end", "strand", "specimen", "l_orderkey", "l_linenumber"), ["specimen"], 0, 20, 10).select("l_orderkey", "l_linenumber", "locus")
 
@@ -408,9 +414,9 @@ def classify_uniq_multi_chimera(spark, d):
     return alignments.classify_pairs(keys, alignments.couple(keys, a, b, 30, 2500), a, b)
 
 
-@query("k AS (SELECT l_orderkey AS r, 'A-' || min(l_partkey) AS a, 'B-' || min(l_suppkey) AS b FROM lineitem WHERE l_linenumber < 4 GROUP BY ALL) SELECT r AS read, a AS anchor_key, b AS adrift_key, a || ':' || b AS read_pair FROM k")
+@query("k AS (SELECT l_orderkey AS r, 'A-' || min(l_partkey) AS a, 'B-' || min(l_suppkey) AS b FROM lineitem GROUP BY ALL) SELECT r AS read, a AS anchor_key, b AS adrift_key, a || ':' || b AS read_pair FROM k")
 def key_join(spark, d):
-    li = t(spark, d, "lineitem").where("l_linenumber < 4")
+    li = t(spark, d, "lineitem")
     first = lambda c, p: li.groupBy(F.col("l_orderkey").alias("readNames")).agg(F.concat(F.lit(p), F.min(c)).alias("seqID"))
     return alignments.join_keys(first("l_partkey", "A-"), first("l_suppkey", "B-"))
 
@@ -420,21 +426,14 @@ def condense_sites(spark, d):
     return alignments.condense_sites(frag(spark, d), ["specimen"])
 
 
-MULTI = f"{FRAG}, hit AS (SELECT DISTINCT CAST(l_partkey AS VARCHAR) AS rp, seqnames, strand, s, e, CASE WHEN strand = '-' THEN e ELSE s END AS pos FROM frag WHERE l_orderkey % 400 < 8)"
+MULTI = f"{FRAG}, hit AS (SELECT DISTINCT CAST(l_partkey AS VARCHAR) AS rp, seqnames, strand, s, e, CASE WHEN strand = '-' THEN e ELSE s END AS pos FROM frag)"
 
 
 @query(f"""RECURSIVE {MULTI}, {island_sql('(SELECT DISTINCT seqnames, strand, pos FROM hit)', 'seqnames, strand', gap=5, s='pos', e='pos')},
-  own AS (SELECT hit.*, isl.head FROM hit JOIN isl USING (seqnames, strand, pos)), und AS (SELECT DISTINCT a.rp AS x, b.rp AS y FROM own a JOIN own b USING (seqnames, strand, head)),
-  reach(x, r) AS (SELECT x, x FROM und UNION SELECT und.y, reach.r FROM reach JOIN und ON reach.x = und.x), cl AS (SELECT x AS rp, min(r) AS cluster FROM reach GROUP BY x),
+  own AS (SELECT hit.*, isl.head FROM hit JOIN isl USING (seqnames, strand, pos)), hub AS (SELECT DISTINCT rp AS x, min(rp) OVER (PARTITION BY seqnames, strand, head) AS y FROM own), {components_sql('hub')},
   wd AS (SELECT rp, CAST(round_even(median(e - s + 1), 0) AS BIGINT) AS width FROM hit GROUP BY rp)
-  SELECT rp AS read_pair, cluster, seqnames, strand, pos, s AS range_start, e AS range_end, width FROM own JOIN cl USING (rp) JOIN wd USING (rp)""")
+  SELECT rp AS read_pair, r AS cluster, seqnames, strand, pos, s AS range_start, e AS range_end, width FROM own JOIN lab ON rp = x JOIN wd USING (rp)""")
 def multihit_clusters(spark, d):
-    return clustered(frag(spark, d).where("l_orderkey % 400 < 8"))
-
-
-@query()
-def multihit_clusters_whole(spark, d):
-    """multihit_clusters of every fragment."""
     return clustered(frag(spark, d))
 
 
@@ -463,14 +462,8 @@ def umi_attach(spark, d):
     return alignments.attach_umis(frag(spark, d).withColumn("ID", F.col("l_partkey")), umis).select("l_orderkey", "l_linenumber", "umitag")
 
 
-@query("k AS (SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS q FROM orders WHERE o_orderkey % 2 = 0 INTERSECT SELECT DISTINCT CAST(c_custkey AS VARCHAR) FROM customer) SELECT q AS \"readNames\", q AS \"seqID\" FROM k")
+@query("k AS (SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS q FROM orders INTERSECT SELECT DISTINCT CAST(c_custkey AS VARCHAR) FROM customer) SELECT q AS \"readNames\", q AS \"seqID\" FROM k")
 def default_keys(spark, d):
-    return shared_names(t(spark, d, "orders").where("o_orderkey % 2 = 0"), t(spark, d, "customer"))
-
-
-@query()
-def default_keys_whole(spark, d):
-    """default_keys of all orders."""
     return shared_names(t(spark, d, "orders"), t(spark, d, "customer"))
 
 
@@ -484,7 +477,7 @@ def known_hits(spark, d):
     return alignments.known_hits(psl(spark, d), keys, "anchor_key").select("id", "ln")
 
 
-_SAMPAIR = f"""{FRAG}, al AS (SELECT l_orderkey % 300 AS id, l_linenumber % 2 AS side, seqnames, strand, CASE WHEN strand = '-' THEN e ELSE s END AS p FROM frag WHERE l_orderkey % 4 < 2),
+_SAMPAIR = f"""{FRAG}, al AS (SELECT l_orderkey % 300 AS id, l_linenumber % 2 AS side, seqnames, strand, CASE WHEN strand = '-' THEN e ELSE s END AS p FROM frag),
   pr AS (SELECT DISTINCT a.id, a.seqnames, a.strand, least(a.p, b.p) AS s, greatest(a.p, b.p) AS e FROM al a JOIN al b ON a.id = b.id AND a.seqnames = b.seqnames AND a.strand <> b.strand AND a.side = 1 AND b.side = 0 WHERE (CASE WHEN a.strand = '+' THEN b.p - a.p ELSE a.p - b.p END) + 1 BETWEEN 30 AND 2500)"""
 
 
@@ -495,12 +488,6 @@ def sam_pairs(fragments: DataFrame) -> DataFrame:
 
 @query(f"{_SAMPAIR} SELECT id, seqnames, strand, s AS range_start, e AS range_end FROM pr")
 def sam_pair_expansion(spark, d):
-    return expanded(frag(spark, d).where("l_orderkey % 4 < 2"))
-
-
-@query()
-def sam_pair_expansion_whole(spark, d):
-    """sam_pair_expansion of every fragment."""
     return expanded(frag(spark, d))
 
 
@@ -510,12 +497,6 @@ def expanded(fragments: DataFrame) -> DataFrame:
 
 @query(f"{_SAMPAIR} SELECT id, s AS range_start, e AS range_end, seqnames, strand, CASE WHEN count(*) OVER (PARTITION BY id) = 1 THEN 'unique' ELSE 'multihit' END AS class FROM pr")
 def sam_unique_multihit(spark, d):
-    return split(frag(spark, d).where("l_orderkey % 4 < 2"))
-
-
-@query()
-def sam_unique_multihit_whole(spark, d):
-    """sam_unique_multihit of every fragment."""
     return split(frag(spark, d))
 
 
@@ -566,15 +547,8 @@ def edit_site(spark, d):
     return tg.compare_targets(sites, TARGETS, PROFILE, 20, 11, 1).select("seqnames", "pos", "strand", "target_match", "target_mismatch", "aligned_sequence", "edit_site")
 
 
-@query(f"{READ}, con AS (SELECT 'chr' || (id % 5) AS seqnames, string_agg(seq, '' ORDER BY id) AS dna FROM reads WHERE id % 100 < 5 GROUP BY ALL), pt AS (SELECT DISTINCT 'chr' || (id % 5) AS seqnames, id % 700 + 1 AS pos, CASE WHEN cust % 2 = 0 THEN '+' ELSE '-' END AS strand FROM reads), w AS (SELECT pt.*, CASE WHEN strand = '-' THEN pos - 8 ELSE pos - 20 END AS lo, dna FROM pt JOIN con USING (seqnames)), c AS (SELECT *, substr(dna, CAST(greatest(lo, 1) AS BIGINT), CAST(lo + 29 - greatest(lo, 1) AS BIGINT)) AS x FROM w WHERE greatest(lo, 1) <= length(dna)) SELECT seqnames, pos, strand, CASE WHEN strand = '-' THEN reverse(translate(x, 'ACGT', 'TGCA')) ELSE x END AS site_seq FROM c")
+@query(f"{READ}, con AS (SELECT 'chr' || (id % 5) AS seqnames, string_agg(seq, '' ORDER BY id) AS dna FROM reads GROUP BY ALL), pt AS (SELECT DISTINCT 'chr' || (id % 5) AS seqnames, id % 700 + 1 AS pos, CASE WHEN cust % 2 = 0 THEN '+' ELSE '-' END AS strand FROM reads), w AS (SELECT pt.*, CASE WHEN strand = '-' THEN pos - 8 ELSE pos - 20 END AS lo, dna FROM pt JOIN con USING (seqnames)), c AS (SELECT *, substr(dna, CAST(greatest(lo, 1) AS BIGINT), CAST(lo + 29 - greatest(lo, 1) AS BIGINT)) AS x FROM w WHERE greatest(lo, 1) <= length(dna)) SELECT seqnames, pos, strand, CASE WHEN strand = '-' THEN reverse(translate(x, 'ACGT', 'TGCA')) ELSE x END AS site_seq FROM c")
 def site_sequences(spark, d):
-    r = reads(spark, d)
-    return flanks(r, r.where("read_id % 100 < 5"))
-
-
-@query()
-def site_sequences_whole(spark, d):
-    """site_sequences on contigs of all reads."""
     r = reads(spark, d)
     return flanks(r, r)
 
@@ -656,7 +630,7 @@ def target_pam_table(spark, d):
 
 
 ALG = f"""{CLUSTER}, alg AS (SELECT specimen AS alt_specimen, samplename, seqnames, strand, s, e, clus_ori, l_orderkey, l_linenumber, CASE WHEN l_partkey % 5 = 0 THEN 'pair' || (l_partkey % 50) END AS paired_algn, CASE l_partkey % 4 WHEN 0 THEN 'T1:(sense)' WHEN 1 THEN 'T2:(antisense)' ELSE 'No_valid_match' END AS target_match,
-  l_partkey % 7 AS mm, 'ACGT' || (l_partkey % 3) AS aligned_sequence, seqnames || ':' || strand || ':' || (l_partkey % 40) AS edit_site, CAST(1 + l_linenumber % 3 AS BIGINT) AS abund FROM clus),
+  l_partkey % 7 AS mm, 'ACGT' || (l_partkey % 3) AS aligned_sequence, seqnames || ':' || strand || ':' || (l_partkey % 40) AS edit_site, CAST(1 + l_linenumber % 3 AS BIGINT) AS abund, CAST(2 + l_linenumber % 5 AS BIGINT) AS count, CAST(l_partkey % 3 AS BIGINT) AS umitag, CAST(CASE WHEN l_partkey % 4 = 0 THEN 0.5 ELSE 1 END AS DOUBLE) AS contrib FROM clus),
   piles AS (SELECT DISTINCT clus_ori FROM (SELECT alt_specimen, clus_ori FROM alg GROUP BY ALL HAVING count(*) >= 3)),
   onp AS (SELECT 'chr1:+:' || unnest(range(5, 9)) AS p UNION ALL SELECT unnest(['chr2:+:7', 'chr2:-:7'])),
   cri AS (SELECT alg.*, clus_ori IN (SELECT clus_ori FROM piles) AS is_pileup, paired_algn IS NOT NULL AS is_paired, target_match <> 'No_valid_match' AS is_matched, CASE WHEN edit_site IN (SELECT p FROM onp) THEN 'On-target' ELSE 'Off-target' END AS on_off FROM alg)"""
@@ -664,7 +638,7 @@ ALG = f"""{CLUSTER}, alg AS (SELECT specimen AS alt_specimen, samplename, seqnam
 
 def algnmts(spark, d):
     own = intervals.pileup_clusters(frag(spark, d), ["specimen"])
-    return own.select(F.col("specimen").alias("alt_specimen"), "specimen", "sampleName", "seqnames", "strand", "start", "end", "clus_ori", "l_orderkey", "l_linenumber", F.when(F.col("l_partkey") % 5 == 0, F.concat(F.lit("pair"), F.col("l_partkey") % 50)).alias("paired_algn"), F.when(F.col("l_partkey") % 4 == 0, "T1:(sense)").when(F.col("l_partkey") % 4 == 1, "T2:(antisense)").otherwise("No_valid_match").alias("target_match"), (F.col("l_partkey") % 7).alias("target_mismatch"), F.concat(F.lit("ACGT"), F.col("l_partkey") % 3).alias("aligned_sequence"), F.concat_ws(":", "seqnames", "strand", F.col("l_partkey") % 40).alias("edit_site"), (1 + F.col("l_linenumber") % 3).cast("long").alias("abund")).withColumn("count", F.col("abund")).withColumn("umitag", F.lit(0))
+    return own.select(F.col("specimen").alias("alt_specimen"), "specimen", "sampleName", "seqnames", "strand", "start", "end", "clus_ori", "l_orderkey", "l_linenumber", F.when(F.col("l_partkey") % 5 == 0, F.concat(F.lit("pair"), F.col("l_partkey") % 50)).alias("paired_algn"), F.when(F.col("l_partkey") % 4 == 0, "T1:(sense)").when(F.col("l_partkey") % 4 == 1, "T2:(antisense)").otherwise("No_valid_match").alias("target_match"), (F.col("l_partkey") % 7).alias("target_mismatch"), F.concat(F.lit("ACGT"), F.col("l_partkey") % 3).alias("aligned_sequence"), F.concat_ws(":", "seqnames", "strand", F.col("l_partkey") % 40).alias("edit_site"), (1 + F.col("l_linenumber") % 3).cast("long").alias("abund"), (2 + F.col("l_linenumber") % 5).cast("long").alias("count"), (F.col("l_partkey") % 3).alias("umitag"), F.when(F.col("l_partkey") % 4 == 0, 0.5).otherwise(1.0).alias("contrib"))
 
 
 def flagged(spark, d):
@@ -682,14 +656,14 @@ def on_off_target(spark, d):
     return flagged(spark, d).select("l_orderkey", "l_linenumber", "on_off_target")
 
 
-@query(f"{ALG} SELECT alt_specimen, clus_ori, string_agg(DISTINCT on_off, ';' ORDER BY on_off) AS on_off_target, CAST(sum(abund) AS BIGINT) AS abund, CAST(count(*) AS BIGINT) AS algns FROM cri WHERE is_pileup GROUP BY ALL")
+@query(f"{ALG} SELECT alt_specimen, clus_ori, string_agg(DISTINCT on_off, ';' ORDER BY on_off) AS on_off_target, coalesce(string_agg(DISTINCT paired_algn, ';' ORDER BY paired_algn), '') AS paired_algn, CAST(sum(count) AS BIGINT) AS count, CAST(sum(umitag) AS BIGINT) AS umitag, sum(contrib) AS algns, CAST(sum(abund) AS BIGINT) AS abund FROM cri WHERE is_pileup GROUP BY ALL")
 def pileup_summary(spark, d):
     return ev.pileup_summary(flagged(spark, d).where("is_pileup"))
 
 
-@query(f"{ALG} SELECT alt_specimen, edit_site, aligned_sequence, regexp_replace(target_match, ':\\((sense|antisense)\\)$', '') AS target_match, mm AS target_mismatch, string_agg(DISTINCT on_off, ';' ORDER BY on_off) AS on_off_target, coalesce(string_agg(DISTINCT paired_algn, ';' ORDER BY paired_algn), '') AS paired_algn, CAST(sum(abund) AS BIGINT) AS abund, CAST(count(*) AS BIGINT) AS algns FROM cri WHERE is_matched GROUP BY ALL")
+@query(f"{ALG} SELECT alt_specimen, edit_site, aligned_sequence, regexp_replace(target_match, ':\\((sense|antisense)\\)$', '') AS target_match, mm AS target_mismatch, string_agg(DISTINCT on_off, ';' ORDER BY on_off) AS on_off_target, coalesce(string_agg(DISTINCT paired_algn, ';' ORDER BY paired_algn), '') AS paired_algn, CAST(sum(count) AS BIGINT) AS count, CAST(sum(umitag) AS BIGINT) AS umitag, sum(contrib) AS algns, CAST(sum(abund) AS BIGINT) AS abund, string_agg(DISTINCT strand, ';' ORDER BY strand) AS orient FROM cri WHERE is_matched GROUP BY ALL")
 def matched_summary(spark, d):
-    return ev.matched_summary(flagged(spark, d).where("is_matched")).drop("count", "umitag")
+    return ev.matched_summary(flagged(spark, d).where("is_matched"))
 
 
 @query(f"""{ALG}, side AS (SELECT alt_specimen, paired_algn, seqnames, strand, CASE WHEN strand = '+' THEN min(s) ELSE max(e) END AS p FROM cri WHERE is_paired GROUP BY alt_specimen, paired_algn, seqnames, strand), reg AS (SELECT alt_specimen, paired_algn, seqnames, min(p) AS a, max(p) AS z FROM side GROUP BY ALL),
@@ -705,16 +679,22 @@ def ontarget_pct(spark, d):
     return ev.on_target_percent(flagged(spark, d).where("probable"), ["alt_specimen"]).withColumn("pct", F.round("pct", 6))
 
 
-@query(f"{ALG} SELECT alt_specimen, CAST(count(DISTINCT CASE WHEN on_off <> 'On-target' THEN clus_ori END) AS BIGINT) AS n_off FROM cri WHERE is_pileup GROUP BY ALL")
+@query(f"{ALG}, site AS (SELECT DISTINCT alt_specimen, edit_site, aligned_sequence, regexp_replace(target_match, ':.*', '') AS t, mm, on_off FROM cri WHERE is_matched), n AS (SELECT alt_specimen, count(*) AS n FROM site WHERE on_off = 'Off-target' GROUP BY ALL) SELECT alt_specimen, CAST(count(DISTINCT clus_ori) AS BIGINT) AS n_pile, n AS n_match FROM cri LEFT JOIN n USING (alt_specimen) WHERE is_pileup AND on_off = 'Off-target' GROUP BY ALL")
 def offtarget_counts(spark, d):
-    return ev.off_target_counts(flagged(spark, d).where("is_pileup"), ["alt_specimen"])
+    f = flagged(spark, d)
+    matched = ev.matched_summary(f.where("is_matched"))
+    return ev.off_target_counts(f.where("is_pileup"), ["alt_specimen"], "n_pile").join(ev.off_target_rows(matched, ["alt_specimen"], "n_match"), "alt_specimen", "left")
 
 
-@query(f"{ALG}, w AS (SELECT alt_specimen, sum(CASE WHEN target_match LIKE 'T1%' THEN abund ELSE 0 END) AS a, sum(CASE WHEN target_match LIKE 'T2%' THEN abund ELSE 0 END) AS b FROM cri WHERE is_matched GROUP BY ALL) SELECT alt_specimen, round(100.0 * a / (a + b), 6) AS \"T1\", round(100.0 * b / (a + b), 6) AS \"T2\" FROM w")
+_EFF = f"""{ALG}, eff AS (SELECT alt_specimen, regexp_replace(target_match, ':.*', '') AS t, 100.0 * CAST(sum(CASE WHEN on_off = 'On-target' THEN abund ELSE 0 END) AS DOUBLE) / sum(abund) AS p FROM cri WHERE is_matched GROUP BY ALL),
+  wide AS (SELECT alt_specimen, max(p) FILTER (t = 'T1') AS a, max(p) FILTER (t = 'T2') AS b FROM eff GROUP BY ALL)"""
+
+
+@query(f'{_EFF} SELECT alt_specimen, round(a, 6) AS "T1", round(b, 6) AS "T2", CAST(NULL AS DOUBLE) AS "T9" FROM wide')
 def efficiency_pivot(spark, d):
-    own = flagged(spark, d).where("is_matched").withColumn("target", F.substring("target_match", 1, 2))
-    out = ev.efficiency_pivot(own, ["T1", "T2"])
-    return out.select("alt_specimen", F.round("T1", 6).alias("T1"), F.round("T2", 6).alias("T2"))
+    """On-target share of each target's own abundance; T9 has none."""
+    out = ev.efficiency_pivot(ev.matched_summary(flagged(spark, d).where("is_matched")), ["T1", "T2", "T9"])
+    return out.select("alt_specimen", *(F.round(t, 6).alias(t) for t in ("T1", "T2", "T9")))
 
 
 @query(f"{ALG}, w AS (SELECT samplename, sum(abund) AS a, sum(CASE WHEN is_pileup THEN abund ELSE 0 END) AS b, sum(CASE WHEN is_paired THEN abund ELSE 0 END) AS c, sum(CASE WHEN is_matched THEN abund ELSE 0 END) AS m, sum(CASE WHEN is_pileup OR is_paired OR is_matched THEN abund ELSE 0 END) AS p FROM cri GROUP BY ALL) SELECT samplename AS sample, unnest(['all', 'is_pileup', 'is_paired', 'is_matched', 'probable']) AS metric, CAST(unnest([a, b, c, m, p]) AS BIGINT) AS count FROM w")
@@ -722,15 +702,8 @@ def eval_stats(spark, d):
     return ev.criteria_stats(flagged(spark, d)).withColumnRenamed("sampleName", "sample")
 
 
-@query(f"{FRAG}, st AS (SELECT samplename, 'm' || (l_partkey % 3) AS metric, count(*) AS n FROM frag WHERE l_orderkey % 200 = 0 GROUP BY ALL), g AS (SELECT DISTINCT samplename, unnest(['m0', 'm1', 'm2', 'm3']) AS metric FROM frag) SELECT g.samplename AS sample, g.metric, CAST(coalesce(n, 0) AS BIGINT) AS count FROM g LEFT JOIN st USING (samplename, metric)")
+@query(f"{FRAG}, st AS (SELECT samplename, 'm' || (l_partkey % 3) AS metric, count(*) AS n FROM frag GROUP BY ALL), g AS (SELECT DISTINCT samplename, unnest(['m0', 'm1', 'm2', 'm3']) AS metric FROM frag) SELECT g.samplename AS sample, g.metric, CAST(coalesce(n, 0) AS BIGINT) AS count FROM g LEFT JOIN st USING (samplename, metric)")
 def eval_stats_complete(spark, d):
-    f = frag(spark, d)
-    return completed(f, f.where("l_orderkey % 200 = 0"))
-
-
-@query()
-def eval_stats_complete_whole(spark, d):
-    """eval_stats_complete with the counts of every fragment."""
     f = frag(spark, d)
     return completed(f, f)
 
@@ -752,22 +725,24 @@ def sample_list(spark, d):
     return ev.sample_list(frag(spark, d).select("sampleName").distinct(), support=support)
 
 
-@query(f"{ALG}, first AS (SELECT specimen, min(alt) AS alt FROM (SELECT alt_specimen AS specimen, alt_specimen || CASE WHEN l_orderkey % 2 = 0 THEN '(A)' ELSE '(B)' END AS alt FROM alg) GROUP BY ALL) SELECT alt_specimen AS specimen, CAST(sum(abund) AS BIGINT) AS reads, CAST(count(*) AS BIGINT) AS algns FROM alg JOIN first ON specimen = alt_specimen AND alt = alt_specimen || CASE WHEN l_orderkey % 2 = 0 THEN '(A)' ELSE '(B)' END GROUP BY ALL")
+@query(f"{ALG}, first AS (SELECT specimen, min(alt) AS alt FROM (SELECT alt_specimen AS specimen, alt_specimen || CASE WHEN l_orderkey % 2 = 0 THEN '(A)' ELSE '(B)' END AS alt FROM alg) GROUP BY ALL) SELECT alt_specimen AS specimen, CAST(sum(count) AS BIGINT) AS reads, CAST(sum(umitag) AS BIGINT) AS umitags, sum(contrib) AS algns FROM alg JOIN first ON specimen = alt_specimen AND alt = alt_specimen || CASE WHEN l_orderkey % 2 = 0 THEN '(A)' ELSE '(B)' END GROUP BY ALL")
 def specimen_totals(spark, d):
     own = algnmts(spark, d).withColumn("alt_specimen", F.concat("specimen", F.when(F.col("l_orderkey") % 2 == 0, "(A)").otherwise("(B)")))
-    return ev.specimen_totals(own).select("specimen", "reads", "algns")
+    return ev.specimen_totals(own).select("specimen", "reads", "umitags", "algns")
 
 
-DIST = f"{FRAG}, ds AS (SELECT specimen AS annotation, strand, CAST(l_partkey % 61 - 30 AS BIGINT) AS dist, seqnames AS edit_site, CAST(1 + l_linenumber % 3 AS BIGINT) AS abund FROM frag)"
+DIST = f"{FRAG}, ds AS (SELECT specimen AS annotation, 'T' || (l_partkey % 3) AS target, strand, CASE WHEN strand = '+' THEN s - (s + l_partkey % 61 - 30) ELSE e - (e + l_partkey % 61 - 30) END AS dist, seqnames AS edit_site, CAST(1 + l_linenumber % 3 AS BIGINT) AS abund FROM frag)"
 
 
 def distances(spark, d):
-    return frag(spark, d).select(F.col("specimen").alias("annotation"), "strand", (F.col("l_partkey") % 61 - 30).alias("dist"), F.col("seqnames").alias("edit_site"), (1 + F.col("l_linenumber") % 3).cast("long").alias("abund"))
+    """Alignments with cuts -30 to 30 from their own 5' points."""
+    cut = F.when(F.col("strand") == "+", F.col("start")).otherwise(F.col("end")) + F.col("l_partkey") % 61 - 30
+    return frag(spark, d).select(F.col("specimen").alias("annotation"), F.concat(F.lit("T"), F.col("l_partkey") % 3).alias("target"), "strand", ev.edit_distance(F.col("start"), F.col("end"), cut, F.col("strand")).alias("dist"), F.col("seqnames").alias("edit_site"), (1 + F.col("l_linenumber") % 3).cast("long").alias("abund"))
 
 
-@query(f"{DIST} SELECT annotation, strand, dist, CAST(sum(abund) AS BIGINT) AS count, round(log10(sum(abund)) * CASE WHEN strand = '-' THEN -1 ELSE 1 END, 6) AS log_count FROM ds WHERE abs(dist) <= 25 GROUP BY annotation, strand, dist")
+@query(f"{DIST} SELECT annotation, target, strand, dist, CAST(sum(abund) AS BIGINT) AS count, round(log10(sum(abund)) * CASE WHEN strand = '-' THEN -1 ELSE 1 END, 6) AS log_count FROM ds GROUP BY annotation, target, strand, dist")
 def distance_hist(spark, d):
-    return ev.distance_histogram(distances(spark, d), ["annotation"], 25).withColumn("log_count", F.round("log_count", 6))
+    return ev.distance_histogram(distances(spark, d), ["annotation", "target"]).withColumn("log_count", F.round("log_count", 6))
 
 
 KDE = f"{DIST}, cnt AS (SELECT annotation, abs(dist) AS v, count(*) AS n FROM ds GROUP BY ALL), tot AS (SELECT annotation, sum(n) AS total FROM cnt GROUP BY ALL HAVING sum(n) >= 10), grid AS (SELECT CAST(unnest(range(0, 512)) AS INTEGER) AS idx), kde AS (SELECT annotation, idx, idx * 100.0 / 511 AS x, sum(n * exp(-power(idx * CAST(100 AS DOUBLE) / 511 - v, 2) / 2)) / total / sqrt(2 * pi()) AS y FROM cnt JOIN tot USING (annotation), grid GROUP BY annotation, idx, total)"
@@ -794,9 +769,9 @@ def max_edit_likelihood(spark, d):
     return ev.max_likelihood(own, ev.density_grid(own, ["annotation"]), ["annotation"], ["edit_site"]).withColumn("MESL", F.round("MESL", 5))
 
 
-@query(f"{DIST} SELECT annotation, round(100.0 * sum(CASE WHEN dist BETWEEN -20 AND 10 THEN abund ELSE 0 END) / sum(abund), 6) AS pct_incl FROM ds GROUP BY ALL")
+@query(f"{DIST} SELECT annotation, target, round(100.0 * sum(CASE WHEN abs(dist) <= 20 THEN abund ELSE 0 END) / sum(abund), 6) AS pct_incl FROM ds GROUP BY ALL")
 def inclusion(spark, d):
-    return ev.inclusion(distances(spark, d), ["annotation"], 20, 10).withColumn("pct_incl", F.round("pct_incl", 6))
+    return ev.inclusion(distances(spark, d), ["annotation", "target"], 20).withColumn("pct_incl", F.round("pct_incl", 6))
 
 
 @query(f"{DIST}, w AS (SELECT annotation, dist, sum(abund) AS w FROM ds GROUP BY ALL), c AS (SELECT annotation, dist, sum(w) OVER (PARTITION BY annotation ORDER BY dist ROWS UNBOUNDED PRECEDING) / sum(w) OVER (PARTITION BY annotation) AS c FROM w) SELECT annotation, min(dist) FILTER (c >= 0.25) AS q25, min(dist) FILTER (c >= 0.5) AS q50, min(dist) FILTER (c >= 0.95) AS q95 FROM c GROUP BY ALL")
@@ -810,11 +785,11 @@ def top_offtargets(spark, d):
     return ev.top_per_condition(own, ["alt_specimen"], [F.desc("abund"), "clus_ori"]).select("alt_specimen", "clus_ori", "abund", "rank")
 
 
-@query(f"{ALG}, off AS (SELECT alt_specimen AS annotation, regexp_replace(target_match, ':.*', '') AS target_match, edit_site, aligned_sequence, mm, abund FROM cri WHERE is_matched AND on_off = 'Off-target') SELECT annotation, target_match, edit_site, 'g' AS gene_id, aligned_sequence, CAST(min(mm) AS BIGINT) AS mismatch, CAST(sum(abund) AS BIGINT) AS abund, round(max(length(edit_site) * CAST(1.5 AS DOUBLE)), 3) AS \"MESL\" FROM off GROUP BY ALL")
+@query(f"{ALG} SELECT alt_specimen AS annotation, regexp_replace(target_match, ':.*', '') AS target_seq, edit_site, aligned_sequence, mm AS mismatch, substr(on_off, 1, CAST(strpos(on_off, '-') - 1 AS BIGINT)) AS target, 'g' AS gene_id, CAST(sum(abund) AS BIGINT) AS abund, length(edit_site) * CAST(1.5 AS DOUBLE) AS \"MESL\" FROM cri WHERE is_matched GROUP BY ALL")
 def offtarget_sequences(spark, d):
-    own = flagged(spark, d).where("is_matched").withColumn("annotation", F.col("alt_specimen")).withColumn("gene_id", F.lit("g")).withColumn("target_match", F.regexp_replace("target_match", ":.*", ""))
-    mesl = own.select("annotation", "edit_site").distinct().withColumn("MESL", F.length("edit_site") * F.lit(1.5))
-    return ev.off_target_sequences(own, mesl).withColumn("MESL", F.round("MESL", 3))
+    own = ev.matched_summary(flagged(spark, d).where("is_matched")).withColumn("annotation", F.col("alt_specimen")).withColumn("gene_id", F.lit("g"))
+    mesl = own.select("annotation", "edit_site", "gene_id").distinct().withColumn("MESL", F.length("edit_site") * F.lit(1.5))
+    return ev.off_target_sequences(own, mesl)
 
 
 @query("own AS (SELECT DISTINCT p_size % 6 AS grp, p_brand AS symbol FROM part), o AS (SELECT DISTINCT p_brand AS symbol FROM part WHERE p_type LIKE 'S%' AND p_size < 10), s AS (SELECT DISTINCT p_brand AS symbol FROM part WHERE p_partkey % 50 = 0) SELECT grp, CAST(count(*) AS BIGINT) AS total, CAST(count(o.symbol) AS BIGINT) AS onco, CAST(count(s.symbol) AS BIGINT) AS special FROM own LEFT JOIN o USING (symbol) LEFT JOIN s USING (symbol) GROUP BY grp")
@@ -823,7 +798,13 @@ def enrichment_counts(spark, d):
     return ev.enrichment_counts(p.select((F.col("p_size") % 6).alias("grp"), F.col("p_brand").alias("symbol")), p.where("p_type LIKE 'S%' AND p_size < 10").select(F.col("p_brand").alias("symbol")), p.where("p_partkey % 50 = 0").select(F.col("p_brand").alias("symbol")), ["grp"])
 
 
-@query()
+@query("""own AS (SELECT DISTINCT p_size % 6 AS grp, p_brand AS symbol FROM part), o AS (SELECT DISTINCT p_brand AS symbol FROM part WHERE p_type LIKE 'S%' AND p_size < 10),
+  n AS (SELECT grp, count(*) AS total, count(o.symbol) AS onco FROM own LEFT JOIN o USING (symbol) GROUP BY grp), base AS (SELECT onco AS c, total - onco AS d FROM n ORDER BY grp LIMIT 1),
+  tab AS (SELECT grp, total, onco, total AS r, onco + c AS k, total + c + d AS t, onco AS a FROM n, base), x AS (SELECT *, unnest(range(greatest(0, r + k - t), least(r, k) + 1)) AS i FROM tab),
+  lp AS (SELECT *, lgamma(k + 1) - lgamma(i + 1) - lgamma(k - i + 1) + lgamma(t - k + 1) - lgamma(r - i + 1) - lgamma(t - k - r + i + 1) - lgamma(t + 1) + lgamma(r + 1) + lgamma(t - r + 1) AS l FROM x),
+  p AS (SELECT grp, total, onco, least(1.0, sum(exp(l)) FILTER (l <= mine + 1e-7)) AS p FROM (SELECT *, max(CASE WHEN i = a THEN l END) OVER (PARTITION BY grp) AS mine FROM lp) GROUP BY ALL),
+  rk AS (SELECT *, row_number() OVER (ORDER BY p, grp) AS rank, count(*) OVER () AS m FROM p)
+  SELECT CAST(grp AS INTEGER) AS grp, CAST(total AS BIGINT) AS total, CAST(onco AS BIGINT) AS onco, round(CAST(p AS DOUBLE), 9) AS onco_p, round(CAST(least(1.0, min(p * m / rank) OVER (ORDER BY rank DESC)) AS DOUBLE), 9) AS onco_adj_p FROM rk""")
 def enrichment_tests(spark, d):
     rows = [r.asDict() for r in enrichment_counts(spark, d).orderBy("grp").collect()]
     return spark.createDataFrame([(r["grp"], r["total"], r["onco"], round(r["onco_p"], 9), round(r["onco_adj_p"], 9)) for r in ev.enrichment_tests(rows)], "grp int, total long, onco long, onco_p double, onco_adj_p double")
@@ -844,7 +825,7 @@ def run_union(spark, d):
     return ev.run_union({"r0": li.where("l_orderkey % 2 = 0"), "r1": li.where("l_orderkey % 2 = 1")}, {"r0": "1", "r1": "1"})
 
 
-@query("w AS (SELECT l_returnflag AS specimen, l_linenumber, avg(l_discount) * 1000 AS p FROM lineitem GROUP BY ALL), m AS (SELECT specimen, min(p) AS lo, max(p) AS hi FROM w GROUP BY ALL) SELECT specimen, CASE WHEN round_even(lo, 1) = round_even(hi, 1) THEN printf('%.1f%%', lo) ELSE printf('%.1f%% - %.1f%%', lo, hi) END AS efficiency FROM m")
+@query("w AS (SELECT l_returnflag AS specimen, l_linenumber, avg(l_discount) * 1000 AS p FROM lineitem GROUP BY ALL), m AS (SELECT specimen, min(p) AS lo, max(p) AS hi FROM w GROUP BY ALL) SELECT specimen, CASE WHEN round_even(lo, 1) = round_even(hi, 1) THEN printf('%.1f%%', hi) ELSE printf('%.1f - %.1f%%', lo, hi) END AS efficiency FROM m")
 def efficiency_range(spark, d):
     w = t(spark, d, "lineitem").groupBy(F.col("l_returnflag").alias("specimen"), "l_linenumber").agg((F.avg("l_discount") * 1000).alias("p"))
     m = w.groupBy("specimen").agg(F.min("p").alias("lo"), F.max("p").alias("hi"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +34,25 @@ def table(df: DataFrame, path: str) -> None:
         out.option("header", True).option("sep", "\t" if path.endswith(".tsv") else ",").csv(path)
 
 
+def one_csv(frames: list[DataFrame], path: str) -> None:
+    """The rows of all frames, by column name, as one CSV file with one header; the driver writes it, a partition at a time."""
+    import csv
+
+    every = frames[0]
+    for df in frames[1:]:
+        every = every.unionByName(df, allowMissingColumns=True)
+    os.makedirs(os.path.dirname(os.path.abspath(path)), exist_ok=True)
+    with open(path, "w", newline="") as f:
+        out = csv.writer(f)
+        out.writerow(every.columns)
+        out.writerows(["" if v is None else v for v in r] for r in every.toLocalIterator())
+
+
+def empty(schema: str, path: str, spark: SparkSession) -> None:
+    """A table without rows that has its columns: what a stage leaves that has nothing to do."""
+    table(spark.createDataFrame([], schema).coalesce(1), path)
+
+
 def tables(frames: dict[str, DataFrame], folder: str, extension: str = "parquet") -> None:
     for name, df in frames.items():
         table(df, f"{folder}/{name}.{extension}")
@@ -84,8 +104,15 @@ def html_table(df: DataFrame, title: str, limit: int = SHOWN) -> str:
     return f"<h2>{html.escape(title)}</h2><table><tr>{head}</tr>" + "".join("<tr>" + "".join(map(cell, r)) + "</tr>" for r in rows) + "</table>" + (f"<p>{more}</p>" if more else "")
 
 
-def report(frames: dict[str, DataFrame], path: str, kind: str = "txt") -> None:
-    """The tables as one text or HTML file on the driver; each says how many of its rows the report leaves out."""
+def report(frames: dict[str, DataFrame], path: str, kind: str = "txt", whole: str | None = None) -> None:
+    """The tables as one text or HTML file on the driver; each says how many of its rows the report leaves out.
+
+    `whole` names a folder for every table as CSV with all of its rows.
+    """
+    if whole:
+        for name, df in frames.items():
+            plain = [F.concat_ws(";", c) if t.startswith("array") else F.col(c) for c, t in df.dtypes]
+            table(df.select(*(e.alias(c) for e, c in zip(plain, df.columns))), f"{whole}/{re.sub(r'[^A-Za-z0-9]+', '_', name).strip('_')}.csv")
     body = "\n".join((html_table if kind == "html" else text_table)(df, name) for name, df in frames.items())
     os.makedirs(os.path.dirname(os.path.abspath(path)), exist_ok=True)
     with open(path, "w") as f:

@@ -50,7 +50,7 @@ def test_clusters_of_every_key(spark, folder):
     least = {}
     for k, *_ in sorted(LINES):
         least.setdefault(named["k", k], k)
-    got = [tuple(r) for r in contract.queries()["cluster_kv_whole"](spark, folder).select("k", "cluster").collect()]
+    got = [tuple(r) for r in contract.queries()["cluster_kv"](spark, folder).select("k", "cluster").collect()]
     assert sorted(got) == sorted({(k, least[named["k", k]]) for k, *_ in LINES})
 
 
@@ -75,7 +75,7 @@ def test_multihit_clusters_of_every_fragment(spark, folder):
         least.setdefault(named["pair", v], v)
         widths[v].append(e - s + 1)
     want = {(v, least[named["pair", v]], c, strand, p, s, e, round(median(widths[v]))) for v, c, strand, s, e, p in hits}
-    got = [tuple(r) for r in contract.queries()["multihit_clusters_whole"](spark, folder).collect()]
+    got = [tuple(r) for r in contract.queries()["multihit_clusters"](spark, folder).collect()]
     assert len(got) == len(want) and set(got) == want
 
 
@@ -88,21 +88,21 @@ def test_sam_pairs_of_every_fragment(spark, folder):
             for other, facing, q in ends:
                 if side == 1 and other == 0 and strand != facing and 30 <= (q - p if strand == "+" else p - q) + 1 <= 2500:
                     want.add((k, c, strand, min(p, q), max(p, q)))
-    got = [tuple(r) for r in contract.queries()["sam_pair_expansion_whole"](spark, folder).collect()]
+    got = [tuple(r) for r in contract.queries()["sam_pair_expansion"](spark, folder).collect()]
     assert want and len(got) == len(want) and set(got) == want
     n = Counter(x[0] for x in want)
-    split = [tuple(r) for r in contract.queries()["sam_unique_multihit_whole"](spark, folder).collect()]
+    split = [tuple(r) for r in contract.queries()["sam_unique_multihit"](spark, folder).collect()]
     assert sorted(split) == sorted((k, s, e, c, strand, "unique" if n[k] == 1 else "multihit") for k, c, strand, s, e in want)
 
 
 def test_statistics_of_every_fragment(spark, folder):
     n = Counter((f[-1], f"m{f[2] % 3}") for f in fragments())
     want = {(sample, m, n[sample, m]) for sample in {f[-1] for f in fragments()} for m in ("m0", "m1", "m2", "m3")}
-    assert {tuple(r) for r in contract.queries()["eval_stats_complete_whole"](spark, folder).select("sample", "metric", "count").collect()} == want
+    assert {tuple(r) for r in contract.queries()["eval_stats_complete"](spark, folder).select("sample", "metric", "count").collect()} == want
 
 
 def test_default_keys_of_all_orders(spark, folder):
-    got = sorted(tuple(r) for r in contract.queries()["default_keys_whole"](spark, folder).collect())
+    got = sorted(tuple(r) for r in contract.queries()["default_keys"](spark, folder).collect())
     assert got == sorted({(str(c), str(c)) for _, c in ORDERS if c < 40})
 
 
@@ -117,5 +117,5 @@ def test_site_sequences_on_whole_contigs(spark, folder):
         low = pos - (8 if minus else 20)
         piece = contig[name][max(low, 1) - 1 : low + 28]
         want.add((name, pos, "-" if minus else "+", piece[::-1].translate(turned) if minus else piece))
-    got = [tuple(r) for r in contract.queries()["site_sequences_whole"](spark, folder).select("seqnames", "pos", "strand", "site_seq").collect()]
+    got = [tuple(r) for r in contract.queries()["site_sequences"](spark, folder).select("seqnames", "pos", "strand", "site_seq").collect()]
     assert len(got) == len(want) and set(got) == want
