@@ -40,8 +40,8 @@ from .storage import fresh_name, ship, staged
 
 SEED, WIDTH, DISTANCE = 42, 4, 4
 SALTS, HOT = 16, 10_000
-#: Pairs that are compared at a time.
-AT_ONCE = 1 << 20
+#: Rows of complete keys that are matched at a time, and pairs that are compared at a time.
+HELD_ROWS, AT_ONCE = 100_000, 1 << 18
 
 
 def fingerprint_all(data: bytes, off: np.ndarray, width: int = WIDTH) -> np.ndarray:
@@ -173,31 +173,30 @@ def links(distinct: DataFrame, n: int, distance: int = DISTANCE) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), i, np.int8)), pa.array(key.view(np.int64)), pa.array(probe), pa.array(np.repeat(fp, len(part)).view(np.int64))], names=["segment", "value", "probe", "fp"])
 
     def match(batches):
-        held: list[pa.RecordBatch] = []
-        size = 0
-
-        def close(table, final):
-            """Matches of the complete keys; the last key may go on and stays."""
-            segment, value = np.array(table.column("segment")), np.array(table.column("value")).view(U)
-            new = np.append(True, (segment[1:] != segment[:-1]) | (value[1:] != value[:-1]))
-            end = len(new) if final else int(np.flatnonzero(new)[-1])
-            if end:
-                x, y = match_groups(np.cumsum(new[:end]), ~np.array(table.column("probe").slice(0, end)), np.array(table.column("fp").slice(0, end)).view(U), distance)
-                return table.slice(end), pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)), pa.array(y.view(np.int64))], names=["a", "b"])
-            return table, None
+        held, size, last = [], 0, None
+
+        def close():
+            key, entry, fp = (np.concatenate(x) for x in zip(*held))
+            x, y = match_groups(np.cumsum(key), entry, fp, distance)
+            return pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)), pa.array(y.view(np.int64))], names=["a", "b"])
 
         for batch in batches:
-            held.append(batch)
-            size += batch.num_rows
-            if size >= 400_000:
-                rest, out = close(pa.Table.from_batches(held), False)
-                if out is not None and out.num_rows:
-                    yield out
-                held, size = rest.to_batches(), rest.num_rows
+            segment, value = np.array(batch.column(0)), np.array(batch.column(1))
+            if not len(segment):
+                continue
+            new = np.append(last != (segment[0], value[0]), (segment[1:] != segment[:-1]) | (value[1:] != value[:-1]))
+            last = segment[-1], value[-1]
+            rows = new, ~np.array(batch.column(2)), np.array(batch.column(3)).view(U)
+            cut = int(np.flatnonzero(new)[-1]) if size + len(new) >= HELD_ROWS and new.any() else -1
+            if cut >= 0:  # the keys before the batch's last one are complete
+                held.append(tuple(x[:cut] for x in rows))
+                if size + cut:
+                    yield close()
+                held, size, rows = [], 0, tuple(x[cut:] for x in rows)
+            held.append(rows)
+            size += len(rows[0])
         if size:
-            _, out = close(pa.Table.from_batches(held), True)
-            if out is not None and out.num_rows:
-                yield out
+            yield close()
 
     probes = distinct.select("fp").mapInArrow(enter, "segment byte, value long, probe boolean, fp long")
     parts = max(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
