@@ -9,23 +9,63 @@ from . import intervals
 from .staging import staged
 
 
-def connected_components(links: DataFrame) -> DataFrame:
+#: Links that one task may hold: some 100 MB with their names.
+TASK_LINKS = 1 << 20
+
+
+def connected_components(links: DataFrame, task_links: int = TASK_LINKS) -> DataFrame:
     """(node, component) of every end of the links (a, b); the component is its smallest node.
 
-    Rounds of neighbour minima and pointer jumping until nothing changes; each round is a table of its own.
+    Each round hooks a node to its smallest neighbour and contracts the links to links of roots, of which at least half
+    of the nodes are gone; once task_links or fewer are left, which bounds what a task holds, one task ends it.
     """
     both = staged(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    if both.count() <= task_links:
+        return staged(both.repartition(1).mapInArrow(_spanned(), _schema(both)))
     label = staged(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low")).select("node", F.least("node", "low").alias("root")))
-    while True:
-        told = both.join(label.select(F.col("node").alias("b"), F.col("root").alias("seen")), "b").groupBy(F.col("a").alias("node")).agg(F.min("seen").alias("seen"))
-        hooked = label.join(told, "node", "left").select("node", "root", F.least("root", F.coalesce("seen", "root")).alias("hook"))
-        moved = hooked.groupBy(F.col("root").alias("hook_from")).agg(F.min("hook").alias("lead")).where("lead < hook_from")
-        hooked = hooked.join(moved, hooked["root"] == moved["hook_from"], "left").select("node", "root", F.least("hook", F.coalesce("lead", "hook")).alias("hook"))
-        up = label.select(F.col("node").alias("hook"), F.col("root").alias("top"))
-        after = staged(hooked.join(up, "hook", "left").select("node", F.col("root").alias("was"), F.least("hook", F.coalesce("top", "hook")).alias("root")))
-        if not after.where("was <> root").limit(1).count():
-            return label.select("node", F.col("root").alias("component"))
-        label = after.select("node", "root")
+    end = lambda name: label.select(F.col("node").alias(name), F.col("root").alias(f"root_{name}"))
+    roots = both.join(end("a"), "a").join(end("b"), "b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b")).where("a <> b")
+    top = connected_components(roots, task_links).select(F.col("node").alias("root"), F.col("component").alias("__top"))
+    return label.join(top, "root", "left").select("node", F.coalesce("__top", "root").alias("component"))
+
+
+def _schema(links: DataFrame):
+    kind = links.schema["a"].dataType.simpleString()
+    return f"node {kind}, component {kind}"
+
+
+def _spanned():
+    """A function of all links as batches: (node, component) of their ends.  It holds all it needs, so that workers need no package."""
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute  # noqa: F401
+
+        held = list(batches)
+        if not sum(b.num_rows for b in held):
+            return
+        table = pa.Table.from_batches(held)
+        a, b = (table.column(i).combine_chunks() for i in (0, 1))
+        names = pa.concat_arrays([a, b]).unique()
+        names = names.take(pa.compute.sort_indices(names))
+        a, b = (np.array(pa.compute.index_in(x, names), np.int64) for x in (a, b))
+        label = np.arange(len(names))
+        while len(a):
+            low = np.minimum(label[a], label[b])
+            before = label.copy()
+            np.minimum.at(label, label[a], low)
+            np.minimum.at(label, label[b], low)
+            while (label[label] != label).any():
+                label = label[label]
+            if (label == before).all():
+                break
+            open_ = label[a] != label[b]
+            a, b = a[open_], b[open_]
+        for i in range(0, len(label), 50_000):
+            yield pa.RecordBatch.from_arrays([names.slice(i, 50_000), names.take(pa.array(label[i : i + 50_000]))], names=["node", "component"])
+
+    return run
 
 
 def cluster_keys(kv: DataFrame, key: str = "key", value: str = "val") -> DataFrame:
@@ -38,6 +78,7 @@ def cluster_keys(kv: DataFrame, key: str = "key", value: str = "val") -> DataFra
 def assign_loci(df: DataFrame, grouping: list[str] = (), pilegap: int = 0, pairgap: int = 200, maxovlp: int = 10) -> DataFrame:
     """df with locus: ranges joined by pile-ups and by pairs, transitively; a locus is named by its smallest pile-up."""
     piled = intervals.pileup_clusters(df, grouping, pilegap)
-    both = intervals.identify_pairs(piled, grouping, pairgap, maxovlp).withColumn("__pile", F.concat_ws("|", *grouping, "clus_ori", "island"))
+    # Written once: links and the final join read it three times.
+    both = staged(intervals.identify_pairs(piled, grouping, pairgap, maxovlp).withColumn("__pile", F.concat_ws("|", *grouping, "clus_ori", "island")))
     loci = cluster_keys(both.select("__pile", F.coalesce("paired_algn", F.concat(F.lit("own|"), "__pile")).alias("__pair")).distinct(), "__pile", "__pair")
     return both.join(loci, "__pile").withColumnRenamed("cluster", "locus").drop("__pile", "clus_ori", "island", "paired_algn")

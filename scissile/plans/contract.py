@@ -28,10 +28,14 @@ def query(sql: str | None = None):
 
 
 def queries():
+    from . import roundtrips  # noqa: F401  (adds its queries)
+
     return dict(QUERIES)
 
 
 def oracle_sql():
+    from . import roundtrips  # noqa: F401
+
     return dict(SQL)
 
 

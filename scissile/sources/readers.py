@@ -136,7 +136,7 @@ def sample_sheet(spark: SparkSession, path: str) -> DataFrame:
         names = list(dict.fromkeys(["sampleName", *(k for r in rows.values() for k in r)]))
         data = [tuple([name, *[None if r.get(k) is None else str(r[k]) for k in names[1:]]]) for name, r in rows.items()]
         return spark.createDataFrame(data, ", ".join(f"`{n}` string" for n in names))
-    return spark.read.option("header", True).option("sep", separator(path)).option("quote", '"').csv(path)
+    return spark.read.option("header", True).option("sep", separator(path)).option("quote", '"').option("escape", '"').csv(path)
 
 
 def load_yaml(path: str) -> dict:

@@ -236,3 +236,27 @@ def test_gene_counts_by_hand(spark):
     df = spark.createDataFrame([("x", "A*"), ("x", "A"), ("x", "B~"), ("x", "B*~"), ("x", "C!"), ("y", "D~!")], "annotation string, gene_id string")
     assert rows_of(ev.gene_counts(df, ["annotation"])) == [("x", 3, 1, 1), ("y", 1, 1, 1)]
     assert rows_of(ev.gene_counts(df, ["annotation"], each_row=True)) == [("x", 5, 1, 1), ("y", 1, 1, 1)]
+
+
+@pytest.mark.parametrize("task_links", [0, 10, 1 << 20])
+def test_components_by_contraction(spark, task_links):
+    """Chains, stars and loops of words, by rounds and in one task."""
+    from scissile.operators.graphs import connected_components
+
+    rng = random.Random(11)
+    names = [f"n{i:03d}" for i in range(120)]
+    rng.shuffle(names)
+    links = [(names[i], names[i + 1]) for i in range(40)] + [(names[50], names[i]) for i in range(51, 80)] + [(names[i], names[80 + (i + 1) % 10]) for i in range(80, 90)] + [("z", "z")]
+    parent = {n: n for pair in links for n in pair}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    got = connected_components(spark.createDataFrame(links, "a string, b string").repartition(5), task_links)
+    assert {r["node"]: r["component"] for r in got.collect()} == {n: find(n) for n in parent}
+    assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
