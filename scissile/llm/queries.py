@@ -117,5 +117,14 @@ ORACLES = {
 }
 
 
+def op8_sql() -> str:
+    """The lookup, with the table's shards as a list; how it is filled is tested by itself."""
+    shards = ",".join(map(str, maglev.fill_table(SHARDS).tolist()))
+    return f"""
+        WITH lookup AS (SELECT unnest(range({maglev.SLOTS})) AS slot, unnest(string_split('{shards}', ',')) AS s),
+        d AS (SELECT doc_id, CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 15) AS BIGINT) % {maglev.SLOTS} AS slot FROM documents)
+        SELECT doc_id, CAST(slot AS BIGINT) AS slot, 'shard-' || lpad(s, 3, '0') AS shard FROM d JOIN lookup USING (slot)"""
+
+
 def oracle_sql():
-    return dict(ORACLES)
+    return ORACLES | {"op8_maglev": op8_sql()}

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import U, in_pieces, min_labels, ranges, utf8
-from .storage import fresh_name, ship, staged
+from .storage import forget, fresh_name, settled, ship, staged, staged_at
 
 SEED, WIDTH, DISTANCE = 42, 4, 4
 SALTS, HOT = 16, 10_000
@@ -217,9 +217,10 @@ def components(edges: DataFrame, tag: str = "components") -> DataFrame:
     Each round takes the smallest root among a node's neighbours and then its root's root; rounds end when nothing changes.
     """
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct()
-    both = staged(both, f"{tag}-links")
+    spark = edges.sparkSession
+    both, links_at = staged_at(both, f"{tag}-links")
     label = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low")).select("node", F.least("node", "low").alias("root"))
-    label = staged(label, tag)
+    label, label_at = staged_at(label, tag)
     while True:
         told = spread_join(both, label.select(F.col("node").alias("b"), F.col("root").alias("seen")), "b", "a")
         best = told.groupBy(F.col("a").alias("node")).agg(F.min("seen").alias("seen"))
@@ -229,10 +230,12 @@ def components(edges: DataFrame, tag: str = "components") -> DataFrame:
         hooked = spread_join(hooked, moved, "root", "node", "left").select("node", "root", F.least("hook", F.coalesce("lead", "hook")).alias("hook"))
         up = hooked.select("hook").distinct().join(label.select(F.col("node").alias("hook"), F.col("root").alias("top")), "hook")
         low = F.least("hook", F.coalesce("top", "hook"))
-        after = staged(spread_join(hooked, up, "hook", "node", "left").select("node", low.alias("root"), (low != F.col("root")).alias("changed")), tag)
+        after, after_at = staged_at(spread_join(hooked, up, "hook", "node", "left").select("node", low.alias("root"), (low != F.col("root")).alias("changed")), tag)
         changed = after.where("changed").limit(1).count()
-        label = after.select("node", "root")
+        forget(spark, label_at)
+        label, label_at = after.select("node", "root"), after_at
         if not changed:
+            forget(spark, links_at)
             return label
 
 
@@ -265,12 +268,11 @@ def keep_first(docs: DataFrame, width: int = WIDTH, distance: int = DISTANCE) ->
 
     Groups in which no row has a doc_id keep a row for each fingerprint.
     """
-    return keep_named(docs, near_duplicates(docs, width, distance), lambda data, off: fingerprint_all(data.tobytes(), off, width))
+    return keep_named(docs, settled(lambda: near_duplicates(docs, width, distance), "near"), lambda data, off: fingerprint_all(data.tobytes(), off, width))
 
 
-def keep_named(docs: DataFrame, named: DataFrame, prints) -> DataFrame:
-    """docs with one document of each group of `named`, (doc_id, fp, component_id); prints gives the fp of texts."""
-    near = staged(named, "near")
+def keep_named(docs: DataFrame, near: DataFrame, prints) -> DataFrame:
+    """docs with one document of each group of the staged table `near`, (doc_id, fp, component_id); prints gives the fp of texts."""
     own, fp, other = (fresh_name(docs, x) for x in ("id", "fp", "own"))
     winners = near.where("doc_id = component_id").groupBy(F.col("doc_id").alias(own)).agg(F.count("*").alias("n"))
     mine = docs["doc_id"].cast("long") == F.col(own)

@@ -32,12 +32,42 @@ def delete(spark: SparkSession, uri: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def staged(df: DataFrame, tag: str) -> DataFrame:
-    """df written once as Parquet in the shared folder and read back: a cut in the lineage that survives lost executors."""
+_held: list[str] = []
+
+
+def staged_at(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
+    """df written once as Parquet in the shared folder and read back: a cut in the lineage that survives lost executors; and where it stands."""
     spark = df.sparkSession
     uri = workdir(spark, tag)
     df.write.option("compression", "zstd").parquet(uri)
-    return spark.read.schema(df.schema).parquet(uri)
+    _held.append(uri)
+    return spark.read.schema(df.schema).parquet(uri), uri
+
+
+def staged(df: DataFrame, tag: str) -> DataFrame:
+    return staged_at(df, tag)[0]
+
+
+def forget(spark: SparkSession, uri: str) -> None:
+    """Deletes a staged table that nothing will read again."""
+    delete(spark, uri)
+    if uri in _held:
+        _held.remove(uri)
+
+
+def settled(build, tag: str) -> DataFrame:
+    """The table that build() gives, staged; whatever was staged on the way to it is deleted."""
+    before = set(_held)
+    out, uri = staged_at(build(), tag)
+    for other in [x for x in _held if x not in before and x != uri]:
+        forget(out.sparkSession, other)
+    return out
+
+
+def release(spark: SparkSession) -> None:
+    """Deletes every table that this process has staged and not forgotten: to be called when the results have been read or written."""
+    for uri in list(_held):
+        forget(spark, uri)
 
 
 def fresh_name(df: DataFrame, name: str) -> str:

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import U, in_pieces, mix, once, once_of_two, ranges, row_chunks, utf8
-from .storage import fresh_name, get_file, put_file, ship, staged, workdir
+from .storage import delete, fresh_name, get_file, put_file, ship, staged, workdir
 
 SPAN, GRAM = 50, 20
 CHUNK_BYTES = 4 << 20
@@ -583,6 +583,7 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, names: t
     staged(masks.groupBy("chunk").applyInArrow(_write_masks(folder), "chunk string"), "mask-list")
     runs = texts.mapInArrow(in_pieces(_send_runs(span, gram, buckets, doc_buckets, folder)), RUNS)
     flags = staged(runs.repartition(tasks, "bucket").groupBy("bucket").applyInArrow(once(_sort_runs(span, doc_buckets)), FLAGS), "flags")
+    delete(spark, folder)
     schema = docs.select("*").schema.add(names[0], "binary").add(names[1], "long").add(names[2], "long")
     bucket = fresh_name(docs, "doc_bucket")
     left = docs.withColumn(bucket, F.coalesce(F.pmod("doc_id", F.lit(doc_buckets)), F.pmod(F.xxhash64("text"), F.lit(doc_buckets))).cast("int"))
