@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.sequences import five_prime
-from .staging import ranked
+from .staging import ranked, staged
 
 BLOCK = 1 << 20
 
@@ -31,7 +31,8 @@ def islands(df: DataFrame, keys: list[str], start: str = "start", end: str = "en
     before = w.rowsBetween(W.unboundedPreceding, -1)
     own = own.join(_carried(own, keys, end, "__reach"), [*keys, "__block"])
     reach = F.greatest(F.max(end).over(before), F.col("__reach"))
-    own = own.withColumn("__head", F.when(reach.isNull() | (F.col(start) > reach + maxgap), F.col(start)))
+    # Written once: the last heads of blocks and the rows themselves both come from it.
+    own = staged(own.withColumn("__head", F.when(reach.isNull() | (F.col(start) > reach + maxgap), F.col(start))))
     own = own.join(_carried(own, keys, "__head", "__last"), [*keys, "__block"])
     # Of equal ranges the one that opened the island comes first.
     ordered = W.partitionBy(*keys, "__block").orderBy(start, end, F.col("__head").asc_nulls_last())
@@ -53,7 +54,7 @@ def pileup_clusters(df: DataFrame, grouping: list[str] = (), maxgap: int = 0) ->
     """
     keys = [*grouping, "seqnames", "strand"]
     ranges = df.groupBy(*keys, "start", "end").agg(F.count("*").alias("__n"))
-    placed = islands(ranges, keys, maxgap=maxgap).withColumn("__pos", five_prime(F.col("start"), F.col("end"), F.col("strand")))
+    placed = staged(islands(ranges, keys, maxgap=maxgap).withColumn("__pos", five_prime(F.col("start"), F.col("end"), F.col("strand"))))
     counts = placed.groupBy(*keys, "island", "__pos").agg(F.sum("__n").alias("__n"))
     tie = F.when(F.col("strand") == "-", F.col("__pos")).otherwise(-F.col("__pos"))
     origin = counts.groupBy(*keys, "island").agg(F.max_by("__pos", F.struct("__n", tie)).alias("__origin"))
