@@ -35,11 +35,12 @@ def scanner(patterns: list[str], max_mismatch: int, beyond: int = 0):
     """A function of an Arrow string array: (rows, patterns, 1-based offsets, mismatches) of the places where a pattern fits.
 
     Bases become sets of four bits, and a pattern place is one AND over all sequences and offsets; patterns may
-    reach `beyond` bases past either end, which mismatch.  It holds all it needs, so that workers need no package.
+    reach `beyond` bases past either end, which mismatch; a dot in a pattern fits anything.  It holds all it needs, so
+    that workers need no package.
     """
     bit = {"A": 1, "C": 2, "G": 4, "T": 8}
     table = bytes(sum(bit[x] for x in IUPAC.get(chr(c), "")) for c in range(256))
-    coded = [[table[ord(c)] for c in p.upper()] for p in patterns]
+    coded = [[None if c == "." else table[ord(c)] for c in p.upper()] for p in patterns]
     longest = max(map(len, patterns), default=0)
 
     def scan(column):
@@ -72,7 +73,7 @@ def scanner(patterns: list[str], max_mismatch: int, beyond: int = 0):
                 if offsets_ <= 0:
                     continue
                 wrong = np.zeros((j - i, offsets_), np.int16)
-                for at, code in enumerate(pattern):
+                for at, code in ((i, c) for i, c in enumerate(pattern) if c is not None):
                     wrong += (grid[:, at : at + offsets_] & code) == 0
                 fits = (wrong <= max_mismatch) & (np.arange(offsets_)[None, :] <= (n + 2 * beyond - len(pattern))[:, None])
                 row, place = np.nonzero(fits)

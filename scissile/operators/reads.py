@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.sequences import IUPAC, match_offsets, mismatches_at, pattern_places, scanner, scoring_matrix
+from ..functions.sequences import IUPAC, match_offsets, pattern_places, scanner, scoring_matrix
 from .staging import ranked
 
 NAME_PATTERN = r"[\w\:\-\+]+"
@@ -114,14 +114,10 @@ def lead_trim(reads: DataFrame, lead: str, phasing: int = 0, max_mismatch: int =
     if "qual" in cut.columns:
         cut = cut.withColumn("qual", F.substring("qual", F.lit(phasing + 1), F.length("qual")))
     head = F.substring("seq", 1, len(lead) + 1)
-    fixed, spans = [(0, lead)], []
-    if collect:
-        fixed = [(m.start(), m[0]) for m in re.finditer("[ACGT]+", lead)]
-        spans = [(m.start(), m[0]) for m in re.finditer("[^ACGT]+", lead)]
-    # Only two places: two sums of single tests, no array.
-    fits = [sum((mismatches_at(head, text, F.lit(o + at)) for at, text in fixed), F.lit(0)) <= max_mismatch for o in (1, 2)]
-    found = cut.where(F.length("seq") > len(lead)).withColumn("__1", fits[0]).withColumn("__2", fits[1]).where(F.col("__1") != F.col("__2"))
-    found = found.withColumn("__o", F.when(F.col("__1"), 1).otherwise(2)).drop("__1", "__2")
+    spans = [(m.start(), m[0]) for m in re.finditer("[^ACGT]+", lead)] if collect else []
+    pattern = re.sub("[^ACGT]", ".", lead) if collect else lead
+    found = cut.where(F.length("seq") > len(lead)).withColumn("__m", pattern_places(head, [pattern], max_mismatch)).where(F.size("__m") == 1)
+    found = found.withColumn("__o", F.get("__m", F.lit(0))["offset"]).drop("__m")
     if collect:
         umi = F.concat(*[F.substring("seq", F.col("__o") + at, F.lit(len(text))) for at, text in spans]) if spans else F.lit("")
         allowed = "".join(f"[{IUPAC[c]}{c}]" for _, text in spans for c in text)

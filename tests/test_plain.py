@@ -19,7 +19,7 @@ def plain_places(seq, pattern, limit, beyond=0):
         for i, c in enumerate(pattern):
             at = o + i - 1
             base = seq[at] if 0 <= at < len(seq) else ""
-            wrong += not (base and set(CODES.get(base, "")) & set(CODES[c]))
+            wrong += c != "." and not (base and set(CODES.get(base, "")) & set(CODES.get(c, "")))
         if wrong <= limit:
             out.append((o, wrong))
     return out
@@ -29,7 +29,7 @@ def plain_places(seq, pattern, limit, beyond=0):
 def test_patterns_fit_where_plain_ones_do(spark, beyond):
     rng = random.Random(3)
     seqs = ["".join(rng.choice("ACGTNRx") for _ in range(rng.choice([0, 1, 4, 9, 40, 200]))) for _ in range(60)] + ["", None]
-    patterns = ["ACG", "NRYT", "A", "ACGTACGTAC"]
+    patterns = ["ACG", "NRYT", "A", "ACGTACGTAC", "A..T"]
     got = spark.createDataFrame(list(enumerate(seqs)), "id long, seq string").select("id", sq.pattern_places(F.col("seq"), patterns, 1, beyond).alias("m")).collect()
     for r in got:
         seq = seqs[r["id"]] or ""
