@@ -9,8 +9,11 @@ together by content, and suffixes are sorted in blocks:
    each chunk sends every distinct mark once, as a few bytes, to the mark's
    bucket.  Marks that come up twice are told back to the chunks as bit masks.
 2. Runs.  Neighbouring windows with one mark form a run, stored as one string.
-   Runs whose mark came up once can't repeat and stay where they are.  The
-   others go to their bucket; within a chunk, of equal runs only the first
+   Runs whose mark came up once can't repeat and stay where they are.  Those of
+   marks that came up in CROWD chunks or more, a common phrase in changing
+   surroundings, are split by the bytes beside the mark's string and take a mark
+   from them, so that the phrase doesn't fill one bucket.  The others and the
+   split ones go to their bucket; within a chunk, of equal runs only the first
    document's is sent, as the later ones are repeats already.
 3. Suffix sort, bucket by bucket (`repeated_windows`).  Equal runs collapse
    first.  The suffixes at window starts are then sorted one block of leading
@@ -22,8 +25,8 @@ together by content, and suffixes are sorted in blocks:
    document bucket, and the documents are cut.
 
 A chunk is known by a hash of what it holds.  If a later pass deals documents
-into other chunks, no mask is found and all their runs are sent: slower, with
-the same result.
+into other chunks, no mask is found and all their runs are sent, as they are and
+split: slower, with the same result.
 
 Defined results: null text is empty; a null doc_id neither removes nor loses
 anything; rows that share a doc_id don't remove each other's text; texts shorter
@@ -56,6 +59,8 @@ MAX_RUN = 4096
 MAX_TASKS = 10_000
 #: A difference cover modulo 13 (every difference modulo 13 occurs between two of its members).
 PERIOD, COVER = 13, (0, 1, 3, 9)
+#: Chunks that make a mark a crowded one.
+CROWD = 64
 #: Windows sorted at a time.
 BLOCK = 1 << 20
 
@@ -105,9 +110,7 @@ def _cut_runs(data, off, span, gram):
     have = last >= off[:-1]
     if not have.any():
         return none, none, none.astype(U), none.astype(U), none
-    h16 = BYTES[data]
-    for shift in (1, 2, 4, 8):
-        h16 = _grow(h16, shift)
+    h16 = _h16(data)
     # gram and span are covered by overlapping strings of 16 bytes
     marks = _slide(mix(_grow(h16, gram - 16)), span - gram + 1)
     first, end = off[:-1][have], last[have] + 1
@@ -128,6 +131,21 @@ def _cut_runs(data, off, span, gram):
         nth = ranges(np.zeros(len(count), np.int64), parts)
         start, count = np.repeat(start, parts) + nth * MAX_RUN, np.minimum(np.repeat(count, parts) - nth * MAX_RUN, MAX_RUN)
 
+    # Minima crowd near zero; mixed again they spread over the buckets.
+    return start, count, mix(marks[start] + U(1)), run_contents(data, h16, start, count, span), np.searchsorted(off, start, "right") - 1
+
+
+def _h16(data: np.ndarray) -> np.ndarray:
+    """A hash of the 16 bytes from each place on."""
+    h = BYTES[data]
+    for shift in (1, 2, 4, 8):
+        h = _grow(h, shift)
+    return h
+
+
+def run_contents(data: np.ndarray, h16: np.ndarray, start: np.ndarray, count: np.ndarray, span: int) -> np.ndarray:
+    """A hash of each run's text."""
+
     def window(p):
         h = np.zeros(len(p), U)
         for k in (*range(0, span - 16, 16), span - 16):
@@ -138,8 +156,34 @@ def _cut_runs(data, off, span, gram):
     content = mix(window(start) * U(0xA24BAED4963EE407) + window(start + count - 1)) + count.astype(U)
     for i in np.flatnonzero(count > span + 1).tolist():
         content[i] = xxhash.xxh3_64_intdigest(data[start[i] : start[i] + count[i] + span - 1].tobytes())
-    # Minima crowd near zero; mixed again they spread over the buckets.
-    return start, count, mix(marks[start] + U(1)), content, np.searchsorted(off, start, "right") - 1
+    return content
+
+
+def split_runs(data: np.ndarray, start: np.ndarray, count: np.ndarray, mark: np.ndarray, span: int = SPAN, gram: int = GRAM):
+    """(run, first window in it, windows, mark, content hash): runs of crowded marks, cut by the 16 bytes that stand beside the mark's string.
+
+    A window holds 16 bytes after that string or before it (else its own first 16 count); they are the same in equal
+    windows, so these meet under the new mark as they did under the old one, and others part.
+    """
+    if not len(start):
+        none = np.zeros(0, np.int64)
+        return none, none, none, none.astype(U), none.astype(U)
+    text = data[ranges(start, count + span - 1)]
+    base = np.cumsum(count + span - 1) - (count + span - 1)
+    h16 = _h16(text)
+    grams = mix(mix(_grow(h16, gram - 16)) + U(1))
+    at, run = ranges(base, count), np.repeat(np.arange(len(start)), count)
+    own = mark[run]
+    deep = np.full(len(at), -1, np.int64)  # where in the window the mark's string begins first
+    for k in range(span - gram + 1):
+        deep[(deep < 0) & (grams[at + k] == own)] = k
+    after, before = span - gram - deep >= 16, deep >= 16
+    beside = np.where(after, at + deep + gram, np.where(before, at + deep - 16, at))
+    side = np.where(after, 1, np.where(before, 2, 3)).astype(U)
+    fine = mix(own ^ mix(h16[beside] + side * U(0xA24BAED4963EE407)))
+    first = np.flatnonzero(np.append(True, (fine[1:] != fine[:-1]) | (run[1:] != run[:-1])))
+    many = np.diff(np.append(first, len(at)))
+    return run[first], at[first] - base[run[first]], many, fine[first], run_contents(text, h16, at[first], many, span)
 
 
 def bucket_of(mark: np.ndarray, buckets: int) -> np.ndarray:
@@ -410,7 +454,7 @@ def _send_marks(span, gram, buckets):
 
 
 def _count_marks(table: pa.Table) -> pa.Table:
-    """Which marks of one bucket came up twice, told to each chunk as a bit a mark."""
+    """Which marks of one bucket came up twice, and which in a crowd of chunks, told to each chunk as two bits a mark."""
     marks, many, sizes = [], [], []
     for blob in table.column("marks").to_pylist():
         n = len(blob) * 8 // 33
@@ -421,9 +465,10 @@ def _count_marks(table: pa.Table) -> pa.Table:
         many.append(np.unpackbits(np.frombuffer(blob, np.uint8, -1, 4 * n), count=n))
     marks, many = np.concatenate(marks), np.concatenate(many)
     _, kind = _dense(marks)
-    twice = (np.bincount(kind, weights=1 + many) > 1)[kind]
+    seen = np.bincount(kind, weights=1 + many)[kind]
+    twice, crowded = seen > 1, seen >= CROWD
     cuts = np.append(0, np.cumsum(sizes))
-    masks = [np.packbits(twice[a:b]).tobytes() for a, b in zip(cuts, cuts[1:])]
+    masks = [np.packbits(twice[a:b]).tobytes() + np.packbits(crowded[a:b]).tobytes() for a, b in zip(cuts, cuts[1:])]
     return pa.table({"bucket": table.column("bucket").cast(pa.int32()), "chunk": table.column("chunk").cast(pa.string()), "mask": pa.array(masks, pa.binary())})
 
 
@@ -439,19 +484,25 @@ def _write_masks(folder):
 
 
 def _kept_runs(chunk, span, gram, buckets, folder):
-    """The runs of a chunk that its mask doesn't rule out: doc, tag, place in the document, windows, mark, content, text."""
+    """The runs of a chunk that its mask doesn't rule out, those of crowded marks split: doc, tag, place in the document, windows, mark, content, text."""
     start, count, mark, content, row = cut_runs(chunk.data, chunk.off, span, gram)
     blob = get_file(f"{folder}/{chunk.name}") if len(start) else None
+    whole = split = np.ones(len(start), bool)  # without a mask runs go both as they are and split
     if blob is not None:
         own = np.unique(mark)
-        twice = np.zeros(len(own), bool)
+        told = np.zeros((2, len(own)), bool)
         which, sizes, bits = _unpack(blob, np.int64, np.int64, np.uint8)
         ends = np.cumsum(sizes)
         at = bucket_of(own, buckets)
         for i, j, a, z in zip(np.searchsorted(at, which.astype(U)), np.searchsorted(at, which.astype(U), "right"), ends - sizes, ends):
-            twice[i:j] = np.unpackbits(bits[a:z], count=j - i)
-        keep = twice[np.searchsorted(own, mark)]
-        start, count, mark, content, row = start[keep], count[keep], mark[keep], content[keep], row[keep]
+            half = a + (z - a) // 2
+            told[0, i:j], told[1, i:j] = np.unpackbits(bits[a:half], count=j - i), np.unpackbits(bits[half:z], count=j - i)
+        twice, crowded = told[:, np.searchsorted(own, mark)]
+        whole, split = twice & ~crowded, twice & crowded
+    run, first, many, fine, inner = split_runs(chunk.data, start[split], count[split], mark[split], span, gram)
+    row = np.concatenate([row[whole], row[split][run]])
+    start = np.concatenate([start[whole], start[split][run] + first])
+    count, mark, content = np.concatenate([count[whole], many]), np.concatenate([mark[whole], fine]), np.concatenate([content[whole], inner])
     where = chunk.lead[row] + start - chunk.off[row]
     return chunk.ids[row], chunk.tags[row], where, count, mark, content, chunk.data[ranges(start, count + span - 1)]
 

@@ -108,8 +108,56 @@ def test_repeats_without_masks_are_the_same(spark, monkeypatch):
     batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(ids), "text": [text, "q" * 10 + text, text[7:]]})
     sent = pa.Table.from_batches(list(suffix_dedup._send_runs(50, 20, 4, 7, "file:///nowhere")([batch])))
     flags = [suffix_dedup._sort_runs(50, 7)(sent.filter(pa.compute.equal(sent["bucket"], b))) for b in set(sent["bucket"].to_pylist())]
-    found = sum(int(suffix_dedup._unpack(x, np.int64, np.uint32, np.int64, np.uint32)[3].sum()) for f in flags for x in f["flags"].to_pylist())
-    assert found == sum(n for n in [len(text) - 49, len(text[7:]) - 49])
+    blobs = [suffix_dedup._unpack(x, np.int64, np.uint32, np.int64, np.uint32) for f in flags for x in f["flags"].to_pylist()]
+    found = {(int(d), int(w) + k) for doc, _, where, count in blobs for d, w, c in zip(doc, where, count) for k in range(c)}
+    assert found == {(2, 10 + k) for k in range(len(text) - 49)} | {(3, k) for k in range(len(text) - 56)}
+
+
+@settings(max_examples=60, deadline=None)
+@given(hs.lists(hs.text(alphabet="abc", min_size=50, max_size=140), min_size=1, max_size=5), hs.sampled_from(["a" * 70, "", "the quick brown fox jumps over", "ab" * 30]))
+def test_split_runs_keep_equal_windows_together(texts, phrase):
+    """Every window stays in one run, and equal windows have equal marks, also where a phrase repeats."""
+    raw = [(t[:30] + phrase + t[30:]).encode() for t in texts]
+    off = np.append(0, np.cumsum([len(x) for x in raw]))
+    data = np.frombuffer(b"".join(raw), np.uint8)
+    start, count, mark, _, _ = suffix_dedup.cut_runs(data, off)
+    run, first, many, fine, content = suffix_dedup.split_runs(data, start, count, mark)
+    seen, marks, same = set(), {}, {}
+    for r, f, n, m, c in zip(run.tolist(), first.tolist(), many.tolist(), fine.tolist(), content.tolist()):
+        assert f + n <= count[r]
+        a = int(start[r]) + f
+        assert same.setdefault(c, data[a : a + n + 49].tobytes()) == data[a : a + n + 49].tobytes()
+        for p in range(a, a + n):
+            assert p not in seen and marks.setdefault(data[p : p + 50].tobytes(), m) == m
+            seen.add(p)
+    assert len(seen) == int(count.sum())
+
+
+def test_crowded_marks_are_split(spark, monkeypatch):
+    """The same removal with every repeated mark taken for a crowded one."""
+    import sys
+
+    rng = np.random.default_rng(6)
+    letters = np.array(list("abcdefghij "))
+    noise = lambda n: "".join(rng.choice(letters, n))
+    phrase, tail = noise(32), noise(90)
+    rows = [(i, noise(60) + phrase + noise(60) + (tail if i % 3 == 0 else "")) for i in range(40)]
+    for f in (suffix_dedup._count_marks,):
+        monkeypatch.setitem(f.__globals__, "CROWD", 2)
+    assert sys.modules["scissile.llm.suffix_dedup"].CROWD == 2
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array([r[0] for r in rows], pa.int64()), "text": [r[1] for r in rows]})
+    told = {}
+    for b in suffix_dedup._send_marks(50, 20, 1)([batch]):
+        got = suffix_dedup._count_marks(pa.Table.from_batches([b]))
+        told |= {c: suffix_dedup._pack(np.zeros(1, np.int64), np.array([len(m)], np.int64), np.frombuffer(m, np.uint8)) for c, m in zip(got["chunk"].to_pylist(), got["mask"].to_pylist())}
+    monkeypatch.setattr(suffix_dedup, "get_file", lambda uri: told[uri.rpartition("/")[2]])
+    sent = pa.Table.from_batches(list(suffix_dedup._send_runs(50, 20, 1, 7, "x")([batch])))
+    gone = defaultdict(set)
+    for b in set(sent["bucket"].to_pylist()):
+        for blob in suffix_dedup._sort_runs(50, 7)(sent.filter(pa.compute.equal(sent["bucket"], b)))["flags"].to_pylist():
+            for d, _, w, c in zip(*suffix_dedup._unpack(blob, np.int64, np.uint32, np.int64, np.uint32)):
+                gone[int(d)] |= {k for p in range(int(w), int(w) + int(c)) for k in range(p, p + 50)}
+    assert {d: n for d, n, *_ in brute_repeats(rows, 50)} == {d: len(gone[d]) for d, _ in rows} and any(gone.values())
 
 
 @settings(max_examples=60, deadline=None)
