@@ -166,3 +166,19 @@ def assembly_stats(reads: DataFrame) -> DataFrame:
     pos = five_prime(F.col("start"), F.col("end"), F.col("strand"))
     wide = reads.groupBy("sampleName").agg(F.count_distinct("ID").alias("reads"), F.count_distinct("seqnames", "start", "end", "strand").alias("aligns"), F.count_distinct("seqnames", "strand", pos).alias("loci"))
     return wide.unpivot("sampleName", ["reads", "aligns", "loci"], "metric", "count")
+
+
+def multihit_stats(clustered: dict[str, DataFrame]) -> DataFrame:
+    """(metric, count) of multihit_clusters: distinct reads pairs, template lengths (a row a read pair's median) and clusters."""
+    pairs = clustered["alignments"].agg(F.count_distinct("read_pair").alias("multihit.reads"), F.count_distinct("cluster").alias("multihit.clusters"))
+    lengths = clustered["widths"].agg(F.coalesce(F.sum("reads"), F.lit(0)).cast("long").alias("multihit.lengths"))
+    return pairs.join(F.broadcast(lengths)).unpivot([], ["`multihit.reads`", "`multihit.lengths`", "`multihit.clusters`"], "metric", "count")
+
+
+def outcome_stats(keys: DataFrame, classes: DataFrame) -> DataFrame:
+    """(sampleName, metric, count): reads by the class of their read pair, complete with zeros; the sample is in the anchor sequence's name."""
+    own = keys.join(classes, "read_pair").withColumn("sampleName", F.regexp_extract("anchor_key", r"^[\w-]+", 0))
+    named = {"unique": "unique.reads", "multihit": "multihit.reads", "chimera": "chimera.reads", "failed": "failed.reads"}
+    wide = own.groupBy("sampleName").agg(*(F.count_if(F.col("class") == k).alias(k) for k in named))
+    long = F.explode(F.array(*(F.struct(F.lit(v).alias("metric"), F.col(k).alias("count")) for k, v in named.items())))
+    return wide.select("sampleName", long.alias("__s")).select("sampleName", "__s.metric", "__s.count")

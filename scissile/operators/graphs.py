@@ -75,6 +75,18 @@ def cluster_keys(kv: DataFrame, key: str = "key", value: str = "val") -> DataFra
     return connected_components(links).select(F.col("node").alias(key), F.col("component").alias("cluster"))
 
 
+def cluster_members(kv: DataFrame, key: str = "key", value: str = "val") -> DataFrame:
+    """kv with cluster: the clusters as a table of their keys and values."""
+    return kv.select(key, value).distinct().join(cluster_keys(kv, key, value), key)
+
+
+def cluster_graph(kv: DataFrame, key: str = "key", value: str = "val") -> dict[str, DataFrame]:
+    """The graph behind the clusters: nodes (name, kind, cluster), edges (key, value, cluster)."""
+    edges = staged(cluster_members(kv, key, value))
+    ends = [edges.select(F.col(c).cast("string").alias("name"), F.lit(kind).alias("kind"), "cluster") for c, kind in ((key, "key"), (value, "value"))]
+    return {"nodes": ends[0].unionByName(ends[1]).distinct(), "edges": edges}
+
+
 def assign_loci(df: DataFrame, grouping: list[str] = (), pilegap: int = 0, pairgap: int = 200, maxovlp: int = 10) -> DataFrame:
     """df with locus: ranges joined by pile-ups and by pairs, transitively; a locus is named by its smallest pile-up."""
     piled = intervals.pileup_clusters(df, grouping, pilegap)

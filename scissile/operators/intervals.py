@@ -46,6 +46,13 @@ def reduce_ranges(df: DataFrame, keys: list[str], maxgap: int = 0) -> DataFrame:
     return islands(own, keys, maxgap=maxgap).groupBy(*keys, "island").agg(F.max("end").alias("end"), F.sum("__n").alias("members")).withColumnRenamed("island", "start").select(*keys, "start", "end", "members")
 
 
+def merged_members(df: DataFrame, keys: list[str], maxgap: int = 0) -> DataFrame:
+    """df with merged_start and merged_end: the merged range that each row went into, the map behind reduce_ranges."""
+    placed = islands(df, keys, maxgap=maxgap, out="merged_start")
+    ends = placed.groupBy(*keys, "merged_start").agg(F.max("end").alias("merged_end"))
+    return placed.join(ends, [*keys, "merged_start"])
+
+
 def pileup_clusters(df: DataFrame, grouping: list[str] = (), maxgap: int = 0) -> DataFrame:
     """df with island and clus_ori = seqnames:strand:origin.
 

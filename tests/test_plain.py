@@ -260,3 +260,25 @@ def test_components_by_contraction(spark, task_links):
     got = connected_components(spark.createDataFrame(links, "a string, b string").repartition(5), task_links)
     assert {r["node"]: r["component"] for r in got.collect()} == {n: find(n) for n in parent}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_maps_behind_merged_ranges_and_clusters(spark):
+    from scissile.operators.graphs import cluster_graph, cluster_members
+
+    df = spark.createDataFrame([("c", 1, 5, "a"), ("c", 4, 9, "b"), ("c", 20, 21, "d"), ("e", 1, 2, "f")], "seqnames string, start long, end long, id string")
+    got = {r["id"]: (r["merged_start"], r["merged_end"]) for r in intervals.merged_members(df, ["seqnames"]).collect()}
+    assert got == {"a": (1, 9), "b": (1, 9), "d": (20, 21), "f": (1, 2)}
+    kv = spark.createDataFrame([("A", 1), ("A", 2), ("B", 2), ("C", 6), ("C", 6)], "key string, val int")
+    assert rows_of(cluster_members(kv).select("key", "val", "cluster")) == [("A", 1, "A"), ("A", 2, "A"), ("B", 2, "A"), ("C", 6, "C")]
+    graph = cluster_graph(kv)
+    assert rows_of(graph["nodes"]) == [("1", "value", "A"), ("2", "value", "A"), ("6", "value", "C"), ("A", "key", "A"), ("B", "key", "A"), ("C", "key", "C")] and graph["edges"].count() == 4
+
+
+def test_statistics_of_classes_and_multihits(spark):
+    keys = spark.createDataFrame([("r1", "S-1:seq1", "x", "p1"), ("r2", "S-1:seq1", "x", "p1"), ("r3", "S-2:seq9", "y", "p2"), ("r4", "S-2:seq8", "y", "p3")], "read string, anchor_key string, adrift_key string, read_pair string")
+    classes = spark.createDataFrame([("p1", "unique"), ("p2", "multihit"), ("p3", "chimera")], "read_pair string, class string")
+    got = {(r["sampleName"], r["metric"]): r["count"] for r in alignments.outcome_stats(keys, classes).collect()}
+    assert len(got) == 8 and {k: v for k, v in got.items() if v} == {("S-1", "unique.reads"): 2, ("S-2", "multihit.reads"): 1, ("S-2", "chimera.reads"): 1}
+    hits = spark.createDataFrame([("p", "c", 10, 40, "+"), ("p", "c", 500, 530, "+"), ("q", "c", 502, 540, "+"), ("z", "d", 1, 9, "+"), ("z", "d", 90, 98, "+")], "read_pair string, seqnames string, start long, end long, strand string")
+    stats = dict(map(tuple, alignments.multihit_stats(alignments.multihit_clusters(hits)).collect()))
+    assert stats == {"multihit.reads": 3, "multihit.lengths": 3, "multihit.clusters": 2}
