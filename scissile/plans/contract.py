@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import sequences as sq
 from ..functions import strings as st
-from ..operators import alignments, evaluation as ev, graphs, intervals, reads as rd, targets as tg
+from ..operators import alignments, evaluation as ev, figures, graphs, intervals, reads as rd, targets as tg
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -863,3 +863,18 @@ def div_seq(spark, d):
 @query("SELECT o_orderkey, CASE WHEN o_orderkey * 1234 < 1000 THEN CAST(o_orderkey * 1234 AS VARCHAR) ELSE format('{:,}', o_orderkey * 1234) END AS shown FROM orders")
 def thousands(spark, d):
     return t(spark, d, "orders").select("o_orderkey", st.thousands(F.col("o_orderkey") * 1234).alias("shown"))
+
+
+# ---- figures -------------------------------------------------------------------------------------
+
+
+@query(f"{CONTIG}, off AS (SELECT seqnames, CAST(coalesce(sum(CAST(ceil(len / 1000.0) AS BIGINT) * 1000) OVER (ORDER BY seqnames ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS o FROM contig), ti AS (SELECT specimen, seqnames, unnest(range((s - 1) // 1000, (e - 1) // 1000 + 1)) * 1000 + 1 AS t FROM frag), c AS (SELECT specimen, seqnames, t, count(*) AS n FROM ti GROUP BY ALL), m AS (SELECT *, max(log10(n + 1)) OVER (PARTITION BY specimen) AS top FROM c) SELECT specimen, seqnames, CAST(t AS BIGINT) AS tile_start, CAST(n AS BIGINT) AS n, round(log10(n + 1), 6) AS log_n, round(log10(n + 1) / top, 6) AS norm, CAST(o + t AS BIGINT) AS adj_start, CAST(o + t + 999 AS BIGINT) AS adj_end FROM m JOIN off USING (seqnames) WHERE n >= 2")
+def density_track(spark, d):
+    out = figures.density_track(frag(spark, d), contigs(spark, d), 1000, ["specimen"])
+    return out.select("specimen", "seqnames", F.col("start").alias("tile_start"), F.col("count").alias("n"), F.round("log_count", 6).alias("log_n"), F.round("norm_log_count", 6).alias("norm"), "adj_start", "adj_end")
+
+
+@query(f"{READ}, p AS (SELECT id, lpad(substr(seq, 1, 6 + CAST(id % 5 AS INTEGER)), 10, 'N') AS x FROM reads), g AS (SELECT id, x, CAST(unnest(range(1, 11)) AS INTEGER) AS place FROM p) SELECT id AS read_id, place, CASE WHEN substr(x, place, 1) = substr('{_REF}', place, 1) THEN '.' ELSE substr(x, place, 1) END AS letter FROM g")
+def divergence_grid(spark, d):
+    own = reads(spark, d).select("read_id", F.substring("seq", F.lit(1), (6 + F.col("read_id") % 5).cast("int")).alias("x"))
+    return figures.divergence_grid(own, "x", _REF, "read_id")
