@@ -13,14 +13,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session; one of our own only where that is unset and driver and executors are one process, as in tests."""
+    """spark.checkpoint.dir of the session as a URI; one of our own only where that is unset and driver and executors are one process, as in tests."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = f"file://{tempfile.gettempdir()}/checkpoints/scissile"
         os.makedirs(root.removeprefix("file://"), exist_ok=True)
-    return root if "://" in root or root.startswith("file:") else f"file://{os.path.abspath(root)}"
+    return qualified(spark, root)
+
+
+def qualified(spark: SparkSession, folder: str) -> str:
+    """A folder's URI; a path without a scheme is the default filesystem's, as Spark itself takes it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    uri = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toUri().toString()
+    return f"file://{uri.removeprefix('file:')}" if uri.startswith("file:/") and not uri.startswith("file://") else uri
 
 
 def workdir(spark: SparkSession, tag: str) -> str:
