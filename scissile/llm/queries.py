@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import audio, byte_cnn, ftrl, maglev, packing, simhash, suffix_dedup, warc, winnow, zstd_quality
+from . import audio, byte_cnn, ftrl, maglev, packing, simhash, suffix_dedup, token_files, warc, winnow, zstd_quality
 from .sampling import residue
 
 SHARDS = [f"shard-{i:03d}" for i in range(256)]
@@ -75,8 +75,18 @@ def op10_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), *tokenizer_paths())
 
 
+def word_tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op12_token_files(spark, sf_dir):
+    return token_files.read(token_files.write(table(spark, sf_dir, "documents"), word_tokenizer_path()))
+
+
 def queries():
-    return {f.__name__: f for f in (op1_warc, op2_suffix_dedup, op3_simhash, op4_winnow, op5_zstd_quality, op6_byte_cnn, op7_ftrl, op8_maglev, op9_audio, op10_packing)}
+    return {f.__name__: f for f in (op1_warc, op2_suffix_dedup, op3_simhash, op4_winnow, op5_zstd_quality, op6_byte_cnn, op7_ftrl, op8_maglev, op9_audio, op10_packing, op12_token_files)}
 
 
 ORACLES = {
