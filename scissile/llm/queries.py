@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import audio, byte_cnn, ftrl, maglev, packing, simhash, suffix_dedup, token_files, warc, winnow, zstd_quality
+from . import audio, byte_cnn, ftrl, maglev, packing, phrases, simhash, spelling, suffix_dedup, token_files, warc, winnow, zstd_quality
 from .sampling import residue
 
 SHARDS = [f"shard-{i:03d}" for i in range(256)]
@@ -75,6 +75,10 @@ def op10_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), *tokenizer_paths())
 
 
+def op11_spelling(spark, sf_dir):
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def word_tokenizer_path() -> str:
     import public_tokenizers
 
@@ -85,8 +89,12 @@ def op12_token_files(spark, sf_dir):
     return token_files.read(token_files.write(table(spark, sf_dir, "documents"), word_tokenizer_path()))
 
 
+def op13_phrases(spark, sf_dir):
+    return phrases.mine(table(spark, sf_dir, "documents"))
+
+
 def queries():
-    return {f.__name__: f for f in (op1_warc, op2_suffix_dedup, op3_simhash, op4_winnow, op5_zstd_quality, op6_byte_cnn, op7_ftrl, op8_maglev, op9_audio, op10_packing, op12_token_files)}
+    return {f.__name__: f for f in (op1_warc, op2_suffix_dedup, op3_simhash, op4_winnow, op5_zstd_quality, op6_byte_cnn, op7_ftrl, op8_maglev, op9_audio, op10_packing, op11_spelling, op12_token_files, op13_phrases)}
 
 
 ORACLES = {
@@ -124,6 +132,36 @@ ORACLES = {
         SELECT dw.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
             sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
         FROM dw LEFT JOIN hits USING (doc_id) LEFT JOIN its USING (doc_id)""",
+    "op11_spelling": r"""
+        WITH RECURSIVE tab AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(i))),
+        o AS (SELECT doc_id, run, count(*) AS m FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents) GROUP BY ALL),
+        b AS (SELECT run, m, flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''), lambda c: CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT)] ELSE [192 + (unicode(c) >> 6), 128 + (unicode(c) & 63)] END)) AS bytes FROM o),
+        h AS (SELECT run, m, xor(list_reduce([4294967295] || bytes, lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) AS h FROM b, tab),
+        s AS (SELECT CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, m FROM h),
+        w AS (SELECT word, CAST(sum(m) AS BIGINT) AS n FROM s WHERE length(word) >= 7 GROUP BY word HAVING sum(m) >= 2),
+        d AS (SELECT word, n, i, left(word, i) || substr(word, i + 2) AS s FROM (SELECT word, n, unnest(range(length(word))) AS i FROM w)),
+        near AS (SELECT x.word, y.word AS other, y.n FROM d x JOIN d y ON x.i = y.i AND x.s = y.s AND x.word <> y.word
+            UNION SELECT d.word, w.word, w.n FROM d JOIN w ON d.s = w.word UNION SELECT w.word, d.word, d.n FROM d JOIN w ON d.s = w.word),
+        best AS (SELECT word, count(*) AS n_near, min(other) FILTER (WHERE n = most) AS other, max(most) AS most FROM (SELECT *, max(n) OVER (PARTITION BY word) AS most FROM near) GROUP BY word),
+        f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 10 * w.n THEN other END AS form, CASE WHEN most >= 10 * w.n THEN most END AS form_n FROM w LEFT JOIN best USING (word)),
+        up AS (SELECT word, word AS root, 0 AS step FROM w UNION ALL SELECT up.word, f.form, step + 1 FROM up JOIN f ON f.word = up.root WHERE f.form IS NOT NULL),
+        top AS (SELECT word, arg_max(root, step) AS root FROM up GROUP BY word)
+        SELECT f.word, form, root, f.n, CAST(n_near AS BIGINT) AS n_near, form_n FROM f JOIN top USING (word)""",
+    "op13_phrases": r"""
+        WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS x FROM documents),
+        w AS (SELECT lang, regexp_extract_all(x, '[^\x20\x09]+') AS w FROM p),
+        g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i : i + k - 1], ' '))) AS s FROM w, range(1, 6) t(k)),
+        f AS (SELECT lang, k, s, count(*) AS f FROM g GROUP BY lang, k, s HAVING count(*) >= 100),
+        n AS (SELECT lang, sum(len(w)) AS n FROM w GROUP BY lang),
+        c AS (SELECT lang, k, s, f AS a, string_split(s, ' ') AS ws FROM f WHERE k > 1),
+        cut AS (SELECT lang, k, s, a, j, array_to_string(ws[:j], ' ') AS s1, array_to_string(ws[j + 1 :], ' ') AS s2 FROM c, range(1, 5) t(j) WHERE j < k),
+        sc AS (SELECT cut.*, x.f AS l, y.f AS r, n.n, CAST(CAST(1000 AS HUGEINT) * a * n.n // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+            FROM cut JOIN f x ON x.lang = cut.lang AND x.s = s1 JOIN f y ON y.lang = cut.lang AND y.s = s2 JOIN n ON n.lang = cut.lang),
+        low AS (SELECT * FROM sc QUALIFY row_number() OVER (PARTITION BY lang, s ORDER BY score, j) = 1),
+        inside AS (SELECT DISTINCT lang, array_to_string(ws[i : i + m - 1], ' ') AS s, a FROM c, range(2, 5) t(m), range(1, 5) u(i) WHERE m < k AND i + m - 1 <= k),
+        kept AS (SELECT low.* FROM low WHERE NOT EXISTS (SELECT 1 FROM inside WHERE inside.lang = low.lang AND inside.s = low.s AND 100 * inside.a >= 100 * low.a))
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, s) AS rank, s AS phrase, a, l, r, CAST(n AS BIGINT) AS n, score
+        FROM kept QUALIFY rank <= 2000""",
 }
 
 
