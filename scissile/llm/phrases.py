@@ -225,7 +225,7 @@ def tree_sum(parts: DataFrame, capped: bool = False) -> DataFrame:
             total[: len(more)] += more
         total = np.minimum(total, 255) if capped else total
         first = lambda name: table.column(name)[:1].combine_chunks()
-        return pa.table({"block": first("block"), "slice": first("slice"), "part": pc.divide(first("part"), FAN_IN), "counts": pa.array([total.astype(kind).tobytes()], pa.binary())})
+        return pa.table({"block": first("block"), "slice": first("slice"), "part": pc.divide(first("part"), FAN_IN).cast(pa.int32()), "counts": pa.array([total.astype(kind).tobytes()], pa.binary())})
 
     most = parts.agg(F.max("part")).first()[0]
     while most:
@@ -281,7 +281,7 @@ def heavy_buckets(seqs: DataFrame, least: int) -> str:
     uri = f"{workdir(seqs.sparkSession, 'buckets')}.npy"
     bits = np.zeros(BUCKETS // 8, np.uint8)
     sums = tree_sum(staged(seqs.mapInArrow(run, PARTS), "bucket-parts"), capped=True)
-    for row in sums.select("slice", "counts").toLocalIterator():  # BUCKETS bytes in all, whatever the corpus
+    for row in sums.select("slice", "counts").collect():  # BUCKETS bytes in all, whatever the corpus
         heavy = np.packbits(np.frombuffer(row["counts"], np.uint8) >= min(least, 255))
         bits[row["slice"] * 2 * SLICE : row["slice"] * 2 * SLICE + len(heavy)] = heavy
     put_file(uri, [bits.tobytes()])
