@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.sequences import clipped, five_prime, percent_identity
 from .graphs import connected_components
 from .intervals import islands, proximity_join
+from .staging import staged
 
 
 def join_keys(anchor: DataFrame, adrift: DataFrame) -> DataFrame:
@@ -146,6 +147,38 @@ def multihit_clusters(hits: DataFrame, gap: int = 5) -> dict[str, DataFrame]:
     return {"alignments": full, "positions": full.select("cluster", "seqnames", "strand", F.col("island").alias("pos")).distinct(), "widths": widths}
 
 
+def multihit_points(clustered: dict[str, DataFrame]) -> DataFrame:
+    """(cluster, seqnames, strand, pos): a run's clusters by their 5' points, all that later runs need to know of it."""
+    return clustered["alignments"].select("cluster", "seqnames", "strand", "pos").distinct()
+
+
+def combine_multihits(known: DataFrame, hits: DataFrame, gap: int = 5, task_links: int | None = None) -> dict[str, DataFrame]:
+    """A further run's multihits (read_pair, ranges) joined to clusters that are known by their points.
+
+    Hits of the runs before aren't read: only loci on which a new point lies link clusters, read pairs and each other, so
+    what is clustered anew is the new run and the clusters that it touches.  The outcome is that of clustering all runs at
+    once, if read pairs have names of their own in each run.
+
+    renamed: (cluster, combined) of the known clusters that merge into one of another name; pairs: (read_pair, cluster) of
+    the new run; points: the points of all, for the next run.
+    """
+    points = hits.select(F.col("read_pair").cast("string").alias("read_pair"), "seqnames", "strand", five_prime(F.col("start"), F.col("end"), F.col("strand")).alias("pos")).distinct()
+    points = staged(points)
+    place = ["seqnames", "strand", "pos"]
+    all_places = known.select(*place).union(points.select(*place)).distinct().withColumn("__e", F.col("pos"))
+    placed = staged(islands(all_places, ["seqnames", "strand"], "pos", "__e", gap).drop("__e").withColumn("__locus", F.concat_ws(":", F.lit("~locus"), "seqnames", "strand", "island")))
+    new = points.join(placed, place).select("read_pair", "__locus")
+    met = known.join(placed, place).join(new.select("__locus").distinct(), "__locus", "left_semi")
+    link = lambda rows, name: rows.select(F.concat(F.lit("!pair"), name).alias("a"), F.col("__locus").alias("b")).distinct()
+    parts = staged(connected_components(link(new, "read_pair").union(link(met, "cluster")), **({} if task_links is None else {"task_links": task_links})))
+    cut = lambda c: F.substring(c, F.lit(6), F.length(c))
+    named = staged(parts.where(F.startswith("node", F.lit("!pair"))).select(cut("node").alias("name"), cut("component").alias("combined")))
+    renamed = known.select("cluster").distinct().join(named.withColumnRenamed("name", "cluster"), "cluster").where("cluster <> combined")
+    pairs = points.select("read_pair").distinct().join(named.withColumnRenamed("name", "read_pair"), "read_pair").select("read_pair", F.col("combined").alias("cluster"))
+    old = known.join(renamed, "cluster", "left").select(F.coalesce("combined", "cluster").alias("cluster"), *place)
+    return {"renamed": renamed, "pairs": pairs, "points": old.union(points.join(pairs, "read_pair").select("cluster", *place)).distinct()}
+
+
 def recover_multihits(unique: DataFrame, multi: DataFrame) -> DataFrame:
     """Unique rows and those multihit rows that share a sample's pile-up with a unique one; contrib is 1 / rows left of the read in the sample."""
     both = unique.withColumn("type", F.lit("uniq")).unionByName(multi.withColumn("type", F.lit("multi")))

@@ -6,27 +6,73 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import intervals
-from .staging import staged
+from .staging import settled, staged
 
 
 #: Links that one task may hold: some 100 MB with their names.
 TASK_LINKS = 1 << 20
 
 
-def connected_components(links: DataFrame, task_links: int = TASK_LINKS) -> DataFrame:
+def connected_components(links: DataFrame, task_links: int = TASK_LINKS, rounds: list | None = None) -> DataFrame:
     """(node, component) of every end of the links (a, b); the component is its smallest node.
 
-    Each round hooks a node to its smallest neighbour and contracts the links to links of roots, of which at least half
-    of the nodes are gone; once task_links or fewer are left, which bounds what a task holds, one task ends it.
+    In a round every node points at its smallest neighbour.  Along the pointers every second node is no larger than the
+    one before, so they end in pairs that point at each other; the smaller of a pair is a root, the smallest of all that
+    lead to it.  Pointers are doubled until they name roots, and the links are contracted to links of roots.  Each root
+    stands for two nodes or more, so n nodes end in log2(n) rounds; once task_links or fewer links are left, which
+    bounds what a task holds, one task ends it.  A link with a null end counts for its other end alone.
+
+    rounds: gets the number of links (either way) that each round begins with.
+    """
+    return settled(links.sparkSession, lambda: _contracted(links, task_links, [] if rounds is None else rounds))
+
+
+def _contracted(links: DataFrame, task_links: int, rounds: list) -> DataFrame:
+    ends = links.select(F.coalesce("a", "b").alias("a"), F.coalesce("b", "a").alias("b")).where("a IS NOT NULL")
+    both = staged(ends.union(ends.select("b", "a")).distinct())
+    levels = []
+    while (n := both.count()) > task_links:
+        rounds.append(n)
+        levels.append(_rooted(both))
+        end = lambda name: levels[-1].select(F.col("node").alias(name), F.col("root").alias(f"root_{name}"))
+        both = staged(both.join(end("a"), "a").join(end("b"), "b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b")).where("a <> b").distinct())
+    out = staged(both.repartition(1).mapInArrow(_spanned(), _schema(both)))
+    for level in reversed(levels):
+        out = staged(level.join(out.select(F.col("node").alias("root"), F.col("component").alias("__top")), "root", "left").select("node", F.coalesce("__top", "root").alias("component")))
+    return out
+
+
+def _rooted(both: DataFrame) -> DataFrame:
+    """(node, root): each node's way over smallest neighbours to the end, by doubling."""
+    low = staged(both.groupBy(F.col("a").alias("node")).agg(F.min(F.when(F.col("a") != F.col("b"), F.col("b"))).alias("low")))
+    back = low.select(F.col("node").alias("low"), F.col("low").alias("back"))
+    own = low.join(back, "low", "left")
+    # Alone, or the smaller of two that point at each other: a root.
+    root = F.when(F.col("low").isNull() | ((F.col("back") == F.col("node")) & (F.col("node") < F.col("low"))), F.col("node")).otherwise(F.col("low"))
+    at = staged(own.select("node", root.alias("root")))
+    while True:
+        ahead = at.select(F.col("node").alias("root"), F.col("root").alias("__next"))
+        at = staged(at.join(ahead, "root").select("node", F.col("__next").alias("root"), (F.col("__next") != F.col("root")).alias("moved")))
+        if at.where("moved").isEmpty():
+            return at.select("node", "root")
+
+
+def extend_components(known: DataFrame, links: DataFrame, task_links: int = TASK_LINKS) -> DataFrame:
+    """known (node, component) with further links (a, b): as if all links had been there from the start.
+
+    The links are taken to the components of their ends, so only those that they touch are clustered anew; the others'
+    rows pass through.
     """
-    both = staged(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    if both.count() <= task_links:
-        return staged(both.repartition(1).mapInArrow(_spanned(), _schema(both)))
-    label = staged(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low")).select("node", F.least("node", "low").alias("root")))
-    end = lambda name: label.select(F.col("node").alias(name), F.col("root").alias(f"root_{name}"))
-    roots = both.join(end("a"), "a").join(end("b"), "b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b")).where("a <> b")
-    top = connected_components(roots, task_links).select(F.col("node").alias("root"), F.col("component").alias("__top"))
-    return label.join(top, "root", "left").select("node", F.coalesce("__top", "root").alias("component"))
+    known = known.select("node", "component")
+    part = lambda end: known.select(F.col("node").alias(end), F.col("component").alias(f"__{end}"))
+    named = links.select("a", "b").join(part("a"), "a", "left").join(part("b"), "b", "left")
+    named = staged(named.select("a", "b", F.coalesce("__a", "a").alias("__a"), F.coalesce("__b", "b").alias("__b")))
+    merged = connected_components(named.select(F.col("__a").alias("a"), F.col("__b").alias("b")), task_links)
+    merged = merged.select(F.col("node").alias("component"), F.col("component").alias("__new"))
+    old = known.join(merged, "component", "left").select("node", F.coalesce("__new", "component").alias("component"))
+    ends = named.select(F.col("a").alias("node"), F.col("__a").alias("component")).union(named.select("b", "__b")).where("node IS NOT NULL").distinct()
+    fresh = ends.join(known, "node", "left_anti").join(merged, "component").select("node", F.col("__new").alias("component"))
+    return old.union(fresh)
 
 
 def _schema(links: DataFrame):

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -22,12 +24,52 @@ def shared_folder(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def staged(df: DataFrame) -> DataFrame:
-    """df written in the shared folder and read back."""
+#: Tables that were staged and still stand, by the scope in which they were: the first is the session's.
+_scopes: list[list[str]] = [[]]
+
+
+def _written(df: DataFrame) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     uri = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(uri)
-    return spark.read.schema(df.schema).parquet(uri)
+    return spark.read.schema(df.schema).parquet(uri), uri
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """df written in the shared folder and read back; it stands until the scope in which it was staged ends."""
+    out, uri = _written(df)
+    _scopes[-1].append(uri)
+    return out
+
+
+@contextlib.contextmanager
+def scope(spark: SparkSession):
+    """Deletes at its end every table that was staged within: for a plan whose results are written or read by then."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        _delete(spark, _scopes.pop())
+
+
+def settled(spark: SparkSession, build: Callable[[], DataFrame]) -> DataFrame:
+    """The table that build() gives, staged; what was staged on the way to it is deleted."""
+    with scope(spark):
+        out, uri = _written(build())
+    _scopes[-1].append(uri)
+    return out
+
+
+def release(spark: SparkSession) -> None:
+    """Deletes what was staged outside of any scope: for a session that has read its results."""
+    held, _scopes[0][:] = list(_scopes[0]), []
+    _delete(spark, held)
+
+
+def _delete(spark: SparkSession, uris: list[str]) -> None:
+    for uri in uris:
+        path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def ranked(df: DataFrame, order: list[str], out: str, by: list[str] = ()) -> DataFrame:

@@ -446,6 +446,20 @@ def clustered(fragments: DataFrame) -> DataFrame:
     return alignments.multihit_clusters(own)["alignments"].select("read_pair", "cluster", "seqnames", "strand", "pos", F.col("start").alias("range_start"), F.col("end").alias("range_end"), "width")
 
 
+@query(SQL["multihit_clusters"].removeprefix("WITH ").replace("SELECT rp AS read_pair, r AS cluster,", "SELECT DISTINCT rp AS read_pair, r AS cluster,").split(", seqnames, strand, pos, s AS range_start")[0] + " FROM own JOIN lab ON rp = x")
+def multihit_runs_combined(spark, d):
+    """Three runs one after another: every third part's fragments; equal to clustering all at once."""
+    own = frag(spark, d).select(F.col("l_partkey").cast("string").alias("read_pair"), "seqnames", "strand", "start", "end", (F.col("l_partkey") % 3).alias("run")).distinct()
+    run = lambda k: own.where(F.col("run") == k).drop("run")
+    first = alignments.multihit_clusters(run(0))
+    pairs, points = first["alignments"].select("read_pair", "cluster").distinct(), alignments.multihit_points(first)
+    for k in (1, 2):
+        more = alignments.combine_multihits(points, run(k))
+        pairs = pairs.join(more["renamed"], "cluster", "left").select("read_pair", F.coalesce("combined", "cluster").alias("cluster")).union(more["pairs"])
+        points = more["points"]
+    return pairs
+
+
 @query(f"""{FRAG}, src AS (SELECT samplename, seqnames, strand, s, e, l_orderkey AS id, CASE WHEN l_partkey % 3 = 0 THEN 'multi' ELSE 'uniq' END AS type FROM frag), {island_sql('src', 'samplename, seqnames, strand')},
   kept AS (SELECT * FROM isl WHERE type = 'uniq' OR (samplename, seqnames, strand, head) IN (SELECT (samplename, seqnames, strand, head) FROM isl WHERE type = 'uniq'))
   SELECT samplename AS sample, id, seqnames, strand, s AS range_start, e AS range_end, type, round(CASE WHEN type = 'uniq' THEN 1.0 ELSE 1.0 / count(*) OVER (PARTITION BY samplename, id, type) END, 6) AS contrib FROM kept""")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators import reads as rd
 from ..operators.staging import shared_folder
-from ..sources import readers, writers
+from ..sources import binary, readers, writers
 from .contract import READ, genes, query, reads, t
 
 
@@ -70,6 +70,31 @@ def sam_scan(spark, d):
     return readers.sam(spark, path).select("qname", "flag", "rname", "pos", "mapq", "qwidth", "span", "MD")
 
 
+_BAM = "SELECT 'q' || l_orderkey AS qname, CAST(l_partkey % 256 AS INTEGER) AS flag, 'chr' || (l_suppkey % 5) AS rname, l_orderkey AS pos, CAST(l_linenumber AS INTEGER) AS mapq, CAST(l_partkey % 9 + 1 + 40 + 2 AS INTEGER) AS qwidth, CAST(40 + 3 AS INTEGER) AS span, CASE WHEN l_linenumber % 2 = 0 THEN '20A19' END AS \"MD\" FROM lineitem"
+
+
+def bam_rows(spark, d):
+    return t(spark, d, "lineitem").selectExpr("concat('q', l_orderkey) AS qname", "CAST(l_partkey % 256 AS INT) AS flag", "concat('chr', l_suppkey % 5) AS rname", "l_orderkey AS pos", "CAST(l_linenumber AS INT) AS mapq", "concat(l_partkey % 9 + 1, 'S30M2I3D10M') AS cigar", "if(l_linenumber % 2 = 0, '20A19', NULL) AS MD")
+
+
+def bam_files(spark, d) -> str:
+    path = place(spark, "hits-bam")
+    writers.bam(bam_rows(spark, d), path, [(f"chr{i}", (1 << 31) - 1) for i in range(5)]).collect()  # a row a file
+    return path
+
+
+@query(_BAM)
+def bam_scan(spark, d):
+    """Block-compressed files, a task for every 64 kB of them."""
+    return binary.bam(spark, bam_files(spark, d), split_bytes=1 << 16).drop("cigar")
+
+
+@query(f"{_BAM} WHERE flag % 2 = 1 AND flag % 16 < 4 AND mapq >= 3 AND rname IN ('chr1', 'chr3')".replace("SELECT", "SELECT * FROM (SELECT", 1).replace("FROM lineitem", "FROM lineitem)"))
+def bam_mapped_pairs(spark, d):
+    """Filters that the source takes: mapped pairs of two contigs with a quality of 3 or more."""
+    return binary.bam(spark, bam_files(spark, d), mapped_pairs=True, split_bytes=1 << 16).where("mapq >= 3 AND rname IN ('chr1', 'chr3')").drop("cigar")
+
+
 @query("SELECT CAST(o_orderkey AS VARCHAR) AS \"readNames\", 'seq' || o_custkey AS \"seqID\" FROM orders")
 def key_file_scan(spark, d):
     path = place(spark, "keys.tsv")

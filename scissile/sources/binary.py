@@ -1,125 +1,51 @@
 """Binary formats: BAM alignment files and .2bit genomes.
 
-BAM files are inflated as streams, one task a file, and hold one record at a time;
-.2bit files are read a sequence at a time.  Paths are those that Spark lists and
+BAM files and block-compressed FASTQ are read by ranges of bytes (see blocks);
+.2bit files by ranges of their contigs.  Paths are those that Spark lists and
 Arrow's filesystems open.
 """
 
 from __future__ import annotations
 
+import json
 import struct
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Fixed values of the formats: operations of a CIGAR, sizes of fixed tag types, the two-bit order of bases, the signature.
-CIGAR_OPS = "MIDNSHP=X"
-TAG_SIZES = {"A": 1, "c": 1, "C": 1, "s": 2, "S": 2, "i": 4, "I": 4, "f": 4}
+from . import blocks
+from .readers import named
+
+#: Fixed values of .2bit: the order of bases, the signature.
 TWOBIT_BASES, TWOBIT_SIGNATURE = "TCAG", 0x1A412743
-SAM_COLUMNS = "qname string, flag int, rname string, pos long, mapq int, cigar string, qwidth int, span int, MD string"
 
 
-def bam(spark: SparkSession, path, mapped_pairs: bool = False) -> DataFrame:
+def bam(spark: SparkSession, path, mapped_pairs: bool = False, split_bytes: int = blocks.SPLIT_BYTES) -> DataFrame:
     """(qname, flag, rname, pos, mapq, cigar, qwidth, span, MD) of BAM files, as readers.sam has them.
 
-    mapped_pairs: only records of paired reads that are mapped as their mates are; the others' fields are never read.
+    A file is read by a task for each split_bytes of it, records that cross a border included.  mapped_pairs: only records
+    of paired reads that are mapped as their mates are; the others' fields are never read.
     """
-    sizes, ops, columns = TAG_SIZES, CIGAR_OPS, SAM_COLUMNS
-
-    def scan(batches):
-        import struct
-        import zlib
+    rows = _scan(spark, path, "*.bam", "bam", split_bytes)
+    return (rows.where("mapped_pair = true") if mapped_pairs else rows).drop("mapped_pair")
 
-        import pyarrow as pa
-        from pyarrow.fs import FileSystem
 
-        kinds = {"string": pa.string(), "int": pa.int32(), "long": pa.int64()}
-        names, types = zip(*((n, kinds[k]) for n, k in (c.split() for c in columns.split(", "))))
-
-        def stream(uri):
-            fs, name = FileSystem.from_uri(uri)
-            with fs.open_input_stream(name, compression=None) as f:
-                pack = zlib.decompressobj(31)
-                while data := f.read(1 << 20):
-                    while data:
-                        yield pack.decompress(data)
-                        data = pack.unused_data
-                        if pack.eof:
-                            pack = zlib.decompressobj(31)
-
-        def md_of(tags):
-            at = 0
-            while at + 3 <= len(tags):
-                name, kind = tags[at : at + 2], chr(tags[at + 2])
-                at += 3
-                if kind in "ZH":
-                    end = tags.index(b"\0", at)
-                    if name == b"MD":
-                        return tags[at:end].decode()
-                    at = end + 1
-                elif kind == "B":
-                    at += 5 + sizes[chr(tags[at])] * struct.unpack_from("<i", tags, at + 1)[0]
-                else:
-                    at += sizes[kind]
-            return None
-
-        def records(uri):
-            buf, pieces = bytearray(), stream(uri)
-
-            def take(n):
-                while len(buf) < n:
-                    piece = next(pieces, None)
-                    if piece is None:
-                        if buf:
-                            raise ValueError(f"{uri} ends inside a record")
-                        return None
-                    buf.extend(piece)
-                out = bytes(buf[:n])
-                del buf[:n]
-                return out
-
-            if take(4) != b"BAM\1":
-                raise ValueError(f"{uri} is not a BAM file")
-            number = lambda: struct.unpack("<i", take(4))[0]
-            take(number())
-            refs = []
-            for _ in range(number()):
-                refs.append(take(number())[:-1].decode())
-                take(4)
-            while (head := take(4)) is not None:
-                block = take(struct.unpack("<i", head)[0])
-                ref, pos, n_name, mapq, _, n_ops, flag, n_seq = struct.unpack_from("<iiBBHHHi", block)
-                if mapped_pairs and (not flag & 1 or flag & 0xC):
-                    continue
-                at = 32 + n_name
-                runs = [(x >> 4, ops[x & 15]) for x in struct.unpack_from(f"<{n_ops}I", block, at)]
-                size = lambda which: sum(n for n, o in runs if o in which)
-                md = md_of(block[at + 4 * n_ops + (n_seq + 1) // 2 + n_seq :])
-                yield block[32 : at - 1].decode(), flag, refs[ref] if ref >= 0 else "*", pos + 1, mapq, "".join(f"{n}{o}" for n, o in runs) or "*", size("MIS=X"), size("MDN=X"), md
-
-        def batch(rows):
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=list(names))
+def fastq_blocks(spark: SparkSession, path, split_bytes: int = blocks.SPLIT_BYTES) -> DataFrame:
+    """(read_id, description, seq, qual) of gzip FASTQ, as readers.fastq has them: by many tasks a file where it is block-compressed."""
+    return named(_scan(spark, path, "*.gz", "bgzf_fastq", split_bytes).withColumnRenamed("name", "__name"))
 
-        for given in batches:
-            for uri in given.column(0).to_pylist():
-                rows = []
-                for row in records(uri):
-                    rows.append(row)
-                    if len(rows) == 10_000:
-                        yield batch(rows)
-                        rows = []
-                if rows:
-                    yield batch(rows)
 
-    files = _files(spark, path, "*.bam")
-    return files.mapInArrow(scan, SAM_COLUMNS)
+def _scan(spark: SparkSession, path, pattern: str, kind: str, split_bytes: int) -> DataFrame:
+    blocks.register(spark)
+    files = [(r["path"], r["length"]) for r in _files(spark, path, pattern, "length").collect()]  # a row a file
+    return spark.read.format(kind).option("files", json.dumps(files)).option("splitBytes", split_bytes).load()
 
 
-def _files(spark: SparkSession, path, pattern: str) -> DataFrame:
+def _files(spark: SparkSession, path, pattern: str, *more: str) -> DataFrame:
     """(path) of each file, a task each; their contents aren't read here."""
     reader = spark.read.format("binaryFile")
     listed = reader.load(path) if str(path).endswith(pattern.lstrip("*")) else reader.option("pathGlobFilter", pattern).load(path)
-    return listed.select(F.regexp_replace("path", "^file:/+", "file:///").alias("path"))
+    return listed.select(F.regexp_replace("path", "^file:/+", "file:///").alias("path"), *more)
 
 
 def twobit(spark: SparkSession, path) -> DataFrame:

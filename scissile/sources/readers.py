@@ -83,10 +83,10 @@ def fastq(spark: SparkSession, path) -> DataFrame:
     each = crossing.select("l", F.explode(F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))).alias("i"))
     line = lambda k: F.get("l", F.col("i") * 4 + k)
     rest = each.select(F.substring(line(0), F.lit(2), F.length(line(0))).alias("__name"), line(1).alias("seq"), line(3).alias("qual"))
-    return _named(whole.unionByName(rest))
+    return named(whole.unionByName(rest))
 
 
-def _named(rows: DataFrame) -> DataFrame:
+def named(rows: DataFrame) -> DataFrame:
     cut = F.regexp_extract("__name", r"^(\S+)\s*(.*)$", 1), F.regexp_extract("__name", r"^(\S+)\s*(.*)$", 2)
     return rows.select(cut[0].alias("read_id"), cut[1].alias("description"), *[c for c in rows.columns if c != "__name"])
 
@@ -97,7 +97,7 @@ def fasta(spark: SparkSession, path) -> DataFrame:
     body = F.regexp_replace(F.regexp_replace("value", "\r", ""), "^>", "")
     name = F.regexp_extract(body, r"^([^\n]*)", 1)
     seq = F.regexp_replace(F.substring(body, F.length(name) + 1, F.length(body)), r"\s", "")
-    return _named(rows.select(name.alias("__name"), F.upper(seq).alias("seq")))
+    return named(rows.select(name.alias("__name"), F.upper(seq).alias("seq")))
 
 
 def contigs(spark: SparkSession, path) -> DataFrame:

@@ -117,3 +117,38 @@ def report(frames: dict[str, DataFrame], path: str, kind: str = "txt", whole: st
     os.makedirs(os.path.dirname(os.path.abspath(path)), exist_ok=True)
     with open(path, "w") as f:
         f.write(f"<html><body>{body}</body></html>" if kind == "html" else body)
+
+
+BAM_ROWS = ["qname", "flag", "rname", "pos", "mapq", "cigar", "MD"]
+
+
+def bam(df: DataFrame, path: str, refs: list[tuple[str, int]]) -> DataFrame:
+    """Block-compressed BAM files below path, one a task, of (qname, flag, rname, pos, mapq, cigar, MD); sequences are blank.
+
+    refs: contigs with their lengths; a name that isn't among them is an error, and * is no contig.  Gives (uri, size) of
+    the files, a row each; a retried task replaces its file.
+    """
+    from . import blocks
+
+    blocks.register(df.sparkSession)
+
+    def write(batches):
+        import re
+
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        places = {n: i for i, (n, _) in enumerate(refs)} | {"*": -1}
+
+        def chunks():
+            yield blocks.bam_header(refs)
+            for batch in batches:
+                for qname, flag, rname, pos, mapq, cigar, md in zip(*(c.to_pylist() for c in batch.columns)):
+                    runs = [(int(n), o) for n, o in re.findall(r"(\d+)([MIDNSHP=X])", cigar)]
+                    length = sum(n for n, o in runs if o in "MIS=X")
+                    yield blocks.bam_record(qname, flag, places[rname], pos, mapq, runs, length, b"" if md is None else b"MDZ" + md.encode() + b"\0")
+
+        uri, size = blocks.write_part(path, f"part-{TaskContext.get().partitionId():06d}.bam", chunks())
+        yield pa.RecordBatch.from_pydict({"uri": [uri], "size": [size]})
+
+    return df.select(*BAM_ROWS).mapInArrow(write, "uri string, size long")

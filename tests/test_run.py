@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from scissile import cli
 from scissile.plans.run import RunConfig, process_reads
 from scissile.plans.summary import specimen_spread
-from scissile.sources import binary, readers, writers
+from scissile.sources import binary, blocks, readers, writers
 from tests.conftest import rows_of
 
 BARCODES = {"A-1": ("ACGTACGT", "GGTTCCAA"), "A-2": ("TTGCAAGC", "GGTTCCAA"), "B-1": ("CCATGGTA", "AATTGGCC")}
@@ -118,7 +118,7 @@ def test_spread_of_sites(spark):
 def bam_bytes(records, refs=("chr1", "chr2")):
     body = b"BAM\1" + struct.pack("<i", 3) + b"@HD" + struct.pack("<i", len(refs)) + b"".join(struct.pack("<i", len(r) + 1) + r.encode() + b"\0" + struct.pack("<i", 1000) for r in refs)
     for name, flag, ref, pos, mapq, cigar, seq, tags in records:
-        ops = b"".join(struct.pack("<I", n << 4 | binary.CIGAR_OPS.index(o)) for n, o in cigar)
+        ops = b"".join(struct.pack("<I", n << 4 | blocks.CIGAR_OPS.index(o)) for n, o in cigar)
         rest = name.encode() + b"\0" + ops + bytes((len(seq) + 1) // 2) + bytes(len(seq)) + tags
         block = struct.pack("<iiBBHHHiiii", ref, pos, len(name) + 1, mapq, 0, len(cigar), flag, len(seq), -1, -1, 0) + rest
         body += struct.pack("<i", len(block)) + block
