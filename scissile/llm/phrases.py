@@ -50,6 +50,8 @@ BLOCK_KEYS = 1 << 21
 BUCKETS = 1 << 24
 #: Counters of a slice, and slices that one task of the tree sums.
 SLICE, FAN_IN = 1 << 16, 64
+#: Keys that one task adds up, some 25 MB of them.
+SLICE_KEYS = 1 << 21
 #: Distinct words or keys that a mapper gathers before it sends them on.
 GATHERED = 1 << 19
 
@@ -293,15 +295,24 @@ def _bitmap(uri: str) -> np.ndarray:
     return np.frombuffer(get_file(uri), np.uint8)
 
 
-def candidates(seqs: DataFrame, least: int, heavy: str | None) -> DataFrame:
-    """Keys of neighbours that may come up `least` times or more: an upper bound of each is added up, in mappers first."""
+def candidates(seqs: DataFrame, least: int, heavy: str | None, positions: int) -> DataFrame:
+    """(key) of neighbours that may come up `least` times: an upper bound of each is added up.
+
+    Mappers hand on arrays of distinct keys and bounds, cut by hash into slices that one task each adds up; there are as
+    many slices as the positions of the corpus ask for, so that a slice has some SLICE_KEYS keys whatever comes.
+    """
+    slices = max(1, -(-positions // SLICE_KEYS))
 
     def run(batches):
         held, size = [], 0
 
         def out():
             keys, n = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_pydict({"key": keys.view(np.int64), "bound": n})
+            at = (mix(keys + U(1)) % U(slices)).astype(np.int32)
+            order = np.argsort(at, kind="stable")
+            which, first = np.unique(at[order], return_index=True)
+            cut = lambda x, kind: pa.array([y.astype(kind).tobytes() for y in np.split(x[order], first[1:])], pa.binary())
+            return pa.RecordBatch.from_pydict({"slice": pa.array(which, pa.int32()), "keys": cut(keys, np.uint64), "bounds": cut(n, np.uint32)})
 
         for batch in batches:
             for ids in _arrays(batch):
@@ -314,10 +325,16 @@ def candidates(seqs: DataFrame, least: int, heavy: str | None) -> DataFrame:
                 if size > 4 * GATHERED:
                     yield out()
                     held, size = [], 0
-        if held:
+        if size:
             yield out()
 
-    return seqs.mapInArrow(run, "key long, bound long").groupBy("key").agg(F.sum("bound").alias("bound")).where(F.col("bound") >= least)
+    def add(table):
+        read = lambda name, kind: np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in table.column(name)])
+        keys, which = np.unique(read("keys", np.uint64), return_inverse=True)
+        bound = np.bincount(which, read("bounds", np.uint32))
+        return pa.table({"key": keys[bound >= least].view(np.int64)})
+
+    return seqs.mapInArrow(run, "slice int, keys binary, bounds binary").groupBy("slice").applyInArrow(once(add), "key long")
 
 
 def _dealt(rows: DataFrame, by: list[str], block_keys: int) -> DataFrame:
@@ -503,9 +520,10 @@ def mine(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, top: int =
     level = staged(slots.join(totals, "lang").select("slot", "lang", "n", F.col("word").alias("phrase"), F.col("word").alias("last"), "f", none.alias("heads"), none.alias("tails")), "phrases-1")
     levels = []
     if blocks:
+        positions = totals.agg(F.sum("n")).first()[0]
         seqs = word_sequences(texts, blocks)
         for k in range(2, longest + 1):
-            blocks = key_blocks(candidates(seqs, least, heavy_buckets(seqs, least) if k == 2 else None), block_keys)
+            blocks = key_blocks(candidates(seqs, least, heavy_buckets(seqs, least) if k == 2 else None, positions), block_keys)
             if not blocks:
                 break
             seqs, sums = advance(seqs, blocks)

@@ -48,9 +48,10 @@ def texts(seed, many):
 
 
 @pytest.mark.parametrize("least,block_keys", [(8, 1 << 21), (8, 20), (3, 64)])
-def test_phrases_against_brute_force(spark, least, block_keys):
+def test_phrases_against_brute_force(spark, monkeypatch, least, block_keys):
     rows = texts(least, 150)
     df = spark.createDataFrame(rows, "text string, lang string").repartition(3)
+    monkeypatch.setattr(phrases, "SLICE_KEYS", 300 if least == 3 else 1 << 21)
     got = phrases.mine(df, least=least, top=40, block_keys=block_keys).collect()
     assert {tuple(r) for r in got} == brute(rows, least, top=40) and len(got) > 30
     assert max(len(r["phrase"].split(" ")) for r in got) == 5
