@@ -17,16 +17,19 @@ import json
 import os
 import shutil
 import sys
+from functools import reduce
 
 from pyspark.sql import SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .operators import alignments, evaluation as ev
+from .operators.staging import scope
 from .plans.evaluate import Config, assimilate, evaluate, reconcile
-from .plans.run import RunConfig, process_reads, write_run
+from .plans.run import RunConfig, from_samples, process_reads, write_demultiplexed, write_run
 from .plans.summary import NEEDED, summary_tables
 from .sources import binary, readers, writers
+from .sources.genome import pieces
 
 FOLDERS = ["input_data", "logs", "process_data", "output", "reports"]
 SUMMARIES = ["combos", "specimen_totals", "on_target", "off_target", "inclusion", "pileup_summary", "matched_summary", "off_target_sequences"]
@@ -87,6 +90,11 @@ def genome(spark, path: str):
     return binary.twobit(spark, path) if path.endswith(".2bit") else readers.contigs(spark, path)
 
 
+def reads_of(spark, path: str):
+    """FASTQ by many tasks a file: text is split anywhere, gzip where it is block-compressed."""
+    return binary.fastq_blocks(spark, path) if path.endswith(".gz") else readers.fastq(spark, path)
+
+
 def run(path: str, folder: str) -> None:
     """The read-handling stages, then, where the configuration names alignments of their output, the reads for an evaluation.
 
@@ -96,11 +104,19 @@ def run(path: str, folder: str) -> None:
     with open(path) as f:
         raw = json.load(f)
     at = lambda name: os.path.join(os.path.dirname(os.path.abspath(path)), raw[name])
+    ends = ("R1", "R2", "I1", "I2")
     if "R1" in raw:
-        fastq = {n: readers.fastq(spark, at(n)) for n in ("R1", "R2", "I1", "I2") if n in raw}
+        fastq = {n: reads_of(spark, at(n)) for n in ends if n in raw}
         sheet = readers.sample_sheet(spark, at("samples"))
         tables = process_reads(fastq["R1"], fastq["R2"], fastq["I1"], fastq.get("I2"), sheet, RunConfig.of(raw))
         write_run(tables, folder)
+        write_demultiplexed(fastq, tables["assigned"], f"{folder}/demulti")
+    elif "demultiplexed" in raw:  # sample -> its files by end
+        root = os.path.dirname(os.path.abspath(path))
+        files = {sample: {n: reads_of(spark, os.path.join(root, x[n])) for n in ends if n in x} for sample, x in raw["demultiplexed"].items()}
+        whole = {n: reduce(lambda a, b: a.unionByName(b), [x[n] for x in files.values()]) for n in ends if all(n in x for x in files.values())}
+        sheet = readers.sample_sheet(spark, at("samples"))
+        write_run(process_reads(whole["R1"], whole["R2"], None, whole.get("I2"), sheet, RunConfig.of(raw), from_samples(files)), folder)
     if "anchor_psl" in raw:
         own = lambda end: readers.keys(spark, at(f"{end}_keys")) if f"{end}_keys" in raw else readers.keys(spark, f"{folder}/{ {'anchor': 'r2', 'adrift': 'r1'}[end]}_keys.csv")
         keys = alignments.join_keys(own("anchor"), own("adrift"))
@@ -122,12 +138,19 @@ def main(argv: list[str] | None = None) -> int:
         spark = session()
         support = readers.sample_sheet(spark, a.support) if a.support else None
         print(writers.text_table(ev.sample_list(readers.sample_sheet(spark, a.sheet), support=support), "samples"))
-    elif a.command == "run":
+    else:
+        spark = session()
+        with scope(spark):  # what a command stages is gone when it ends
+            on_spark(spark, a)
+    return 0
+
+
+def on_spark(spark, a) -> None:
+    if a.command == "run":
         run(a.config, a.output)
     elif a.command == "genome":
-        binary.write_genome(genome(session(), a.contigs), a.file)
+        binary.write_genome(genome(spark, a.contigs), a.file)
     elif a.command == "eval":
-        spark = session()
         raw = []
         for path in a.config:
             with open(path) as f:
@@ -143,15 +166,14 @@ def main(argv: list[str] | None = None) -> int:
         specimens = specimens.withColumn("ord", F.row_number().over(W.orderBy("run_set", F.col("ord").cast("int"))))  # a sheet's few rows
         support = in_order(readers.sample_sheet(spark, a.support)) if a.support else None
         genes = readers.reference_set(spark, a.genes).withColumn("start", F.col("start").cast("long")).withColumn("end", F.col("end").cast("long"))
-        out = evaluate(every, specimens, genome(spark, a.contigs), genes, config, support)
+        out = evaluate(every, specimens, pieces(spark, a.contigs), genes, config, support)
         writers.evaluation(out, a.output, {"tables": sorted(out), "runs": names})
     elif a.command == "summary":
-        frames = writers.load_evaluation(session(), a.folder, NEEDED)
+        frames = writers.load_evaluation(spark, a.folder, NEEDED)
         writers.report(summary_tables(frames, a.power_filter, a.mesl_filter), a.output, "html" if a.html else "txt", a.csv)
     elif a.command == "report":
-        frames = writers.load_evaluation(session(), a.folder, SUMMARIES)
+        frames = writers.load_evaluation(spark, a.folder, SUMMARIES)
         writers.report(frames, a.output, "html" if a.html else "txt")
-    return 0
 
 
 if __name__ == "__main__":

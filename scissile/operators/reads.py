@@ -116,7 +116,10 @@ def lead_trim(reads: DataFrame, lead: str, phasing: int = 0, max_mismatch: int =
     head = F.substring("seq", 1, len(lead) + 1)
     spans = [(m.start(), m[0]) for m in re.finditer("[^ACGT]+", lead)] if collect else []
     pattern = re.sub("[^ACGT]", ".", lead) if collect else lead
-    found = cut.where(F.length("seq") > len(lead)).withColumn("__m", pattern_places(head, [pattern], max_mismatch)).where(F.size("__m") == 1)
+    # A read must be longer than the lead; where codes are collected, than what lies from its first fixed base to its last.
+    fixed = [m.span() for m in re.finditer("[ACGT]+", lead)] if spans else []
+    least = fixed[-1][1] - fixed[0][0] if fixed else len(lead)
+    found = cut.where(F.length("seq") > least).withColumn("__m", pattern_places(head, [pattern], max_mismatch)).where(F.size("__m") == 1)
     found = found.withColumn("__o", F.get("__m", F.lit(0))["offset"]).drop("__m")
     if collect:
         umi = F.concat(*[F.substring("seq", F.col("__o") + at, F.lit(len(text))) for at, text in spans]) if spans else F.lit("")

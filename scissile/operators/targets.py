@@ -14,9 +14,11 @@ NO_MATCH = "No_valid_match"
 def site_sequences(sites: DataFrame, contigs: DataFrame, up: int = 100, down: int = 30, chunk: int = 1 << 16) -> DataFrame:
     """Distinct sites (seqnames, pos, strand) with site_seq: `up` bases before the 5' point to `down` after it along the strand, cut at contig ends.
 
-    Contigs (seqnames, seq) are split into overlapping chunks in one pass over each, so that a site joins some kilobases,
-    not a chromosome.
+    Contigs are pieces (seqnames, at, part), as sources.genome reads them, or rows (seqnames, seq), which are split into
+    overlapping chunks in one pass over each, so that a site joins some kilobases, not a chromosome.
     """
+    if "part" in contigs.columns:
+        return _from_pieces(sites, contigs, up, down, chunk)
     reach = up + down + 1
 
     def split(batches):
@@ -38,14 +40,42 @@ def site_sequences(sites: DataFrame, contigs: DataFrame, up: int = 100, down: in
     return joined.select("seqnames", "pos", "strand", F.when(F.col("strand") == "-", reverse_complement(text)).otherwise(text).alias("site_seq"))
 
 
-def align_targets(seqs: DataFrame, targets: dict[str, str], tolerance: int = 6, column: str = "site_seq") -> DataFrame:
+def _from_pieces(sites: DataFrame, pieces: DataFrame, up: int, down: int, cell: int) -> DataFrame:
+    """site_sequences of pieces of any lengths: both sides meet in cells of a contig; a site puts its stretches together."""
+    own = sites.select("seqnames", "pos", "strand").distinct()
+    minus = F.col("strand") == "-"
+    own = own.withColumn("__lo", F.greatest(F.when(minus, F.col("pos") - down).otherwise(F.col("pos") - up) - 1, F.lit(0))).withColumn("__hi", F.when(minus, F.col("pos") + up).otherwise(F.col("pos") + down))
+    cells = lambda a, z: F.explode(F.sequence(F.floor(a / cell), F.floor(z / cell)))
+    own = own.where("__hi > __lo").withColumn("__cell", cells(F.col("__lo"), F.col("__hi") - 1))
+    held = pieces.select("seqnames", F.col("at").cast("long").alias("__at"), "part").where("part <> ''").withColumn("__end", F.col("__at") + F.length("part"))
+    held = held.withColumn("__cell", cells(F.col("__at"), F.col("__end") - 1)).withColumn("__from", F.greatest("__at", F.col("__cell") * cell)).withColumn("__to", F.least("__end", (F.col("__cell") + 1) * cell))
+    # Only a cell's own stretch of a piece travels.
+    held = held.select("seqnames", "__cell", "__from", F.substring("part", (F.col("__from") - F.col("__at") + 1).cast("int"), (F.col("__to") - F.col("__from")).cast("int")).alias("__part"))
+    a = F.greatest("__lo", "__from")
+    z = F.least("__hi", F.col("__from") + F.length("__part"))
+    met = own.join(held, ["seqnames", "__cell"]).withColumn("__a", a).withColumn("__z", z).where("__z > __a")
+    bit = F.substring("__part", (F.col("__a") - F.col("__from") + 1).cast("int"), (F.col("__z") - F.col("__a")).cast("int"))
+    whole = met.groupBy("seqnames", "pos", "strand").agg(F.array_sort(F.collect_list(F.struct("__a", bit.alias("bit")))).alias("bits"))
+    text = F.array_join(F.transform("bits", lambda x: x["bit"]), "")
+    return whole.select("seqnames", "pos", "strand", F.when(minus, reverse_complement(text)).otherwise(text).alias("site_seq"))
+
+
+def several(value: str | list[str]) -> list[str]:
+    """A value that may be one or a list, as a list."""
+    return [value] if isinstance(value, str) else list(value)
+
+
+def align_targets(seqs: DataFrame, targets: dict[str, str | list[str]], tolerance: int = 6, column: str = "site_seq") -> DataFrame:
     """seqs exploded to (target, first, last, mismatch): every place where a target fits with at most `tolerance` mismatches, ends clamped to the sequence.
 
-    Targets are few literals: a batch of sites is matched with all of them at once, without a join.
+    Targets are few literals, a name may have several: a batch of sites is matched with all of them at once, without a join.
     """
-    found = pattern_places(F.col(column), list(targets.values()), tolerance, beyond=tolerance)
-    names = F.array(*map(F.lit, targets))
-    size = F.array(*(F.lit(len(x)) for x in targets.values()))
+    each = [(name, seq) for name, value in targets.items() for seq in several(value)]
+    if not each:
+        return seqs.select("*", F.lit("").alias("target"), F.lit(0).alias("first"), F.lit(0).alias("last"), F.lit(0).alias("mismatch")).where(F.lit(False))
+    found = pattern_places(F.col(column), [seq for _, seq in each], tolerance, beyond=tolerance)
+    names = F.array(*(F.lit(name) for name, _ in each))
+    size = F.array(*(F.lit(len(seq)) for _, seq in each))
     hits = seqs.withColumn("__m", F.explode(found))
     last = F.col("__m.offset") + F.get(size, F.col("__m.pattern")) - 1
     return hits.select(*seqs.columns, F.get(names, F.col("__m.pattern")).alias("target"), F.greatest("__m.offset", F.lit(1)).alias("first"), F.least(last, F.length(column)).alias("last"), F.col("__m.mismatch").alias("mismatch"))

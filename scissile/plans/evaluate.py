@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import re
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.strings import expand_positions
 from ..operators import alignments, evaluation as ev, intervals, targets
 from ..operators.staging import staged
+from ..operators.targets import several
 
 
 @dataclass
@@ -31,20 +33,44 @@ class Config:
     on_targets: dict = field(default_factory=dict)
     onco: list = field(default_factory=list)
     special: list = field(default_factory=list)
+    umis: bool | None = None
 
     @classmethod
     def of(cls, raw: dict) -> "Config":
-        return cls(**{k: None if v is False and k not in ("recover_multihits",) else v for k, v in raw.items() if k in cls.__dataclass_fields__})
+        return cls(**{k: None if v is False and k not in ("recover_multihits", "umis") else v for k, v in raw.items() if k in cls.__dataclass_fields__})
 
 
 def reconcile(configs: list[Config]) -> Config:
-    """The first run's parameters, if the runs can be evaluated together."""
+    """One configuration for runs that are evaluated together.
+
+    The first run's parameters hold, with the targets, on-target sites and nuclease profiles of all: each distinct sequence
+    of a target's name, each distinct site of it, and of profiles of one name the first.  Multihits count if all runs
+    recover them; distances and the pile-up minimum must then agree.  UMIs as the measure need UMIs in every run.
+    """
     first = configs[0]
-    if len({c.recover_multihits for c in configs}) > 1 or len({c.abundance == "umi" for c in configs}) > 1:
-        raise ValueError("multihit recovery and UMI use must agree over all runs")
-    if first.recover_multihits and len({c.max_target_mismatch for c in configs}) > 1:
-        raise ValueError("target mismatch limits must agree where multihits are recovered")
-    return first
+    multihits = all(c.recover_multihits for c in configs)
+    differing = [n for n in ("up", "down", "pileup_min") if len({getattr(c, n) for c in configs}) > 1]
+    if multihits and differing:
+        raise ValueError(f"runs whose multihits are recovered must agree in {', '.join(differing)}")
+    if first.abundance == "umi" and any(c.umis is False for c in configs):
+        raise ValueError("abundance by UMIs needs UMIs in every run")
+    seqs, sites, profiles = {}, {}, {}
+    for c in configs:
+        for name, value in (c.targets or {}).items():
+            seqs.setdefault(name, {}).update({x.upper(): None for x in several(value)})
+        for name, value in (c.on_targets or {}).items():
+            sites.setdefault(name, {}).update(dict.fromkeys(several(value)))
+        for name, value in (c.profiles or {}).items():
+            profiles.setdefault(name, value)
+    held = lambda found: {n: list(v) for n, v in found.items()}
+    return replace(first, recover_multihits=multihits, targets=held(seqs), on_targets=held(sites), profiles=profiles)
+
+
+def considered(config: Config, specimens: DataFrame) -> tuple[dict, dict]:
+    """(targets, on-target sites) of those targets that a sheet's treatments name, Mock aside; a sheet is a few rows."""
+    named = {t for r in specimens.select("treatment").distinct().collect() for t in (r["treatment"] or "").split(";")} - {"Mock"}
+    own = lambda name: re.match(r"[\w\-.]*", name)[0]
+    return {n: v for n, v in config.targets.items() if own(n) in named}, {n: v for n, v in (config.on_targets or {}).items() if own(n) in named}
 
 
 def assimilate(anchor_psl: DataFrame, adrift_psl: DataFrame, keys: DataFrame, config: Config, umis: DataFrame | None = None) -> dict[str, DataFrame]:
@@ -64,7 +90,7 @@ def assimilate(anchor_psl: DataFrame, adrift_psl: DataFrame, keys: DataFrame, co
 
 def on_target_positions(spark, on_targets: dict) -> DataFrame:
     """(target, position): the listed on-target positions, one by one; a target's name ends at its first other character."""
-    listed = [(name, p) for name, ps in on_targets.items() for p in ([ps] if isinstance(ps, str) else ps)]
+    listed = [(name, p) for name, ps in on_targets.items() for p in several(ps)]
     rows = spark.createDataFrame(listed, "name string, p string").withColumn("target", F.regexp_extract("name", r"[\w\-.]+", 0))
     return expand_positions(rows, "p").select("target", "position").distinct()
 
@@ -114,6 +140,7 @@ def evaluate(reads: DataFrame, specimens: DataFrame, contigs: DataFrame, genes:
     if support is not None:
         specimens = ev.restrict(specimens, support)
     spec = specimens.withColumn("nuclease", ev.normalise_mock(F.col("nuclease"))).withColumn("treatment", ev.normalise_mock(F.col("treatment")))
+    aims, on_targets = considered(config, spec)
     combos = ev.combinations(spec)
     fan = ev.fan_out(spec, combos).join(combos, "combo")
     told = [c for c in support.columns if c not in ("specimen", "ord", "run_set")] if support is not None else []
@@ -126,12 +153,12 @@ def evaluate(reads: DataFrame, specimens: DataFrame, contigs: DataFrame, genes:
     sites = targets.site_sequences(own, contigs, config.up, config.down)
     matched = None
     for name, profile in config.profiles.items():  # a few nucleases
-        part = targets.compare_targets(sites, config.targets, profile, config.up, config.down, config.max_target_mismatch).withColumn("nuclease", F.lit(name))
+        part = targets.compare_targets(sites, aims, profile, config.up, config.down, config.max_target_mismatch).withColumn("nuclease", F.lit(name))
         matched = part if matched is None else matched.unionByName(part)
     found = own.join(matched.drop("site_seq"), ["nuclease", "seqnames", "pos", "strand"], "left").withColumn("target_match", F.coalesce("target_match", F.lit(targets.NO_MATCH)))
     treat = fan.select("alt_specimen", F.split("treatment", ";").alias("treatment"))
     algnmts = staged(targets.treated_only(found, treat.withColumnRenamed("alt_specimen", "specimen"), "alt_specimen"))
-    on = staged(on_target_positions(spark, config.on_targets or {}))
+    on = staged(on_target_positions(spark, on_targets))
     flagged = staged(ev.on_target_flag(ev.criteria(algnmts, config.pileup_min), on.select("position")).join(F.broadcast(conditions), "specimen"))
     probable = flagged.where("probable")
     # Summaries and the genes at their places.
@@ -160,14 +187,14 @@ def evaluate(reads: DataFrame, specimens: DataFrame, contigs: DataFrame, genes:
     combo_overview = fan.select("alt_specimen", "specimen").join(F.broadcast(conditions.select("specimen", "annotation")), "specimen").select("alt_specimen", "specimen", "annotation")
     listed = combo_overview.select("alt_specimen", "annotation")
     on_table, off_table = ev.joined_summaries(listed, *percents, on="alt_specimen"), ev.joined_summaries(listed, *counts, on="alt_specimen")
-    names = sorted(config.targets)
+    names = sorted(aims)
     wide = ev.efficiency_pivot(summaries["matched_summary"], names)
     efficiency = listed.join(wide, "alt_specimen", "left")
     totals = ev.specimen_totals(flagged)
     overview = ev.joined_summaries(combo_overview, ev.efficiency_ranges(efficiency, names), off_table.select("alt_specimen", F.col("n_match").alias("predicted_off_targets")), on="alt_specimen", how="full")
     abundance = {"umi": "umitags", "read": "reads"}.get(config.abundance, "algns")
     summary = overview.join(totals.select("specimen", F.col(abundance).alias("abundance")), "specimen", "full").select("alt_specimen", "annotation", "abundance", "efficiency", "predicted_off_targets")
-    by_annotation = summaries["matched_summary"].join(F.broadcast(listed), "alt_specimen")
+    by_annotation = summaries["matched_summary"].join(F.broadcast(listed), "alt_specimen").withColumn("combo", F.regexp_extract("alt_specimen", r"\((.*)\)$", 1))
     # The first combination of each specimen stands for it among pile-ups and pairs.
     firsts = fan.groupBy("specimen").agg(F.min("alt_specimen").alias("alt_specimen")).join(F.broadcast(conditions), "specimen").select("alt_specimen", "annotation")
     held = {"Pile Ups": summaries["pileup_summary"], "Flanking Pairs": summaries["paired_regions"]}
@@ -175,5 +202,5 @@ def evaluate(reads: DataFrame, specimens: DataFrame, contigs: DataFrame, genes:
     return summaries | {
         "combos": combos, "algnmts": flagged, "specimen_totals": totals, "criteria_stats": ev.criteria_stats(flagged), "on_target": on_table, "off_target": off_table,
         "efficiency": efficiency, "eval_summary": summary, "distance_histogram": ev.distance_histogram(on_dist, ["annotation", "target"]), "density": grid, "inclusion": ev.inclusion(on_dist, ["annotation", "target"], config.up),
-        "mesl": mesl, "off_target_sequences": ev.off_target_sequences(by_annotation, mesl), "enrichment": enrichment(held, genes, listed, config),
+        "mesl": mesl, "off_target_sequences": ev.off_target_sequences(by_annotation, mesl, ("combo",) if support is None else ("annotation",)), "enrichment": enrichment(held, genes, listed, config),
     }

@@ -10,9 +10,9 @@ import uuid
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import reads as rd
+from ..operators import reads as rd, targets
 from ..operators.staging import shared_folder
-from ..sources import binary, readers, writers
+from ..sources import binary, genome, readers, writers
 from .contract import READ, genes, query, reads, t
 
 
@@ -95,6 +95,24 @@ def bam_mapped_pairs(spark, d):
     return binary.bam(spark, bam_files(spark, d), mapped_pairs=True, split_bytes=1 << 16).where("mapq >= 3 AND rname IN ('chr1', 'chr3')").drop("cigar")
 
 
+@query(f"""{READ}, one AS (SELECT 'c' || (cust % 40) AS seqnames, string_agg(seq, '' ORDER BY id) AS s FROM reads GROUP BY ALL),
+  site AS (SELECT seqnames, s, p_partkey * 37 % length(s) + 1 AS pos, CASE WHEN p_size % 2 = 0 THEN '+' ELSE '-' END AS strand FROM one JOIN part ON 'c' || (p_partkey % 40) = seqnames),
+  cut AS (SELECT DISTINCT seqnames, pos, strand, substr(s, greatest(1, CASE WHEN strand = '+' THEN pos - 60 ELSE pos - 30 END), CASE WHEN strand = '+' THEN pos + 30 ELSE pos + 60 END - greatest(1, CASE WHEN strand = '+' THEN pos - 60 ELSE pos - 30 END) + 1) AS w FROM site)
+  SELECT seqnames, pos, strand, CASE WHEN strand = '+' THEN w ELSE reverse(translate(w, 'ACGT', 'TGCA')) END AS site_seq FROM cut""")
+def genome_pieces(spark, d):
+    """Reads joined to forty contigs in FASTA, read by ranges of 64 kB as pieces of 1000 bases; the sequences around sites in them."""
+    path = place(spark, "genome.fasta")
+    own = reads(spark, d).select(F.concat(F.lit("c"), F.col("cust") % 40).alias("name"), "read_id", "seq")
+    lines = own.select("name", F.col("read_id").cast("long").alias("at"), F.col("seq").alias("line")).unionByName(own.select("name", F.lit(-1).cast("long").alias("at"), F.concat(F.lit(">"), "name", F.lit(" x")).alias("line")).distinct())
+    # A contig's lines follow each other in one file, as its range has them.
+    lines.repartition(8, "name").sortWithinPartitions("name", "at").select("line").write.text(path)
+    parts = genome.fasta_pieces(spark, f"{path}/*.txt", split_bytes=1 << 16, piece=1000)
+    size = genome.lengths(parts)
+    sites = t(spark, d, "part").select(F.concat(F.lit("c"), F.col("p_partkey") % 40).alias("seqnames"), "p_partkey", "p_size").join(size, "seqnames")
+    sites = sites.select("seqnames", (F.col("p_partkey") * 37 % F.col("length") + 1).alias("pos"), F.when(F.col("p_size") % 2 == 0, "+").otherwise("-").alias("strand"))
+    return targets.site_sequences(sites, parts, 60, 30, chunk=4096)
+
+
 @query("SELECT CAST(o_orderkey AS VARCHAR) AS \"readNames\", 'seq' || o_custkey AS \"seqID\" FROM orders")
 def key_file_scan(spark, d):
     path = place(spark, "keys.tsv")

@@ -33,7 +33,8 @@ def summary_tables(frames: dict[str, DataFrame], power: float = 0.0, mesl: float
     }
     sequences = frames["off_target_sequences"]
     sequences = sequences.where(F.col("MESL") >= mesl) if mesl > 0 else sequences
-    names = [r["annotation"] for r in sequences.select("annotation").distinct().orderBy("annotation").collect()]
+    by = "annotation" if "annotation" in sequences.columns else "combo"  # conditions of a support file, or combinations
+    names = [r[0] for r in sequences.select(by).distinct().orderBy(by).collect()]
     for i, name in enumerate(names, 10):
-        out[f"{i}. Loci of {name}"] = sequences.where(F.col("annotation").eqNullSafe(name)).drop("annotation")
+        out[f"{i}. Loci of {name}"] = sequences.where(F.col(by).eqNullSafe(name)).drop(by)
     return out

@@ -37,11 +37,11 @@ def fastq_blocks(spark: SparkSession, path, split_bytes: int = blocks.SPLIT_BYTE
 
 def _scan(spark: SparkSession, path, pattern: str, kind: str, split_bytes: int) -> DataFrame:
     blocks.register(spark)
-    files = [(r["path"], r["length"]) for r in _files(spark, path, pattern, "length").collect()]  # a row a file
+    files = [(r["path"], r["length"]) for r in listed(spark, path, pattern, "length").collect()]  # a row a file
     return spark.read.format(kind).option("files", json.dumps(files)).option("splitBytes", split_bytes).load()
 
 
-def _files(spark: SparkSession, path, pattern: str, *more: str) -> DataFrame:
+def listed(spark: SparkSession, path, pattern: str, *more: str) -> DataFrame:
     """(path) of each file, a task each; their contents aren't read here."""
     reader = spark.read.format("binaryFile")
     listed = reader.load(path) if str(path).endswith(pattern.lstrip("*")) else reader.option("pathGlobFilter", pattern).load(path)
@@ -84,7 +84,7 @@ def twobit(spark: SparkSession, path) -> DataFrame:
                             seq[start : start + length] = ord("N")
                         yield pa.RecordBatch.from_pydict({"seqnames": [seqname], "seq": [seq.tobytes().decode()], "length": pa.array([size], pa.int64())})
 
-    return _files(spark, path, "*.2bit").mapInArrow(scan, "seqnames string, seq string, length long")
+    return listed(spark, path, "*.2bit").mapInArrow(scan, "seqnames string, seq string, length long")
 
 
 def pack_contigs(contigs: DataFrame) -> DataFrame:

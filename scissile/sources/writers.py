@@ -16,6 +16,21 @@ def fastq(reads: DataFrame, path: str, by: list[str] = (), gzip: bool = True) ->
     _text(reads.select(text.alias("value"), *by), path, by, gzip)
 
 
+def fastq_by_sample(reads: DataFrame, path: str, rows_a_file: int = 1 << 22) -> None:
+    """Gzip FASTQ in a folder for each sampleName, in files of some rows_a_file records.
+
+    A sample is dealt over as many tasks as its count asks for, so that no task holds a large sample and a small one is
+    one file.
+    """
+    counts = reads.groupBy("sampleName").agg(F.count("*").alias("__n"))  # a row a sample
+    salts = F.greatest(F.lit(1), F.ceil(F.col("__n") / rows_a_file))
+    dealt = reads.join(F.broadcast(counts.select("sampleName", salts.alias("__salts"))), "sampleName").withColumn("__salt", F.pmod(F.xxhash64("read_id"), "__salts"))
+    tasks = counts.agg(F.sum(salts)).first()[0] or 1
+    text = F.concat_ws("\n", F.concat(F.lit("@"), "read_id"), "seq", F.lit("+"), "qual")
+    dealt = dealt.repartition(int(tasks), "sampleName", "__salt").select(text.alias("value"), "sampleName")
+    dealt.write.mode("overwrite").option("compression", "gzip").option("maxRecordsPerFile", 2 * rows_a_file).partitionBy("sampleName").text(path)
+
+
 def fasta(reads: DataFrame, path: str, by: list[str] = (), gzip: bool = True) -> None:
     _text(reads.select(F.concat_ws("\n", F.concat(F.lit(">"), "read_id"), "seq").alias("value"), *by), path, by, gzip)
 
