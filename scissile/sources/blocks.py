@@ -509,13 +509,13 @@ def write_part(folder: str, name: str, chunks) -> tuple[str, int]:
     fs.create_dir(path, recursive=True)
     part, size = f"{path}/.{uuid.uuid4().hex}.tmp", 0
     with fs.open_output_stream(part, compression=None) as out:
-        held = b""
+        held = bytearray()
         for chunk in chunks:
             held += chunk
             if len(held) >= PIECE:
-                size += out.write(to_blocks(held))
-                held = b""
-        size += out.write(to_blocks(held) + END_BLOCK)
+                size += out.write(to_blocks(bytes(held)))
+                held.clear()
+        size += out.write(to_blocks(bytes(held)) + END_BLOCK)
     fs.move(part, f"{path}/{name}")
     return f"{folder}/{name}", size
 
