@@ -99,18 +99,26 @@ def write_archives(records: DataFrame, folder: str, shard_bytes: int = SHARD_BYT
     return records.mapInArrow(in_pieces(write), "uri string, records long")
 
 
+#: Inflated bytes of a piece.
+PIECE = 4 << 20
+
+
 def inflate(uri: str, step: int = 1 << 20):
-    """The bytes of a gzip file of one or many members, piece by piece."""
+    """The bytes of a gzip file of one or many members, in pieces of PIECE at most; a file that ends inside a member is an error."""
     fs, path = filesystem(uri)
     with fs.open_input_stream(path, compression=None) as f:
-        pack = zlib.decompressobj(31)
-        while data := f.read(step):
-            while data:
-                yield pack.decompress(data)
-                data = pack.unused_data
-                if pack.eof:
-                    pack = zlib.decompressobj(31)
-        yield pack.flush()
+        pack, rest, whole = zlib.decompressobj(31), b"", True
+        while data := rest or f.read(step):
+            if piece := pack.decompress(data, PIECE):
+                yield piece
+            rest, whole = pack.unconsumed_tail or pack.unused_data, pack.eof
+            if whole:
+                pack = zlib.decompressobj(31)
+            elif not rest:
+                while piece := pack.decompress(b"", PIECE):
+                    yield piece
+        if not whole:
+            raise ValueError(f"{uri} is cut short")
 
 
 def split_records(pieces):
