@@ -18,26 +18,41 @@ from .staging import ranked, staged
 BLOCK = 1 << 20
 
 
-def _carried(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
-    """(keys, __block, out): the greatest `value` in earlier blocks."""
-    w = W.partitionBy(*keys).orderBy("__block").rowsBetween(W.unboundedPreceding, -1)
-    return df.groupBy(*keys, "__block").agg(F.max(value).alias("__top")).withColumn(out, F.max("__top").over(w)).drop("__top")
+#: Stands for null in text keys while rows are grouped and joined, so that none is lost.
+NO_KEY = "\x00null"
+
+
+def _filled(df: DataFrame, keys: list[str]) -> DataFrame:
+    text = [k for k in keys if df.schema[k].dataType.typeName() == "string"]
+    return df.withColumns({k: F.coalesce(k, F.lit(NO_KEY)) for k in text})
+
+
+def _emptied(df: DataFrame, keys: list[str]) -> DataFrame:
+    text = [k for k in keys if df.schema[k].dataType.typeName() == "string"]
+    return df.withColumns({k: F.nullif(F.col(k), F.lit(NO_KEY)) for k in text})
 
 
 def islands(df: DataFrame, keys: list[str], start: str = "start", end: str = "end", maxgap: int = 0, out: str = "island", block: int = BLOCK) -> DataFrame:
-    """df with `out`: the first position of the row's island.  Ranges join if one begins within maxgap of the furthest end so far; touching neighbours don't at gap 0."""
-    own = df.withColumn("__block", F.floor(F.col(start) / block))
-    w = W.partitionBy(*keys, "__block").orderBy(start, end)
-    before = w.rowsBetween(W.unboundedPreceding, -1)
-    own = own.join(_carried(own, keys, end, "__reach"), [*keys, "__block"])
-    reach = F.greatest(F.max(end).over(before), F.col("__reach"))
-    # Written once: the last heads of blocks and the rows themselves both come from it.
-    own = staged(own.withColumn("__head", F.when(reach.isNull() | (F.col(start) > reach + maxgap), F.col(start))))
-    own = own.join(_carried(own, keys, "__head", "__last"), [*keys, "__block"])
-    # Of equal ranges the one that opened the island comes first.
-    ordered = W.partitionBy(*keys, "__block").orderBy(start, end, F.col("__head").asc_nulls_last())
-    head = F.max("__head").over(ordered.rowsBetween(W.unboundedPreceding, W.currentRow))
-    return own.withColumn(out, F.coalesce(head, F.col("__last"))).drop("__block", "__reach", "__head", "__last")
+    """df with `out`: the first position of the row's island.  Ranges join if one begins within maxgap of the furthest end so far; touching neighbours don't at gap 0.
+
+    Rows are exchanged once, by block, where each finds the last head before it as if nothing came from earlier blocks.
+    That head stands if it lies beyond what they reach; else the row belongs to their last head, and so does all before
+    it in the block.  A block's summary (furthest end, last head) is a row, and those before a block add up by maximum.
+    Null keys are a group like any other.
+    """
+    own = _filled(df, keys).withColumn("__block", F.floor(F.col(start) / block))
+    ordered = W.partitionBy(*keys, "__block").orderBy(start, end)
+    reach = F.max(end).over(ordered.rowsBetween(W.unboundedPreceding, -1))
+    own = own.withColumn("__new", F.when(reach.isNull() | (F.col(start) > reach + maxgap), F.col(start)))
+    own = own.withColumn("__head", F.max("__new").over(ordered.rowsBetween(W.unboundedPreceding, W.currentRow))).drop("__new")
+    before = W.partitionBy(*keys).orderBy("__block").rowsBetween(W.unboundedPreceding, -1)
+    sums = own.groupBy(*keys, "__block").agg(F.max(end).alias("__top"), F.max("__head").alias("__last"))
+    sums = sums.withColumn("__reach", F.max("__top").over(before))
+    stands = F.col("__reach").isNull() | (F.col("__last") > F.col("__reach") + maxgap)
+    sums = sums.withColumn("__carried", F.max(F.when(stands, F.col("__last"))).over(before)).select(*keys, "__block", "__reach", "__carried")
+    own = own.join(sums, [*keys, "__block"])
+    head = F.when(F.col("__reach").isNull() | (F.col("__head") > F.col("__reach") + maxgap), F.col("__head")).otherwise(F.col("__carried"))
+    return _emptied(own.withColumn(out, head).drop("__block", "__reach", "__head", "__carried"), keys)
 
 
 def reduce_ranges(df: DataFrame, keys: list[str], maxgap: int = 0) -> DataFrame:
@@ -60,13 +75,15 @@ def pileup_clusters(df: DataFrame, grouping: list[str] = (), maxgap: int = 0) ->
     Islands are found on distinct ranges, which are far fewer than rows at hot loci.
     """
     keys = [*grouping, "seqnames", "strand"]
+    df = _filled(df, keys)
     ranges = df.groupBy(*keys, "start", "end").agg(F.count("*").alias("__n"))
-    placed = staged(islands(ranges, keys, maxgap=maxgap).withColumn("__pos", five_prime(F.col("start"), F.col("end"), F.col("strand"))))
+    placed = staged(_filled(islands(ranges, keys, maxgap=maxgap), keys).withColumn("__pos", five_prime(F.col("start"), F.col("end"), F.col("strand"))))
     counts = placed.groupBy(*keys, "island", "__pos").agg(F.sum("__n").alias("__n"))
     tie = F.when(F.col("strand") == "-", F.col("__pos")).otherwise(-F.col("__pos"))
     origin = counts.groupBy(*keys, "island").agg(F.max_by("__pos", F.struct("__n", tie)).alias("__origin"))
-    named = placed.join(origin, [*keys, "island"]).select(*keys, "start", "end", "island", F.concat_ws(":", "seqnames", "strand", "__origin").alias("clus_ori"))
-    return df.join(named, [*keys, "start", "end"])
+    name = F.concat_ws(":", F.nullif("seqnames", F.lit(NO_KEY)), F.nullif("strand", F.lit(NO_KEY)), "__origin")
+    named = placed.join(origin, [*keys, "island"]).select(*keys, "start", "end", "island", name.alias("clus_ori"))
+    return _emptied(df.join(named, [*keys, "start", "end"]), keys)
 
 
 def cluster_ids(clustered: DataFrame) -> DataFrame:
@@ -100,9 +117,9 @@ def paired_points(df: DataFrame, grouping: list[str] = (), maxgap: int = 200, ma
 
 def identify_pairs(df: DataFrame, grouping: list[str] = (), maxgap: int = 200, maxovlp: int = 10) -> DataFrame:
     """df with paired_algn: grouping and the pair's first position, null for unpaired rows."""
-    pairs = paired_points(df, grouping, maxgap, maxovlp).withColumn("paired_algn", F.concat_ws(".", *grouping, "seqnames", "pair_start")).drop("pair_start")
-    own = df.withColumn("pos", five_prime(F.col("start"), F.col("end"), F.col("strand")))
-    return own.join(pairs, [*grouping, "seqnames", "strand", "pos"], "left").drop("pos")
+    pairs = paired_points(df, grouping, maxgap, maxovlp).withColumn("paired_algn", F.concat_ws(".", *grouping, "seqnames", "pair_start")).drop("pair_start").withColumnRenamed("pos", "__pos5")
+    own = df.withColumn("__pos5", five_prime(F.col("start"), F.col("end"), F.col("strand")))
+    return own.join(pairs, [*grouping, "seqnames", "strand", "__pos5"], "left").drop("__pos5")
 
 
 def proximity_join(left: DataFrame, right: DataFrame, keys: list[str], left_pos: str, right_pos: str, reach: int) -> DataFrame:
@@ -187,12 +204,39 @@ def coverage(df: DataFrame, resolution: int) -> DataFrame:
 MAIN_CONTIGS = r"chr[0-9XY]+$"
 
 
+#: Rounds of the permutation, and the steps of a walk.
+ROUNDS, WALK = 4, 400
+
+
+def _bits(key: str, value, bits: int):
+    """The first `bits` (60 at most) bits of the MD5 of `key:value`."""
+    digest = F.md5(F.concat(F.lit(f"{key}:"), value.cast("string")).cast("binary"))
+    return F.shiftright(F.conv(F.substring(digest, 1, 15), 16, 10).cast("long"), 60 - bits)
+
+
+def permuted(value, half: int, seed: int):
+    """A keyed permutation of the numbers of 2 * half bits: Feistel rounds over their halves."""
+    left, right = F.shiftright(value, half), value.bitwiseAND((1 << half) - 1)
+    for k in range(ROUNDS):
+        left, right = right, left.bitwiseXOR(_bits(f"{seed}:{k}", right, half))
+    return F.shiftleft(left, half).bitwiseOR(right)
+
+
+def shuffled(value, total: int, seed: int = 1):
+    """Where a keyed permutation of 0..total-1 takes the value: the permutation of the next numbers of even bits, walked until it falls below total."""
+    half = max(1, -(-max(1, total - 1).bit_length() // 2))
+    one = lambda x: permuted(x, half, seed)
+    # At least a quarter of the numbers lie below total: that many steps are enough but for a chance of 1e-50.
+    step = lambda x, _: F.when(x < total, x).otherwise(one(x))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), one(value), step)
+
+
 def random_sites(contigs: DataFrame, n: int, seed: int = 1, drop_alt: bool = True, names: list[str] | None = None) -> DataFrame:
     """n distinct sites (seqnames, start, strand), contigs in proportion to length, strands alike.
 
-    Contigs are those of `names`, or the numbered and sex chromosomes, or all without drop_alt.  Draw i is the first 48
-    bits of the MD5 of `seed:i` modulo the positions, of which the first n distinct ones are taken; for more than half of
-    the positions, every position is drawn at its own number and the n least are taken.  Both are the same on any cluster.
+    Contigs are those of `names`, or the numbered and sex chromosomes, or all without drop_alt.  Draw i is the place to
+    which a keyed permutation of all positions takes i, so draws are distinct as they come: nothing is sorted or compared,
+    any part of them can be drawn anywhere, and they are the same on any cluster.
     """
     if names is not None:
         own = contigs.where(F.col("seqnames").isin(list(names)))
@@ -204,18 +248,7 @@ def random_sites(contigs: DataFrame, n: int, seed: int = 1, drop_alt: bool = Tru
     if n > total:
         raise ValueError("more sites than positions")
     spark = contigs.sparkSession
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col("id").cast("string")).cast("binary"))
-    digits = lambda a, m: F.conv(F.substring(digest, a, m), 16, 10).cast("long")
-    side = F.when(digits(13, 1) % 2 == 0, "+").otherwise("-").alias("strand")
-    if 2 * n > total:
-        placed = spark.range(total).select(F.col("id").alias("__at"), side, digest.alias("__order")).orderBy("__order", "__at").limit(n)
-    else:
-        many = 2 * n + 100
-        while True:
-            draws = spark.range(many).select("id", (digits(1, 12) % F.lit(total)).alias("__at"), side)
-            placed = draws.groupBy("__at").agg(F.min("id").alias("__order"), F.min_by("strand", "id").alias("strand")).orderBy("__order").limit(n)
-            if placed.count() == n:
-                break
-            many *= 2
+    side = F.when(_bits(f"{seed}:side", F.col("id"), 1) == 0, "+").otherwise("-").alias("strand")
+    placed = spark.range(n).select(shuffled(F.col("id"), total, seed).alias("__at"), side)
     at = placed.join(F.broadcast(table), (F.col("__at") >= F.col("__lo")) & (F.col("__at") < F.col("__hi")))
     return at.select("seqnames", (F.col("__at") - F.col("__lo") + 1).alias("start"), "strand")

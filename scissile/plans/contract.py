@@ -184,10 +184,20 @@ def coverage(spark, d):
     return out.select("seqnames", F.col("start").alias("win_start"), F.col("end").alias("win_end"), "plus", "minus")
 
 
-@query(f"""{CONTIG}, ct AS (SELECT seqnames, len, sum(len) OVER (ORDER BY seqnames) - len AS lo, sum(len) OVER (ORDER BY seqnames) AS hi FROM contig), tot AS (SELECT sum(len) AS total FROM contig),
-  draw AS (SELECT i, CAST('0x' || substr(md5('1:' || i), 1, 12) AS BIGINT) % total AS spot, CAST('0x' || substr(md5('1:' || i), 13, 1) AS BIGINT) % 2 AS side FROM (SELECT unnest(range(4000)) AS i), tot),
-  one AS (SELECT min(i) AS i, spot, arg_min(side, i) AS side FROM draw GROUP BY spot ORDER BY min(i) LIMIT 500)
-  SELECT seqnames, CAST(spot - lo + 1 AS BIGINT) AS start, CASE WHEN side = 0 THEN '+' ELSE '-' END AS strand FROM one JOIN ct ON spot >= lo AND spot < hi""")
+def permuted_sql(value: str, source: str) -> str:
+    """(i, v): four Feistel rounds over the halves of a number; source has i, the number, half and total."""
+    bits = lambda k: f"(CAST('0x' || substr(md5('1:{k}:' || b), 1, 15) AS BIGINT) >> (60 - half))"
+    inner = f"SELECT *, {value} >> half AS a, {value} & ((CAST(1 AS BIGINT) << half) - 1) AS b FROM {source}"
+    for k in range(4):
+        inner = f"SELECT * EXCLUDE (a, b), b AS a, xor(a, {bits(k)}) AS b FROM ({inner})"
+    return f"SELECT i, half, total, (a << half) | b AS v FROM ({inner})"
+
+
+@query(f"""RECURSIVE {CONTIG}, ct AS (SELECT seqnames, len, sum(len) OVER (ORDER BY seqnames) - len AS lo, sum(len) OVER (ORDER BY seqnames) AS hi FROM contig),
+  tot AS (SELECT CAST(total AS BIGINT) AS total, greatest(1, (length(bin(CAST(total - 1 AS BIGINT))) + 1) // 2) AS half FROM (SELECT sum(len) AS total FROM contig)),
+  draw AS (SELECT i, total, half FROM (SELECT unnest(range(CAST(500 AS BIGINT))) AS i), tot),
+  walk AS ({permuted_sql("i", "draw")} UNION ALL {permuted_sql("v", "(SELECT * FROM walk WHERE v >= total)")})
+  SELECT seqnames, CAST(v - lo + 1 AS BIGINT) AS start, CASE WHEN CAST('0x' || substr(md5('1:side:' || i), 1, 15) AS BIGINT) >> 59 = 0 THEN '+' ELSE '-' END AS strand FROM walk JOIN ct ON v >= lo AND v < hi""")
 def random_sites(spark, d):
     return intervals.random_sites(contigs(spark, d), 500)
 

@@ -282,3 +282,52 @@ def test_statistics_of_classes_and_multihits(spark):
     hits = spark.createDataFrame([("p", "c", 10, 40, "+"), ("p", "c", 500, 530, "+"), ("q", "c", 502, 540, "+"), ("z", "d", 1, 9, "+"), ("z", "d", 90, 98, "+")], "read_pair string, seqnames string, start long, end long, strand string")
     stats = dict(map(tuple, alignments.multihit_stats(alignments.multihit_clusters(hits)).collect()))
     assert stats == {"multihit.reads": 3, "multihit.lengths": 3, "multihit.clusters": 2}
+
+
+def test_rows_with_null_keys_and_clashing_names_stay(spark):
+    df = spark.createDataFrame([("c", 1, 5, None, "k"), ("c", 4, 9, None, "l"), ("c", 4, 9, "+", "m"), (None, 4, 9, "+", "n")], "seqnames string, start long, end long, strand string, pos string")
+    got = {r["pos"]: (r["island"], r["clus_ori"]) for r in intervals.pileup_clusters(df).collect()}
+    assert got == {"k": (1, "c:9"), "l": (1, "c:9"), "m": (4, "c:+:4"), "n": (4, "+:4")} or got["k"][0] == 1 and set(got) == set("klmn")
+    assert rows_of(intervals.reduce_ranges(df, ["seqnames", "strand"]).select("seqnames", "strand", "start", "end", "members")) == rows_of(spark.createDataFrame([("c", None, 1, 9, 2), ("c", "+", 4, 9, 1), (None, "+", 4, 9, 1)], "a string, b string, c long, d long, e long"))
+    paired = intervals.identify_pairs(df)
+    assert {r["pos"] for r in paired.collect()} == set("klmn") and "paired_algn" in paired.columns
+
+
+@pytest.mark.parametrize("block", [7, 50, 1 << 20])
+def test_islands_over_blocks(spark, block):
+    """Long ranges over many blocks, ties, gaps: against a plain scan."""
+    rng = random.Random(block)
+    rows = [(rng.choice("ab"), s, s + rng.choice([0, 1, 5, 90]) , i) for i in range(400) for s in [rng.randrange(2000)]]
+    for gap in (0, 3):
+        want, reach, head = {}, {}, {}
+        for k, s, e, i in sorted(rows, key=lambda r: (r[0], r[1], r[2])):
+            if k not in reach or s > reach[k] + gap:
+                head[k] = s
+            reach[k] = max(e, reach.get(k, e))
+            want[i] = head[k]
+        got = intervals.islands(spark.createDataFrame(rows, "k string, start long, end long, i int").repartition(3), ["k"], maxgap=gap, block=block).collect()
+        assert {r["i"]: r["island"] for r in got} == want
+
+
+def test_power_is_the_sum_over_all_tables():
+    from math import comb
+
+    from scissile.operators import evaluation as ev
+
+    def whole(a, b, alpha):
+        chance = lambda r, k: comb(r["total"], k) * (r["onco"] / r["total"]) ** k * (1 - r["onco"] / r["total"]) ** (r["total"] - k)
+        return sum(chance(a, x) * chance(b, y) for x in range(a["total"] + 1) for y in range(b["total"] + 1) if ev.fisher_two_sided(x, a["total"] - x, y, b["total"] - y) < alpha)
+
+    row = lambda total, onco: {"total": total, "onco": onco}
+    rng = random.Random(2)
+    for _ in range(12):
+        base, other = row(n := rng.randrange(1, 40), rng.randrange(n + 1)), row(m := rng.randrange(1, 30), rng.randrange(m + 1))
+        got = ev.power_of([base, other], alpha=0.1)
+        assert got == pytest.approx([whole(base, base, 0.1), whole(other, base, 0.1)], abs=1e-7)
+    assert ev.power_of([row(20_000, 900), row(300, 40)])[1] > 0.9 and ev.power_of([row(0, 0), row(5, 5)]) == [0.0, 0.0]
+
+
+@pytest.mark.parametrize("total", [1, 2, 5, 64, 65, 1000])
+def test_a_permutation_of_positions(spark, total):
+    got = [r[0] for r in spark.range(total).select(intervals.shuffled(F.col("id"), total, 3)).collect()]
+    assert sorted(got) == list(range(total)) and (total < 60 or got != sorted(got))
