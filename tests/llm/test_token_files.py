@@ -104,3 +104,10 @@ def test_a_damaged_file_is_told(spark, tmp_path):
 def test_empty_table(spark):
     files = token_files.write(empty(spark), queries.word_tokenizer_path())
     assert files.count() == 0 and token_files.read(files).collect() == []
+
+
+def test_op12_rows(spark, own, tmp_path):
+    rows = [(7, "A word, another.\nAnd more"), (3, None), (5, "<|endoftext|> x"), (-2, "")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op12_token_files(spark, str(tmp_path))
+    assert sorted((tuple(r) for r in got.collect()), key=lambda r: r[1]) == wanted(sorted(rows), own) and got.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
