@@ -19,11 +19,12 @@ distances of up to DISTANCE verify a match.
 A task gets the fingerprints that can meet in one range of a segment's values, which
 its leading bits name: those of the range itself and of ranges that lack one of its
 bits.  They come as a blob for each batch that sent some and are gone through CHUNK
-at a time.  Members
-of a crowd (a component of over CROWD) that differ from its first member by
-DISTANCE at most are then held by that one alone, so that memory is bounded
-whatever the family's size; what is near such a member only meets the first one,
-or the member in another segment.
+at a time.  Of a crowd (a component of over CROWD) one member then stands for those
+of the same segment value that differ from it by HELD bits at most: it meets the very
+keys that they would meet, and later rows within DISTANCE + HELD of it, which by the
+triangle inequality is every row within DISTANCE of one of them.  So no link is lost,
+what more comes of it falls in the exact comparison, and a crowd's rows in a range
+don't outgrow the range's values unless they differ by more than HELD.
 
 Candidates that matches connect are compared exactly: families of up to
 FAMILY_BYTES in one task, where every text that is reached leaves those still to be
@@ -56,6 +57,10 @@ MISS = 2e-3
 #: Share of the bits in which sets of similarity 0.8 differ.
 APART = math.acos(0.8 / 0.9) / math.pi
 CHUNK, CROWD = 400_000, 64
+#: Bits by which a row may differ from the one that stands for it (unrelated sets differ in 128, give or take 8).
+HELD = 24
+#: Members of a crowd that are tried for each segment value.
+STAND_INS = 16
 #: Entries of a table that are matched at a time.
 KEYS = 200_000
 #: Fingerprints that a range of values is made for.
@@ -164,11 +169,47 @@ def values(bits: np.ndarray, places: np.ndarray) -> np.ndarray:
     return out
 
 
-def meet(value: np.ndarray, low_bits: int, group: int, bits: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(node, root, rows to hold on to) of the fingerprints whose balls around `value` meet within `group`, a range of values.
-
-    The range is gone through in slices of some KEYS entries.
+def loose_links(key: np.ndarray, bits: np.ndarray, loose: np.ndarray, root: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows that stand for others (`loose`) and the rows of their key, of another root, within DISTANCE + HELD of them; rows are sorted by key."""
+    of = np.flatnonzero(loose)
+    start = np.searchsorted(key, key[of])
+    size = np.searchsorted(key, key[of], "right") - start
+    ends = np.cumsum(size)
+    a, b, i = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+    while i < len(of):
+        j = max(i + 1, int(np.searchsorted(ends, ends[i] - size[i] + AT_ONCE)))
+        x, y = np.repeat(of[i:j], size[i:j]), ranges(start[i:j], size[i:j])
+        other = root[x] != root[y]
+        x, y = x[other], y[other]
+        near = simhash.distances(bits[x], bits[y]) <= DISTANCE + HELD
+        a.append(x[near]), b.append(y[near])
+        i = j
+    return np.concatenate(a), np.concatenate(b)
+
+
+def stand_ins(value: np.ndarray, bits: np.ndarray, root: np.ndarray, loose: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(rows to hold on to, which of them stand for others) of the members of crowds: of one root and value, what others stand for goes."""
+    left = np.lexsort((~loose, value, root))  # those that stand for others already come first, and stay
+    kept, wide = [], loose.copy()
+    for _ in range(STAND_INS):
+        if not len(left):
+            break
+        new = np.append(True, (root[left[1:]] != root[left[:-1]]) | (value[left[1:]] != value[left[:-1]]))
+        head = left[new][np.cumsum(new) - 1]
+        gone = ~new & ~loose[left] & (simhash.distances(bits[left], bits[head]) <= HELD)
+        wide[head[gone]] = True
+        kept.append(left[new])
+        left = left[~new & ~gone]
+    kept = np.concatenate([*kept, left])  # what none of so many stands for stays itself
+    return kept, wide[kept]
+
+
+def meet(value: np.ndarray, low_bits: int, group: int, bits: np.ndarray, node: np.ndarray, loose: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(node, root, rows to hold on to, which of them stand for others) of the fingerprints whose balls around `value` meet within `group`, a range of values.
+
+    `loose` rows stand for others.  The range is gone through in slices of some KEYS entries.
     """
+    loose = np.zeros(len(node), bool) if loose is None else loose
     own = (value >> U(low_bits)) == U(group)
     low = value & U((1 << low_bits) - 1)
     entries = int(own.sum()) * (low_bits + 1) + int((~own).sum())
@@ -176,6 +217,7 @@ def meet(value: np.ndarray, low_bits: int, group: int, bits: np.ndarray, node: n
     rest = low_bits - cut
     part, low = (low >> U(rest)).astype(np.int64), low & U((1 << rest) - 1)
     flips = np.append(U(0), U(1) << np.arange(rest, dtype=U))
+    names, first, at = np.unique(node, return_index=True, return_inverse=True)
     a, b = [np.zeros(0, U)], [np.zeros(0, U)]
     for s in range(1 << cut):
         # Of a slice's own values the ball's part in the remaining bits; of values that enter it by a bit above them the one that lies in it.
@@ -189,14 +231,21 @@ def meet(value: np.ndarray, low_bits: int, group: int, bits: np.ndarray, node: n
         key, row = key[order], row[order]
         x, y = simhash.match_groups(key, np.ones(len(key), bool), bits[row], DISTANCE, node[row])
         a.append(x), b.append(y)
-    names, first = np.unique(node, return_index=True)
+        if loose[row].any():
+            root = min_labels(np.searchsorted(names, x), np.searchsorted(names, y), len(names))
+            x, y = loose_links(key, bits[row], loose[row], root[at[row]])
+            a.append(node[row[x]]), b.append(node[row[y]])
     a, b = (np.searchsorted(names, np.concatenate(x)) for x in (a, b))
     root = min_labels(a, b, len(names))
     moved = np.flatnonzero(root != np.arange(len(names)))
-    # What a crowd's first member stands for.
-    crowd = moved[np.bincount(root, minlength=len(names))[root[moved]] > CROWD]
-    gone = crowd[simhash.distances(bits[first[crowd]], bits[first[root[crowd]]]) <= DISTANCE]
-    return names[moved], names[root[moved]], np.delete(first, gone)
+    crowd = np.bincount(root, minlength=len(names))[root] > CROWD
+    # Copies of a fingerprint that stands for others do so as well.
+    told = np.zeros(len(names), bool)
+    told[at[loose]] = True
+    some = np.flatnonzero(crowd)
+    kept, wide = stand_ins(value[first[some]], bits[first[some]], root[some], told[some])
+    keep = np.concatenate([first[~crowd], first[some[kept]]])
+    return names[moved], names[root[moved]], keep, np.concatenate([told[~crowd], wide])
 
 
 def candidates(distinct: DataFrame, n: int) -> DataFrame:
@@ -221,31 +270,31 @@ def candidates(distinct: DataFrame, n: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(start), k, np.int32)), pa.array(to[start]), pa.array(blobs, pa.binary())], names=["segment", "span", "rows"])
 
     def match(batches):
-        held, size, limit, now = [], 0, CHUNK, None
+        held, loose, size, limit, now = [], [], 0, CHUNK, None
 
         def close():
-            """(what must be held on to, the links) of what is held."""
+            """(what must be held on to, which of it stands for others, the links) of what is held."""
             rows = np.concatenate(held)
-            a, b, keep = meet(values(rows[:, 1:], plan[now[0]]), low, now[1], rows[:, 1:], rows[:, 0])
-            return [rows[keep]], pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
+            a, b, keep, wide = meet(values(rows[:, 1:], plan[now[0]]), low, now[1], rows[:, 1:], rows[:, 0], np.concatenate(loose))
+            return [rows[keep]], [wide], pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
 
         for batch in batches:
             for segment, span, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 if (segment, span) != now:
                     if size:
-                        yield close()[1]
-                    held, size, limit, now = [], 0, CHUNK, (segment, span)
+                        yield close()[2]
+                    held, loose, size, limit, now = [], [], 0, CHUNK, (segment, span)
                 rows = np.frombuffer(blob, U).reshape(-1, 1 + len(LANES))
-                held.append(rows)
+                held.append(rows), loose.append(np.zeros(len(rows), bool))
                 size += len(rows)
                 if size >= limit:
-                    held, out = close()
+                    held, loose, out = close()
                     # What isn't crowded stays and meets as many rows more.
                     size = len(held[0])
                     limit = max(CHUNK, 2 * size)
                     yield out
         if held:
-            yield close()[1]
+            yield close()[2]
 
     parts = max(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), len(plan) << min(high, 10))
     dealt = distinct.where("bits IS NOT NULL").select("fp", "bits").mapInArrow(in_pieces(deal), "segment int, span long, rows binary")

@@ -164,24 +164,89 @@ def test_large_families_are_compared_in_blocks(spark, monkeypatch):
     assert {r["doc_id"]: r["component_id"] for r in near_copies.near_copies(docs).collect()} == want
 
 
-def test_crowds_are_held_by_their_first_member():
+def flipped(rng, bits, most):
+    import numpy as np
+
+    out = bits.copy()
+    for k in rng.choice(256, most, replace=False):
+        out[k >> 6] ^= np.uint64(1) << np.uint64(k & 63)
+    return out
+
+
+def test_one_of_a_crowd_stands_for_its_equals():
     import numpy as np
 
     from scissile.llm import near_copies
 
     rng = np.random.default_rng(5)
     centre = rng.integers(0, 1 << 63, 4).astype(np.uint64)
-    bits = np.repeat(centre[None, :], 300, axis=0)
-    for i in range(300):
-        for k in rng.choice(256, 12, replace=False):
-            bits[i, k >> 6] ^= np.uint64(1) << np.uint64(k & 63)
-    node = np.arange(10, 310, dtype=np.uint64)
+    bits = np.array([flipped(rng, centre, 12) for _ in range(600)])
+    node = np.arange(10, 610, dtype=np.uint64)
     plan, high = near_copies.segment_plan(1000)
     value = near_copies.values(bits, plan[0])
     low = len(plan[0]) - high
     group = int(np.bincount((value >> np.uint64(low)).astype(np.int64)).argmax())
     near = (value >> np.uint64(low)) == np.uint64(group)
-    a, b, keep = near_copies.meet(value[near], low, group, bits[near], node[near])
+    a, b, keep, wide = near_copies.meet(value[near], low, group, bits[near], node[near])
     left = set(node[near][keep].tolist())
-    assert len(a) > 100 and set(b.tolist()) <= left and len(left) < near.sum() - 60
+    assert len(a) > 100 and len(left) < near.sum() - 60 and 0 < wide.sum() <= len(keep)
     assert left | set(a.tolist()) == set(node[near].tolist())
+    kept = {int(v): bits[near][keep][value[near][keep] == v] for v in value[near]}
+    for v, own in zip(value[near].tolist(), bits[near]):  # someone of the same value stands for every row
+        assert near_copies.simhash.distances(kept[v], own[None, :]).min() <= near_copies.HELD
+
+
+@pytest.mark.parametrize("spread", [8, 40])
+def test_late_rows_meet_crowds_as_if_all_were_held(spread):
+    import numpy as np
+
+    from scissile.llm import near_copies
+    from scissile.llm.arrays import min_labels
+
+    def together(a, b, n):
+        return min_labels(a.astype(np.int64), b.astype(np.int64), n)
+
+    rng = np.random.default_rng(spread)
+    plan, high = near_copies.segment_plan(1000)
+    low, met = len(plan[0]) - high, 0
+    for _ in range(12):
+        centre = rng.integers(0, 1 << 63, 4).astype(np.uint64)
+        crowd = np.array([centre] + [flipped(rng, centre, int(rng.integers(0, spread + 1))) for _ in range(149)])
+        late = np.array([flipped(rng, crowd[rng.integers(150)], int(rng.integers(40, 73))) for _ in range(10)])
+        bits, node = np.concatenate([crowd, late]), np.arange(160, dtype=np.uint64)
+        for places in plan:
+            value = near_copies.values(bits, places)
+            group = int(value[0] >> np.uint64(low))
+            at = np.flatnonzero((np.bitwise_count((value >> np.uint64(low)) ^ np.uint64(group)) <= 1) & ((value >> np.uint64(low)) & np.uint64(group) == value >> np.uint64(low)))
+            whole = together(*near_copies.meet(value[at], low, group, bits[at], node[at])[:2], 160)
+            early = at[at < 150]
+            a, b, keep, wide = near_copies.meet(value[early], low, group, bits[early], node[early])
+            held = np.concatenate([early[keep], at[at >= 150]])
+            c, d, _, _ = near_copies.meet(value[held], low, group, bits[held], node[held], np.concatenate([wide, np.zeros(len(held) - len(keep), bool)]))
+            split = together(np.concatenate([a, c]), np.concatenate([b, d]), 160)
+            for i in range(160):
+                assert split[i] == split[whole[i]]
+            met += int((whole[150:] < 150).sum())
+    assert met > 20
+
+
+def test_small_chunks_lose_no_candidates(spark, monkeypatch):
+    import numpy as np
+
+    from scissile.llm import near_copies, simhash
+
+    rng = np.random.default_rng(3)
+    rows = []
+    for _ in range(3):
+        centre = rng.integers(0, 1 << 63, 4).astype(np.uint64)
+        rows += [flipped(rng, centre, int(rng.integers(0, 37))).tobytes() for _ in range(400)]
+    frame = spark.createDataFrame([(i, bytearray(x)) for i, x in enumerate(rows)], "fp long, bits binary").repartition(8)
+
+    def groups():
+        found = {r["node"]: r["root"] for r in simhash.components(near_copies.candidates(frame, len(rows)), "test").collect()}
+        return [found.get(i, i) for i in range(len(rows))]
+
+    whole = groups()
+    monkeypatch.setattr(near_copies, "CHUNK", 100)
+    split = groups()
+    assert len(set(whole)) < 100 and all(split[i] == split[w] for i, w in enumerate(whole))
