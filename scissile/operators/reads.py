@@ -224,8 +224,9 @@ def alignment_filter(reads: DataFrame, refs: list[str], percent: float = 95.0, k
     """Reads that align to a reference with `percent` identity, by an Arrow batch function over distinct sequences.
 
     Identity is the score over the read's length (global) or over its aligned width, of min_align bases at least (local).
+    A read is aligned only with references that share a word with it where `shared_word` says that others can't reach percent.
     """
-    score = identity_scorer(refs, kind, identity, min_align, gap_open, gap_extend)
+    score = identity_scorer(refs, kind, identity, min_align, gap_open, gap_extend, least=percent)
 
     @F.arrow_udf("double")
     def best(column):
@@ -242,9 +243,60 @@ def align_identity(read: str, ref: str, kind: str = "local", identity: str = "lo
     return float(identity_scorer([ref], kind, identity, min_align, gap_open, gap_extend)([read])[0])
 
 
-def identity_scorer(refs: list[str], kind: str = "local", identity: str = "local", min_align: int = 20, gap_open: float = 10, gap_extend: float = 4):
+def shared_word(width: int, percent: float, shortest: int = 6, longest: int = 16) -> int:
+    """The longest word that an alignment of `width` bases or more with `percent` identity must hold unchanged; 0 if none of a useful length is certain.
+
+    Without such a word every stretch of its length has a base that isn't equal, so w bases have floor(w / word) at
+    least, which is the smallest share of w just before the next multiple.  A gap costs more than the stretch that it splits.
+    """
+    for word in range(longest, shortest - 1, -1):
+        times = width // word
+        if times and times / (word * (times + 1) - 1) > 1 - percent / 100 + 1e-9:
+            return word
+    return 0
+
+
+def word_sharers(refs: list[str], word: int):
+    """A function of a matrix of reads (codes in alphabetic order of `IUPAC`, one length): which references (columns) share a word with which read (rows); a read or reference with other bases than A, C, G and T shares with all."""
+    letters = sorted(IUPAC)
+    digit = {letters.index(c): k for k, c in enumerate("ACGT")}
+    odd = [k for k, r in enumerate(refs) if set(r) - set("ACGT")]
+    owners: dict[int, list[int]] = {}
+    for k, ref in enumerate(refs):
+        if k not in set(odd):
+            for text in {ref[i : i + word] for i in range(len(ref) - word + 1)}:
+                owners.setdefault(sum("ACGT".index(c) << 2 * (word - 1 - j) for j, c in enumerate(text)), []).append(k)
+    values = sorted(owners)
+
+    def sharers(raw):
+        import numpy as np
+
+        n, size = raw.shape
+        table = np.full(len(letters) + 1, -1, np.int64)
+        table[list(digit)] = list(digit.values())
+        codes = table[raw]
+        out = np.zeros((n, len(refs)), bool)
+        out[:, odd] = True
+        out[(codes < 0).any(1)] = True
+        own = np.zeros((n, max(0, size - word + 1)), np.int64)
+        for j in range(word if own.size else 0):
+            own = own * 4 + np.maximum(codes[:, j : j + own.shape[1]], 0)
+        if own.size and values:
+            known = np.array(values, np.int64)
+            at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+            row, place = np.nonzero(known[at] == own)
+            for r, v in set(zip(row.tolist(), at[row, place].tolist())):
+                out[r, owners[values[v]]] = True
+        return out
+
+    return sharers
+
+
+def identity_scorer(refs: list[str], kind: str = "local", identity: str = "local", min_align: int = 20, gap_open: float = 10, gap_extend: float = 4, least: float = 0):
     """A function of a list of reads: the percent identity of each with its best reference, by affine-gap alignment; 0 for empty ones.
 
+    Identities below `least` may be told as 0: reads are then aligned only with the references that may reach it.
+
     kind: global, local, overlap (free ends on both), global-local (the whole read in a part of the reference) or
     local-global.  Reads of one length go through the dynamic programme together, a row of it at a time; the state along
     the reference's gaps is a running maximum.  A state is one number: the score in hundredths times SPAN, plus the
@@ -255,6 +307,17 @@ def identity_scorer(refs: list[str], kind: str = "local", identity: str = "local
     span, never = 1 << 20, -(1 << 58)
     first, more = round(100 * (gap_open + gap_extend)) * span, round(100 * gap_extend) * span
     letters = sorted(IUPAC)
+    # Exact where a gap costs a base's score at least.
+    sure = gap_extend >= 0 and gap_open + gap_extend >= 1 and least > 0
+    seeds = {}
+
+    def may_reach(raw):
+        word = shared_word(raw.shape[1] if identity == "global" else max(min_align, 1), least) if sure else 0
+        if not word:
+            return None
+        if word not in seeds:
+            seeds[word] = word_sharers(refs, word)
+        return seeds[word](raw)
 
     def block(raw, ref):
         """Best state of each read (a row of raw, as places in `letters`) with a reference."""
@@ -302,16 +365,18 @@ def identity_scorer(refs: list[str], kind: str = "local", identity: str = "local
             for k in range(0, len(rows), 1024):
                 own = rows[k : k + 1024]
                 raw = place[np.frombuffer("".join(reads[i] for i in own).encode("latin-1", "replace"), np.uint8)].reshape(len(own), size)
-                for ref in refs:
-                    if not ref:
+                own, near = np.array(own), may_reach(raw)
+                for k_ref, ref in enumerate(refs):
+                    some = slice(None) if near is None else np.flatnonzero(near[:, k_ref])
+                    if not ref or not len(own[some]):
                         continue
-                    state = block(raw, ref)
+                    state = block(raw[some], ref)
                     points, width = state // span / 100, state % span
                     if identity == "global":
                         got = 100 * np.maximum(points, 0) / size
                     else:
                         got = np.where(width >= max(min_align, 1), 100 * points / np.maximum(width, 1), 0.0)
-                    out[own] = np.maximum(out[own], got)
+                    out[own[some]] = np.maximum(out[own[some]], got)
         return out
 
     return score

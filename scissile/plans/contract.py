@@ -557,6 +557,17 @@ def target_scan(spark, d):
     return tg.align_targets(reads(spark, d), TARGETS, 1, "seq").select("read_id", "target", "first", "last", "mismatch")
 
 
+@query(f"""{READ}, guide AS (SELECT n_nationkey AS k, left(translate(md5('guide' || n_nationkey), '0123456789abcdef', 'ACGTACGTACGTACGT'), 20) AS g FROM nation),
+  at_ AS (SELECT id, seq, k, g, o FROM reads, guide, unnest(range(-5, 20)) AS u(o)),
+  m AS (SELECT *, {" + ".join(f"CASE WHEN o + {i} >= 1 AND substr(seq, o + {i}, 1) = substr(g, {i + 1}, 1) THEN 0 ELSE 1 END" for i in range(20))} AS n FROM at_)
+  SELECT id AS read_id, 'G' || k AS target, greatest(o, 1) AS first, least(o + 19, 32) AS last, n AS mismatch FROM m WHERE n <= 6""")
+def target_scan_guides(spark, d):
+    """A panel of guides of 20 bases with up to six mismatches, found by seeds."""
+    code = F.left(F.translate(F.md5(F.concat(F.lit("guide"), F.col("n_nationkey"))), "0123456789abcdef", "ACGTACGTACGTACGT"), F.lit(20))
+    panel = {f"G{r['n_nationkey']}": r["g"] for r in t(spark, d, "nation").select("n_nationkey", code.alias("g")).collect()}  # a panel is a table of some rows
+    return tg.align_targets(reads(spark, d), panel, 6, "seq").select("read_id", "target", "first", "last", "mismatch")
+
+
 PROFILE = {"PAM": "NG", "PAM_Loc": "3p", "PAM_Tol": 0, "Cut_Offset": -4, "Insert_size": None}
 SITE = "site AS (SELECT 'chr' || (id % 5) AS seqnames, id AS pos, CASE WHEN cust % 2 = 0 THEN '+' ELSE '-' END AS strand, seq FROM reads)"
 _BOTH = f"both_ AS ({_scan_sql('w', 1, 'fw', 'seqnames, pos, strand, w, 1 AS sense')} UNION ALL {_scan_sql('w', 1, 'rv', 'seqnames, pos, strand, w, 0 AS sense')})"

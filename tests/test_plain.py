@@ -331,3 +331,54 @@ def test_power_is_the_sum_over_all_tables():
 def test_a_permutation_of_positions(spark, total):
     got = [r[0] for r in spark.range(total).select(intervals.shuffled(F.col("id"), total, 3)).collect()]
     assert sorted(got) == list(range(total)) and (total < 60 or got != sorted(got))
+
+
+@pytest.mark.parametrize("limit", [0, 1, 3, 6])
+def test_seeds_find_what_every_offset_finds(limit):
+    import numpy as np
+    import pyarrow as pa
+
+    rng = random.Random(limit)
+    word = lambda n, letters="ACGT": "".join(rng.choice(letters) for _ in range(n))
+    panel = [word(rng.randint(16, 24)) for _ in range(24)] + ["NGG" + word(17), "ACGT", "..." + word(15), "RY" + word(20)]
+    seqs = [None, "", word(100, "ACGTN"), "N" * 60, word(40, "ACGTRYKM")] + [word(rng.randint(0, 140)) for _ in range(30)]
+    for guide in panel[:24]:
+        near = "".join(rng.choice("ACGT") if rng.random() < limit / 20 else c for c in guide)
+        seqs += [word(20) + near + word(30), near[2:] + word(40), word(40) + near[:-2]]
+    for beyond in (0, limit):
+        column = pa.array(seqs)
+        got, want = sq.scanner(panel, limit, beyond)(column), sq.scanner(panel, limit, beyond, seeds_from=1000)(column)
+        assert len(want[0]) > 20 and all(np.array_equal(a, b) for a, b in zip(got, want))
+    row, which, place, wrong = sq.scanner(panel[:24], limit, limit)(pa.array(seqs[5:15]))
+    told = sorted(zip(row.tolist(), which.tolist(), place.tolist(), wrong.tolist()))
+    assert told == [(i, k, o, w) for i, s in enumerate(seqs[5:15]) for k, p in enumerate(panel[:24]) for o, w in plain_places(s, p, limit, limit)]
+
+
+@pytest.mark.parametrize("kind", ["local", "global", "overlap", "global-local", "local-global"])
+@pytest.mark.parametrize("identity", ["local", "global"])
+def test_seeded_alignment_keeps_the_same_reads(kind, identity):
+    rng = random.Random(11)
+    word = lambda n, letters="ACGT": "".join(rng.choice(letters) for _ in range(n))
+    refs = [word(rng.randint(25, 60)) for _ in range(12)] + ["ACGTN" * 6, ""]
+    reads = [word(rng.randint(0, 50)) for _ in range(40)] + [word(30, "ACGTN") for _ in range(4)]
+    for _ in range(160):
+        ref = rng.choice(refs[:12])
+        a = rng.randint(0, 5)
+        own = [rng.choice("ACGT") if rng.random() < 0.04 else c for c in ref[a : a + rng.randint(20, 55)]]
+        if rng.random() < 0.3:
+            own.insert(rng.randrange(len(own)), rng.choice("ACGT"))
+        reads.append(word(rng.randint(0, 3)) + "".join(own) + word(rng.randint(0, 3)))
+    for percent, width in ((95.0, 20), (90.0, 30), (98.0, 20), (100.0, 12)):
+        whole = rd.identity_scorer(refs, kind, identity, width)(reads)
+        some = rd.identity_scorer(refs, kind, identity, width, least=percent)(reads)
+        assert rd.shared_word(width, percent) >= 6
+        assert ((whole >= percent) == (some >= percent)).all() and (some <= whole).all()
+        assert (some[whole >= percent] == whole[whole >= percent]).all()
+
+
+def test_shared_words_are_certain():
+    for width, percent in ((20, 95), (25, 90), (30, 97), (16, 99)):
+        word = rd.shared_word(width, percent)
+        for w in range(width, 200):  # a changed base at the end of every stretch is the fewest that leave no word
+            assert 100 * (w - w // word) / w < percent
+    assert rd.shared_word(8, 60) == 0
