@@ -4,7 +4,10 @@ list_samples SHEET [--support CSV]     specimens and their replicates
 run CONFIG.json -o FOLDER              raw reads to trimmed sequences by sample, and with alignments to reads for eval
 eval READS SPECIMENS CONTIGS GENES -c CONFIG.json... -o FOLDER [-s SUPPORT]
                                        one run, or several as comma lists with a configuration each
-report FOLDER [-o FILE] [--html]       the main tables of an evaluation
+report FOLDER [-o FILE] [-t html|txt] [--title T] [--template HTML] [-b] [-f] [-d]
+                                       the main tables of an evaluation; beside them whole tables (-b), the rows
+                                       behind figures (-f) and what the report shows as data (-d)
+stats CORE EVALUATION READS -o FILE    reads through a run's stages, outcomes of alignment, incorporations, by sample
 summary FOLDER [-o FILE] [--power-filter PCT] [--mesl-filter PCT] [--csv FOLDER] [--html]
 genome CONTIGS FILE                    a genome as .2bit or .fasta
 setup FOLDER / clean FOLDER [--remove] a run's folder tree
@@ -24,14 +27,16 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .operators import alignments, evaluation as ev
-from .operators.staging import scope
+from .operators.staging import scope, staged
 from .plans.evaluate import Config, assimilate, evaluate, reconcile
+from .plans.run_stats import run_stats
 from .plans.run import RunConfig, from_samples, process_reads, write_demultiplexed, write_run
 from .plans.summary import NEEDED, summary_tables
 from .sources import binary, readers, writers
 from .sources.genome import pieces
 
 FOLDERS = ["input_data", "logs", "process_data", "output", "reports"]
+FIGURES = ["distance_histogram", "density", "inclusion"]
 SUMMARIES = ["combos", "specimen_totals", "on_target", "off_target", "inclusion", "pileup_summary", "matched_summary", "off_target_sequences"]
 
 
@@ -75,6 +80,22 @@ def parser() -> argparse.ArgumentParser:
     x.add_argument("folder")
     x.add_argument("-o", "--output", default="report.txt")
     x.add_argument("--html", action="store_true")
+    x.add_argument("-t", "--format", choices=["html", "txt"], help="appended to the output's name where it has another end")
+    x.add_argument("--title", default="Report")
+    x.add_argument("--template", help="an HTML file that has {{title}} and {{tables}} where they go")
+    x.add_argument("-b", "--tables", action="store_true", help="every table whole, as CSV")
+    x.add_argument("-f", "--figures", action="store_true", help="the rows behind figures, as CSV")
+    x.add_argument("-d", "--savedata", action="store_true", help="every table as Parquet")
+    x = sub.add_parser("stats")
+    x.add_argument("core", help="statistics of a run's stages, a comma list")
+    x.add_argument("evaluation", help="an evaluation's folder")
+    x.add_argument("reads", help="assembled reads")
+    x.add_argument("-o", "--output", required=True)
+    x.add_argument("--csv", help="a folder for the whole tables")
+    x.add_argument("--html", action="store_true")
+    x.add_argument("--no-umis", action="store_true")
+    x.add_argument("--no-consolidation", action="store_true")
+    x.add_argument("--alternate-umis", action="store_true", help="the primer was trimmed from R1")
     return p
 
 
@@ -122,6 +143,7 @@ def run(path: str, folder: str) -> None:
         keys = alignments.join_keys(own("anchor"), own("adrift"))
         umis = spark.read.parquet(f"{folder}/reads.parquet").select(F.col("read_id").alias("ID"), "umitag") if raw.get("umis") else None
         out = assimilate(readers.psl(spark, at("anchor_psl")), readers.psl(spark, at("adrift_psl")), keys, Config.of(raw), umis)
+        writers.stats(out.pop("stats"), f"{folder}/align.stat")
         writers.tables(out, folder)
 
 
@@ -172,8 +194,29 @@ def on_spark(spark, a) -> None:
         frames = writers.load_evaluation(spark, a.folder, NEEDED)
         writers.report(summary_tables(frames, a.power_filter, a.mesl_filter), a.output, "html" if a.html else "txt", a.csv)
     elif a.command == "report":
-        frames = writers.load_evaluation(spark, a.folder, SUMMARIES)
-        writers.report(frames, a.output, "html" if a.html else "txt")
+        report(spark, a)
+    elif a.command == "stats":
+        core = spark.read.schema(readers.STATS).csv(a.core.split(","))
+        own = writers.load_evaluation(spark, a.evaluation, ["incorporation_stats"])["incorporation_stats"]
+        tables = run_stats(core, own, spark.read.parquet(a.reads), not a.no_umis, not a.no_consolidation, a.alternate_umis)
+        titles = {"attrition": "1. Reads after each stage", "outcomes": "2. Outcomes of alignment", "incorporation": "3. Incorporations by criterion"}
+        writers.report({titles[n]: staged(df.coalesce(1)) for n, df in tables.items()}, a.output, "html" if a.html else "txt", a.csv)
+
+
+def report(spark, a) -> None:
+    kind = a.format or ("html" if a.html or a.template else "txt")
+    path = a.output if not a.format or a.output.endswith(f".{kind}") else f"{a.output}.{kind}"
+    beside = os.path.splitext(path)[0]
+    frames = writers.load_evaluation(spark, a.folder, SUMMARIES)
+    template = None
+    if a.template:
+        with open(a.template) as f:
+            template = f.read()
+    writers.report(frames, path, kind, f"{beside}_tables" if a.tables else None, a.title, template)
+    if a.figures:
+        writers.tables(writers.load_evaluation(spark, a.folder, FIGURES), f"{beside}_figures", "csv")
+    if a.savedata:
+        writers.evaluation(frames, f"{beside}_data", {"title": a.title, "tables": sorted(frames)})
 
 
 if __name__ == "__main__":

@@ -12,6 +12,7 @@ from ..functions.strings import expand_positions
 from ..operators import alignments, evaluation as ev, intervals, targets
 from ..operators.staging import staged
 from ..operators.targets import several
+from .run_stats import incorporation_stats
 
 
 @dataclass
@@ -74,7 +75,7 @@ def considered(config: Config, specimens: DataFrame) -> tuple[dict, dict]:
 
 
 def assimilate(anchor_psl: DataFrame, adrift_psl: DataFrame, keys: DataFrame, config: Config, umis: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Alignments of both ends to unique reads (with recovered multihits), pair classes and multihit clusters."""
+    """Alignments of both ends to unique reads (with recovered multihits), pair classes, multihits, and (sampleName, metric, count) of the classes."""
     good = lambda psl: alignments.extended_ranges(alignments.quality_filter(alignments.drop_alt(psl), config.min_percent_identity, config.max_align_start))
     anchor, adrift = (staged(alignments.known_hits(good(p), keys, k)) for p, k in ((anchor_psl, "anchor_key"), (adrift_psl, "adrift_key")))
     coupled = staged(alignments.couple(keys, anchor, adrift, config.min_template, config.max_template))
@@ -85,7 +86,9 @@ def assimilate(anchor_psl: DataFrame, adrift_psl: DataFrame, keys: DataFrame, co
         multi = alignments.unique_reads(keys, multi_hits.withColumn("n_loci", F.lit(1)))
         reads = alignments.recover_multihits(unique, multi)
     reads = alignments.attach_umis(reads, umis) if umis is not None else reads.withColumn("umitag", F.lit(None).cast("string"))
-    return {"reads": reads, "classes": alignments.classify_pairs(keys, coupled, anchor, adrift), "multihits": multi_hits}
+    classes = staged(alignments.classify_pairs(keys, coupled, anchor, adrift))
+    stats = alignments.outcome_stats(keys, classes).withColumn("metric", F.concat(F.lit("align."), "metric"))
+    return {"reads": reads, "classes": classes, "multihits": multi_hits, "stats": stats}
 
 
 def on_target_positions(spark, on_targets: dict) -> DataFrame:
@@ -200,7 +203,7 @@ def evaluate(reads: DataFrame, specimens: DataFrame, contigs: DataFrame, genes:
     held = {"Pile Ups": summaries["pileup_summary"], "Flanking Pairs": summaries["paired_regions"]}
     held = {n: df.join(F.broadcast(firsts.select("alt_specimen")), "alt_specimen", "left_semi") for n, df in held.items()} | {"Target Matched": summaries["matched_summary"]}
     return summaries | {
-        "combos": combos, "algnmts": flagged, "specimen_totals": totals, "criteria_stats": ev.criteria_stats(flagged), "on_target": on_table, "off_target": off_table,
+        "combos": combos, "algnmts": flagged, "specimen_totals": totals, "criteria_stats": ev.criteria_stats(flagged), "incorporation_stats": incorporation_stats(flagged), "on_target": on_table, "off_target": off_table,
         "efficiency": efficiency, "eval_summary": summary, "distance_histogram": ev.distance_histogram(on_dist, ["annotation", "target"]), "density": grid, "inclusion": ev.inclusion(on_dist, ["annotation", "target"], config.up),
         "mesl": mesl, "off_target_sequences": ev.off_target_sequences(by_annotation, mesl, ("combo",) if support is None else ("annotation",)), "enrichment": enrichment(held, genes, listed, config),
     }

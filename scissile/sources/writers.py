@@ -119,19 +119,28 @@ def html_table(df: DataFrame, title: str, limit: int = SHOWN) -> str:
     return f"<h2>{html.escape(title)}</h2><table><tr>{head}</tr>" + "".join("<tr>" + "".join(map(cell, r)) + "</tr>" for r in rows) + "</table>" + (f"<p>{more}</p>" if more else "")
 
 
-def report(frames: dict[str, DataFrame], path: str, kind: str = "txt", whole: str | None = None) -> None:
+def report(frames: dict[str, DataFrame], path: str, kind: str = "txt", whole: str | None = None, title: str = "", template: str | None = None) -> None:
     """The tables as one text or HTML file on the driver; each says how many of its rows the report leaves out.
 
-    `whole` names a folder for every table as CSV with all of its rows.
+    `whole` names a folder for every table as CSV with all of its rows.  template: HTML with {{title}} and {{tables}}.
     """
+    import html
+
     if whole:
         for name, df in frames.items():
             plain = [F.concat_ws(";", c) if t.startswith("array") else F.col(c) for c, t in df.dtypes]
             table(df.select(*(e.alias(c) for e, c in zip(plain, df.columns))), f"{whole}/{re.sub(r'[^A-Za-z0-9]+', '_', name).strip('_')}.csv")
     body = "\n".join((html_table if kind == "html" else text_table)(df, name) for name, df in frames.items())
     os.makedirs(os.path.dirname(os.path.abspath(path)), exist_ok=True)
+    if kind == "html":
+        page = template or "<html><head><title>{{title}}</title></head><body>{{tables}}</body></html>"
+        if "{{tables}}" not in page:
+            raise ValueError("a template needs {{tables}}")
+        body = page.replace("{{title}}", html.escape(title)).replace("{{tables}}", body)
+    elif title:
+        body = f"{title}\n{'=' * len(title)}\n\n{body}"
     with open(path, "w") as f:
-        f.write(f"<html><body>{body}</body></html>" if kind == "html" else body)
+        f.write(body)
 
 
 BAM_ROWS = ["qname", "flag", "rname", "pos", "mapq", "cigar", "MD"]

@@ -105,6 +105,25 @@ def test_commands_from_reads_to_summary(spark, tmp_path, monkeypatch):
     assert all(f"\n{k}. " in f"\n{text}" for k in range(1, 10))
     assert spark.read.option("header", True).csv(str(tmp_path / "tables" / "4_Combinations_of_nuclease_and_treatment.csv")).count() == 2
     assert cli.main(["report", str(tmp_path / "eval"), "-o", str(tmp_path / "r.html"), "--html"]) == 0
+    (tmp_path / "page.html").write_text("<html><h1>{{title}}</h1>{{tables}}<p>end</p></html>")
+    assert cli.main(["report", str(tmp_path / "eval"), "-o", str(tmp_path / "full"), "-t", "html", "--title", "A & B", "--template", str(tmp_path / "page.html"), "-b", "-f", "-d"]) == 0
+    text = (tmp_path / "full.html").read_text()
+    assert text.startswith("<html><h1>A &amp; B</h1><h2>") and text.endswith("<p>end</p></html>")
+    assert spark.read.option("header", True).csv(str(tmp_path / "full_tables" / "combos.csv")).count() == 2
+    assert (tmp_path / "full_figures" / "density.csv").exists()
+    assert writers.load_evaluation(spark, str(tmp_path / "full_data"), ["combos"])["combos"].count() == 2
+    (tmp_path / "bad.html").write_text("<html></html>")
+    with pytest.raises(ValueError):
+        cli.main(["report", str(tmp_path / "eval"), "-o", str(tmp_path / "x.html"), "--template", str(tmp_path / "bad.html")])
+    core = ",".join(str(tmp_path / "out" / n) for n in ("run.stat", "align.stat"))
+    assert cli.main(["stats", core, str(tmp_path / "eval"), str(tmp_path / "out" / "reads.parquet"), "-o", str(tmp_path / "stats.txt"), "--csv", str(tmp_path / "stats")]) == 0
+    told = {n: {r["sampleName"]: r.asDict() for r in spark.read.option("header", True).csv(str(tmp_path / "stats" / f"{n}.csv")).collect()} for n in ("1_Reads_after_each_stage", "2_Outcomes_of_alignment", "3_Incorporations_by_criterion")}
+    for s in BARCODES:
+        n = str(sum(r[5] == s for r in raw))
+        one = told["1_Reads_after_each_stage"][s]
+        assert (one["demulti"], one["filt"], one["align_unique"], one["align_chimera"]) == (n, n, n, "0")
+        assert told["2_Outcomes_of_alignment"][s]["unique_reads"] == n and int(told["3_Incorporations_by_criterion"][s]["total"]) > 0
+    assert told["1_Reads_after_each_stage"]["unassigned"]["demulti"] == str(sum(r[5] is None for r in raw)) and "unassigned" not in told["2_Outcomes_of_alignment"]
     with pytest.raises(SystemExit):
         cli.main(["eval", "a,b", "c", "d", "e", "-c", str(tmp_path / "eval.json"), "-o", "x"])
 
@@ -160,3 +179,26 @@ def test_one_csv_and_empty_tables(spark, tmp_path):
     assert rows[0] == ["n", "s", "more"] and sorted(rows[1:]) == [["1", "x", ""], ["2", "", "5"], ["3", "y,z", "5"]]
     writers.empty("a int, b string", str(tmp_path / "none.parquet"), spark)
     assert spark.read.parquet(str(tmp_path / "none.parquet")).columns == ["a", "b"]
+
+
+def test_run_stats_count_alignments_once(spark):
+    from scissile.plans.run_stats import incorporation_stats, run_stats
+
+    kind = "sampleName string, alt_specimen string, seqnames string, start long, end long, strand string, abund long, is_pileup boolean, is_paired boolean, is_matched boolean, probable boolean, edit_site string, target_match string, on_off_target string"
+    rows = [
+        ("M-1", "M(A)", "chr1", 10, 40, "+", 2, True, False, True, True, "chr1:+:10", "T1", "On-target"),
+        ("M-1", "M(B)", "chr1", 10, 40, "+", 2, True, False, True, True, "chr1:+:10", "T1", "On-target"),
+        ("M-1", "M(C)", "chr1", 10, 40, "+", 2, False, False, True, True, "chr1:+:12", "T2", "Off-target"),
+        ("M-1", "M(A)", "chr1", 90, 95, "-", 5, False, False, False, False, None, "No_valid_match", "Off-target"),
+    ]
+    counted = incorporation_stats(spark.createDataFrame(rows, kind))
+    assert {r["metric"]: r["count"] for r in counted.collect()} == {"eval.total.algns": 7, "eval.combined.algns": 2, "eval.pileup.algns": 2, "eval.paired.algns": 0, "eval.matched.algns": 4, "eval.ontarget.algns": 2, "eval.offtarget.algns": 2}
+    core = spark.createDataFrame([("M-1", "demulti.reads", 9.0), ("M-1", "demulti.reads", 1.0), ("M-1", "align.unique.reads", 99.0), ("degenerate", "demulti.reads", 3.0)], "sampleName string, metric string, count double")
+    reads = spark.createDataFrame([("M-1", "a", "chr1", 10, 40, "+", "uniq"), ("M-1", "b", "chr1", 10, 50, "+", "uniq"), ("M-1", "c", "chr1", 10, 50, "+", "multihit"), ("Z-1", "d", "chr2", 1, 5, "-", "uniq")], "sampleName string, ID string, seqnames string, start long, end long, strand string, type string")
+    out = run_stats(core, counted, reads, umis=False)
+    assert "umitags" not in out["attrition"].columns and "R1_primer_trim" not in out["attrition"].columns
+    assert [(r["sampleName"], r["demulti"], r["align_unique"]) for r in out["attrition"].collect()] == [("M-1", 10, 2), ("Z-1", 0, 1), ("degenerate", 3, 0)]
+    assert [(r["sampleName"], r["unique_reads"], r["unique_algns"], r["unique_loci"]) for r in out["outcomes"].collect()] == [("M-1", 2, 2, 1), ("Z-1", 1, 1, 1)]
+    assert [(r["sampleName"], r["total"], r["ontarget"]) for r in out["incorporation"].collect()] == [("M-1", 7, 2), ("Z-1", 0, 0)]
+    empty = run_stats(core.limit(0), counted.limit(0), reads.limit(0))
+    assert all(df.count() == 0 for df in empty.values())
