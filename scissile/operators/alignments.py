@@ -116,12 +116,20 @@ def condense_sites(sites: DataFrame, by: list[str] = ()) -> DataFrame:
 
 
 def pair_sam(filtered: DataFrame, min_length: int = 30, max_length: int = 2500) -> DataFrame:
-    """(ID, seqnames, strand, start, end): consistent anchor and adrift rows of each read."""
+    """(ID, seqnames, strand, start, end): consistent anchor and adrift rows of each read.
+
+    Distinct points meet by buckets as wide as a template, so a read of many hits meets their neighbours, not all its pairs.
+    """
     point = five_prime(F.col("pos"), F.col("pos") + F.col("span") - 1, F.col("strand"))
-    a = filtered.where("end = 'anchor'").select(F.col("qname").alias("ID"), F.col("rname").alias("seqnames"), "strand", point.alias("p"))
-    b = filtered.where("end = 'adrift'").select(F.col("qname").alias("ID"), F.col("rname").alias("seqnames"), F.when(F.col("strand") == "+", "-").otherwise("+").alias("strand"), point.alias("q"))
+    a = filtered.where("end = 'anchor'").select(F.col("qname").alias("ID"), F.col("rname").alias("seqnames"), "strand", point.alias("p")).distinct()
+    b = filtered.where("end = 'adrift'").select(F.col("qname").alias("ID"), F.col("rname").alias("seqnames"), F.when(F.col("strand") == "+", "-").otherwise("+").alias("strand"), point.alias("q")).distinct()
     length = F.when(F.col("strand") == "+", F.col("q") - F.col("p")).otherwise(F.col("p") - F.col("q")) + 1
-    return a.join(b, ["ID", "seqnames", "strand"]).where(length.between(min_length, max_length)).select("ID", "seqnames", "strand", F.least("p", "q").alias("start"), F.greatest("p", "q").alias("end")).distinct()
+    # The adrift point lies in its anchor's bucket or in the next one downstream; before it only where lengths below 1 are let through.
+    width = max(1, max_length, 1 - min_length)
+    own, on = F.floor(F.col("q") / width), F.when(F.col("strand") == "+", -1).otherwise(1)
+    b = b.withColumn("__bucket", F.explode(F.array(own, own + on, *([own - on] if min_length < 1 else []))))
+    near = a.withColumn("__bucket", F.floor(F.col("p") / width)).join(b, ["ID", "seqnames", "strand", "__bucket"])
+    return near.where(length.between(min_length, max_length)).select("ID", "seqnames", "strand", F.least("p", "q").alias("start"), F.greatest("p", "q").alias("end")).distinct()
 
 
 def split_hits(paired: DataFrame) -> DataFrame:
