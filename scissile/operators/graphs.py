@@ -16,11 +16,13 @@ TASK_LINKS = 1 << 20
 def connected_components(links: DataFrame, task_links: int = TASK_LINKS, rounds: list | None = None) -> DataFrame:
     """(node, component) of every end of the links (a, b); the component is its smallest node.
 
-    In a round every node points at its smallest neighbour.  Along the pointers every second node is no larger than the
-    one before, so they end in pairs that point at each other; the smaller of a pair is a root, the smallest of all that
-    lead to it.  Pointers are doubled until they name roots, and the links are contracted to links of roots.  Each root
-    stands for two nodes or more, so n nodes end in log2(n) rounds; once task_links or fewer links are left, which
-    bounds what a task holds, one task ends it.  A link with a null end counts for its other end alone.
+    Links are dealt by ranges of their smaller ends, and each stretch of task_links links is replaced by the stars of its
+    components, which have fewer links the more of a component lies together.  In a round every node then points at its
+    smallest neighbour.  Along the pointers every second node is no larger than the one before, so they end in pairs that
+    point at each other; the smaller of a pair is a root, the smallest of all that lead to it.  Pointers are doubled until
+    they name roots, and the links are contracted to links of roots.  Each root stands for two nodes or more, so n nodes end
+    in log2(n) rounds; once task_links or fewer links are left, either way, which bounds what a task holds, one task ends it.
+    A link with a null end counts for its other end alone.
 
     rounds: gets the number of links (either way) that each round begins with.
     """
@@ -29,22 +31,27 @@ def connected_components(links: DataFrame, task_links: int = TASK_LINKS, rounds:
 
 def _contracted(links: DataFrame, task_links: int, rounds: list) -> DataFrame:
     ends = links.select(F.coalesce("a", "b").alias("a"), F.coalesce("b", "a").alias("b")).where("a IS NOT NULL")
-    both = staged(ends.union(ends.select("b", "a")).distinct())
+    stars = lambda own: staged(own.mapInArrow(_starred(task_links), own.schema))
+    own = stars(ends.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
     levels = []
-    while (n := both.count()) > task_links:
-        rounds.append(n)
-        levels.append(_rooted(both))
+    if 2 * own.count() > task_links:
+        own = stars(own.repartitionByRange("a", "b"))
+    while 2 * (n := own.count()) > task_links:
+        rounds.append(2 * n)
+        levels.append(_rooted(own))
         end = lambda name: levels[-1].select(F.col("node").alias(name), F.col("root").alias(f"root_{name}"))
-        both = staged(both.join(end("a"), "a").join(end("b"), "b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b")).where("a <> b").distinct())
-    out = staged(both.repartition(1).mapInArrow(_spanned(), _schema(both)))
+        met = own.where("a <> b").join(end("a"), "a").join(end("b"), "b").where("root_a <> root_b")
+        own = stars(met.select(F.least("root_a", "root_b").alias("a"), F.greatest("root_a", "root_b").alias("b")))
+    out = staged(own.repartition(1).mapInArrow(_spanned(), _schema(own)))
     for level in reversed(levels):
         out = staged(level.join(out.select(F.col("node").alias("root"), F.col("component").alias("__top")), "root", "left").select("node", F.coalesce("__top", "root").alias("component")))
     return out
 
 
-def _rooted(both: DataFrame) -> DataFrame:
+def _rooted(own: DataFrame) -> DataFrame:
     """(node, root): each node's way over smallest neighbours to the end, by doubling."""
-    low = staged(both.groupBy(F.col("a").alias("node")).agg(F.min(F.when(F.col("a") != F.col("b"), F.col("b"))).alias("low")))
+    ways = own.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("b").alias("other")), F.struct(F.col("b").alias("node"), F.col("a").alias("other")))).alias("w")).select("w.*")
+    low = staged(ways.groupBy("node").agg(F.min(F.when(F.col("node") != F.col("other"), F.col("other"))).alias("low")))
     back = low.select(F.col("node").alias("low"), F.col("low").alias("back"))
     own = low.join(back, "low", "left")
     # Alone, or the smaller of two that point at each other: a root.
@@ -80,18 +87,17 @@ def _schema(links: DataFrame):
     return f"node {kind}, component {kind}"
 
 
-def _spanned():
-    """A function of all links as batches: (node, component) of their ends.  It holds all it needs, so that workers need no package."""
+def _labels():
+    """A function of a table of links: (names in order, each one's place of its component's smallest, whether a link to another holds it).
 
-    def run(batches):
+    It holds all it needs, so that workers need no package.
+    """
+
+    def label_of(table):
         import numpy as np
         import pyarrow as pa
         import pyarrow.compute  # noqa: F401
 
-        held = list(batches)
-        if not sum(b.num_rows for b in held):
-            return
-        table = pa.Table.from_batches(held)
         a, b = (table.column(i).combine_chunks() for i in (0, 1))
         names = pa.concat_arrays([a, b]).unique()
         names = names.take(pa.compute.sort_indices(names))
@@ -108,12 +114,60 @@ def _spanned():
                 break
             open_ = label[a] != label[b]
             a, b = a[open_], b[open_]
+        return names, label
+
+    return label_of
+
+
+def _spanned():
+    """A function of all links as batches: (node, component) of their ends."""
+    label_of = _labels()
+
+    def run(batches):
+        import pyarrow as pa
+
+        held = list(batches)
+        if not sum(b.num_rows for b in held):
+            return
+        names, label = label_of(pa.Table.from_batches(held))
         for i in range(0, len(label), 50_000):
             yield pa.RecordBatch.from_arrays([names.slice(i, 50_000), names.take(pa.array(label[i : i + 50_000]))], names=["node", "component"])
 
     return run
 
 
+def _starred(most: int):
+    """A function of links as batches: of each stretch of `most` links (a batch more at most) the stars of its components, and lone ends as links to themselves."""
+    label_of = _labels()
+
+    def stars(held):
+        import numpy as np
+        import pyarrow as pa
+
+        names, label = label_of(pa.Table.from_batches(held))
+        shown = (label != np.arange(len(label))) | (np.bincount(label, minlength=len(label)) == 1)
+        at = np.flatnonzero(shown)
+        for i in range(0, len(at), 50_000):
+            part = at[i : i + 50_000]
+            yield pa.RecordBatch.from_arrays([names.take(pa.array(label[part])), names.take(pa.array(part))], names=["a", "b"])
+
+    def run(batches):
+        held, n = [], 0
+        for batch in batches:
+            if not most:
+                yield batch
+                continue
+            held.append(batch)
+            n += batch.num_rows
+            if n >= most:
+                yield from stars(held)
+                held, n = [], 0
+        if n:
+            yield from stars(held)
+
+    return run
+
+
 def cluster_keys(kv: DataFrame, key: str = "key", value: str = "val") -> DataFrame:
     """(key, cluster): keys that share a value, directly or through others, share a cluster; it is named by its smallest key."""
     hub = kv.groupBy(value).agg(F.min(key).alias("a"))  # a star for each value, never its pairs
@@ -138,5 +192,6 @@ def assign_loci(df: DataFrame, grouping: list[str] = (), pilegap: int = 0, pairg
     piled = intervals.pileup_clusters(df, grouping, pilegap)
     # Written once: links and the final join read it three times.
     both = staged(intervals.identify_pairs(piled, grouping, pairgap, maxovlp).withColumn("__pile", F.concat_ws("|", *grouping, "clus_ori", "island")))
-    loci = cluster_keys(both.select("__pile", F.coalesce("paired_algn", F.concat(F.lit("own|"), "__pile")).alias("__pair")).distinct(), "__pile", "__pair")
-    return both.join(loci, "__pile").withColumnRenamed("cluster", "locus").drop("__pile", "clus_ori", "island", "paired_algn")
+    # A pile-up without a pair is a locus of its own, and so needs no link.
+    loci = cluster_keys(both.where("paired_algn IS NOT NULL").select("__pile", "paired_algn").distinct(), "__pile", "paired_algn").where("cluster <> __pile")
+    return both.join(loci, "__pile", "left").withColumn("locus", F.coalesce("cluster", "__pile")).drop("__pile", "cluster", "clus_ori", "island", "paired_algn").select(*df.columns, "locus")

@@ -40,19 +40,30 @@ def islands(df: DataFrame, keys: list[str], start: str = "start", end: str = "en
     it in the block.  A block's summary (furthest end, last head) is a row, and those before a block add up by maximum.
     Null keys are a group like any other.
     """
-    own = _filled(df, keys).withColumn("__block", F.floor(F.col(start) / block))
+    return _emptied(_placed(_filled(df, keys), keys, start, end, maxgap, out, block).drop("__block", "__wide"), keys)
+
+
+def _placed(df: DataFrame, keys: list[str], start: str, end: str, maxgap: int, out: str, block: int) -> DataFrame:
+    """df (keys filled) with `out`, __block, and __wide: whether the row's island has rows in other blocks too."""
+    own = df.withColumn("__block", F.floor(F.col(start) / block))
     ordered = W.partitionBy(*keys, "__block").orderBy(start, end)
     reach = F.max(end).over(ordered.rowsBetween(W.unboundedPreceding, -1))
     own = own.withColumn("__new", F.when(reach.isNull() | (F.col(start) > reach + maxgap), F.col(start)))
     own = own.withColumn("__head", F.max("__new").over(ordered.rowsBetween(W.unboundedPreceding, W.currentRow))).drop("__new")
-    before = W.partitionBy(*keys).orderBy("__block").rowsBetween(W.unboundedPreceding, -1)
-    sums = own.groupBy(*keys, "__block").agg(F.max(end).alias("__top"), F.max("__head").alias("__last"))
+    along = W.partitionBy(*keys).orderBy("__block")
+    before = along.rowsBetween(W.unboundedPreceding, -1)
+    sums = own.groupBy(*keys, "__block").agg(F.max(end).alias("__top"), F.max("__head").alias("__last"), F.min("__head").alias("__first"))
     sums = sums.withColumn("__reach", F.max("__top").over(before))
-    stands = F.col("__reach").isNull() | (F.col("__last") > F.col("__reach") + maxgap)
-    sums = sums.withColumn("__carried", F.max(F.when(stands, F.col("__last"))).over(before)).select(*keys, "__block", "__reach", "__carried")
+    stands = lambda head: F.col("__reach").isNull() | (F.col(head) > F.col("__reach") + maxgap)
+    sums = sums.withColumn("__carried", F.max(F.when(stands("__last"), F.col("__last"))).over(before))
+    # The island that a block ends in goes on if the next block's first rows don't stand.
+    goes_on = F.coalesce(F.lead(~stands("__first")).over(along), F.lit(False))
+    ends_in = F.when(stands("__last"), F.col("__last")).otherwise(F.col("__carried"))
+    sums = sums.withColumn("__onward", F.when(goes_on, ends_in)).select(*keys, "__block", "__reach", "__carried", "__onward")
     own = own.join(sums, [*keys, "__block"])
-    head = F.when(F.col("__reach").isNull() | (F.col("__head") > F.col("__reach") + maxgap), F.col("__head")).otherwise(F.col("__carried"))
-    return _emptied(own.withColumn(out, head).drop("__block", "__reach", "__head", "__carried"), keys)
+    head = F.when(stands("__head"), F.col("__head")).otherwise(F.col("__carried"))
+    wide = ~stands("__head") | F.coalesce(head == F.col("__onward"), F.lit(False))
+    return own.withColumn("__wide", wide).withColumn(out, head).drop("__reach", "__head", "__carried", "__onward")
 
 
 def reduce_ranges(df: DataFrame, keys: list[str], maxgap: int = 0) -> DataFrame:
@@ -68,22 +79,28 @@ def merged_members(df: DataFrame, keys: list[str], maxgap: int = 0) -> DataFrame
     return placed.join(ends, [*keys, "merged_start"])
 
 
-def pileup_clusters(df: DataFrame, grouping: list[str] = (), maxgap: int = 0) -> DataFrame:
+def pileup_clusters(df: DataFrame, grouping: list[str] = (), maxgap: int = 0, block: int = BLOCK) -> DataFrame:
     """df with island and clus_ori = seqnames:strand:origin.
 
     The origin is the island's most frequent start (+, ties to the smallest) or end (-, ties to the largest).
-    Islands are found on distinct ranges, which are far fewer than rows at hot loci.
+    Islands are found on distinct ranges, which are far fewer than rows at hot loci.  An island's origin is found in the
+    block where its ranges were ordered, without another exchange; only islands that cross a block's border, one a border
+    at most, are counted up over their blocks.
     """
     keys = [*grouping, "seqnames", "strand"]
     df = _filled(df, keys)
     ranges = df.groupBy(*keys, "start", "end").agg(F.count("*").alias("__n"))
-    placed = staged(_filled(islands(ranges, keys, maxgap=maxgap), keys).withColumn("__pos", five_prime(F.col("start"), F.col("end"), F.col("strand"))))
-    counts = placed.groupBy(*keys, "island", "__pos").agg(F.sum("__n").alias("__n"))
+    placed = _placed(ranges, keys, "start", "end", maxgap, "island", block).withColumn("__pos", five_prime(F.col("start"), F.col("end"), F.col("strand")))
     tie = F.when(F.col("strand") == "-", F.col("__pos")).otherwise(-F.col("__pos"))
-    origin = counts.groupBy(*keys, "island").agg(F.max_by("__pos", F.struct("__n", tie)).alias("__origin"))
+    most = F.max_by("__pos", F.struct("__m", tie))
+    # Both windows lie within the rows of a block, so they need no exchange.
+    counted = placed.withColumn("__m", F.sum("__n").over(W.partitionBy(*keys, "__block", "island", "__pos")))
+    placed = staged(counted.withColumn("__origin", most.over(W.partitionBy(*keys, "__block", "island"))).select(*keys, "start", "end", "island", "__pos", "__n", "__wide", "__origin"))
+    across = placed.where("__wide").groupBy(*keys, "island", "__pos").agg(F.sum("__n").alias("__m")).groupBy(*keys, "island").agg(most.alias("__origin"))
+    shown = [*keys, "start", "end", "island", "__origin"]
+    named = placed.where("NOT __wide").select(*shown).unionByName(placed.where("__wide").drop("__origin").join(across, [*keys, "island"]).select(*shown))
     name = F.concat_ws(":", F.nullif("seqnames", F.lit(NO_KEY)), F.nullif("strand", F.lit(NO_KEY)), "__origin")
-    named = placed.join(origin, [*keys, "island"]).select(*keys, "start", "end", "island", name.alias("clus_ori"))
-    return _emptied(df.join(named, [*keys, "start", "end"]), keys)
+    return _emptied(df.join(named, [*keys, "start", "end"]).withColumn("clus_ori", name).drop("__origin"), keys)
 
 
 def cluster_ids(clustered: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from scissile.operators import alignments
+from scissile.operators import alignments, intervals
 from tests.conftest import rows_of
 
 
@@ -23,3 +23,23 @@ def test_hits_of_a_read_meet_their_neighbours(spark, low, high):
     assert rows_of(got) == sorted(want, key=lambda r: tuple((True, str(x)) for x in r)) and want
     # The ends of a read are joined by place as well, not by the read alone.
     assert "__bucket" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("block", [7, 40, 1 << 20])
+def test_origins_need_no_further_exchange(spark, block):
+    rng = random.Random(block)
+    rows = [(rng.choice(["c", None]), p, p + rng.choice([0, 3, 60]), rng.choice("+-")) for p in (rng.randrange(-90, 700) for _ in range(220))]
+    got = intervals.pileup_clusters(spark.createDataFrame(rows, "seqnames string, start long, end long, strand string"), [], 1, block)
+    want = []
+    for key in {(r[0], r[3]) for r in rows}:
+        held = []
+        for r in sorted(((r[1], r[2]) for r in rows if (r[0], r[3]) == key)) + [(10**6, 10**6)]:
+            if held and r[0] > max(e for _, e in held) + 1:
+                points = [e if key[1] == "-" else s for s, e in held]
+                origin = max(set(points), key=lambda p: (points.count(p), p if key[1] == "-" else -p))
+                want += [(key[0], key[1], s, e, held[0][0], ":".join(x for x in (key[0], key[1], str(origin)) if x)) for s, e in held]
+                held = []
+            held.append(r)
+    assert rows_of(got.select("seqnames", "strand", "start", "end", "island", "clus_ori")) == sorted(want, key=lambda r: tuple((x is not None, str(x)) for x in r))
+    # The last join exchanges the rows and the named ranges; origins of islands within a block aren't exchanged before it.
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 2
