@@ -141,20 +141,28 @@ def split_hits(paired: DataFrame) -> DataFrame:
 def multihit_clusters(hits: DataFrame, gap: int = 5) -> dict[str, DataFrame]:
     """Multihit read pairs (read_pair, ranges) clustered by the loci they share.
 
-    5' points within `gap` are a locus; read pairs and loci form a bipartite graph of one link a hit, whose components
-    are the clusters.  alignments: hits with cluster and the read pair's median width; positions and widths: per cluster.
+    5' points within `gap` are a locus; a locus links its read pairs to the smallest of them, and the components are the
+    clusters.  alignments: hits with cluster and the read pair's median width; positions and widths: per cluster.
     """
-    points = hits.withColumn("pos", five_prime(F.col("start"), F.col("end"), F.col("strand")))
+    points = hits.where("read_pair IS NOT NULL").withColumn("pos", five_prime(F.col("start"), F.col("end"), F.col("strand")))
     placed = islands(points.select("seqnames", "strand", "pos").distinct().withColumn("__e", F.col("pos")), ["seqnames", "strand"], "pos", "__e", gap).drop("__e")
-    own = points.join(placed, ["seqnames", "strand", "pos"]).withColumn("__locus", F.concat_ws(":", F.lit("~locus"), "seqnames", "strand", "island"))
-    parts = connected_components(own.select(F.concat(F.lit("!pair"), F.col("read_pair").cast("string")).alias("a"), F.col("__locus").alias("b")))
-    named = parts.where(F.startswith("node", F.lit("!pair"))).select(F.substring("node", F.lit(6), F.length("node")).alias("__pair"), F.substring("component", F.lit(6), F.length("component")).alias("cluster"))
-    width = hits.groupBy("read_pair").agg(F.bround(F.percentile(F.col("end") - F.col("start") + 1, F.lit(0.5))).cast("long").alias("width"))
-    full = own.join(named, own["read_pair"].cast("string") == named["__pair"]).drop("__pair", "__locus").join(width, "read_pair")
+    # Written once: links and the result read it.
+    own = staged(points.join(placed, ["seqnames", "strand", "pos"]))
+    moved = _linked(own.withColumn("__pair", F.col("read_pair").cast("string")), "__pair").where("node <> component").withColumnRenamed("node", "__pair")
+    # The median is taken where the clusters meet the hits, over the same read pairs.
+    width = F.bround(F.percentile(F.col("end") - F.col("start") + 1, F.lit(0.5)).over(W.partitionBy("read_pair"))).cast("long")
+    full = own.join(moved, own["read_pair"].cast("string") == moved["__pair"], "left").withColumn("cluster", F.coalesce("component", F.col("read_pair").cast("string"))).drop("__pair", "component").withColumn("width", width)
     widths = full.select("cluster", "read_pair", "width").distinct().groupBy("cluster", "width").agg(F.count("*").alias("reads"))
     return {"alignments": full, "positions": full.select("cluster", "seqnames", "strand", F.col("island").alias("pos")).distinct(), "widths": widths}
 
 
+def _linked(own: DataFrame, name: str, loci: DataFrame | None = None, task_links: int | None = None) -> DataFrame:
+    """(node, component) of names that share a locus (seqnames, strand, island): a star a locus, never its pairs; `loci` says of which."""
+    place = ["seqnames", "strand", "island"]
+    hubs = own.groupBy(*place).agg(F.min(name).alias("a")) if loci is None else loci
+    return connected_components(own.join(hubs, place).select("a", F.col(name).alias("b")), **({} if task_links is None else {"task_links": task_links}))
+
+
 def multihit_points(clustered: dict[str, DataFrame]) -> DataFrame:
     """(cluster, seqnames, strand, pos): a run's clusters by their 5' points, all that later runs need to know of it."""
     return clustered["alignments"].select("cluster", "seqnames", "strand", "pos").distinct()
@@ -170,21 +178,18 @@ def combine_multihits(known: DataFrame, hits: DataFrame, gap: int = 5, task_link
     renamed: (cluster, combined) of the known clusters that merge into one of another name; pairs: (read_pair, cluster) of
     the new run; points: the points of all, for the next run.
     """
-    points = hits.select(F.col("read_pair").cast("string").alias("read_pair"), "seqnames", "strand", five_prime(F.col("start"), F.col("end"), F.col("strand")).alias("pos")).distinct()
-    points = staged(points)
     place = ["seqnames", "strand", "pos"]
-    all_places = known.select(*place).union(points.select(*place)).distinct().withColumn("__e", F.col("pos"))
-    placed = staged(islands(all_places, ["seqnames", "strand"], "pos", "__e", gap).drop("__e").withColumn("__locus", F.concat_ws(":", F.lit("~locus"), "seqnames", "strand", "island")))
-    new = points.join(placed, place).select("read_pair", "__locus")
-    met = known.join(placed, place).join(new.select("__locus").distinct(), "__locus", "left_semi")
-    link = lambda rows, name: rows.select(F.concat(F.lit("!pair"), name).alias("a"), F.col("__locus").alias("b")).distinct()
-    parts = staged(connected_components(link(new, "read_pair").union(link(met, "cluster")), **({} if task_links is None else {"task_links": task_links})))
-    cut = lambda c: F.substring(c, F.lit(6), F.length(c))
-    named = staged(parts.where(F.startswith("node", F.lit("!pair"))).select(cut("node").alias("name"), cut("component").alias("combined")))
-    renamed = known.select("cluster").distinct().join(named.withColumnRenamed("name", "cluster"), "cluster").where("cluster <> combined")
-    pairs = points.select("read_pair").distinct().join(named.withColumnRenamed("name", "read_pair"), "read_pair").select("read_pair", F.col("combined").alias("cluster"))
-    old = known.join(renamed, "cluster", "left").select(F.coalesce("combined", "cluster").alias("cluster"), *place)
-    return {"renamed": renamed, "pairs": pairs, "points": old.union(points.join(pairs, "read_pair").select("cluster", *place)).distinct()}
+    points = hits.where("read_pair IS NOT NULL").select(F.col("read_pair").cast("string").alias("name"), "seqnames", "strand", five_prime(F.col("start"), F.col("end"), F.col("strand")).alias("pos")).distinct()
+    both = staged(known.select(F.col("cluster").alias("name"), *place, F.lit(False).alias("fresh")).union(points.withColumn("fresh", F.lit(True))))
+    placed = islands(both.select(*place).distinct().withColumn("__e", F.col("pos")), ["seqnames", "strand"], "pos", "__e", gap).drop("__e")
+    own = staged(both.join(placed, place))
+    hubs = own.groupBy("seqnames", "strand", "island").agg(F.min("name").alias("a"), F.max("fresh").alias("__met")).where("__met").drop("__met")
+    parts = _linked(own, "name", hubs, task_links)
+    moved = parts.where("node <> component").withColumnRenamed("node", "name")
+    renamed = own.where("NOT fresh").select("name").distinct().join(moved, "name").select(F.col("name").alias("cluster"), F.col("component").alias("combined"))
+    pairs = own.where("fresh").select("name").distinct().join(moved, "name", "left").select(F.col("name").alias("read_pair"), F.coalesce("component", "name").alias("cluster"))
+    points = own.join(moved, "name", "left").select(F.coalesce("component", "name").alias("cluster"), *place).distinct()
+    return {"renamed": renamed, "pairs": pairs, "points": points}
 
 
 def recover_multihits(unique: DataFrame, multi: DataFrame) -> DataFrame:

@@ -188,10 +188,16 @@ def cluster_graph(kv: DataFrame, key: str = "key", value: str = "val") -> dict[s
 
 
 def assign_loci(df: DataFrame, grouping: list[str] = (), pilegap: int = 0, pairgap: int = 200, maxovlp: int = 10) -> DataFrame:
-    """df with locus: ranges joined by pile-ups and by pairs, transitively; a locus is named by its smallest pile-up."""
-    piled = intervals.pileup_clusters(df, grouping, pilegap)
-    # Written once: links and the final join read it three times.
-    both = staged(intervals.identify_pairs(piled, grouping, pairgap, maxovlp).withColumn("__pile", F.concat_ws("|", *grouping, "clus_ori", "island")))
+    """df with locus: ranges joined by pile-ups and by pairs, transitively; a locus is named by its smallest pile-up.
+
+    Pile-ups and pairs meet as distinct ranges of few columns; rows are exchanged once, for the locus of their range.
+    """
+    keys, text = [*grouping, "seqnames", "strand"], {f.name for f in df.schema if f.dataType.typeName() == "string"}
+    emptied = [F.nullif(F.col(k), F.lit(intervals.NO_KEY)) if k in text else F.col(k) for k in grouping]
+    pile = F.concat_ws("|", *emptied, intervals.origin_name(), "island")
+    piled = intervals.named_ranges(df, grouping, pilegap).withColumn("__pile", pile).drop("island", "__origin")
+    paired = intervals.identify_pairs(intervals._emptied(piled, keys), grouping, pairgap, maxovlp).where("paired_algn IS NOT NULL")
     # A pile-up without a pair is a locus of its own, and so needs no link.
-    loci = cluster_keys(both.where("paired_algn IS NOT NULL").select("__pile", "paired_algn").distinct(), "__pile", "paired_algn").where("cluster <> __pile")
-    return both.join(loci, "__pile", "left").withColumn("locus", F.coalesce("cluster", "__pile")).drop("__pile", "cluster", "clus_ori", "island", "paired_algn").select(*df.columns, "locus")
+    loci = cluster_keys(paired.select("__pile", "paired_algn").distinct(), "__pile", "paired_algn").where("cluster <> __pile")
+    named = piled.join(loci, "__pile", "left").select(*keys, "start", "end", F.coalesce("cluster", "__pile").alias("locus"))
+    return intervals._emptied(intervals._filled(df, keys).join(named, [*keys, "start", "end"]), keys).select(*df.columns, "locus")

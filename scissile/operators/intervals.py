@@ -88,6 +88,17 @@ def pileup_clusters(df: DataFrame, grouping: list[str] = (), maxgap: int = 0, bl
     at most, are counted up over their blocks.
     """
     keys = [*grouping, "seqnames", "strand"]
+    named = named_ranges(df, grouping, maxgap, block)
+    return _emptied(_filled(df, keys).join(named, [*keys, "start", "end"]).withColumn("clus_ori", origin_name()).drop("__origin"), keys)
+
+
+def origin_name():
+    return F.concat_ws(":", F.nullif("seqnames", F.lit(NO_KEY)), F.nullif("strand", F.lit(NO_KEY)), "__origin")
+
+
+def named_ranges(df: DataFrame, grouping: list[str], maxgap: int = 0, block: int = BLOCK) -> DataFrame:
+    """The distinct ranges behind pileup_clusters, their keys filled, with island and __origin."""
+    keys = [*grouping, "seqnames", "strand"]
     df = _filled(df, keys)
     ranges = df.groupBy(*keys, "start", "end").agg(F.count("*").alias("__n"))
     placed = _placed(ranges, keys, "start", "end", maxgap, "island", block).withColumn("__pos", five_prime(F.col("start"), F.col("end"), F.col("strand")))
@@ -98,9 +109,7 @@ def pileup_clusters(df: DataFrame, grouping: list[str] = (), maxgap: int = 0, bl
     placed = staged(counted.withColumn("__origin", most.over(W.partitionBy(*keys, "__block", "island"))).select(*keys, "start", "end", "island", "__pos", "__n", "__wide", "__origin"))
     across = placed.where("__wide").groupBy(*keys, "island", "__pos").agg(F.sum("__n").alias("__m")).groupBy(*keys, "island").agg(most.alias("__origin"))
     shown = [*keys, "start", "end", "island", "__origin"]
-    named = placed.where("NOT __wide").select(*shown).unionByName(placed.where("__wide").drop("__origin").join(across, [*keys, "island"]).select(*shown))
-    name = F.concat_ws(":", F.nullif("seqnames", F.lit(NO_KEY)), F.nullif("strand", F.lit(NO_KEY)), "__origin")
-    return _emptied(df.join(named, [*keys, "start", "end"]).withColumn("clus_ori", name).drop("__origin"), keys)
+    return placed.where("NOT __wide").select(*shown).unionByName(placed.where("__wide").drop("__origin").join(across, [*keys, "island"]).select(*shown))
 
 
 def cluster_ids(clustered: DataFrame) -> DataFrame:

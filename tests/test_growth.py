@@ -4,8 +4,9 @@ import random
 
 import pytest
 
-from scissile.operators import alignments, intervals
+from scissile.operators import alignments, graphs, intervals
 from tests.conftest import rows_of
+from tests.test_graphs import roots
 
 
 @pytest.mark.parametrize("low,high", [(30, 100), (1, 7), (-40, 20)])
@@ -43,3 +44,32 @@ def test_origins_need_no_further_exchange(spark, block):
     assert rows_of(got.select("seqnames", "strand", "start", "end", "island", "clus_ori")) == sorted(want, key=lambda r: tuple((x is not None, str(x)) for x in r))
     # The last join exchanges the rows and the named ranges; origins of islands within a block aren't exchanged before it.
     assert got._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 2
+
+
+def test_stars_of_a_stretch(spark):
+    links = [(rng.randrange(40), rng.randrange(40)) for rng in [random.Random(2)] for _ in range(60)] + [(77, 77)]
+    rounds = []
+    got = graphs.connected_components(spark.createDataFrame(links, "a long, b long").coalesce(1), task_links=100, rounds=rounds)
+    assert {r["node"]: r["component"] for r in got.collect()} == roots(links)
+    # 61 links either way are more than a task may hold, their stars are not: no round over all nodes.
+    assert rounds == []
+
+
+def test_only_pairs_link_pileups(spark, monkeypatch):
+    seen = []
+    plain = graphs.connected_components
+    monkeypatch.setattr(graphs, "connected_components", lambda links, *more: (seen.append(links.count()), plain(links, *more))[1])
+    rows = [("c", 100 * k, 100 * k + 9, "+") for k in range(50)] + [("c", 185, 205, "-")]
+    got = {r["start"]: r["locus"] for r in graphs.assign_loci(spark.createDataFrame(rows, "seqnames string, start long, end long, strand string")).collect()}
+    assert seen[0] == 4 and got[100] == "c:+:100|100" and got[185] == got[200] == got[300] == got[400] != got[500]
+
+
+def test_a_locus_links_its_read_pairs_alone(spark, monkeypatch):
+    seen = []
+    plain = graphs.connected_components
+    monkeypatch.setattr(alignments, "connected_components", lambda links, *more, **named: (seen.append(links.selectExpr("min(a) <= min(b)", "max(length(b))").first()), plain(links, *more, **named))[1])
+    hits = [("p2", "c", 1, 30, "+"), ("p1", "c", 4, 30, "+"), ("p3", "d", 4, 31, "+"), ("p3", "d", 90, 121, "+"), (None, "d", 4, 31, "+")]
+    got = alignments.multihit_clusters(spark.createDataFrame(hits, "read_pair string, seqnames string, start long, end long, strand string"))["alignments"]
+    assert {(r["read_pair"], r["cluster"], r["width"]) for r in got.collect()} == {("p1", "p1", 27), ("p2", "p1", 30), ("p3", "p3", 30)}
+    # Names of read pairs are all that is linked: no node for a locus.
+    assert tuple(seen[0]) == (True, 2)
