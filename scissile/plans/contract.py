@@ -867,24 +867,24 @@ _OF = lambda m: f"CAST(coalesce((SELECT sum(n) FROM core WHERE core.x = names.x
 _UNIQ = lambda c: f"CAST(coalesce((SELECT {c} FROM uniq WHERE uniq.x = names.x), 0) AS BIGINT)"
 
 
-def run_tables(spark, d):
+def run_table(spark, d, name):
     metric = F.element_at(F.array(*map(F.lit, METRICS)), (F.col("l_partkey") % 13 + 1).cast("int"))
     sample = F.concat_ws("-", "l_returnflag", "l_linenumber")
     core = t(spark, d, "lineitem").groupBy(F.when(F.col("l_suppkey") % 40 == 0, "unassigned").otherwise(sample).alias("sampleName"), metric.alias("metric")).agg(F.count("*").alias("count"))
     own = frag(spark, d).select("sampleName", F.col("l_orderkey").alias("ID"), "seqnames", "start", "end", "strand", F.when(F.col("l_partkey") % 6 > 0, "uniq").otherwise("multi").alias("type"))
-    return run_stats.run_stats(core, run_stats.incorporation_stats(flagged(spark, d)), own)
+    return run_stats.run_stats(core, lambda: run_stats.incorporation_stats(flagged(spark, d)), own, names=frag(spark, d).select("sampleName").distinct(), tables=[name])[name]
 
 
 @query(f"""{_RUN} SELECT x AS sample, {_OF('demulti.reads')} AS demulti, {_OF('R1.trim.reads')} AS "R1_trim", {_OF('R2.primer.trim.reads')} AS "R2_primer_trim", {_OF('R2.trim.reads')} AS "R2_trim", {_OF('umitags.reads')} AS umitags, {_OF('filt.reads')} AS filt,
   {_OF('R1.consol.reads')} AS "R1_consol", {_OF('R2.consol.reads')} AS "R2_consol", {_UNIQ('reads')} AS align_unique, {_OF('align.chimera.reads')} AS align_chimera, {_OF('align.multihit.reads')} AS align_multihit FROM names""")
 def run_attrition(spark, d):
-    return run_tables(spark, d)["attrition"].withColumnRenamed("sampleName", "sample")
+    return run_table(spark, d, "attrition").withColumnRenamed("sampleName", "sample")
 
 
 @query(f"""{_RUN} SELECT x AS sample, {_UNIQ('reads')} AS unique_reads, {_UNIQ('algns')} AS unique_algns, {_UNIQ('loci')} AS unique_loci, {_OF('align.multihit.reads')} AS multihit_reads, {_OF('align.multihit.lengths')} AS multihit_lengths,
   {_OF('align.multihit.clusters')} AS multihit_clusters, {_OF('align.chimera.reads')} AS chimera_reads FROM names WHERE x <> 'unassigned'""")
 def run_outcomes(spark, d):
-    return run_tables(spark, d)["outcomes"].withColumnRenamed("sampleName", "sample")
+    return run_table(spark, d, "outcomes").withColumnRenamed("sampleName", "sample")
 
 
 @query(f"""{_RUN}, one AS (SELECT samplename, seqnames, s, e, strand, abund, bool_or(is_pileup) AS a, bool_or(is_paired) AS b, bool_or(is_pileup OR is_paired OR is_matched) AS p FROM cri GROUP BY ALL),
@@ -893,7 +893,7 @@ def run_outcomes(spark, d):
   mt AS (SELECT samplename AS x, sum(abund) AS matched, coalesce(sum(abund) FILTER (on_off = 'On-target'), 0) AS ontarget, coalesce(sum(abund) FILTER (on_off = 'Off-target'), 0) AS offtarget FROM hit GROUP BY ALL)
   SELECT x AS sample, {", ".join(f"CAST(coalesce({c}, 0) AS BIGINT) AS {c}" for c in ("total", "combined", "pileup", "paired", "matched", "ontarget", "offtarget"))} FROM names LEFT JOIN ab USING (x) LEFT JOIN mt USING (x) WHERE x <> 'unassigned'""")
 def run_incorporation(spark, d):
-    return run_tables(spark, d)["incorporation"].withColumnRenamed("sampleName", "sample")
+    return run_table(spark, d, "incorporation").withColumnRenamed("sampleName", "sample")
 
 
 @query("SELECT l_orderkey, l_linenumber, 'r' || (l_orderkey % 2) AS run_set FROM lineitem")

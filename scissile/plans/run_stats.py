@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -47,23 +48,50 @@ def _table(stats: DataFrame, metrics: list[str], start: str, end: str) -> DataFr
     return wide.select("sampleName", *(F.col(f"`{m}`").cast("long").alias(n) for m, n in short.items())).orderBy(F.col("sampleName").isin(APART), "sampleName")
 
 
-def run_stats(core: DataFrame, evaluated: DataFrame, reads: DataFrame, umis: bool = True, consolidated: bool = True, alternate_umis: bool = False) -> dict[str, DataFrame]:
+def run_stats(core: DataFrame, evaluated: DataFrame | Callable[[], DataFrame], reads: DataFrame, umis: bool = True, consolidated: bool = True, alternate_umis: bool = False, names: DataFrame | None = None, tables: list[str] = ("attrition", "outcomes", "incorporation")) -> dict[str, DataFrame]:
     """The three tables of a run: attrition, outcomes, incorporation; a sample that any of the inputs knows has a row, with zeros.
 
     core and evaluated: long (sampleName, metric, count), parts of a sample added up; the counts of unique
     alignments that core has are replaced by those of `reads` (sampleName, ID, seqnames, start, end, strand, type), in
     which multihits may since have been recovered.  Reads of no sample are in the first table alone.  alternate_umis: the
     primer was trimmed from R1 instead of R2.
+
+    names: (sampleName) of the samples in `evaluated`.  With them each table is made of the inputs whose counts it shows, so
+    that a table without incorporations doesn't wait for the evaluation; only the others' names are read.  tables: which
+    are made; `evaluated` may be a function, called only if its counts are shown.
     """
+    if names is not None:
+        return _apart(core, evaluated, reads, umis, consolidated, alternate_umis, names, tables)
+    evaluated = evaluated() if callable(evaluated) else evaluated
     every = core.where(~F.col("metric").isin(list(UNIQUE.values()))).select("sampleName", "metric", F.col("count").cast("double").alias("count"))
     for part in (evaluated, unique_stats(reads)):
         every = every.unionByName(part.select("sampleName", "metric", F.col("count").cast("double").alias("count")))
+    return _tables(every, umis, consolidated, alternate_umis, tables)
+
+
+def _apart(core, evaluated, reads, umis, consolidated, alternate_umis, names, tables):
+    """The tables, each of the inputs whose counts it shows and of the names of the rest."""
+    long = lambda df: df.select("sampleName", "metric", F.col("count").cast("double").alias("count"))
+    core = long(core.where(~F.col("metric").isin(list(UNIQUE.values()))))
+    seen = lambda df: df.select("sampleName").distinct().select("sampleName", F.lit("").alias("metric"), F.lit(0.0).alias("count"))
+    out = {}
+    for table in tables:
+        if table == "incorporation":
+            every = core.unionByName(seen(reads.where("type = 'uniq'"))).unionByName(long(evaluated() if callable(evaluated) else evaluated))
+        else:
+            every = core.unionByName(long(unique_stats(reads))).unionByName(seen(names))
+        out |= _tables(every, umis, consolidated, alternate_umis, [table])
+    return out
+
+
+def _tables(every: DataFrame, umis: bool, consolidated: bool, alternate_umis: bool, tables: list[str]) -> dict[str, DataFrame]:
     gone = {"umitags.reads"} if not umis else set()
     gone |= set() if consolidated else {"R1.consol.reads", "R2.consol.reads"}
     gone |= {"R2.primer.trim.reads"} if alternate_umis else {"R1.primer.trim.reads"}
     placed = every.where(~F.col("sampleName").isin(APART))
-    return {
-        "attrition": _table(every, [m for m in ATTRITION if m not in gone], "", ".reads"),
-        "outcomes": _table(placed, OUTCOMES, "align.", ""),
-        "incorporation": _table(placed, INCORPORATION, "eval.", ".algns"),
+    shown = {
+        "attrition": (every, [m for m in ATTRITION if m not in gone], "", ".reads"),
+        "outcomes": (placed, OUTCOMES, "align.", ""),
+        "incorporation": (placed, INCORPORATION, "eval.", ".algns"),
     }
+    return {k: _table(*shown[k]) for k in tables}

@@ -5,6 +5,7 @@ import random
 import pytest
 
 from scissile.operators import alignments, graphs, intervals
+from scissile.plans import run_stats
 from tests.conftest import rows_of
 from tests.test_graphs import roots
 
@@ -73,3 +74,15 @@ def test_a_locus_links_its_read_pairs_alone(spark, monkeypatch):
     assert {(r["read_pair"], r["cluster"], r["width"]) for r in got.collect()} == {("p1", "p1", 27), ("p2", "p1", 30), ("p3", "p3", 30)}
     # Names of read pairs are all that is linked: no node for a locus.
     assert tuple(seen[0]) == (True, 2)
+
+
+def test_tables_wait_for_no_counts_that_they_do_not_show(spark):
+    core = spark.createDataFrame([("a", "demulti.reads", 5), ("a", "align.chimera.reads", 2), ("unassigned", "demulti.reads", 3)], "sampleName string, metric string, count long")
+    evaluated = spark.createDataFrame([("b", "eval.total.algns", 4), ("a", "eval.paired.algns", 1)], "sampleName string, metric string, count long")
+    reads = spark.createDataFrame([("c", 1, "x", 1, 9, "+", "uniq"), ("d", 1, "x", 1, 9, "+", "multi")], "sampleName string, ID int, seqnames string, start long, end long, strand string, type string")
+    asked = []
+    got = lambda name: run_stats.run_stats(core, lambda: asked.append(name) or evaluated, reads, names=evaluated.select("sampleName"), tables=[name])[name]
+    whole = run_stats.run_stats(core, evaluated, reads)
+    for name in whole:
+        assert [tuple(r) for r in got(name).collect()] == [tuple(r) for r in whole[name].collect()]
+    assert asked == ["incorporation"]
