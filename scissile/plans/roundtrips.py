@@ -85,7 +85,7 @@ def bam_files(spark, d) -> str:
 
 @query(_BAM)
 def bam_scan(spark, d):
-    """Block-compressed files, a task for every 64 kB of them."""
+    """Block-compressed files, a task for every 64 kB of them, or for more where that would be over a thousand tasks."""
     return binary.bam(spark, bam_files(spark, d), split_bytes=1 << 16).drop("cigar")
 
 

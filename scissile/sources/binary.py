@@ -23,7 +23,8 @@ TWOBIT_BASES, TWOBIT_SIGNATURE = "TCAG", 0x1A412743
 def bam(spark: SparkSession, path, mapped_pairs: bool = False, split_bytes: int = blocks.SPLIT_BYTES) -> DataFrame:
     """(qname, flag, rname, pos, mapq, cigar, qwidth, span, MD) of BAM files, as readers.sam has them.
 
-    A file is read by a task for each split_bytes of it, records that cross a border included.  mapped_pairs: only records
+    A file is read by a task for each split_bytes of it (wider ranges where those would be over blocks.MOST_TASKS), records
+    that cross a border included.  mapped_pairs: only records
     of paired reads that are mapped as their mates are; the others' fields are never read.
     """
     rows = _scan(spark, path, "*.bam", "bam", split_bytes)

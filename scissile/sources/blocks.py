@@ -30,11 +30,18 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, EqualNullSafe,
 CIGAR_OPS = "MIDNSHP=X"
 TAG_SIZES = {"A": 1, "c": 1, "C": 1, "s": 2, "S": 2, "i": 4, "I": 4, "f": 4}
 BLOCK = re.compile(rb"\x1f\x8b\x08\x04.{6}\x06\x00BC\x02\x00", re.DOTALL)
+#: The same sizes by a type's byte; -1 is no type of fixed size.
+_SIZES = np.full(256, -1, np.int64)
+_SIZES[[ord(k) for k in TAG_SIZES]] = list(TAG_SIZES.values())
 END_BLOCK = bytes.fromhex("1f8b08040000000000ff0600424302001b0003000000000000000000")
 
 BAM_COLUMNS = "qname string, flag int, rname string, pos long, mapq int, cigar string, qwidth int, span int, MD string, mapped_pair boolean"
 #: Bytes of a file that a task is given, and inflated bytes that it works on at a time.
 SPLIT_BYTES, PIECE = 32 << 20, 4 << 20
+#: Small ranges widen, up to the usual ones, where there would be more tasks than this: what a task costs of itself stays small.
+MOST_TASKS = 1 << 10
+#: Bytes that are read at a time behind a range, where only its last record goes on.
+AHEAD = 1 << 16
 #: A longer record is not believed where a task looks for its first one.
 LONGEST_RECORD = 1 << 28
 #: Records that must follow each other before a start is believed, unless the data end.
@@ -51,8 +58,8 @@ def _open(uri: str):
 class Inflated:
     """The inflated bytes of a file from a block on, in pieces; knows where in the file each stretch comes from."""
 
-    def __init__(self, file, start: int):
-        self.file, self.at, self.size, self.raw = file, start, file.size(), b""
+    def __init__(self, file, start: int, stop: int):
+        self.file, self.at, self.stop, self.size, self.raw = file, start, stop, file.size(), b""
 
     def find_block(self) -> bool:
         """Goes on to the first block at or after the present place; whether there is one."""
@@ -71,7 +78,8 @@ class Inflated:
 
     def _need(self, n: int) -> bool:
         if len(self.raw) < n:
-            self.raw += self.file.read_at(min(max(1 << 20, n), self.size - self.at - len(self.raw)), self.at + len(self.raw))
+            at = self.at + len(self.raw)
+            self.raw += self.file.read_at(min(max(n, min(1 << 20, max(0, self.stop - at) + AHEAD)), self.size - at), at)
         return len(self.raw) >= n
 
     def _skip(self, n: int) -> None:
@@ -79,12 +87,13 @@ class Inflated:
 
     def pieces(self, limit: int):
         """(bytes, whether their blocks begin before limit) of stretches of blocks, to the file's end."""
-        held, total, inside = [], 0, True
+        held, total, inside, beyond = [], 0, True, 1  # behind the limit a block at first, as a record seldom needs more
         while self._need(18):
             if not BLOCK.match(self.raw) or not self._need(n := self._length()):
                 raise ValueError(f"a block is damaged or cut short at byte {self.at}")
-            if held and (total >= PIECE or (self.at < limit) != inside):
+            if held and (total >= (PIECE if inside else beyond) or (self.at < limit) != inside):
                 yield b"".join(held), inside
+                beyond = beyond if inside else min(PIECE, 2 * total)
                 held, total = [], 0
             inside = self.at < limit
             data = zlib.decompress(memoryview(self.raw)[18 : n - 8], -15, 1 << 16)
@@ -118,9 +127,14 @@ def inflate_all(file):
         raise ValueError("a gzip file is cut short")
 
 
+def ranges(files: list, step: int, usual: int) -> list[InputPartition]:
+    """(uri, start, stop) of ranges of the files (uri, size): of `step` bytes, or wider, up to the usual ones, where those would be more than MOST_TASKS."""
+    step = max(step, min(usual, -(-sum(size for _, size in files) // MOST_TASKS)))
+    return [InputPartition((uri, a, min(size, a + step))) for uri, size in files for a in range(0, max(1, size), step)]
+
+
 def _splits(options) -> list[InputPartition]:
     """Ranges of the files: as listed by the caller, or of the path's own filesystem."""
-    step = int(options.get("splitbytes", SPLIT_BYTES))
     if "files" in options:
         files = json.loads(options["files"])
     else:
@@ -130,7 +144,7 @@ def _splits(options) -> list[InputPartition]:
         info = fs.get_file_info(path)
         infos = [info] if info.type == FileType.File else fs.get_file_info(FileSelector(path, recursive=True))
         files = [(f"{options['path'].rstrip('/')}{x.path.removeprefix(path.rstrip('/'))}", x.size) for x in infos if x.type == FileType.File]
-    return [InputPartition((uri, a, min(size, a + step))) for uri, size in files for a in range(0, max(1, size), step)]
+    return ranges(files, int(options.get("splitbytes", SPLIT_BYTES)), SPLIT_BYTES)
 
 
 class _Scan:
@@ -146,7 +160,7 @@ class _Scan:
         if self.blocked:
             if file.size() < len(END_BLOCK) or file.read_at(len(END_BLOCK), file.size() - len(END_BLOCK)) != END_BLOCK:
                 raise ValueError("no end block: the file is cut short")
-            blocks = Inflated(file, start)
+            blocks = Inflated(file, start, stop)
             self.empty = not blocks.find_block() or blocks.at >= stop
             self._pieces = iter(()) if self.empty else blocks.pieces(stop)
         else:
@@ -238,21 +252,43 @@ def _cigar(raw: bytes) -> tuple[str, int, int]:
     return "".join(f"{n}{o}" for n, o in runs) or "*", size("MIS=X"), size("MDN=X")
 
 
-def _md(tags: bytes) -> str | None:
-    at = 0
-    while at + 3 <= len(tags):
-        name, kind = tags[at : at + 2], chr(tags[at + 2])
-        at += 3
-        if kind in "ZH":
-            end = tags.index(b"\0", at)
-            if name == b"MD":
-                return tags[at:end].decode()
-            at = end + 1
-        elif kind == "B":
-            at += 5 + TAG_SIZES[chr(tags[at])] * struct.unpack_from("<i", tags, at + 1)[0]
-        else:
-            at += TAG_SIZES[kind]
-    return None
+def _md(raw: np.ndarray, at: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(start, size) of the text of each record's MD tag, size -1 where there is none: all records go on by a tag at a time."""
+    at, start, size, zeros = at.copy(), np.zeros(len(at), np.int64), np.full(len(at), -1, np.int64), np.flatnonzero(raw == 0)
+    live = np.flatnonzero(at + 3 <= ends)
+    while len(live):
+        a, kind = at[live] + 3, raw[at[live] + 2]
+        text, many = np.isin(kind, (ord("Z"), ord("H"))), kind == ord("B")
+        on = _SIZES[kind]
+        if many.any():
+            b = a[many]
+            if (b + 5 > ends[live[many]]).any():
+                raise ValueError("a tag is cut short")
+            count = raw[b[:, None] + 1 + np.arange(4)].copy().view("<i4").ravel().astype(np.int64)
+            unit = _SIZES[raw[b]]
+            on[many] = np.where((count < 0) | (unit < 0), -1, 5 + unit * count)
+        if text.any():
+            b = a[text]
+            found = np.append(zeros, len(raw))[np.searchsorted(zeros, b)]
+            if (found >= ends[live[text]]).any():
+                raise ValueError("a tag is cut short")
+            on[text] = found - b + 1
+        if (on < 0).any():
+            raise ValueError("a tag of an unknown type")
+        is_md = text & (raw[a - 3] == ord("M")) & (raw[a - 2] == ord("D"))
+        start[live[is_md]], size[live[is_md]] = a[is_md], on[is_md] - 1
+        at[live] = a + on
+        live = live[~is_md & (at[live] + 3 <= ends[live])]
+    return start, size
+
+
+def _strings(raw: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Stretches of the bytes as text; null where a size is below zero."""
+    own = np.maximum(sizes, 0)
+    offsets = np.concatenate([[0], np.cumsum(own)])
+    data = raw[np.repeat(starts - offsets[:-1], own) + np.arange(offsets[-1])]
+    valid = pa.py_buffer(np.packbits(sizes >= 0, bitorder="little").tobytes())
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [valid, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data)]).cast(pa.string())
 
 
 def _batch(data: bytes, starts: np.ndarray, names: list[str], tests: list) -> pa.RecordBatch:
@@ -271,15 +307,15 @@ def _batch(data: bytes, starts: np.ndarray, names: list[str], tests: list) -> pa
     n_name, n_ops, n_seq = field(8, "u1")[at].astype(np.int64), field(12, "<u2")[at].astype(np.int64), field(16, "<i4")[at].astype(np.int64)
     own = starts[at]
     ends = own + 4 + field(-4, "<i4")[at]
-    qname, cigar, md = [], [], []
-    for s, n, o, q, e in zip(own.tolist(), n_name.tolist(), n_ops.tolist(), n_seq.tolist(), ends.tolist()):
-        ops = s + 36 + n
-        qname.append(data[s + 36 : ops - 1])
-        cigar.append(_cigar(data[ops : ops + 4 * o]))
-        md.append(_md(data[ops + 4 * o + (q + 1) // 2 + q : e]))
-    text, width, span = zip(*cigar) if cigar else ((), (), ())
+    ops = own + 36 + n_name
+    packed = [data[a:z] for a, z in zip(ops.tolist(), (ops + 4 * n_ops).tolist())]
+    place = {x: i for i, x in enumerate(dict.fromkeys(packed))}
+    text, width, span = zip(*map(_cigar, place)) if place else ((), (), ())
+    kind = pa.array(np.fromiter(map(place.__getitem__, packed), np.int64, len(packed)))
+    cigar = [pa.array(x, t).take(kind) for x, t in ((text, pa.string()), (width, pa.int32()), (span, pa.int32()))]
     refs = pa.array([*names, "*"], pa.string()).take(pa.array(np.where(ref[at] < 0, len(names), ref[at]), pa.int64()))
-    arrays = [pa.array(qname, pa.binary()).cast(pa.string()), pa.array(flag[at]), refs, pa.array(pos[at]), pa.array(columns["mapq"][at]), pa.array(text, pa.string()), pa.array(width, pa.int32()), pa.array(span, pa.int32()), pa.array(md, pa.string()), pa.array(columns["mapped_pair"][at])]
+    md = _strings(raw, *_md(raw, ops + 4 * n_ops + (n_seq + 1) // 2 + n_seq, ends))
+    arrays = [_strings(raw, own + 36, n_name - 1), pa.array(flag[at]), refs, pa.array(pos[at]), pa.array(columns["mapq"][at]), *cigar, md, pa.array(columns["mapped_pair"][at])]
     return pa.RecordBatch.from_arrays(arrays, names=[c.split()[0] for c in BAM_COLUMNS.split(", ")])
 
 
@@ -329,7 +365,7 @@ def bam_records(uri: str, start: int, stop: int, tests: list):
 
 def _after_header(file, scan: _Scan, start: int, skip: int, sizes: np.ndarray) -> int:
     """Where a task that doesn't begin with the file begins to read: behind the header, if that reaches so far."""
-    blocks, passed = Inflated(file, 0), 0
+    blocks, passed = Inflated(file, 0, 1), 0
     while passed < skip and blocks.at < start and blocks._need(18):  # a header of many blocks only
         n = blocks._length()
         blocks._need(n)
@@ -528,6 +564,68 @@ def bam_record(qname: str, flag: int, ref: int, pos: int, mapq: int, cigar: list
     return struct.pack("<i", len(body)) + body
 
 
+HEAD = np.dtype([("size", "<i4"), ("ref", "<i4"), ("pos", "<i4"), ("n_name", "u1"), ("mapq", "u1"), ("bin", "<u2"), ("n_ops", "<u2"), ("flag", "<u2"), ("n_seq", "<i4"), ("mate", "<i4"), ("mate_pos", "<i4"), ("template", "<i4")])
+
+
+def _column(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes, starts, sizes) of a text column; a null has no bytes."""
+    held = pa.array([], pa.binary()) if not len(column) else column.cast(pa.binary())
+    offsets = np.frombuffer(held.buffers()[1] or bytes(4), np.int32)[held.offset : held.offset + len(held) + 1].astype(np.int64)
+    data = np.frombuffer(held.buffers()[2] or b"", np.uint8)
+    return data, offsets[:-1], np.where(np.asarray(held.is_null()), 0, np.diff(offsets))
+
+
+def _put(out: np.ndarray, at: np.ndarray, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> None:
+    """Copies stretches of data to places of out."""
+    step = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    out[np.repeat(at, sizes) + step] = data[np.repeat(starts, sizes) + step]
+
+
+def bam_bytes(batch: pa.RecordBatch, places: dict[str, int]):
+    """What bam_record gives for the rows (qname, flag, rname, pos, mapq, cigar, MD), one after another, some megabytes at a time; places: contigs' numbers."""
+    if not batch.num_rows:
+        return
+    if any(c.null_count for c in batch.columns[:6]):
+        raise ValueError("only MD may be null")
+    cigar = batch.column(5).dictionary_encode()
+    runs = [[(int(n), CIGAR_OPS.index(o)) for n, o in re.findall(r"(\d+)([MIDNSHP=X])", c)] for c in cigar.dictionary.to_pylist()]
+    packed = [b"".join(struct.pack("<I", n << 4 | o) for n, o in x) for x in runs]
+    kind = cigar.indices.to_numpy(zero_copy_only=False)
+    width = np.array([len(x) for x in packed], np.int64)
+    reads = np.array([sum(n for n, o in x if CIGAR_OPS[o] in "MIS=X") for x in runs], np.int64)
+    all_ops = np.frombuffer(b"".join(packed), np.uint8)
+    rname = batch.column(2).dictionary_encode()
+    ref = np.array([places[n] for n in rname.dictionary.to_pylist()], np.int64)[rname.indices.to_numpy(zero_copy_only=False)]
+    flag, pos, mapq = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (1, 3, 4))
+    names, name_at, n_name = _column(batch.column(0))
+    mds, md_at, n_md = _column(batch.column(6))
+    tags = np.where(np.asarray(batch.column(6).is_null()), 0, 4 + n_md)
+    n_ops, n_seq = width[kind], reads[kind]
+    limits = ((flag, 0, 0xFFFF), (pos, -(1 << 31) + 1, 1 << 31), (mapq, 0, 0xFF), (n_name, 0, 0xFE), (n_ops // 4, 0, 0xFFFF), (n_seq, 0, (1 << 31) - 1))
+    if any((x < low).any() or (x > high).any() for x, low, high in limits):
+        raise ValueError("a value that a BAM record can't hold")
+    before = HEAD.itemsize + n_name + 1 + n_ops + (n_seq + 1) // 2
+    size = before + n_seq + tags
+    upto, a = np.cumsum(size), 0
+    while a < len(size):
+        z = max(a + 1, int(np.searchsorted(upto, upto[a] - size[a] + PIECE, "right")))
+        own = slice(a, z)
+        out = np.repeat(np.tile(np.array([0, 0xFF, 0], np.uint8), z - a), np.stack([before[own], n_seq[own], tags[own]], 1).ravel())
+        at = upto[own] - size[own] - (upto[a] - size[a])
+        head = np.zeros(z - a, HEAD)
+        for name, value in (("size", size[own] - 4), ("ref", ref[own]), ("pos", pos[own] - 1), ("n_name", n_name[own] + 1), ("mapq", mapq[own]), ("n_ops", n_ops[own] // 4), ("flag", flag[own]), ("n_seq", n_seq[own]), ("mate", -1), ("mate_pos", -1)):
+            head[name] = value
+        out[at[:, None] + np.arange(HEAD.itemsize)] = head.view(np.uint8).reshape(z - a, HEAD.itemsize)
+        _put(out, at + HEAD.itemsize, names, name_at[own], n_name[own])
+        _put(out, at + HEAD.itemsize + n_name[own] + 1, all_ops, (np.cumsum(width) - width)[kind[own]], n_ops[own])
+        told = np.flatnonzero(tags[own])
+        md = (at + before[own] + n_seq[own])[told]
+        out[md[:, None] + np.arange(3)] = np.frombuffer(b"MDZ", np.uint8)
+        _put(out, md + 3, mds, md_at[own][told], n_md[own][told])
+        yield out.tobytes()
+        a = z
+
+
 def bam_header(refs: list[tuple[str, int]], text: str = "@HD\tVN:1.6\n") -> bytes:
     names = b"".join(struct.pack("<i", len(n) + 1) + n.encode() + b"\0" + struct.pack("<i", size) for n, size in refs)
     return b"BAM\1" + struct.pack("<i", len(text)) + text.encode() + struct.pack("<i", len(refs)) + names

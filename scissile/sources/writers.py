@@ -157,8 +157,6 @@ def bam(df: DataFrame, path: str, refs: list[tuple[str, int]]) -> DataFrame:
     blocks.register(df.sparkSession)
 
     def write(batches):
-        import re
-
         import pyarrow as pa
         from pyspark import TaskContext
 
@@ -167,10 +165,7 @@ def bam(df: DataFrame, path: str, refs: list[tuple[str, int]]) -> DataFrame:
         def chunks():
             yield blocks.bam_header(refs)
             for batch in batches:
-                for qname, flag, rname, pos, mapq, cigar, md in zip(*(c.to_pylist() for c in batch.columns)):
-                    runs = [(int(n), o) for n, o in re.findall(r"(\d+)([MIDNSHP=X])", cigar)]
-                    length = sum(n for n, o in runs if o in "MIS=X")
-                    yield blocks.bam_record(qname, flag, places[rname], pos, mapq, runs, length, b"" if md is None else b"MDZ" + md.encode() + b"\0")
+                yield from blocks.bam_bytes(batch, places)
 
         uri, size = blocks.write_part(path, f"part-{TaskContext.get().partitionId():06d}.bam", chunks())
         yield pa.RecordBatch.from_pydict({"uri": [uri], "size": [size]})

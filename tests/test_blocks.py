@@ -129,3 +129,49 @@ def test_filters_are_pushed():
     reader = blocks.BamReader({"files": "[]"})
     left = list(reader.pushFilters([EqualTo(("mapped_pair",), True), StringStartsWith(("qname",), "r"), GreaterThan(("mapq",), 3), EqualTo(("rname",), "chr1")]))
     assert [type(f) for f in left] == [StringStartsWith] and len(reader.filters) == 3
+
+
+def test_a_range_reads_little_beyond_itself(tmp_path, monkeypatch):
+    uri, size = bam_file(tmp_path / "x.bam", records(3, 60_000), 20_000)
+    inflated, plain = [], blocks.zlib.decompress
+    monkeypatch.setattr(blocks.zlib, "decompress", lambda *a: (inflated.append(1), plain(*a))[1])
+    ends = [m.start() for m in blocks.BLOCK.finditer((tmp_path / "x.bam").read_bytes())]
+    start, stop = size // 3, size // 3 + 50_000
+    assert sum(b.num_rows for b in blocks.bam_records(uri, start, stop, [])) > 500
+    # The range's own blocks, the header's and those that the last record goes on in.
+    assert len(inflated) <= sum(start <= e < stop for e in ends) + 3 and len(ends) > 40
+
+
+def test_tasks_stay_few(tmp_path):
+    files = [("a", 5 << 30), ("b", 0), ("c", 77)]
+    got = [p.value for p in blocks._splits({"files": blocks.json.dumps(files), "splitbytes": str(1 << 16)})]
+    assert len(got) <= blocks.MOST_TASKS + len(files)
+    for uri, size in files:
+        own = [(a, z) for u, a, z in got if u == uri]
+        assert [a for a, _ in own] == [0] + [z for _, z in own[:-1]] and own[-1][1] == size
+    assert max(z - a for _, a, z in got) <= blocks.SPLIT_BYTES
+    wide = blocks._splits({"files": blocks.json.dumps([("a", 100 << 30)]), "splitbytes": str(1 << 16)})
+    assert {z - a for _, a, z in (p.value for p in wide)} == {blocks.SPLIT_BYTES}
+
+
+def test_records_of_a_batch_at_once(monkeypatch):
+    import pyarrow as pa
+
+    rng, rows = random.Random(5), []
+    for i in range(400):
+        cigar = rng.choice(["*", "", "3M", "2S30M1I4D8=2X", f"{rng.randrange(1, 3000)}M", "7H5M9N5M"])
+        rows.append((f"q{i}" + "ä" * rng.randrange(9), rng.randrange(1 << 16), rng.choice(["chr1", "chr2", "*"]), rng.randrange(0, 9000), rng.randrange(256), cigar, rng.choice([None, "", "20A19", "9" * rng.randrange(60)])))
+    places = {"chr1": 0, "chr2": 1, "*": -1}
+    want = b""
+    for name, flag, ref, pos, mapq, cigar, md in rows:
+        runs = [(int(n), o) for n, o in blocks.re.findall(r"(\d+)([MIDNSHP=X])", cigar)]
+        want += blocks.bam_record(name, flag, places[ref], pos, mapq, runs, sum(n for n, o in runs if o in "MIS=X"), b"" if md is None else b"MDZ" + md.encode() + b"\0")
+    batch = lambda own: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*own), (pa.string(), pa.int32(), pa.string(), pa.int64(), pa.int32(), pa.string(), pa.string()))], names=list("abcdefg"))
+    assert b"".join(blocks.bam_bytes(batch(rows), places)) == want == b"".join(blocks.bam_bytes(batch([rows[0], *rows])[1:], places))
+    monkeypatch.setattr(blocks, "PIECE", 5000)
+    assert b"".join(blocks.bam_bytes(batch(rows), places)) == want
+    for bad in ((None, *rows[0][1:]), ("n" * 255, *rows[0][1:]), (rows[0][0], 1 << 16, *rows[0][2:])):
+        with pytest.raises(ValueError):
+            list(blocks.bam_bytes(batch([rows[1], bad]), places))
+    with pytest.raises(KeyError):
+        list(blocks.bam_bytes(batch([(*rows[0][:2], "chr9", *rows[0][3:])]), places))
