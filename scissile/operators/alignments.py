@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.sequences import clipped, five_prime, percent_identity
 from .graphs import connected_components
 from .intervals import islands, proximity_join
-from .staging import staged
+from .staging import staged, tasks_for
 
 
 def join_keys(anchor: DataFrame, adrift: DataFrame) -> DataFrame:
@@ -193,13 +193,19 @@ def combine_multihits(known: DataFrame, hits: DataFrame, gap: int = 5, task_link
 
 
 def recover_multihits(unique: DataFrame, multi: DataFrame) -> DataFrame:
-    """Unique rows and those multihit rows that share a sample's pile-up with a unique one; contrib is 1 / rows left of the read in the sample."""
+    """Unique rows and those multihit rows that share a sample's pile-up with a unique one; contrib is 1 / rows left of the read in the sample.
+
+    Rows are dealt among tasks by their number, so that a task's share stays as it is while tables grow, and placed once;
+    only multihit rows are exchanged further.
+    """
     both = unique.withColumn("type", F.lit("uniq")).unionByName(multi.withColumn("type", F.lit("multi")))
-    placed = islands(both, ["sampleName", "seqnames", "strand"])
-    anchored = placed.where("type = 'uniq'").select("sampleName", "seqnames", "strand", "island").distinct()
-    kept = placed.where("type = 'uniq'").unionByName(placed.where("type = 'multi'").join(anchored, ["sampleName", "seqnames", "strand", "island"], "left_semi").select(*placed.columns)).drop("island")
-    n = F.count("*").over(W.partitionBy("sampleName", "ID", "type"))
-    return kept.withColumn("contrib", F.when(F.col("type") == "uniq", F.lit(1.0)).otherwise(1.0 / n))
+    place, tasks = ["sampleName", "seqnames", "strand", "island"], tasks_for(both)
+    placed = staged(islands(both, place[:3], tasks=tasks))
+    anchored = placed.where("type = 'uniq'").select(*place).repartition(tasks, *place).distinct()
+    met = placed.where("type = 'multi'").repartition(tasks, *place).join(anchored, place, "left_semi")
+    n = F.count("*").over(W.partitionBy("sampleName", "ID"))
+    met = met.repartition(tasks, "sampleName", "ID").withColumn("contrib", 1.0 / n)
+    return placed.where("type = 'uniq'").withColumn("contrib", F.lit(1.0)).unionByName(met).drop("island")
 
 
 def attach_umis(reads: DataFrame, umis: DataFrame) -> DataFrame:

@@ -66,6 +66,15 @@ def release(spark: SparkSession) -> None:
     _delete(spark, held)
 
 
+#: Rows that a task sorts or groups where a step deals rows by their number.
+TASK_ROWS = 1 << 18
+
+
+def tasks_for(df: DataFrame) -> int:
+    """Tasks among which df's rows are dealt so that none holds many more than TASK_ROWS, whatever the session's number of partitions: one count of df."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // TASK_ROWS))
+
+
 def _delete(spark: SparkSession, uris: list[str]) -> None:
     for uri in uris:
         path = spark._jvm.org.apache.hadoop.fs.Path(uri)

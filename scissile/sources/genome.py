@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader
 
 from . import blocks
 from .binary import TWOBIT_BASES, TWOBIT_SIGNATURE, listed
@@ -94,8 +94,7 @@ class FastaReader(DataSourceReader):
         self.options = dict(options)
 
     def partitions(self):
-        step = int(self.options["splitbytes"])
-        return [InputPartition((uri, a, min(size, a + step))) for uri, size in json.loads(self.options["files"]) for a in range(0, size, step)]
+        return blocks.ranges(json.loads(self.options["files"]), int(self.options["splitbytes"]), RANGE)
 
     def read(self, partition):
         rows, size = [], 0

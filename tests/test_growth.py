@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from scissile.operators import alignments, graphs, intervals
+from scissile.operators import alignments, graphs, intervals, staging
 from scissile.plans import run_stats
 from tests.conftest import rows_of
 from tests.test_graphs import roots
@@ -86,3 +86,27 @@ def test_tables_wait_for_no_counts_that_they_do_not_show(spark):
     for name in whole:
         assert [tuple(r) for r in got(name).collect()] == [tuple(r) for r in whole[name].collect()]
     assert asked == ["incorporation"]
+
+
+def test_recovered_multihits_are_dealt_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(staging, "TASK_ROWS", 50)
+    rng = random.Random(8)
+    kind = "sampleName string, ID int, seqnames string, start long, end long, strand string"
+    some = lambda n: [(rng.choice("ab"), rng.randrange(60), rng.choice("cd"), s := rng.randrange(3 << 20), s + rng.randrange(40_000), rng.choice("+-")) for _ in range(n)]
+    unique, multi = some(150), some(850)
+    got = alignments.recover_multihits(spark.createDataFrame(unique, kind), spark.createDataFrame(multi, kind))
+    kept = []
+    for key in {(r[0], r[2], r[5]) for r in unique}:
+        held, reach = [], 0
+        own = [(r, t) for rows, t in ((unique, "uniq"), (multi, "multi")) for r in rows if (r[0], r[2], r[5]) == key]
+        for r, t in [*sorted(own, key=lambda x: x[0][3:5]), (("", 0, "", 1 << 40, 0, ""), "uniq")]:
+            if r[3] > reach:
+                kept += held if any(x[1] == "uniq" for x in held) else []
+                held = []
+            held, reach = [*held, (r, t)], max(reach, r[4])
+    left = [(r[0], r[1]) for r, t in kept if t == "multi"]
+    assert 0 < len(left) < len(multi)
+    assert rows_of(got.select(*(c.split()[0] for c in kind.split(", ")), "type", "contrib")) == sorted(((*r, t, 1.0 if t == "uniq" else 1 / left.count((r[0], r[1]))) for r, t in kept), key=lambda r: tuple((x is not None, str(x)) for x in r))
+    # 1000 rows go to 20 tasks, though the session has 4 partitions; unique rows aren't exchanged once they are placed.
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "20), REPARTITION_BY_NUM" in plan and "type" not in "".join(x for x in plan.splitlines() if "Exchange" in x)
