@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.sequences import five_prime
-from .staging import ranked, staged
+from .staging import ranked, staged, tasks_for
 
 BLOCK = 1 << 20
 
@@ -157,7 +157,11 @@ def proximity_join(left: DataFrame, right: DataFrame, keys: list[str], left_pos:
     return one.join(other, [*keys, "__bucket"]).where(F.abs(F.col(left_pos) - F.col(right_pos)) <= reach).drop("__bucket")
 
 
-def containing(points: DataFrame, ranges: DataFrame, pos: str, width: int = 100_000, keys: tuple = ("seqnames",)) -> DataFrame:
+#: Width of the buckets in which points meet the ranges that hold them.
+WIDTH = 100_000
+
+
+def containing(points: DataFrame, ranges: DataFrame, pos: str, width: int = WIDTH, keys: tuple = ("seqnames",)) -> DataFrame:
     """Pairs of a point and a range (start, end) that holds it, by buckets of `width`."""
     one = points.withColumn("__bucket", F.floor(F.col(pos) / width))
     other = ranges.withColumn("__bucket", F.explode(F.sequence(F.floor(F.col("start") / width), F.floor(F.col("end") / width))))
@@ -167,18 +171,25 @@ def containing(points: DataFrame, ranges: DataFrame, pos: str, width: int = 100_
 def nearest_ranges(points: DataFrame, ranges: DataFrame, pos: str, block: int = BLOCK) -> DataFrame:
     """(seqnames, pos, symbol, inside) of distinct points: the first symbol among the ranges that hold the point, else that of the nearest range, ties to the one before it.
 
-    Ends before and starts after are found by one ordered pass over the union of points and range ends, in place of a range
-    join; it runs within blocks, and the nearest end or start beyond a block comes from a row a block.
+    Points are dealt among tasks by their number: by buckets, where they are told apart and meet the ranges that hold them,
+    and by blocks, where ends before and starts after are found by one ordered pass over the union of points and range ends,
+    in place of a range join; the nearest end or start beyond a block comes from a row a block.
     """
-    points = points.select("seqnames", F.col(pos).alias("pos")).distinct()
-    held = containing(points, ranges.select("seqnames", "start", "end", "symbol"), "pos").groupBy("seqnames", "pos").agg(F.min("symbol").alias("__held"))
-    none = F.lit(None)
-    lasts = ranges.groupBy("seqnames", F.col("end").alias("pos")).agg(F.min("symbol").alias("symbol"))
-    firsts = ranges.groupBy("seqnames", F.col("start").alias("pos")).agg(F.min("symbol").alias("symbol"))
-    kinds = points.select("seqnames", "pos", F.lit(1).alias("kind"), none.cast("string").alias("symbol"))
-    both = kinds.unionByName(lasts.withColumn("kind", F.lit(0))).unionByName(firsts.withColumn("kind", F.lit(2))).withColumn("__block", F.floor(F.col("pos") / block))
+    tasks, own = tasks_for(points), points.select("seqnames", F.col(pos).alias("pos"))
+    bucket = ["seqnames", "__bucket"]
+    own = own.withColumn("__bucket", F.floor(F.col("pos") / WIDTH)).repartition(tasks, *bucket).distinct()
+    holding = ranges.select("seqnames", F.explode(F.sequence(F.floor(F.col("start") / WIDTH), F.floor(F.col("end") / WIDTH))).alias("__bucket"), "start", "end", "symbol").alias("r")
+    inside = [F.col(f"p.{k}") == F.col(f"r.{k}") for k in bucket] + [F.col("p.pos").between(F.col("r.start"), F.col("r.end"))]
+    met = own.alias("p").join(holding, inside, "left").select("p.*", F.col("r.symbol").alias("symbol"))
+    # Written once: points and their blocks are read from it.
+    points = staged(met.groupBy(*bucket, "pos").agg(F.min("symbol").alias("__held")).select("seqnames", "pos", "__held", F.floor(F.col("pos") / block).alias("__block")))
+    none = F.lit(None).cast("string")
+    at = lambda column, kind: ranges.groupBy("seqnames", F.col(column).alias("pos")).agg(F.min("symbol").alias("symbol")).select("seqnames", "pos", none.alias("__held"), F.floor(F.col("pos") / block).alias("__block"), F.lit(kind).alias("kind"), "symbol")
+    marks = at("end", 0).unionByName(at("start", 2))
+    both = points.withColumns({"kind": F.lit(1), "symbol": none}).unionByName(marks).repartition(tasks, "seqnames", "__block")
     end, start = F.when(F.col("kind") == 0, F.struct("pos", "symbol")), F.when(F.col("kind") == 2, F.struct("pos", "symbol"))
-    edges = both.groupBy("seqnames", "__block").agg(F.max(end).alias("__e"), F.min(start).alias("__s"))
+    held = points.select("seqnames", "__block").distinct().select("seqnames", F.lit(None).cast("long").alias("pos"), none.alias("__held"), "__block", F.lit(1).alias("kind"), none.alias("symbol"))
+    edges = marks.unionByName(held).groupBy("seqnames", "__block").agg(F.max(end).alias("__e"), F.min(start).alias("__s"))
     along = W.partitionBy("seqnames").orderBy("__block")  # a row a block
     edges = edges.select("seqnames", "__block", F.last("__e", True).over(along.rowsBetween(W.unboundedPreceding, -1)).alias("__eb"), F.first("__s", True).over(along.rowsBetween(1, W.unboundedFollowing)).alias("__sa"))
     w = W.partitionBy("seqnames", "__block").orderBy("pos", "kind")
@@ -187,7 +198,7 @@ def nearest_ranges(points: DataFrame, ranges: DataFrame, pos: str, block: int =
     seen = seen.join(edges, ["seqnames", "__block"]).withColumn("__b", F.coalesce("__b", "__eb")).withColumn("__a", F.coalesce("__a", "__sa"))
     before, after = F.col("pos") - F.col("__b.pos"), F.col("__a.pos") - F.col("pos")
     near = F.when(after.isNull() | (before <= after), F.col("__b.symbol")).otherwise(F.col("__a.symbol"))
-    return seen.join(held, ["seqnames", "pos"], "left").select("seqnames", "pos", F.coalesce("__held", near).alias("symbol"), F.col("__held").isNotNull().alias("inside"))
+    return seen.select("seqnames", "pos", F.coalesce("__held", near).alias("symbol"), F.col("__held").isNotNull().alias("inside"))
 
 
 def annotate_genes(points: DataFrame, genes: DataFrame, pos: str, onco: list[str] = (), special: list[str] = ()) -> DataFrame:

@@ -1,6 +1,7 @@
 """Steps whose work must grow no faster than their input, and that give what the plain forms give."""
 
 import random
+import re
 
 import pytest
 
@@ -110,3 +111,27 @@ def test_recovered_multihits_are_dealt_by_their_number(spark, monkeypatch):
     # 1000 rows go to 20 tasks, though the session has 4 partitions; unique rows aren't exchanged once they are placed.
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "20), REPARTITION_BY_NUM" in plan and "type" not in "".join(x for x in plan.splitlines() if "Exchange" in x)
+
+
+@pytest.mark.parametrize("block", [60, 1 << 20])
+def test_points_are_dealt_by_their_number(spark, monkeypatch, block):
+    monkeypatch.setattr(staging, "TASK_ROWS", 25)
+    rng = random.Random(block)
+    genes = [(rng.choice("ab"), s := rng.randrange(400_000), s + rng.choice([0, 90, 150_000]), f"G{i}") for i in range(30)]
+    points = [(rng.choice("abc"), rng.randrange(420_000)) for _ in range(300)] + [("a", g[1]) for g in genes] + [(None, 5)]
+    if block == 60:
+        genes, points = [(c, s // 1000, e // 1000, n) for c, s, e, n in genes], [(c, p // 1000) for c, p in points]
+    got = intervals.nearest_ranges(spark.createDataFrame(points, "seqnames string, pos long"), spark.createDataFrame(genes, "seqnames string, start long, end long, symbol string"), "pos", block)
+    want = {}
+    for c, p in {x for x in points if x[0]}:
+        own = [g for g in genes if g[0] == c]
+        held = [g[3] for g in own if g[1] <= p <= g[2]]
+        before, after = max((g[2] for g in own if g[2] <= p), default=None), min((g[1] for g in own if g[1] >= p), default=None)
+        first = after is None or before is not None and p - before <= after - p
+        near = [g[3] for g in own if (g[2] == before if first else g[1] == after)]
+        want[c, p] = (min(held), True) if held else (min(near, default=None), False)
+    rows = got.collect()
+    assert {(r["seqnames"], r["pos"]): (r["symbol"], r["inside"]) for r in rows} == want and len(rows) == len(want)
+    # 331 points go to 14 tasks, though the session has 4 partitions, and aren't joined to the ranges that hold them a second time.
+    plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "14), REPARTITION_BY_NUM" in plan and not re.search(r"hashpartitioning\(seqnames#\d+, pos#", plan)
