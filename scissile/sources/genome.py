@@ -2,7 +2,8 @@
 
 FASTA is read by ranges of bytes through the data source `fasta_pieces`; what a range
 cannot tell alone (which contig its first bytes belong to, and how far in) follows
-from an index of all pieces without their bases, a row a piece.  .2bit files have an
+from an index of all pieces without their bases, a row a piece.  Files are parsed once: what
+the ranges give is staged, and the index reads it without the bases.  .2bit files have an
 index of their own; their contigs are read by ranges of bases.  Pieces are
 (seqnames, at, part): `at` counts from 0, parts of a contig follow each other.
 """
@@ -131,21 +132,27 @@ def fasta_pieces(spark: SparkSession, path, split_bytes: int = RANGE, piece: int
 
     from pyspark import cloudpickle
 
+    from ..operators.staging import staged
+
     blocks.register(spark)
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(FastaSource)
     files = [(r["path"], r["length"]) for r in listed(spark, path, "*", "length").where("length > 0").collect()]  # a row a file
     rows = spark.read.format("fasta_pieces").option("files", json.dumps(files)).option("splitBytes", split_bytes).option("piece", piece).load()
+    rows = staged(rows.withColumn("n", F.length("part").cast("long")))
     order = W.partitionBy("file").orderBy("at", "k")
     before = order.rowsBetween(W.unboundedPreceding, -1)
-    index = rows.select("file", "at", "k", "name", "rest", "open", F.length("part").cast("long").alias("n"))
+    index = rows.select("file", "at", "k", "name", "rest", "open", "n")
     # A line that is still a name at a range's end goes on as one; ranges without a line end pass that on.
     told = F.last(F.when(F.col("open") != "p", F.col("open")), ignorenulls=True).over(before)
     index = index.withColumn("named", F.col("rest") & F.coalesce(told == "h", F.lit(False)))
     index = index.withColumn("contig", F.count("name").over(order)).withColumn("seqnames", F.last("name", ignorenulls=True).over(order))
     index = index.where("k < 2147483647 AND NOT named AND contig > 0")
-    within = W.partitionBy("file", "contig").orderBy("at", "k").rowsBetween(W.unboundedPreceding, -1)
-    index = index.select("file", "at", "k", "seqnames", F.coalesce(F.sum("n").over(within), F.lit(0)).alias("__at"))
+    contig = W.partitionBy("file", "contig").orderBy("at", "k")
+    at = F.coalesce(F.sum("n").over(contig.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    # A name's own row stands only for a contig that has no bases.
+    bare = F.sum("n").over(contig.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)) == 0
+    index = staged(index.select("file", "at", "k", "seqnames", at.alias("__at"), "n", bare.alias("__bare")).where("n > 0 OR __bare").drop("n", "__bare"))
     own = rows.where("k < 2147483647").select("file", "at", "k", "part").join(index, ["file", "at", "k"])
     return own.select("seqnames", F.col("__at").alias("at"), "part")
 

@@ -68,3 +68,18 @@ def test_sites_of_pieces_equal_sites_of_contigs(spark, tmp_path, cell):
     got = targets.site_sequences(sites, parts, 100, 30, cell)
     want = targets.site_sequences(sites, readers.contigs(spark, str(tmp_path / "g.fa")), 100, 30).where("site_seq <> ''")
     assert rows_of(got) == rows_of(want)
+
+
+def test_files_are_parsed_once(spark, tmp_path):
+    seqs = contigs(11)
+    (tmp_path / "g.fa").write_text(fasta(seqs, 60))
+    df = genome.fasta_pieces(spark, str(tmp_path / "g.fa"), split_bytes=200, piece=50)
+    # Whatever reads the pieces, lengths and sites included, finds them staged; a name's own row is left only where a contig has no bases.
+    assert "fasta_pieces" not in df._jdf.queryExecution().optimizedPlan().toString()
+    assert [r["seqnames"] for r in df.where("part = ''").collect()] == ["empty"] and joined(df) == seqs
+
+
+def test_few_tasks_for_a_large_file():
+    files = [("a", 2 << 30), ("b", 5)]
+    got = [p.value for p in genome.FastaReader({"files": genome.json.dumps(files), "splitbytes": str(1 << 16), "piece": "1000"}).partitions()]
+    assert len(got) <= genome.blocks.MOST_TASKS + len(files) and got[-1] == ("b", 0, 5) and sum(z - a for _, a, z in got) == sum(n for _, n in files)
