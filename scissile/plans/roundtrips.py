@@ -108,7 +108,7 @@ def genome_pieces(spark, d):
     lines.repartition(8, "name").sortWithinPartitions("name", "at").select("line").write.text(path)
     parts = genome.fasta_pieces(spark, f"{path}/*.txt", split_bytes=1 << 16, piece=1000)
     size = genome.lengths(parts)
-    sites = t(spark, d, "part").select(F.concat(F.lit("c"), F.col("p_partkey") % 40).alias("seqnames"), "p_partkey", "p_size").join(size, "seqnames")
+    sites = t(spark, d, "part").select(F.concat(F.lit("c"), F.col("p_partkey") % 40).alias("seqnames"), "p_partkey", "p_size").join(F.broadcast(size), "seqnames")  # a row a contig
     sites = sites.select("seqnames", (F.col("p_partkey") * 37 % F.col("length") + 1).alias("pos"), F.when(F.col("p_size") % 2 == 0, "+").otherwise("-").alias("strand"))
     return targets.site_sequences(sites, parts, 60, 30, chunk=4096)
 
