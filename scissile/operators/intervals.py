@@ -180,7 +180,8 @@ def nearest_ranges(points: DataFrame, ranges: DataFrame, pos: str, block: int =
     own = own.withColumn("__bucket", F.floor(F.col("pos") / WIDTH)).repartition(tasks, *bucket).distinct()
     holding = ranges.select("seqnames", F.explode(F.sequence(F.floor(F.col("start") / WIDTH), F.floor(F.col("end") / WIDTH))).alias("__bucket"), "start", "end", "symbol").alias("r")
     inside = [F.col(f"p.{k}") == F.col(f"r.{k}") for k in bucket] + [F.col("p.pos").between(F.col("r.start"), F.col("r.end"))]
-    met = own.alias("p").join(holding, inside, "left").select("p.*", F.col("r.symbol").alias("symbol"))
+    # Merged: ranges follow the data, and Spark would broadcast them by the size of their compressed files.
+    met = own.alias("p").join(holding.hint("merge"), inside, "left").select("p.*", F.col("r.symbol").alias("symbol"))
     # Written once: points and their blocks are read from it.
     points = staged(met.groupBy(*bucket, "pos").agg(F.min("symbol").alias("__held")).select("seqnames", "pos", "__held", F.floor(F.col("pos") / block).alias("__block")))
     none = F.lit(None).cast("string")

@@ -115,6 +115,8 @@ def test_recovered_multihits_are_dealt_by_their_number(spark, monkeypatch):
 
 @pytest.mark.parametrize("block", [60, 1 << 20])
 def test_points_are_dealt_by_their_number(spark, monkeypatch, block):
+    plans, plain = [], intervals.staged
+    monkeypatch.setattr(intervals, "staged", lambda df: (plans.append(df._jdf.queryExecution().executedPlan().toString()), plain(df))[1])
     monkeypatch.setattr(staging, "TASK_ROWS", 25)
     rng = random.Random(block)
     genes = [(rng.choice("ab"), s := rng.randrange(400_000), s + rng.choice([0, 90, 150_000]), f"G{i}") for i in range(30)]
@@ -134,4 +136,5 @@ def test_points_are_dealt_by_their_number(spark, monkeypatch, block):
     assert {(r["seqnames"], r["pos"]): (r["symbol"], r["inside"]) for r in rows} == want and len(rows) == len(want)
     # 331 points go to 14 tasks, though the session has 4 partitions, and aren't joined to the ranges that hold them a second time.
     plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "SortMergeJoin" in plans[0] and "Broadcast" not in plans[0]
     assert "14), REPARTITION_BY_NUM" in plan and not re.search(r"hashpartitioning\(seqnames#\d+, pos#", plan)
